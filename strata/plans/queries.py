@@ -1,0 +1,166 @@
+"""Registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per key.
+
+Each key names the SURVEY operator ids it exercises.  Every query reads
+whole driver tables; nothing is filtered by id, sampled or truncated
+except where a limit is the operator itself (``sample_rows``).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from strata.functions.numbers import money, pct, ratio, row_sum
+from strata.operators.joins import panel_join
+from strata.operators.nearest import Side, dedupe_right, nearest_enrich, nearest_join
+from strata.operators.reshape import panel_sum, pivot_discovered, pivot_values
+from strata.operators.winner import winner_long, winner_wide
+from strata.plans.common import events_by_day, orders_by_year, r6
+from strata.sources.tables import table
+
+PANEL = ["o_custkey", "year"]
+
+
+# ---- A1, A3, A4, C8-C11 ---------------------------------------------------
+
+def q_panel_sum(spark: SparkSession, sf: str) -> DataFrame:
+    """A1: sum of order price per customer and year."""
+    return panel_sum(orders_by_year(spark, sf), PANEL, "o_totalprice", "total_price",
+                     count_col="n_orders")
+
+
+def q_pivot_first_pct(spark: SparkSession, sf: str) -> DataFrame:
+    """A3 + C9: explicit-value pivot on status, F as a percentage of O."""
+    o = orders_by_year(spark, sf, "o_orderstatus")
+    p = pivot_values(o, PANEL, "o_orderstatus", ["F", "O"], "o_totalprice", "sum",
+                     names={"F": "F_total", "O": "O_total"}, exact_money=True)
+    return p.withColumn("F_pct", r6(pct("F_total", "O_total")))
+
+
+def q_pivot_dynamic(spark: SparkSession, sf: str) -> DataFrame:
+    """A4 + P3 + F4: discovered priorities become cleaned, zero-filled columns."""
+    o = orders_by_year(spark, sf, "o_orderpriority")
+    return pivot_discovered(o, PANEL, "o_orderpriority", "o_totalprice", prefix="Cat_")
+
+
+def q_ratio(spark: SparkSession, sf: str) -> DataFrame:
+    """Per-line ratios; a zero denominator gives null, not an error."""
+    li = table(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_extendedprice",
+               "l_quantity", "l_discount", "l_tax")
+    return li.select("l_orderkey", "l_linenumber",
+                     ratio("l_extendedprice", "l_quantity").alias("unit_price"),
+                     ratio("l_discount", "l_tax").alias("discount_per_tax"))
+
+
+def q_ratio_of_sums(spark: SparkSession, sf: str) -> DataFrame:
+    """A2: discount amount over gross amount per supplier (exact sums)."""
+    li = table(spark, sf, "lineitem", "l_suppkey", "l_extendedprice", "l_discount")
+    g = li.groupBy("l_suppkey").agg(
+        F.sum(money("l_extendedprice") * money("l_discount")).cast("double").alias("discount_amount"),
+        F.sum(money("l_extendedprice")).cast("double").alias("gross_amount"))
+    return g.withColumn("discount_ratio", F.round(ratio("discount_amount", "gross_amount"), 8))
+
+
+def q_row_sum(spark: SparkSession, sf: str) -> DataFrame:
+    """C10 + C11: null-as-zero row-wise sum over a column list."""
+    li = table(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_quantity", "l_tax",
+               "l_discount")
+    return li.select("l_orderkey", "l_linenumber",
+                     r6(row_sum(["l_quantity", "l_tax", "l_discount"])).alias("row_total"))
+
+
+# ---- C12, C13, P9 ------------------------------------------------------------
+
+def _priority_counts(spark, sf):
+    return table(spark, sf, "orders", "o_custkey", "o_orderpriority") \
+        .groupBy("o_custkey", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_winner_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """C12 + C13 + P9: wide counts per priority, arg-max across the columns."""
+    o = table(spark, sf, "orders", "o_custkey", "o_orderpriority")
+    from strata.operators.reshape import discover_values
+    prios = discover_values(o, "o_orderpriority")
+    wide = o.groupBy("o_custkey").pivot("o_orderpriority", prios).agg(F.count(F.lit(1)))
+    from strata.functions.columns import columns_excluding
+    label_cols = columns_excluding(wide, ["o_custkey"])
+    return winner_wide(wide, label_cols, "winner", "max_value").select("o_custkey", "winner", "max_value")
+
+
+def q_winner_long(spark: SparkSession, sf: str) -> DataFrame:
+    """C13, long form: ``min_by`` over (count desc, label)."""
+    return winner_long(_priority_counts(spark, sf), ["o_custkey"], "o_orderpriority", "n",
+                       "winner", "max_value")
+
+
+# ---- J1, J2 ------------------------------------------------------------------
+
+def _line_totals(spark, sf):
+    """Line totals per customer and ship year: lines are pre-aggregated per
+    (order, year) before the join to orders, so the shuffle carries about
+    one row per order instead of one per line."""
+    li = table(spark, sf, "lineitem", "l_orderkey", "l_extendedprice", "l_shipdate")
+    per_order = li.groupBy("l_orderkey", F.year("l_shipdate").alias("year")).agg(
+        F.sum(money("l_extendedprice")).alias("amt"))
+    o = table(spark, sf, "orders", "o_orderkey", "o_custkey")
+    j = per_order.join(o, per_order.l_orderkey == o.o_orderkey, "inner")
+    return j.groupBy("o_custkey", "year").agg(F.sum("amt").cast("double").alias("line_total"))
+
+
+def q_panel_inner_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Yearly order totals inner-joined to yearly line totals."""
+    return panel_join(q_panel_sum(spark, sf), _line_totals(spark, sf), PANEL, "inner")
+
+
+def q_panel_left_join(spark: SparkSession, sf: str) -> DataFrame:
+    """The same, keeping panel rows without lines."""
+    return panel_join(q_panel_sum(spark, sf), _line_totals(spark, sf), PANEL, "left")
+
+
+# ---- J3-J5, W1, W2, F2, C14 --------------------------------------------------
+
+def _errors(spark, sf):
+    return events_by_day(spark, sf, "event_id", "event_type") \
+        .where(F.col("event_type") == "error").drop("event_type")
+
+
+def _daily(spark, sf, kind):
+    e = events_by_day(spark, sf, "event_type", "value").where(F.col("event_type") == kind)
+    return dedupe_right(e, ["user_id"], "day", ["value"], "max")
+
+
+def _nearest(form):
+    def q(spark: SparkSession, sf: str) -> DataFrame:
+        out = nearest_join(_errors(spark, sf), _daily(spark, sf, "signup"), ["user_id"],
+                           "day", "day", ["value"], form=form, prefix="signup_")
+        return out.select("event_id", "user_id", "day", "signup_period", "signup_value")
+    q.__name__ = f"q_nearest_{form}"
+    q.__doc__ = f"J4 ({form} form): each error event -> nearest-day signup of the user."
+    return q
+
+
+def q_enrich_multi(spark: SparkSession, sf: str) -> DataFrame:
+    """Nearest signup, purchase and click attached in one pass."""
+    sides = [Side(_daily(spark, sf, k), "day", ["value"], f"{k}_")
+             for k in ("signup", "purchase", "click")]
+    out = nearest_enrich(_errors(spark, sf), ["user_id"], "day", sides, form="fill")
+    return out.select("event_id", "user_id", "day",
+                      *[f"{k}_{c}" for k in ("signup", "purchase", "click") for c in ("period", "value")])
+
+
+QUERIES = {
+    "panel_sum": q_panel_sum,
+    "pivot_first_pct": q_pivot_first_pct,
+    "pivot_dynamic": q_pivot_dynamic,
+    "ratio": q_ratio,
+    "ratio_of_sums": q_ratio_of_sums,
+    "row_sum": q_row_sum,
+    "winner_wide": q_winner_wide,
+    "winner_long": q_winner_long,
+    "panel_inner_join": q_panel_inner_join,
+    "panel_left_join": q_panel_left_join,
+    "nearest_window": _nearest("window"),
+    "nearest_minby": _nearest("minby"),
+    "nearest_fill": _nearest("fill"),
+    "enrich_multi": q_enrich_multi,
+}
