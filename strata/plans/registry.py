@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from strata.plans import oracle as _panel_sql
-from strata.plans import q_clean, q_stats
+from strata.plans import q_clean, q_io, q_stats
 from strata.plans import queries as _panel
 
 MODULES = [(_panel.QUERIES, _panel_sql.ORACLE), (q_clean.QUERIES, q_clean.ORACLE),
-           (q_stats.QUERIES, q_stats.ORACLE)]
+           (q_stats.QUERIES, q_stats.ORACLE),
+           (q_io.QUERIES, q_io.ORACLE)]
 
 QUERIES: dict = {}
 ORACLE: dict = {}
