@@ -1,0 +1,112 @@
+"""The flagship panel pipeline.
+
+orders -> one row per (customer, year) with the total, the status-F
+total and the per-priority totals in ONE aggregation (conditional sums
+are what a pivot compiles to) -> winning priority (row-wise arg-max) ->
+nearest year in which the customer had status-F orders, carrying that
+year's F ratio (nearest-period join, fill form) -> sigma band of the
+yearly total -> per winning priority: count and share of each band,
+with the average carried ratio and period gap.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from strata.functions.columns import q
+from strata.functions.numbers import money, money_sum, ratio
+from strata.operators.nearest import nearest_join
+from strata.operators.reshape import discover_values
+from strata.operators.stats import fround, sigma_bands
+from strata.operators.winner import winner_wide
+from strata.plans.common import orders_by_year
+
+KEYS = ["o_custkey", "year"]
+
+
+def yearly_panel(spark: SparkSession, sf: str) -> DataFrame:
+    """(customer, year, total_price, n_orders, f_total, f_ratio, winner)."""
+    o = orders_by_year(spark, sf, "o_orderstatus", "o_orderpriority")
+    prios = discover_values(o, "o_orderpriority")
+    price = money("o_totalprice")
+    aggs = [money_sum("o_totalprice").alias("total_price"), F.count(F.lit(1)).alias("n_orders"),
+            F.sum(F.when(F.col("o_orderstatus") == "F", price)).cast("double").alias("f_total")]
+    aggs += [F.sum(F.when(F.col("o_orderpriority") == v, price)).cast("double").alias(v)
+             for v in prios]
+    p = o.groupBy(*KEYS).agg(*aggs)
+    p = winner_wide(p, prios, "winner", None)
+    return p.select(*KEYS, "total_price", "n_orders", "f_total",
+                    ratio("f_total", "total_price").alias("f_ratio"), "winner")
+
+
+def enriched_panel(spark: SparkSession, sf: str, form: str = "fill") -> DataFrame:
+    """Panel rows with the nearest F-year (``near_period``) and its ratio."""
+    p = yearly_panel(spark, sf)
+    right = p.where(F.col("f_total") > 0).select("o_custkey", F.col("year").alias("f_year"), "f_ratio")
+    return nearest_join(p, right, ["o_custkey"], "year", "f_year", ["f_ratio"], form=form,
+                        prefix="near_")
+
+
+def q_panel_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    """Flagship: band shares per winning priority over the enriched panel."""
+    b = sigma_bands(enriched_panel(spark, sf), "total_price")
+    g = b.groupBy("winner", "band").agg(
+        F.count(F.lit(1)).alias("count"),
+        F.avg("near_f_ratio").alias("avg_f_ratio"),
+        F.avg(F.abs(F.col("year") - F.col("near_period"))).alias("avg_gap"))
+    g = g.withColumn("total", F.sum("count").over(Window.partitionBy("winner")))
+    return g.select("winner", "band", "count", "total",
+                    fround(F.col("count") / F.col("total") * 100, 2).alias("pct"),
+                    fround("avg_f_ratio", 6).alias("avg_f_ratio"),
+                    fround("avg_gap", 6).alias("avg_gap"))
+
+
+QUERIES = {"panel_pipeline": q_panel_pipeline}
+
+
+def _fr(x, p):
+    return f"(floor(({x}) * {float(10 ** p)} + 0.5) / {float(10 ** p)})"
+
+
+ORACLE = {
+    "panel_pipeline": f"""
+WITH base AS (
+  SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year, o_orderstatus, o_orderpriority,
+         CAST(o_totalprice AS DECIMAL(18,2)) AS price FROM orders),
+p AS (
+  SELECT o_custkey, year, CAST(SUM(price) AS DOUBLE) AS total_price,
+         CAST(SUM(price) FILTER (WHERE o_orderstatus = 'F') AS DOUBLE) AS f_total
+  FROM base GROUP BY 1, 2),
+pr AS (SELECT o_custkey, year, o_orderpriority AS prio, SUM(price) AS s FROM base GROUP BY 1, 2, 3),
+w AS (SELECT o_custkey, year, prio AS winner FROM (
+        SELECT *, row_number() OVER (PARTITION BY o_custkey, year ORDER BY s DESC, prio) AS rn FROM pr)
+      WHERE rn = 1),
+pw AS (SELECT p.*, p.f_total / NULLIF(p.total_price, 0) AS f_ratio, w.winner
+       FROM p JOIN w USING (o_custkey, year)),
+r AS (SELECT o_custkey, year AS f_year, f_ratio FROM pw WHERE f_total > 0),
+nn AS (SELECT pw.o_custkey, pw.year, r.f_year, r.f_ratio AS near_f_ratio,
+              row_number() OVER (PARTITION BY pw.o_custkey, pw.year
+                                 ORDER BY abs(pw.year - r.f_year), r.f_year DESC) AS rn
+       FROM pw JOIN r ON pw.o_custkey = r.o_custkey),
+e AS (SELECT pw.*, nn.f_year AS near_period, nn.near_f_ratio
+      FROM pw LEFT JOIN (SELECT * FROM nn WHERE rn = 1) nn USING (o_custkey, year)),
+s AS (SELECT avg(total_price) AS m, stddev_samp(total_price) AS sd FROM e),
+b AS (SELECT e.*,
+        CASE WHEN e.total_price - s.m IS NULL OR s.sd IS NULL THEN NULL
+             WHEN abs(e.total_price - s.m) <= s.sd THEN 'Near Mean'
+             WHEN e.total_price - s.m > s.sd AND e.total_price - s.m <= 2 * s.sd THEN 'Moderate High'
+             WHEN e.total_price - s.m < -s.sd AND e.total_price - s.m >= -2 * s.sd THEN 'Moderate Low'
+             WHEN e.total_price - s.m > 2 * s.sd THEN 'Extreme High'
+             ELSE 'Extreme Low' END AS band
+      FROM e, s),
+g AS (SELECT winner, band, COUNT(*) AS count, avg(near_f_ratio) AS avg_f_ratio,
+             avg(abs(year - near_period)) AS avg_gap FROM b GROUP BY 1, 2)
+SELECT winner, band, count, CAST(SUM(count) OVER (PARTITION BY winner) AS BIGINT) AS total,
+       {_fr('count / SUM(count) OVER (PARTITION BY winner) * 100', 2)} AS pct,
+       {_fr('avg_f_ratio', 6)} AS avg_f_ratio, {_fr('avg_gap', 6)} AS avg_gap
+FROM g
+""",
+}
+
+__all__ = ["QUERIES", "ORACLE", "yearly_panel", "enriched_panel", "q_panel_pipeline", "q"]
