@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from strata.functions.columns import (digits_only, drop_null_keys, fill_numeric, harmonize,
                                       non_finite_to_null, normalize_headers)
 from strata.functions.numbers import parse_number
-from strata.functions.text import (MULTI_CHAR_FOLDS, fold_ascii, fold_key, mojibake_table,
-                                   repair_text, slug)
+from strata.functions.text import (CATEGORY_REPAIRS, MULTI_CHAR_FOLDS, fold_ascii, fold_key,
+                                   recode, repair_text, slug)
+from strata.session import spread
 from strata.sources.tables import table
 
-# Single-byte codec used to simulate the damage that ``repair_text`` undoes.
+# Single-byte charset used to simulate the damage that the repair undoes.
 DAMAGE_CODEC = "ISO-8859-1"
-REPAIRS = mojibake_table(("latin-1",))
 
 
 def q_slugify(spark: SparkSession, sf: str) -> DataFrame:
@@ -25,31 +25,36 @@ def q_slugify(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_fold_ascii(spark: SparkSession, sf: str) -> DataFrame:
     """Accent folding of whole texts, as a native expression."""
-    d = table(spark, sf, "documents", "doc_id", "text")
+    d = spread(table(spark, sf, "documents", "doc_id", "text"))
     return d.select("doc_id", fold_ascii("text").alias("folded"))
 
 
 def q_repair_text(spark: SparkSession, sf: str) -> DataFrame:
     """C4: damage whole texts the way a wrong charset does (UTF-8 bytes read
-    as ISO-8859-1), then repair them with the replacement table."""
-    d = table(spark, sf, "documents", "doc_id", "text")
+    as ISO-8859-1), repair them (charset round trip, then the literal
+    category repairs), and fingerprint the result: the md5 must equal the
+    original text's."""
+    d = spread(table(spark, sf, "documents", "doc_id", "text"))
     damaged = F.decode(F.encode("text", "UTF-8"), DAMAGE_CODEC)
-    x = d.select("doc_id", "text", damaged.alias("damaged"))
+    x = d.select("doc_id", damaged.alias("damaged"))
+    fixed = repair_text(recode("damaged", DAMAGE_CODEC, "UTF-8"), CATEGORY_REPAIRS)
     return x.select("doc_id", F.char_length("damaged").alias("damaged_chars"),
-                    (repair_text("damaged", REPAIRS) == F.col("text")).alias("restored"))
+                    F.md5(fixed).alias("repaired_md5"))
 
 
 def _word_keys(df: DataFrame, text: str) -> DataFrame:
-    w = df.select(F.explode(F.split(text, r"\s+")).alias("w"))
-    k = F.regexp_replace(fold_key("w"), "[^a-z0-9]", "")
-    return w.select(k.alias("word")).where(F.col("word") != "")
+    """Fold and clean the whole text once, then split into words (same words
+    as splitting first and cleaning each word, with one expression per text)."""
+    clean = F.regexp_replace(fold_key(text), r"[^a-z0-9\s]", "")
+    w = df.select(F.explode(F.split(clean, r"\s+")).alias("word"))
+    return w.where(F.col("word") != "")
 
 
 def q_collated_join(spark: SparkSession, sf: str) -> DataFrame:
     """C5 as a join key: words of documents and of benchmark items matched
     ignoring case and accents.  Both sides are counted per key first, so
     the join sees one row per word and no pair of rows is ever emitted."""
-    dw = _word_keys(table(spark, sf, "documents", "text"), "text") \
+    dw = _word_keys(spread(table(spark, sf, "documents", "text")), "text") \
         .groupBy("word").agg(F.count(F.lit(1)).alias("doc_count"))
     bw = _word_keys(table(spark, sf, "benchmark", "text"), "text") \
         .groupBy("word").agg(F.count(F.lit(1)).alias("bench_count"))
@@ -143,7 +148,6 @@ def _fold_sql(x: str) -> str:
     return f"strip_accents({x})"
 
 
-_RESTORABLE = "".join(sorted(set(REPAIRS.values())))
 
 
 def _words_sql(tbl: str, out: str) -> str:
@@ -158,11 +162,7 @@ WHERE word <> '' GROUP BY 1
 ORACLE = {
     "slugify": "SELECT doc_id, regexp_replace(trim(lower(text)), '\\s+', '-', 'g') AS slug FROM documents",
     "fold_ascii": f"SELECT doc_id, {_fold_sql('text')} AS folded FROM documents",
-    "repair_text": f"""
-SELECT doc_id, CAST(strlen(text) AS INTEGER) AS damaged_chars,
-       NOT regexp_matches(text, '[^\\x00-\\x7F{_RESTORABLE}]') AS restored
-FROM documents
-""",
+    "repair_text": "SELECT doc_id, CAST(strlen(text) AS INTEGER) AS damaged_chars, md5(text) AS repaired_md5 FROM documents",
     "collated_join": f"""
 SELECT d.word, d.doc_count, b.bench_count
 FROM ({_words_sql('documents', 'doc_count')}) d JOIN ({_words_sql('benchmark', 'bench_count')}) b USING (word)

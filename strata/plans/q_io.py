@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.plans.common import orders_by_year
-from strata.session import scratch_path
+from strata.session import scratch_path, spread
 from strata.sources.csv import read_csv, write_csv
 from strata.sources.html import audit, nav_links, table_rows, table_rows_py, url_frontier
 from strata.sources.panel_files import read_period_sources
@@ -59,15 +59,15 @@ def q_url_frontier(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_html_rows(spark: SparkSession, sf: str) -> DataFrame:
     """S12 on navigation lists of the raw pages."""
-    return nav_links(table(spark, sf, "pages", "page_id", "html"), ["page_id"])
+    return nav_links(spread(table(spark, sf, "pages", "page_id", "html")), ["page_id"])
 
 
 def _order_pages(spark, sf):
     """One HTML page per order (container per year, header row, a status
     row, a total row with two classes, a short row)."""
-    o = table(spark, sf, "orders", "o_orderkey", "o_orderdate", "o_orderstatus",
-              "o_orderpriority", "o_totalprice")
-    amt = F.format_string("%.2f", "o_totalprice")
+    o = spread(table(spark, sf, "orders", "o_orderkey", "o_orderdate", "o_orderstatus",
+                     "o_orderpriority", "o_totalprice"))
+    amt = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
     html = F.concat(
         F.lit('<html><body><div id="treemap-table-'), F.year("o_orderdate").cast("string"),
         F.lit('" class="t"><table><tr><th>Nr</th><th>Abschnitt</th><th>Betrag</th></tr>'),
@@ -116,10 +116,10 @@ _NAV = '<li><a href="([^"]*)">([^<]*)</a></li>'
 _TABLE_ROWS = """
 SELECT o_orderkey AS page_id, CAST(year(o_orderdate) AS VARCHAR) AS container, 1 AS pos,
        'status-' || lower(o_orderstatus) AS row_class, o_orderpriority || ' & more' AS section,
-       printf('%.2f', o_totalprice) AS amount
+       CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS amount
 FROM orders {where}
 UNION ALL
-SELECT o_orderkey, CAST(year(o_orderdate) AS VARCHAR), 2, 'sum total', 'Summe', printf('%.2f', o_totalprice)
+SELECT o_orderkey, CAST(year(o_orderdate) AS VARCHAR), 2, 'sum total', 'Summe', CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)
 FROM orders
 """
 

@@ -76,3 +76,17 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (never localCheckpoint)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread CPU-heavy per-row work (regex, text, HTML) over all cores.
+
+    Repartitions round-robin only when the input has fewer partitions than
+    the cluster has task slots - e.g. one small file with one row group.
+    A large input already has far more splits than slots and is returned
+    unchanged, so no shuffle is added where it would cost the most.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)

@@ -99,6 +99,11 @@ class _TableParser(HTMLParser):
     def __init__(self, container_prefix: str):
         super().__init__(convert_charrefs=True)
         self.prefix = container_prefix
+        self.start_page()
+
+    def start_page(self):
+        """Reuse one parser for many pages (construction is the costly part)."""
+        self.reset()
         self.container = None
         self.depth = 0          # div nesting inside the container
         self.in_table = False
@@ -168,11 +173,13 @@ def table_rows_py(pages: DataFrame, keys, html: str = "html",
     want = set(classes or [])
 
     def run(batches):
+        p = _TableParser(container_prefix)
         for b in batches:
             out = []
-            for rec in b.itertuples(index=False):
-                p = _TableParser(container_prefix)
-                p.feed(getattr(rec, html) or "")
+            key_vals = [b[k].tolist() for k in keys]
+            for n, doc in enumerate(b[html].tolist()):
+                p.start_page()
+                p.feed(doc or "")
                 p.close()
                 if p.container is None:
                     continue
@@ -184,7 +191,7 @@ def table_rows_py(pages: DataFrame, keys, html: str = "html",
                         continue
                     if len(cells) < min_cells:
                         continue
-                    out.append([getattr(rec, k) for k in keys] +
+                    out.append([kv[n] for kv in key_vals] +
                                [p.container, pos, cls, _norm(cells[1][0]), _norm(cells[2][1])])
             yield pd.DataFrame(out, columns=keys + ["container", "pos", "row_class", "section", "amount"])
 
