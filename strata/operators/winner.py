@@ -32,7 +32,8 @@ def winner_wide(df: DataFrame, label_cols, out: str = "winner", max_out: str | N
     if max_out:
         cols[max_out] = F.coalesce(best["v"], F.lit(0))
     if tie_out:
-        n_at_max = sum((F.col(q(c)) == best["v"]).cast("int") for c in label_cols)
+        n_at_max = sum(F.coalesce((F.col(q(c)) == best["v"]).cast("int"), F.lit(0))
+                       for c in label_cols)
         cols[tie_out] = F.coalesce(n_at_max > 1, F.lit(False))
     return df.withColumns(cols)
 
