@@ -34,6 +34,24 @@ def q_multi_file_panel(spark: SparkSession, sf: str) -> DataFrame:
     return df.select("year", "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
 
 
+STREAM_SCHEMA = "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE, o_orderpriority STRING"
+
+
+def q_multi_file_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """S6 + S8 as a stream: per-year CSV folders ingested incrementally
+    (file stream, availableNow, exactly-once file sink), then read back as
+    a period-partitioned Parquet table."""
+    from strata.streaming.ingest import ingest_available, period_file_stream
+    o = orders_by_year(spark, sf, "o_orderkey", "o_orderpriority")
+    root = scratch_path(spark, "multi_file_stream")
+    write_csv(o.select("year", "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"),
+              f"{root}/incoming", partition_by=["year"])
+    stream = period_file_stream(spark, f"{root}/incoming", STREAM_SCHEMA, r"year=(\d{4})", "year")
+    ingest_available(stream, f"{root}/table", f"{root}/_checkpoint", "year")
+    t = spark.read.parquet(f"{root}/table")
+    return t.select("year", "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+
+
 CSV_SCHEMA = "c_custkey BIGINT, name STRING, c_acctbal DOUBLE"
 
 
@@ -102,6 +120,7 @@ def q_extract_audit(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "multi_file_panel": q_multi_file_panel,
+    "multi_file_stream": q_multi_file_stream,
     "csv_roundtrip": q_csv_roundtrip,
     "url_frontier": q_url_frontier,
     "html_rows": q_html_rows,
@@ -128,6 +147,10 @@ ORACLE = {
 SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderkey, o_custkey, o_totalprice,
        CASE WHEN year(o_orderdate) % 2 = 0 THEN o_orderpriority END AS o_orderpriority
 FROM orders
+""",
+    "multi_file_stream": """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderkey, o_custkey, o_totalprice, o_orderpriority
+FROM orders
 """,
     "csv_roundtrip": "SELECT c_custkey, c_name || ' Pöndorf Ö' AS name, c_acctbal FROM customer",
     "url_frontier": """
