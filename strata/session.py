@@ -90,3 +90,13 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() >= want:
         return df
     return df.repartition(want)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage with a written table: one job writes ``df`` as Parquet
+    under the shared checkpoint folder and the result is read back.  Unlike
+    ``checkpoint()`` the input is not computed twice, and later scans get
+    column pruning, filter pushdown and file statistics for AQE."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
