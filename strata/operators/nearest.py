@@ -37,7 +37,13 @@ from pyspark.sql import functions as F
 
 from strata.operators.joins import bounded_broadcast
 
-FORMS = ("fill", "window", "minby")
+FORMS = ("auto", "fill", "window", "minby")
+
+# ``auto`` uses the window form with a broadcast right side only when the
+# product it builds is provably small: the right side has at most
+# AUTO_RIGHT_ROWS rows and no key has more than AUTO_HISTORY periods.
+AUTO_RIGHT_ROWS = 100_000
+AUTO_HISTORY = 64
 
 
 @dataclass
@@ -63,6 +69,17 @@ def dedupe_right(df: DataFrame, keys, period: str, values, agg: str = "max") ->
             .groupBy(*keys, period).agg(*[fn(v).alias(v) for v in values]))
 
 
+def _small_history(side: Side, keys) -> bool:
+    """Both bounds hold: at most AUTO_RIGHT_ROWS right rows (a limited count
+    reads at most that many + 1) and at most AUTO_HISTORY periods per key
+    (an aggregate over that small side)."""
+    r = _right(side, keys)
+    if r.limit(AUTO_RIGHT_ROWS + 1).count() > AUTO_RIGHT_ROWS:
+        return False
+    longest = r.groupBy(*keys).count().agg(F.max("count")).first()[0]
+    return longest is None or longest <= AUTO_HISTORY
+
+
 def _probes(left: DataFrame, keys, period: str) -> DataFrame:
     return left.select(*keys, period).where(F.col(period).isNotNull()).distinct()
 
@@ -137,19 +154,24 @@ def _answers_fill(probes: DataFrame, sides: list[Side], keys, period: str,
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     down = Window.partitionBy(*part).orderBy(F.col("_t").desc(), F.col("_r").desc()) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    scanned = allrows.select(
+    win = allrows.select(
         *part, "_t", "_r",
         *[F.last(p, ignorenulls=True).over(up).alias(f"_prev{i}") for i, p in enumerate(pay)],
         *[F.last(p, ignorenulls=True).over(down).alias(f"_next{i}") for i, p in enumerate(pay)],
-    ).where(F.col("_r") == 0)
-
-    # per-bucket summary: last / first right row of every bucket, carried
-    # to the buckets that follow / precede it.  At most `buckets` rows per key.
-    summary = allrows.groupBy(*part).agg(
-        *[F.max_by(p, F.when(F.col(p).isNotNull(), F.col("_t"))).alias(f"_lastb{i}")
-          for i, p in enumerate(pay)],
-        *[F.min_by(p, F.when(F.col(p).isNotNull(), F.col("_t"))).alias(f"_firstb{i}")
-          for i, p in enumerate(pay)])
+    )
+    scanned = win.where(F.col("_r") == 0)
+
+    # Per-bucket summary, read off the window output (already partitioned by
+    # (key, bucket), so this aggregation adds no shuffle): the last row in
+    # ascending order holds the bucket's last right row in ``_prev``, the
+    # last row in descending order its first right row in ``_next``.  It is
+    # carried to the following / preceding buckets by a window over at most
+    # `buckets` rows per key.
+    summary = win.groupBy(*part).agg(
+        *[F.max_by(f"_prev{i}", F.struct(F.col("_t"), -F.col("_r"))).alias(f"_lastb{i}")
+          for i in range(n)],
+        *[F.min_by(f"_next{i}", F.struct(F.col("_t"), F.col("_r"))).alias(f"_firstb{i}")
+          for i in range(n)])
     before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     after = Window.partitionBy(*keys).orderBy(F.col("_b").desc()) \
         .rowsBetween(Window.unboundedPreceding, -1)
@@ -182,6 +204,10 @@ def nearest_enrich(left: DataFrame, keys, period: str, sides: list[Side], form:
     keys = [keys] if isinstance(keys, str) else list(keys)
     if form not in FORMS:
         raise ValueError(f"form must be one of {FORMS}")
+    if form == "auto":
+        form = "window" if all(_small_history(s, keys) for s in sides) else "fill"
+        if form == "window":
+            broadcast_rows = broadcast_rows or AUTO_RIGHT_ROWS
     probes = _probes(left, keys, period)
     if form == "fill":
         ans = _answers_fill(probes, sides, keys, period, buckets)

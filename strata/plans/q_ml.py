@@ -12,6 +12,7 @@ from strata.operators.ml import (accuracy, assembler, auc_by_class, confusion, f
 from strata.operators.stats import fround
 from strata.operators.winner import winner_wide
 from strata.plans.pipeline import enriched_panel
+from strata.session import materialize
 from strata.sources.tables import table
 
 FEATURES = ["total_price", "n_orders", "f_ratio", "near_f_ratio", "c_acctbal"]
@@ -94,10 +95,13 @@ def q_auc_by_class(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _model_panel(spark, sf):
+    """The modelling table, written once: the fit makes several passes and
+    the test rows are transformed afterwards, so the panel chain (orders
+    aggregation, nearest join, customer join) runs one time only."""
     p = enriched_panel(spark, sf)
     c = table(spark, sf, "customer", "c_custkey", "c_acctbal")
     p = p.join(c, p.o_custkey == c.c_custkey, "inner").drop("c_custkey")
-    return hash_split(p, ["o_custkey", "year"])
+    return materialize(hash_split(p, ["o_custkey", "year"]), "model_panel")
 
 
 def q_rf_predictions(spark: SparkSession, sf: str) -> DataFrame:

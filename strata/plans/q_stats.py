@@ -216,7 +216,7 @@ def _trend(groups: str) -> str:
                  " / NULLIF(regr_count(y, x) - 2, 0)")
     return f"""
 WITH t AS (SELECT c_mktsegment, c_acctbal AS x, avg_price AS y FROM ({_PROFILE_BAL}))
-SELECT {sel}regr_count(y, x) AS n,
+SELECT {sel}CAST(regr_count(y, x) AS BIGINT) AS n,
   {fr('regr_slope(y, x)', 6)} AS slope, {fr('regr_intercept(y, x)', 6)} AS intercept,
   {fr('regr_r2(y, x)', 6)} AS r2,
   {fr(f'sqrt(greatest({resid_var}, 0))', 6)} AS resid_se,

@@ -29,6 +29,20 @@ RECOMMENDED_CONF = {
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
+def _driver_memory() -> str:
+    """Local mode runs everything in the driver JVM: give it at most 16 GB
+    and at most half of the machine's memory."""
+    env = os.environ.get("STRATA_DRIVER_MEM")
+    if env:
+        return env
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+        gb = max(1, min(16, int(total / 2 ** 30 * 0.5)))
+    except (ValueError, OSError, AttributeError):
+        gb = 4
+    return f"{gb}g"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "strata", extra: dict | None = None) -> SparkSession:
     """Local session for tests and the bench (UI off, AQE on)."""
@@ -36,7 +50,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.driver.memory", os.environ.get("STRATA_DRIVER_MEM", "16g"))
+         .config("spark.driver.memory", _driver_memory())
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     for k, v in {**RECOMMENDED_CONF, **(extra or {})}.items():
         b = b.config(k, v)

@@ -14,7 +14,7 @@ RIGHT = [("a", 2010, 1.0), ("a", 2013, 2.0), ("a", 2011, 3.0), ("a", None, 9.0),
          ("b", 2029, 5.0)]
 
 
-@pytest.mark.parametrize("form", ["fill", "window", "minby"])
+@pytest.mark.parametrize("form", ["fill", "window", "minby", "auto"])
 def test_edges(spark, form):
     left = spark.createDataFrame(LEFT, "id int, k string, p int")
     right = spark.createDataFrame(RIGHT, "k string, q int, v double")
@@ -63,3 +63,13 @@ def test_dedupe_right_and_window_plan(spark):
         .executedPlan().toString()
     assert "CartesianProduct" not in fill_plan
     assert F is not None
+
+
+def test_auto_picks_by_bounds(spark, monkeypatch):
+    import strata.operators.nearest as nearest
+    right = spark.createDataFrame([("a", q, 1.0) for q in range(10)], "k string, q int, v double")
+    assert nearest._small_history(nearest.Side(right, "q", ["v"]), ["k"])
+    monkeypatch.setattr(nearest, "AUTO_HISTORY", 5)
+    assert not nearest._small_history(nearest.Side(right, "q", ["v"]), ["k"])
+    monkeypatch.setattr(nearest, "AUTO_RIGHT_ROWS", 3)
+    assert not nearest._small_history(nearest.Side(right, "q", ["v"]), ["k"])
