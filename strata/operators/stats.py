@@ -137,7 +137,8 @@ def trend_band(df: DataFrame, x: str, y: str, groups=(), points: int = 50, z: fl
     gx = F.col("x0") + (F.col("x1") - F.col("x0")) * F.col("i") / F.lit(max(points - 1, 1))
     s = F.sqrt(F.try_divide(F.col("syy") - F.try_divide(F.col("sxy") * F.col("sxy"), F.col("sxx")),
                             F.col("n") - 2))
-    se = s * F.sqrt(F.lit(1.0) / F.col("n") + F.try_divide((gx - F.col("xm")) ** 2, F.col("sxx")))
+    dx = gx - F.col("xm")
+    se = s * F.sqrt(F.lit(1.0) / F.col("n") + F.try_divide(dx * dx, F.col("sxx")))
     fit = F.col("a") + F.col("b") * gx
     return grid.select(*groups, "i", gx.alias("x"), fit.alias("fit"),
                        (fit - z * se).alias("lower"), (fit + z * se).alias("upper"))

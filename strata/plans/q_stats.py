@@ -11,7 +11,7 @@ from strata.operators.joins import STRATEGIES, join_with_strategy
 from strata.operators.reshape import allocate_columns, pivot_values
 from strata.operators.stats import (box_outliers, box_stats, correlations, distribution_stats,
                                     entity_profile, fround, histogram, kde, share_within_group,
-                                    sigma_bands, trend_line)
+                                    sigma_bands, trend_band, trend_line)
 from strata.sources.tables import table
 
 
@@ -91,6 +91,13 @@ def q_trend_by_group(spark: SparkSession, sf: str) -> DataFrame:
                       groups=["c_mktsegment"])
 
 
+def q_trend_band(spark: SparkSession, sf: str) -> DataFrame:
+    """G1: fitted line and 95 % band of the mean at 20 grid points."""
+    b = trend_band(_profile_with_balance(spark, sf), "c_acctbal", "avg_price", points=20)
+    return b.select(F.col("i").cast("int").alias("i"),
+                    *[fround(c, 6).alias(c) for c in ("x", "fit", "lower", "upper")])
+
+
 def _events(spark, sf):
     return table(spark, sf, "events", "event_id", "event_type", "value")
 
@@ -169,6 +176,7 @@ QUERIES = {
     "correlations": q_correlations,
     "trend_line": q_trend_line,
     "trend_by_group": q_trend_by_group,
+    "trend_band": q_trend_band,
     "box_stats": q_box_stats,
     "box_stats_log": q_box_stats_log,
     "box_outliers": q_box_outliers,
@@ -291,6 +299,17 @@ FROM ({_PROFILE_BAL})
 """,
     "trend_line": _trend(""),
     "trend_by_group": _trend("c_mktsegment"),
+    "trend_band": f"""
+WITH t AS (SELECT c_acctbal AS x, avg_price AS y FROM ({_PROFILE_BAL}) WHERE c_acctbal IS NOT NULL AND avg_price IS NOT NULL),
+s AS (SELECT regr_count(y, x) AS n, regr_slope(y, x) AS b, regr_intercept(y, x) AS a, regr_sxx(y, x) AS sxx,
+             regr_syy(y, x) AS syy, regr_sxy(y, x) AS sxy, avg(x) AS xm, min(x) AS x0, max(x) AS x1 FROM t),
+g AS (SELECT CAST(r.range AS INTEGER) AS i, s.*, s.x0 + (s.x1 - s.x0) * r.range / 19 AS gx FROM s, range(20) r),
+e AS (SELECT i, gx, a + b * gx AS fit,
+             sqrt((syy - sxy * sxy / sxx) / (n - 2)) * sqrt(1.0 / n + (gx - xm) * (gx - xm) / sxx) AS se FROM g)
+SELECT i, {fr('gx', 6)} AS x, {fr('fit', 6)} AS fit, {fr('fit - 1.959964 * se', 6)} AS lower,
+       {fr('fit + 1.959964 * se', 6)} AS upper
+FROM e
+""",
     "box_stats": _box("value", "value IS NOT NULL"),
     "box_stats_log": _box("log10(value)", "value > 0"),
     "box_outliers": """
