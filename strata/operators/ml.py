@@ -15,9 +15,11 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.ranks import running_sums
+
 
 def label_indexer(label: str, out: str = "label", order: str = "frequencyDesc") -> StringIndexer:
     """M1/M2: ``frequencyDesc`` (ties alphabetical) or ``alphabetDesc``;
@@ -94,7 +96,8 @@ def confusion(pred: DataFrame, label: str = "label", prediction: str = "predicti
     return pred.groupBy(label, prediction).agg(F.count(F.lit(1)).alias("n"))
 
 
-def auc_by_class(df: DataFrame, label: str, scores: dict, buckets: int = 1024) -> DataFrame:
+def auc_by_class(df: DataFrame, label: str, scores: dict, buckets: int = 1024,
+                 split_over: int = 100_000) -> DataFrame:
     """M10 + C18: one-vs-rest area under the ROC curve per class, exact,
     with tied scores counted half (the Mann-Whitney U statistic).
 
@@ -109,21 +112,10 @@ def auc_by_class(df: DataFrame, label: str, scores: dict, buckets: int = 1024) -
     x = df.select(F.explode(F.array(*items)).alias("i")).select("i.*").where(F.col("score").isNotNull())
     vc = x.groupBy("cls", "score").agg(F.sum("pos").alias("pos_v"),
                                        F.sum(1 - F.col("pos")).alias("neg_v"))
-    st = vc.groupBy("cls").agg(F.min("score").alias("lo"), F.max("score").alias("hi"),
-                               F.sum("pos_v").alias("n_pos"), F.sum("neg_v").alias("n_neg"))
-    span = F.col("hi") - F.col("lo")
-    j = vc.join(st, "cls").withColumn(
-        "b", F.when(span > 0, F.least(F.floor((F.col("score") - F.col("lo")) / span * buckets),
-                                      F.lit(buckets - 1))).otherwise(F.lit(0)))
-    bt = j.groupBy("cls", "b").agg(F.sum("neg_v").alias("bneg"))
-    before = Window.partitionBy("cls").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    bt = bt.select("cls", "b", F.coalesce(F.sum("bneg").over(before), F.lit(0)).alias("off"))
-    run = Window.partitionBy("cls", "b").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    r = j.join(bt, ["cls", "b"]).withColumn(
-        "neg_below", F.col("off") + F.coalesce(F.sum("neg_v").over(run), F.lit(0)))
+    r = running_sums(vc, ["cls"], "score", ["neg_v"], buckets, split_over)
     u = r.groupBy("cls").agg(
-        F.sum(F.col("pos_v") * (F.col("neg_below") + F.col("neg_v") / 2.0)).alias("u"),
-        F.first("n_pos").alias("n_pos"), F.first("n_neg").alias("n_neg"))
+        F.sum(F.col("pos_v") * (F.col("cum_neg_v") - F.col("neg_v") + F.col("neg_v") / 2.0)).alias("u"),
+        F.sum("pos_v").alias("n_pos"), F.sum("neg_v").alias("n_neg"))
     return u.select("cls", "n_pos", "n_neg",
                     F.try_divide(F.col("u"), F.col("n_pos") * F.col("n_neg")).alias("auc"))
 

@@ -5,7 +5,7 @@ aggregation, a window over an already-aggregated table (at most a few
 thousand rows per group), or a join to a one-row-per-group statistics
 table.  No operator collects rows to the driver or sends one group's raw
 rows to one task: exact quantiles are computed from value counts with a
-bucketed prefix sum (see ``exact_quantiles``).
+bucketed prefix sum (``operators/ranks.py``).
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.operators.ranks import running_sums
+
 # ---- fixed values: the five band labels -------------------------------------
 NEAR_MEAN = "Near Mean"
 MODERATE_HIGH = "Moderate High"
@@ -212,36 +214,23 @@ def kde(df: DataFrame, value: str, grid: int = 200, bins: int = 200, groups=(),
 # ---- G3, G4: exact quantiles without gathering a group -------------------------
 
 def exact_quantiles(df: DataFrame, value: str, probs, groups=(), buckets: int = 1024,
-                    names=None) -> DataFrame:
+                    names=None, split_over: int = 100_000) -> DataFrame:
     """Linear-interpolation quantiles (``percentile`` / ``quantile_cont``),
-    exact, per group.
-
-    1. count each distinct value (partial aggregation collapses repeats);
-    2. cut each group's [min, max] into ``buckets`` equal-width buckets and
-       prefix-sum the bucket counts (a window over <= ``buckets`` rows);
-    3. prefix-sum counts inside each (group, bucket) window partition,
-       offset by the buckets before it -> rank range of every value;
-    4. pick the values whose rank range covers floor/ceil of p * (n - 1).
-    A hot group is spread over up to ``buckets`` window partitions.
+    exact, per group, without sending a group to one task.
+
+    Distinct values are counted (partial aggregation), ranked by the
+    bucketed prefix sums of ``ranks.running_sums``, and each quantile takes
+    the values whose rank range covers floor/ceil of p * (n - 1).
     """
     groups = list(groups)
     names = names or [f"q{int(round(p * 100)):02d}" for p in probs]
     base = df.select(*groups, F.col(value).cast("double").alias("_x")).where(
         F.col("_x").isNotNull() & ~F.isnan("_x"))
     vc = base.groupBy(*groups, "_x").agg(F.count(F.lit(1)).alias("_c"))
-    st = vc.groupBy(*groups).agg(F.sum("_c").alias("_n"), F.min("_x").alias("_lo"),
-                                 F.max("_x").alias("_hi"))
-    span = F.col("_hi") - F.col("_lo")
-    j = attach(vc, st, groups).withColumn(
-        "_b", F.when(span > 0, F.least(F.floor((F.col("_x") - F.col("_lo")) / span * buckets),
-                                       F.lit(buckets - 1))).otherwise(F.lit(0)))
-    bsum = j.groupBy(*groups, "_b").agg(F.sum("_c").alias("_bc"))
-    before = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    boff = bsum.select(*groups, "_b", F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_off"))
-    j = j.join(boff, groups + ["_b"])
-    run = Window.partitionBy(*groups, "_b").orderBy("_x").rowsBetween(Window.unboundedPreceding,
-                                                                       Window.currentRow)
-    ranked = j.withColumn("_cum", F.col("_off") + F.sum("_c").over(run))
+    ranked = running_sums(vc, groups, "_x", ["_c"], buckets, split_over) \
+        .withColumnRenamed("cum__c", "_cum")
+    st = vc.groupBy(*groups).agg(F.sum("_c").alias("_n"))
+    ranked = attach(ranked, st, groups)
     aggs = [F.first("_n").alias("n"), F.min("_x").alias("min"), F.max("_x").alias("max")]
     for i, p in enumerate(probs):
         h = F.lit(float(p)) * (F.col("_n") - 1).cast("double")

@@ -12,14 +12,15 @@ from strata.operators.stats import (box_stats, correlations, distribution_stats,
                                     histogram, kde, share_within_group, sigma_bands)
 
 
-@pytest.mark.parametrize("buckets", [1, 3, 1024])
-def test_exact_quantiles_match_numpy(spark, buckets):
+@pytest.mark.parametrize("buckets,split_over", [(1, 100_000), (3, 100_000), (1024, 100_000), (2, 3)])
+def test_exact_quantiles_match_numpy(spark, buckets, split_over):
     rnd = random.Random(3)
     data = [(g, float(rnd.choice(range(40))) + (0.5 if rnd.random() < 0.3 else 0.0))
             for g in "abc" for _ in range(rnd.randrange(1, 200))]
     df = spark.createDataFrame(data, "g string, x double")
     probs = [0.0, 0.25, 0.5, 0.75, 1.0]
-    q = {r.g: r for r in exact_quantiles(df, "x", probs, ["g"], buckets=buckets).collect()}
+    q = {r.g: r for r in exact_quantiles(df, "x", probs, ["g"], buckets=buckets,
+                                         split_over=split_over).collect()}
     for g in "abc":
         xs = np.array([x for gg, x in data if gg == g])
         for p in probs:
@@ -86,6 +87,8 @@ def test_auc_matches_evaluator(spark):
     data = [(rnd.choice("AB"), float(rnd.randrange(10))) for _ in range(400)]
     df = spark.createDataFrame(data, "label string, s double")
     ours = auc_by_class(df, "label", {"A": "s"}, buckets=3).first().auc
+    split = auc_by_class(df, "label", {"A": "s"}, buckets=2, split_over=2).first().auc
+    assert split == ours
     ev = BinaryClassificationEvaluator(rawPredictionCol="s", labelCol="y", numBins=0)
     ref = ev.evaluate(df.withColumn("y", (F.col("label") == "A").cast("double")))
     assert ours == pytest.approx(ref, abs=1e-9)
