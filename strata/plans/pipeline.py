@@ -14,10 +14,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.functions.columns import q
-from strata.functions.numbers import money, money_sum, ratio
+from strata.functions.columns import columns_with_prefix, q
+from strata.functions.numbers import money, money_sum, ratio, row_sum
 from strata.operators.nearest import nearest_join
-from strata.operators.reshape import discover_values
+from strata.operators.reshape import allocate_columns, discover_values, panel_sum, pivot_discovered
 from strata.operators.stats import fround, sigma_bands
 from strata.operators.winner import winner_wide
 from strata.plans.common import orders_by_year
@@ -71,7 +71,36 @@ def q_panel_pipeline(spark: SparkSession, sf: str) -> DataFrame:
                     fround("avg_gap", 6).alias("avg_gap"))
 
 
-QUERIES = {"panel_pipeline": q_panel_pipeline}
+def q_subcat_features(spark: SparkSession, sf: str) -> DataFrame:
+    """The subcategory feature table (A4, P3, F4, J1, P10, C15): priority
+    sums pivoted with cleaned ``SubCat_`` names, a ``SubCat_Summe`` total,
+    inner-joined to the yearly panel (both sides aggregated on the same
+    keys, so the join adds no exchange), each part turned into its share of
+    the price per order, absolute parts dropped."""
+    o = orders_by_year(spark, sf, "o_orderpriority")
+    piv = pivot_discovered(o, KEYS, "o_orderpriority", "o_totalprice", prefix="SubCat_")
+    parts = columns_with_prefix(piv, "SubCat_")
+    piv = piv.withColumn("SubCat_Summe", row_sum(parts))
+    panel = panel_sum(o, KEYS, "o_totalprice", "total_price", count_col="n_orders")
+    j = panel.join(piv, KEYS, "inner").where(F.col("total_price").isNotNull())
+    j = j.withColumn("price_per_order", ratio("total_price", "n_orders"))
+    a = allocate_columns(j, columns_with_prefix(j, "SubCat_", ["SubCat_Summe"]), "SubCat_Summe",
+                         "price_per_order", suffix="_PC", drop_parts=True)
+    pcs = [c for c in a.columns if c.endswith("_PC")]
+    return a.select(*KEYS, fround("price_per_order", 6).alias("price_per_order"),
+                    *[fround(c, 6).alias(c) for c in pcs])
+
+
+def q_entity_wins(spark: SparkSession, sf: str) -> DataFrame:
+    """A6 per label: in how many years each priority won for
+    each customer, next to the number of years with orders."""
+    p = yearly_panel(spark, sf)
+    w = p.groupBy("o_custkey", "winner").agg(F.count(F.lit(1)).alias("n_wins"))
+    return w.withColumn("n_years", F.sum("n_wins").over(Window.partitionBy("o_custkey")))
+
+
+QUERIES = {"panel_pipeline": q_panel_pipeline, "subcat_features": q_subcat_features,
+           "entity_wins": q_entity_wins}
 
 
 def _fr(x, p):
@@ -118,4 +147,36 @@ FROM g
 """,
 }
 
+_SUBCATS = [('1-URGENT', 'SubCat_1_URGENT'), ('2-HIGH', 'SubCat_2_HIGH'), ('3-MEDIUM', 'SubCat_3_MEDIUM'), ('4-NOT SPECIFIED', 'SubCat_4_NOT_SPECIFIED'), ('5-LOW', 'SubCat_5_LOW')]
+
+_SUBCAT_SUMS = ",\n".join(
+    f"  COALESCE(CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (WHERE o_orderpriority = '{v}') AS DOUBLE), 0.0) AS {n}"
+    for v, n in _SUBCATS)
+
+ORACLE["subcat_features"] = f"""
+WITH piv AS (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year,
+{_SUBCAT_SUMS}
+  FROM orders GROUP BY 1, 2),
+tot AS (SELECT *, {' + '.join(n for _, n in _SUBCATS)} AS summe FROM piv),
+pan AS (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year,
+          CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_price, COUNT(*) AS n_orders
+        FROM orders GROUP BY 1, 2),
+j AS (SELECT pan.*, tot.* EXCLUDE (o_custkey, year), pan.total_price / pan.n_orders AS ppo
+      FROM pan JOIN tot USING (o_custkey, year))
+SELECT o_custkey, year, {_fr('ppo', 6)} AS price_per_order,
+""" + ",\n".join(f"  {_fr(f'CASE WHEN summe = 0 THEN 0.0 ELSE {n} / summe * ppo END', 6)} AS {n}_PC"
+                  for _, n in _SUBCATS) + """
+FROM j
+"""
+
+ORACLE["entity_wins"] = """
+WITH pr AS (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year, o_orderpriority AS prio,
+                   SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS s FROM orders GROUP BY 1, 2, 3),
+w AS (SELECT o_custkey, year, prio AS winner FROM (
+        SELECT *, row_number() OVER (PARTITION BY o_custkey, year ORDER BY s DESC, prio) AS rn FROM pr)
+      WHERE rn = 1),
+c AS (SELECT o_custkey, winner, COUNT(*) AS n_wins FROM w GROUP BY 1, 2)
+SELECT *, CAST(SUM(n_wins) OVER (PARTITION BY o_custkey) AS BIGINT) AS n_years FROM c
+"""
+
 __all__ = ["QUERIES", "ORACLE", "yearly_panel", "enriched_panel", "q_panel_pipeline", "q"]
