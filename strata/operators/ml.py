@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.ranks import running_sums
+from strata.session import materialize
 
 
 def label_indexer(label: str, out: str = "label", order: str = "frequencyDesc") -> StringIndexer:
@@ -110,8 +111,11 @@ def auc_by_class(df: DataFrame, label: str, scores: dict, buckets: int = 1024,
                       (F.col(label) == F.lit(c)).cast("long").alias("pos"))
              for c, s in scores.items()]
     x = df.select(F.explode(F.array(*items)).alias("i")).select("i.*").where(F.col("score").isNotNull())
-    vc = x.groupBy("cls", "score").agg(F.sum("pos").alias("pos_v"),
-                                       F.sum(1 - F.col("pos")).alias("neg_v"))
+    # one row per (class, distinct score), written once: the ranking reads it
+    # several times and the scored input is scanned a single time
+    vc = materialize(x.groupBy("cls", "score").agg(F.sum("pos").alias("pos_v"),
+                                                   F.sum(1 - F.col("pos")).alias("neg_v")),
+                     "score_counts")
     r = running_sums(vc, ["cls"], "score", ["neg_v"], buckets, split_over)
     u = r.groupBy("cls").agg(
         F.sum(F.col("pos_v") * (F.col("cum_neg_v") - F.col("neg_v") + F.col("neg_v") / 2.0)).alias("u"),

@@ -48,11 +48,14 @@ AUTO_HISTORY = 64
 
 @dataclass
 class Side:
-    """One right-hand input: unique per (keys, period)."""
+    """One right-hand input: unique per (keys, period) among the rows where
+    ``rows`` holds (all rows when ``rows`` is None).  Sides that share one
+    DataFrame and differ only in ``rows`` are read in a single scan."""
     df: DataFrame
     period: str
     values: list[str] = field(default_factory=list)
     prefix: str = ""
+    rows: Column | None = None
 
     def out_period(self) -> str:
         return f"{self.prefix}period" if self.prefix else "match_period"
@@ -85,7 +88,8 @@ def _probes(left: DataFrame, keys, period: str) -> DataFrame:
 
 
 def _right(side: Side, keys) -> DataFrame:
-    return side.df.select(*keys, F.col(side.period).alias("_q"), *side.values) \
+    df = side.df if side.rows is None else side.df.where(side.rows)
+    return df.select(*keys, F.col(side.period).alias("_q"), *side.values) \
         .where(F.col("_q").isNotNull())
 
 
@@ -126,18 +130,40 @@ def _answers_fill(probes: DataFrame, sides: list[Side], keys, period: str,
     pay = [f"_p{i}" for i in range(n)]
     prob = probes.select(*keys, F.col(period).alias("_t"), F.lit(0).alias("_r"),
                          *[F.lit(None).alias(p) for p in pay])
+    # sides over the same DataFrame become payload columns of one scan
+    shared: dict[int, list[int]] = {}
+    for i, sd in enumerate(sides):
+        shared.setdefault(id(sd.df), []).append(i)
     rights = []
-    for i, s in enumerate(sides):
-        r = _right(s, keys)
-        payload = F.struct(F.col("_q").alias("q"), *[F.col(v) for v in s.values])
-        rights.append(r.select(*keys, F.col("_q").alias("_t"), F.lit(1).alias("_r"),
-                               *[payload.alias(p) if j == i else F.lit(None).alias(p)
-                                 for j, p in enumerate(pay)]))
-    # the typed union needs the payload types on the probe rows too
-    typed_nulls = {p: F.lit(None).cast(rights[i].schema[p].dataType) for i, p in enumerate(pay)}
-    prob = prob.withColumns(typed_nulls)
-    rights = [r.withColumns({p: F.col(p).cast(rights[i].schema[p].dataType)
-                             for i, p in enumerate(pay)}) for r in rights]
+    for members in shared.values():
+        first = sides[members[0]]
+        if any(sides[i].period != first.period for i in members):
+            raise ValueError("sides sharing a DataFrame must share the period column")
+        df = first.df.where(F.col(first.period).isNotNull())
+        conds = [sides[i].rows for i in members]
+        if all(c is not None for c in conds):
+            any_side = conds[0]
+            for c in conds[1:]:
+                any_side = any_side | c
+            df = df.where(any_side)
+        cols = []
+        for j, p in enumerate(pay):
+            if j in members:
+                sd = sides[j]
+                payload = F.struct(F.col(sd.period).alias("q"), *[F.col(v) for v in sd.values])
+                cols.append((payload if sd.rows is None else F.when(sd.rows, payload)).alias(p))
+            else:
+                cols.append(F.lit(None).alias(p))
+        rights.append(df.select(*keys, F.col(first.period).alias("_t"), F.lit(1).alias("_r"), *cols))
+    # the typed union needs the payload types on every input
+    types = {}
+    for r in rights:
+        for p in pay:
+            t = r.schema[p].dataType
+            if t.typeName() != "void":
+                types[p] = t
+    prob = prob.withColumns({p: F.lit(None).cast(types[p]) for p in pay})
+    rights = [r.withColumns({p: F.col(p).cast(types[p]) for p in pay}) for r in rights]
     rng = _period_range([prob.select("_t")] + [r.select("_t") for r in rights])
     if rng is None:
         return probes.select(*keys, period).limit(0)

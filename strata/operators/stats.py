@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.operators.ranks import running_sums
+from strata.session import materialize
 
 # ---- fixed values: the five band labels -------------------------------------
 NEAR_MEAN = "Near Mean"
@@ -197,9 +198,10 @@ def kde(df: DataFrame, value: str, grid: int = 200, bins: int = 200, groups=(),
     span = F.col("hi") - F.col("lo")
     b = F.when(span > 0, F.least(F.floor((F.col(value) - F.col("lo")) / span * bins),
                                  F.lit(bins - 1))).otherwise(F.lit(0))
-    counted = attach(base, st, groups).groupBy(*groups, b.alias("bin")).agg(
-        F.count(F.lit(1)).alias("c"))
-    k = attach(counted, st, groups)
+    # the statistics ride along with the bin counts (constant per group), so
+    # the data is read twice (range, then bins) and never a third time
+    k = attach(base, st, groups).groupBy(*groups, b.alias("bin")).agg(
+        F.count(F.lit(1)).alias("c"), *[F.first(c).alias(c) for c in ("lo", "hi", "n", "sd")])
     centre = F.col("lo") + (F.col("bin") + 0.5) * span / F.lit(bins)
     h = F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))
     k = k.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
@@ -213,20 +215,28 @@ def kde(df: DataFrame, value: str, grid: int = 200, bins: int = 200, groups=(),
 
 # ---- G3, G4: exact quantiles without gathering a group -------------------------
 
+def value_counts(df: DataFrame, value, groups=()) -> DataFrame:
+    """(groups, _x, _c): how often each distinct value occurs, written once as
+    a table in the shared checkpoint folder.  Quantiles, whiskers and
+    outlier counts all read this table, so the raw rows are scanned once;
+    repeats of a hot value collapse in the partial aggregation."""
+    x = _col(value).cast("double")
+    base = df.select(*groups, x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    return materialize(base.groupBy(*groups, "_x").agg(F.count(F.lit(1)).alias("_c")), "value_counts")
+
+
 def exact_quantiles(df: DataFrame, value: str, probs, groups=(), buckets: int = 1024,
-                    names=None, split_over: int = 100_000) -> DataFrame:
+                    names=None, split_over: int = 100_000, counts: DataFrame | None = None) -> DataFrame:
     """Linear-interpolation quantiles (``percentile`` / ``quantile_cont``),
     exact, per group, without sending a group to one task.
 
-    Distinct values are counted (partial aggregation), ranked by the
-    bucketed prefix sums of ``ranks.running_sums``, and each quantile takes
-    the values whose rank range covers floor/ceil of p * (n - 1).
+    Distinct values are counted (``value_counts``), ranked by the bucketed
+    prefix sums of ``ranks.running_sums``, and each quantile takes the
+    values whose rank range covers floor/ceil of p * (n - 1).
     """
     groups = list(groups)
     names = names or [f"q{int(round(p * 100)):02d}" for p in probs]
-    base = df.select(*groups, F.col(value).cast("double").alias("_x")).where(
-        F.col("_x").isNotNull() & ~F.isnan("_x"))
-    vc = base.groupBy(*groups, "_x").agg(F.count(F.lit(1)).alias("_c"))
+    vc = counts if counts is not None else value_counts(df, value, groups)
     ranked = running_sums(vc, groups, "_x", ["_c"], buckets, split_over) \
         .withColumnRenamed("cum__c", "_cum")
     st = vc.groupBy(*groups).agg(F.sum("_c").alias("_n"))
@@ -250,22 +260,22 @@ def box_stats(df: DataFrame, value: str, groups=(), whisker: float = 1.5, places
               log10: bool = False) -> DataFrame:
     """Five-number summary with whiskers at the last values inside
     q1 - 1.5 IQR and q3 + 1.5 IQR, plus the outlier count.  ``log10``
-    summarises log10(value) over positive values (a log-scale axis)."""
-    x = F.log10(value) if log10 else F.col(value)
-    base = df.select(*groups, x.alias("_v")).where(F.col("_v").isNotNull())
-    if log10:
-        base = df.where(F.col(value) > 0).select(*groups, F.log10(value).alias("_v"))
-    qs = exact_quantiles(base, "_v", [0.25, 0.5, 0.75], groups, names=["q1", "median", "q3"])
+    summarises log10(value) over positive values (a log-scale axis).
+    Everything, whiskers included, comes from the value-count table."""
+    groups = list(groups)
+    src = df.where(F.col(value) > 0) if log10 else df
+    vc = value_counts(src, F.log10(value) if log10 else F.col(value), groups)
+    qs = exact_quantiles(None, "_x", [0.25, 0.5, 0.75], groups, names=["q1", "median", "q3"], counts=vc)
     qs = qs.withColumn("iqr", F.col("q3") - F.col("q1"))
     qs = qs.withColumns({"lo_fence": F.col("q1") - whisker * F.col("iqr"),
                          "hi_fence": F.col("q3") + whisker * F.col("iqr")})
-    j = attach(base, qs.select(*groups, "lo_fence", "hi_fence"), groups)
+    j = attach(vc, qs.select(*groups, "lo_fence", "hi_fence"), groups)
+    outside = (F.col("_x") < F.col("lo_fence")) | (F.col("_x") > F.col("hi_fence"))
     w = j.groupBy(*groups).agg(
-        F.min(F.when(F.col("_v") >= F.col("lo_fence"), F.col("_v"))).alias("whisker_lo"),
-        F.max(F.when(F.col("_v") <= F.col("hi_fence"), F.col("_v"))).alias("whisker_hi"),
-        F.sum(((F.col("_v") < F.col("lo_fence")) | (F.col("_v") > F.col("hi_fence"))).cast("long"))
-        .alias("n_outliers"))
-    out = qs.join(w, list(groups)) if groups else qs.crossJoin(w)
+        F.min(F.when(F.col("_x") >= F.col("lo_fence"), F.col("_x"))).alias("whisker_lo"),
+        F.max(F.when(F.col("_x") <= F.col("hi_fence"), F.col("_x"))).alias("whisker_hi"),
+        F.sum(F.when(outside, F.col("_c")).otherwise(F.lit(0))).alias("n_outliers"))
+    out = qs.join(w, groups) if groups else qs.crossJoin(w)
     num = ["min", "q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi", "max"]
     return out.select(*groups, "n", *[fround(c, places).alias(c) for c in num], "n_outliers")
 

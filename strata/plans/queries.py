@@ -140,9 +140,13 @@ def _nearest(form):
 
 
 def q_enrich_multi(spark: SparkSession, sf: str) -> DataFrame:
-    """Nearest signup, purchase and click attached in one pass."""
-    sides = [Side(_daily(spark, sf, k), "day", ["value"], f"{k}_")
-             for k in ("signup", "purchase", "click")]
+    """Nearest signup, purchase and click attached in one pass.  The
+    three right sides are slices of one daily aggregation (one scan, one
+    shuffle, reused by each slice)."""
+    kinds = ("signup", "purchase", "click")
+    e = events_by_day(spark, sf, "event_type", "value").where(F.col("event_type").isin(*kinds))
+    daily = dedupe_right(e, ["user_id", "event_type"], "day", ["value"], "max")
+    sides = [Side(daily, "day", ["value"], f"{k}_", rows=F.col("event_type") == k) for k in kinds]
     out = nearest_enrich(_errors(spark, sf), ["user_id"], "day", sides, form="fill")
     return out.select("event_id", "user_id", "day",
                       *[f"{k}_{c}" for k in ("signup", "purchase", "click") for c in ("period", "value")])

@@ -73,3 +73,18 @@ def test_auto_picks_by_bounds(spark, monkeypatch):
     assert not nearest._small_history(nearest.Side(right, "q", ["v"]), ["k"])
     monkeypatch.setattr(nearest, "AUTO_RIGHT_ROWS", 3)
     assert not nearest._small_history(nearest.Side(right, "q", ["v"]), ["k"])
+
+
+def test_shared_sides_equal_separate_sides(spark):
+    left = spark.createDataFrame([(1, "a", 5), (2, "a", 9), (3, "b", 1)], "id int, k string, p int")
+    r = spark.createDataFrame([("a", 4, "x", 1.0), ("a", 10, "x", 2.0), ("a", 7, "y", 3.0), ("b", 3, "y", 4.0)],
+                              "k string, q int, t string, v double")
+    shared = nearest_enrich(left, ["k"], "p", [Side(r, "q", ["v"], "x_", rows=F.col("t") == "x"),
+                                               Side(r, "q", ["v"], "y_", rows=F.col("t") == "y")])
+    sep = nearest_enrich(left, ["k"], "p", [Side(r.where("t = 'x'"), "q", ["v"], "x_"),
+                                            Side(r.where("t = 'y'"), "q", ["v"], "y_")])
+    cols = ["id", "x_period", "x_v", "y_period", "y_v"]
+    assert rows(shared, *cols) == rows(sep, *cols)
+    assert rows(shared, *cols) == [(1, 4, 1.0, 7, 3.0), (2, 10, 2.0, 7, 3.0), (3, None, None, 3, 4.0)]
+    win = nearest_enrich(left, ["k"], "p", [Side(r, "q", ["v"], "x_", rows=F.col("t") == "x")], form="window")
+    assert rows(win, "id", "x_period") == [(1, 4), (2, 10), (3, None)]
