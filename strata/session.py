@@ -60,24 +60,31 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+_FALLBACK_DIRS: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder from ``spark.checkpoint.dir``.
 
-    If unset, a fresh private folder is used, but only in local mode;
-    on a cluster a machine-local folder would vanish with its executor.
+    If unset, a private folder is used, but only in local mode (on a
+    cluster a machine-local folder would vanish with its executor).  The
+    setting itself cannot be changed at run time in Spark 4, so the private
+    folder is remembered per application and given to
+    ``SparkContext.setCheckpointDir`` for ``checkpoint()``.
     """
-    d = spark.conf.get(CHECKPOINT_CONF, None)
+    sc = spark.sparkContext
+    d = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
+        d = _FALLBACK_DIRS.get(sc.applicationId)
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError(
                 f"{CHECKPOINT_CONF} is not set; point it at a shared folder "
                 "(HDFS/S3/ABFS) that every executor can reach")
         d = tempfile.mkdtemp(prefix="strata-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, d)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+        _FALLBACK_DIRS[sc.applicationId] = d
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 
