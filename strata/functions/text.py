@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -146,7 +145,3 @@ def unique_names(names: list[str]) -> list[str]:
         raise ValueError(f"renaming produces duplicate columns: {dup}")
     return names
 
-
-def chain(c, fns) -> Column:
-    """Apply Column->Column helpers left to right."""
-    return reduce(lambda acc, f: f(acc), fns, _col(c))

@@ -14,7 +14,6 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -133,9 +132,3 @@ def forest_importances(model, feature_cols, name: str, cls: str = "all"):
     vec = model.featureImportances
     return [(name, cls, f, float(vec[i])) for i, f in enumerate(feature_cols)]
 
-
-def features_array(df: DataFrame, col: str = "features", n: int | None = None, prefix: str = "f"):
-    """Vector column -> plain double columns (for sinks and comparisons)."""
-    arr = vector_to_array(col)
-    return df.select(*[c for c in df.columns if c != col],
-                     *[arr[i].alias(f"{prefix}{i}") for i in range(n)])

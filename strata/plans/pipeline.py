@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.functions.columns import columns_with_prefix, q
+from strata.functions.columns import columns_with_prefix
 from strata.functions.numbers import money, money_sum, ratio, row_sum
 from strata.operators.nearest import nearest_join
 from strata.operators.reshape import allocate_columns, discover_values, panel_sum, pivot_discovered
@@ -179,4 +179,3 @@ c AS (SELECT o_custkey, winner, COUNT(*) AS n_wins FROM w GROUP BY 1, 2)
 SELECT *, CAST(SUM(n_wins) OVER (PARTITION BY o_custkey) AS BIGINT) AS n_years FROM c
 """
 
-__all__ = ["QUERIES", "ORACLE", "yearly_panel", "enriched_panel", "q_panel_pipeline", "q"]

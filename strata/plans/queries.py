@@ -10,10 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.columns import columns_excluding
 from strata.functions.numbers import money, pct, ratio, row_sum
 from strata.operators.joins import panel_join
 from strata.operators.nearest import Side, dedupe_right, nearest_enrich, nearest_join
-from strata.operators.reshape import panel_sum, pivot_discovered, pivot_values
+from strata.operators.reshape import discover_values, panel_sum, pivot_discovered, pivot_values
 from strata.operators.winner import winner_long, winner_wide
 from strata.plans.common import events_by_day, orders_by_year, r6
 from strata.sources.tables import table
@@ -79,10 +80,8 @@ def _priority_counts(spark, sf):
 def q_winner_wide(spark: SparkSession, sf: str) -> DataFrame:
     """C12 + C13 + P9: wide counts per priority, arg-max across the columns."""
     o = table(spark, sf, "orders", "o_custkey", "o_orderpriority")
-    from strata.operators.reshape import discover_values
     prios = discover_values(o, "o_orderpriority")
     wide = o.groupBy("o_custkey").pivot("o_orderpriority", prios).agg(F.count(F.lit(1)))
-    from strata.functions.columns import columns_excluding
     label_cols = columns_excluding(wide, ["o_custkey"])
     return winner_wide(wide, label_cols, "winner", "max_value").select("o_custkey", "winner", "max_value")
 

@@ -60,3 +60,12 @@ def test_audit(spark):
     got = {r.page_id: r.reason for r in audit(pages, ["page_id"]).collect()}
     assert got == {1: "ok", 2: "container_missing", 3: "table_missing", 4: "no_content"}
     assert F is not None
+
+
+def test_no_sources_gives_declared_empty_frame(spark):
+    root = scratch_path(spark, "none")
+    with pytest.warns(UserWarning):
+        df = read_period_sources(spark, [f"{root}/a", f"{root}/b"], {}, ddl_if_empty="period INT, x STRING")
+    assert df.count() == 0 and df.columns == ["period", "x"]
+    with pytest.raises(FileNotFoundError), pytest.warns(UserWarning):
+        read_period_sources(spark, [f"{root}/a"], {})

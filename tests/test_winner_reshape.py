@@ -51,3 +51,13 @@ def test_allocation_sums_to_measure(spark):
     assert a[0].x_alloc + a[0].y_alloc == 100.0
     assert (a[1].x_alloc, a[1].y_alloc) == (0.0, 0.0)
     assert a[2].x_alloc is None and a[2].y_alloc == 10.0
+
+
+def test_discover_values_bound(spark):
+    import pytest
+
+    from strata.operators.reshape import discover_values
+    df = spark.range(20).withColumn("c", F.col("id").cast("string"))
+    assert len(discover_values(df, "c", limit=20)) == 20
+    with pytest.raises(ValueError):
+        discover_values(df, "c", limit=19)
