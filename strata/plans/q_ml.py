@@ -113,8 +113,8 @@ def q_rf_predictions(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("o_custkey", "year", "winner", "label", "prediction")
 
 
-def _ovr(spark, sf):
-    p = _model_panel(spark, sf)
+def _ovr(spark, sf, p=None):
+    p = p if p is not None else _model_panel(spark, sf)
     idx = label_indexer("winner", "label").fit(p)
     lab = idx.transform(p)
     model = fit_ovr(lab.where(F.col("split") == "train"), FEATURES, "label", 30, 5, 1)
@@ -133,12 +133,38 @@ def q_feature_importance(spark: SparkSession, sf: str) -> DataFrame:
     p = _model_panel(spark, sf)
     rf = fit_rf_pipeline(p.where(F.col("split") == "train"), "winner", FEATURES, 50, 5, 42)
     rows = forest_importances(rf.stages[-1], FEATURES, "rf")
-    _, idx, ovr = _ovr(spark, sf)
+    _, idx, ovr = _ovr(spark, sf, p)
     for i, m in enumerate(ovr.models):
         rows += forest_importances(m, FEATURES, "ovr", idx.labelsArray[0][i])
     return importances(spark, rows)
 
 
+def q_model_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """M9 + M10 on the fitted models, as the reference evaluates them:
+    holdout accuracy of the forest and of one-vs-rest, and the exact
+    per-class AUC of the one-vs-rest scores (``auc_by_class``, ties half)."""
+    p = _model_panel(spark, sf)
+    test = F.col("split") == "test"
+    rf = fit_rf_pipeline(p.where(F.col("split") == "train"), "winner", FEATURES, 50, 5, 42)
+    rf_acc = accuracy(rf.transform(p.where(test))).select(
+        F.lit("rf").alias("model"), F.lit("accuracy").alias("metric"), F.lit("all").alias("class"),
+        F.col("accuracy").alias("value"))
+    lab, idx, ovr = _ovr(spark, sf, p)
+    pred = ovr.transform(assembler(FEATURES).transform(lab.where(test)))
+    ovr_acc = accuracy(pred).select(
+        F.lit("ovr").alias("model"), F.lit("accuracy").alias("metric"), F.lit("all").alias("class"),
+        F.col("accuracy").alias("value"))
+    labels = idx.labelsArray[0]
+    raw = vector_to_array("rawPrediction")
+    scored = pred.select(F.element_at(F.array(*[F.lit(x) for x in labels]),
+                                      F.col("label").cast("int") + 1).alias("winner"),
+                         *[raw[i].alias(f"s{i}") for i in range(len(labels))])
+    auc = auc_by_class(scored, "winner", {x: f"s{i}" for i, x in enumerate(labels)}).select(
+        F.lit("ovr").alias("model"), F.lit("auc").alias("metric"), F.col("cls").alias("class"),
+        F.col("auc").alias("value"))
+    return rf_acc.unionByName(ovr_acc).unionByName(auc)
+
+
 QUERIES = {
     "label_index_alpha": q_label_index_alpha,
     "label_index_freq": q_label_index_freq,
@@ -151,6 +177,7 @@ QUERIES = {
     "rf_predictions": q_rf_predictions,
     "ovr_predictions": q_ovr_predictions,
     "feature_importance": q_feature_importance,
+    "model_metrics": q_model_metrics,
 }
 
 
