@@ -122,7 +122,7 @@ def _period_range(frames) -> tuple[int, int] | None:
 
 
 def _answers_fill(probes: DataFrame, sides: list[Side], keys, period: str,
-                  buckets: int) -> DataFrame:
+                  buckets: int, bucket_width: int | None = None) -> DataFrame:
     """fill form for one or more right sides in one pass."""
     keys = list(keys)
     n = len(sides)
@@ -164,11 +164,15 @@ def _answers_fill(probes: DataFrame, sides: list[Side], keys, period: str,
                 types[p] = t
     prob = prob.withColumns({p: F.lit(None).cast(types[p]) for p in pay})
     rights = [r.withColumns({p: F.col(p).cast(types[p]) for p in pay}) for r in rights]
-    rng = _period_range([prob.select("_t")] + [r.select("_t") for r in rights])
-    if rng is None:
-        return probes.select(*keys, period).limit(0)
-    lo, hi = rng
-    width = max(1, -(-(hi - lo + 1) // max(1, buckets)))
+    if bucket_width:
+        # the caller knows the period unit: no range job, buckets of fixed width
+        lo, width = 0, int(bucket_width)
+    else:
+        rng = _period_range([prob.select("_t")] + [r.select("_t") for r in rights])
+        if rng is None:
+            return probes.select(*keys, period).limit(0)
+        lo, hi = rng
+        width = max(1, -(-(hi - lo + 1) // max(1, buckets)))
     allrows = prob
     for r in rights:
         allrows = allrows.unionByName(r)
@@ -220,12 +224,18 @@ def _answers_fill(probes: DataFrame, sides: list[Side], keys, period: str,
 
 
 def nearest_enrich(left: DataFrame, keys, period: str, sides: list[Side], form: str = "fill",
-                   buckets: int = 1024, broadcast_rows: int | None = None) -> DataFrame:
+                   buckets: int = 1024, broadcast_rows: int | None = None,
+                   bucket_width: int | None = None) -> DataFrame:
     """Attach the nearest right row of each side to every left row.
 
     Adds ``<prefix>period`` (or ``match_period``) and ``<prefix><value>``
     per side.  ``broadcast_rows`` (window/minby only) broadcasts the right
     side when a bounded check proves it has at most that many rows.
+    Periods are integers (years, day numbers, epoch seconds).  The fill
+    form cuts the period axis into ``buckets`` equal buckets over the
+    global range (one small job finds the range), or into buckets of
+    ``bucket_width`` periods when the caller knows the unit; either way a
+    window partition holds at most 2 * width distinct periods.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if form not in FORMS:
@@ -236,7 +246,7 @@ def nearest_enrich(left: DataFrame, keys, period: str, sides: list[Side], form:
             broadcast_rows = broadcast_rows or AUTO_RIGHT_ROWS
     probes = _probes(left, keys, period)
     if form == "fill":
-        ans = _answers_fill(probes, sides, keys, period, buckets)
+        ans = _answers_fill(probes, sides, keys, period, buckets, bucket_width)
         flat = [*(F.col(k) for k in keys), F.col(period)]
         for i, s in enumerate(sides):
             flat.append(F.col(f"_pick{i}.q").alias(s.out_period()))

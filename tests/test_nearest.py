@@ -39,6 +39,8 @@ def test_forms_agree_on_random_panels(spark):
     rdf = spark.createDataFrame(right, "k int, q int, v double")
     res = [rows(nearest_join(ldf, rdf, ["k"], "p", "q", ["v"], form=f, buckets=b), "id", "match_period", "v")
            for f, b in [("window", 0), ("minby", 0), ("fill", 1), ("fill", 7), ("fill", 1024)]]
+    res.append(rows(nearest_join(ldf, rdf, ["k"], "p", "q", ["v"], form="fill", bucket_width=13),
+                    "id", "match_period", "v"))
     for r in res[1:]:
         assert r == res[0]
 
