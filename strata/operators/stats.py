@@ -206,8 +206,9 @@ def kde(df: DataFrame, value: str, grid: int = 200, bins: int = 200, groups=(),
     h = F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))
     k = k.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
     gx = F.col("lo") + span * F.col("j") / F.lit(max(grid - 1, 1))
-    u = (gx - centre) / h
-    dens = F.col("c") * F.exp(-0.5 * u * u) / (F.col("n") * h * F.lit(math.sqrt(2 * math.pi)))
+    # a zero bandwidth (all values equal) has no density: null, not an ANSI error
+    u = F.try_divide(gx - centre, h)
+    dens = F.try_divide(F.col("c") * F.exp(-0.5 * u * u), F.col("n") * h * F.lit(math.sqrt(2 * math.pi)))
     out = k.groupBy(*groups, "j").agg(F.first(gx).alias("x"), F.sum(dens).alias("density"))
     return out.select(*groups, F.col("j").alias("point"), fround("x", places).alias("x"),
                       fround("density", places).alias("density"))

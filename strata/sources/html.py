@@ -89,8 +89,9 @@ def table_rows(pages: DataFrame, keys, html: str = "html", container_prefix: str
     rows = rows.where(F.size("_cells") >= min_cells)
     span = rf'(?s)<span class="{AMOUNT_CLASS}">(.*?)</span>'
     return rows.select(*keys, "container", F.col("pos").cast("int").alias("pos"), "row_class",
-                       _strip_tags(F.col("_cells")[1]).alias("section"),
-                       _strip_tags(F.regexp_extract(F.col("_cells")[2], span, 1)).alias("amount"))
+                       _strip_tags(F.try_element_at("_cells", F.lit(2))).alias("section"),
+                       _strip_tags(F.regexp_extract(F.try_element_at("_cells", F.lit(3)), span, 1))
+                       .alias("amount"))
 
 
 class _TableParser(HTMLParser):

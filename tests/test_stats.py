@@ -92,3 +92,11 @@ def test_auc_matches_evaluator(spark):
     ev = BinaryClassificationEvaluator(rawPredictionCol="s", labelCol="y", numBins=0)
     ref = ev.evaluate(df.withColumn("y", (F.col("label") == "A").cast("double")))
     assert ours == pytest.approx(ref, abs=1e-9)
+
+
+def test_degenerate_inputs_do_not_raise(spark):
+    one = spark.createDataFrame([(5.0,), (5.0,)], "v double")
+    k = kde(one, "v").collect()
+    assert len(k) == 200 and all(r.density is None for r in k)
+    assert [r["count"] for r in histogram(one, "v", 3).collect() if r.bin == 0] == [2]
+    assert distribution_stats(one, "v").first().skewness is None
