@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 
 def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+    """A string is a literal column name (dots and spaces allowed, SURVEY
+    H12); pass a Column for nested fields."""
+    return F.col("`" + c.replace("`", "``") + "`") if isinstance(c, str) else c
 
 
 def safe_cast(c, to: str) -> Column:
