@@ -95,3 +95,10 @@ def drop_null_keys(df: DataFrame, cols) -> DataFrame:
 def digits_only(c: str):
     """predicate for all-digit ids."""
     return F.col(q(c)).rlike("^[0-9]+$")
+
+
+def surrogate_key(*cols: str):
+    """A row key that does not depend on partitioning or recomputation
+    (``monotonically_increasing_id`` does, SURVEY H4): xxhash64 of the
+    natural key columns.  Prefer joining on the natural key itself."""
+    return F.xxhash64(*[F.col(q(c)) for c in cols])

@@ -94,3 +94,11 @@ def test_harmonize(spark):
     assert h.columns == ["Municipality_Name", "Municipality_Lowercase"]
     assert h.first().Municipality_Lowercase == "linz-land"
     assert math.isclose(1.0, 1.0)
+
+
+def test_surrogate_key_is_stable(spark):
+    from strata.functions.columns import surrogate_key
+    df = spark.createDataFrame([(i % 5, f"e{i}") for i in range(50)], "`a.b` int, c string")
+    k1 = rows(df.select("c", surrogate_key("a.b", "c").alias("k")))
+    k2 = rows(df.repartition(7).select("c", surrogate_key("a.b", "c").alias("k")))
+    assert k1 == k2 and len({k for _, k in k1}) == 50
