@@ -39,6 +39,10 @@ from strata.operators.joins import bounded_broadcast
 
 FORMS = ("auto", "fill", "window", "minby")
 
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
 # ``auto`` uses the window form with a broadcast right side only when the
 # product it builds is provably small: the right side has at most
 # AUTO_RIGHT_ROWS rows and no key has more than AUTO_HISTORY periods.
@@ -122,13 +126,18 @@ def _period_range(frames) -> tuple[int, int] | None:
 
 
 def _answers_fill(probes: DataFrame, sides: list[Side], keys, period: str,
-                  buckets: int, bucket_width: int | None = None) -> DataFrame:
-    """fill form for one or more right sides in one pass."""
+                  buckets: int, bucket_width: int | None = None,
+                  carry_left: bool = False) -> DataFrame:
+    """fill form for one or more right sides in one pass.
+
+    ``carry_left``: ``probes`` are the left rows themselves; they travel
+    through the window as a struct ``_L`` (no distinct, no join back)."""
     keys = list(keys)
     n = len(sides)
     # one payload column per side; a row carries at most one non-null payload
     pay = [f"_p{i}" for i in range(n)]
-    prob = probes.select(*keys, F.col(period).alias("_t"), F.lit(0).alias("_r"),
+    extra = [F.struct(*[F.col(_q(c)) for c in probes.columns]).alias("_L")] if carry_left else []
+    prob = probes.select(*keys, F.col(period).alias("_t"), F.lit(0).alias("_r"), *extra,
                          *[F.lit(None).alias(p) for p in pay])
     # sides over the same DataFrame become payload columns of one scan
     shared: dict[int, list[int]] = {}
@@ -140,6 +149,11 @@ def _answers_fill(probes: DataFrame, sides: list[Side], keys, period: str,
         if any(sides[i].period != first.period for i in members):
             raise ValueError("sides sharing a DataFrame must share the period column")
         df = first.df.where(F.col(first.period).isNotNull())
+        if carry_left:
+            # left rows with a null key share a partition with nothing: keep
+            # right rows with a null key out of it (an equi-join never matches them)
+            for k in keys:
+                df = df.where(F.col(k).isNotNull())
         conds = [sides[i].rows for i in members]
         if all(c is not None for c in conds):
             any_side = conds[0]
@@ -164,6 +178,9 @@ def _answers_fill(probes: DataFrame, sides: list[Side], keys, period: str,
                 types[p] = t
     prob = prob.withColumns({p: F.lit(None).cast(types[p]) for p in pay})
     rights = [r.withColumns({p: F.col(p).cast(types[p]) for p in pay}) for r in rights]
+    if carry_left:
+        lt = prob.schema["_L"].dataType
+        rights = [r.withColumn("_L", F.lit(None).cast(lt)) for r in rights]
     if bucket_width:
         # the caller knows the period unit: no range job, buckets of fixed width
         lo, width = 0, int(bucket_width)
@@ -176,7 +193,13 @@ def _answers_fill(probes: DataFrame, sides: list[Side], keys, period: str,
     allrows = prob
     for r in rights:
         allrows = allrows.unionByName(r)
-    allrows = allrows.withColumn("_b", F.floor((F.col("_t") - F.lit(lo)) / F.lit(width)).cast("long"))
+    bucket = F.floor((F.col("_t") - F.lit(lo)) / F.lit(width)).cast("long")
+    if carry_left:
+        # left rows without a period match nothing; spread them over salted
+        # negative buckets so they never gather in one window partition
+        salt = F.pmod(F.xxhash64("_L"), F.lit(max(1, buckets))).cast("long")
+        bucket = F.when(F.col("_t").isNull(), -1 - salt).otherwise(bucket)
+    allrows = allrows.withColumn("_b", bucket)
 
     part = keys + ["_b"]
     # right rows first at equal period, so an exact hit is "at or before"
@@ -185,7 +208,7 @@ def _answers_fill(probes: DataFrame, sides: list[Side], keys, period: str,
     down = Window.partitionBy(*part).orderBy(F.col("_t").desc(), F.col("_r").desc()) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     win = allrows.select(
-        *part, "_t", "_r",
+        *part, "_t", "_r", *(["_L"] if carry_left else []),
         *[F.last(p, ignorenulls=True).over(up).alias(f"_prev{i}") for i, p in enumerate(pay)],
         *[F.last(p, ignorenulls=True).over(down).alias(f"_next{i}") for i, p in enumerate(pay)],
     )
@@ -211,21 +234,22 @@ def _answers_fill(probes: DataFrame, sides: list[Side], keys, period: str,
         *[F.last(f"_firstb{i}", ignorenulls=True).over(after).alias(f"_cnext{i}") for i in range(n)])
 
     j = scanned.join(carry, part, "left")
-    out_cols: list[Column] = [*(F.col(k) for k in keys), F.col("_t").alias(period)]
+    out_cols: list[Column] = ([F.col("_L")] if carry_left else
+                              [*(F.col(k) for k in keys), F.col("_t").alias(period)])
     for i, s in enumerate(sides):
         prev = F.coalesce(F.col(f"_prev{i}"), F.col(f"_cprev{i}"))
         nxt = F.coalesce(F.col(f"_next{i}"), F.col(f"_cnext{i}"))
         dp = F.col("_t") - prev["q"]
         dn = nxt["q"] - F.col("_t")
-        pick = (F.when(prev.isNull(), nxt).when(nxt.isNull(), prev)
-                .when(dp < dn, prev).otherwise(nxt))
+        pick = (F.when(F.col("_t").isNull(), F.lit(None)).when(prev.isNull(), nxt)
+                .when(nxt.isNull(), prev).when(dp < dn, prev).otherwise(nxt))
         out_cols.append(pick.alias(f"_pick{i}"))
     return j.select(*out_cols)
 
 
 def nearest_enrich(left: DataFrame, keys, period: str, sides: list[Side], form: str = "fill",
                    buckets: int = 1024, broadcast_rows: int | None = None,
-                   bucket_width: int | None = None) -> DataFrame:
+                   bucket_width: int | None = None, probe_rows: str = "distinct") -> DataFrame:
     """Attach the nearest right row of each side to every left row.
 
     Adds ``<prefix>period`` (or ``match_period``) and ``<prefix><value>``
@@ -236,7 +260,15 @@ def nearest_enrich(left: DataFrame, keys, period: str, sides: list[Side], form:
     global range (one small job finds the range), or into buckets of
     ``bucket_width`` periods when the caller knows the unit; either way a
     window partition holds at most 2 * width distinct periods.
+
+    ``probe_rows`` (fill form): ``"distinct"`` probes the distinct (key,
+    period) pairs and joins the answers back - safe when one pair is hot;
+    ``"rows"`` sends the left rows themselves through the window - one
+    read of the left side and two shuffles fewer, for panels that are
+    unique (or at least not hot) per (key, period).  Same result.
     """
+    if probe_rows not in ("distinct", "rows"):
+        raise ValueError("probe_rows must be 'distinct' or 'rows'")
     keys = [keys] if isinstance(keys, str) else list(keys)
     if form not in FORMS:
         raise ValueError(f"form must be one of {FORMS}")
@@ -244,6 +276,13 @@ def nearest_enrich(left: DataFrame, keys, period: str, sides: list[Side], form:
         form = "window" if all(_small_history(s, keys) for s in sides) else "fill"
         if form == "window":
             broadcast_rows = broadcast_rows or AUTO_RIGHT_ROWS
+    if form == "fill" and probe_rows == "rows":
+        ans = _answers_fill(left, sides, keys, period, buckets, bucket_width, carry_left=True)
+        flat = [F.col(f"_L.{_q(c)}").alias(c) for c in left.columns]
+        for i, s in enumerate(sides):
+            flat.append(F.col(f"_pick{i}.q").alias(s.out_period()))
+            flat += [F.col(f"_pick{i}.{v}").alias(s.out_value(v)) for v in s.values]
+        return ans.select(*flat)
     probes = _probes(left, keys, period)
     if form == "fill":
         ans = _answers_fill(probes, sides, keys, period, buckets, bucket_width)
@@ -259,7 +298,9 @@ def nearest_enrich(left: DataFrame, keys, period: str, sides: list[Side], form:
                 *keys, period, F.col("_q").alias(s.out_period()),
                 *[F.col(v).alias(s.out_value(v)) for v in s.values])
             ans = a if ans is None else ans.join(a, keys + [period], "full")
-    return left.join(ans, keys + [period], "left")
+    out = left.join(ans, keys + [period], "left")
+    added = [c for c in ans.columns if c not in keys and c != period]
+    return out.select(*[F.col(_q(c)) for c in left.columns], *[F.col(_q(c)) for c in added])
 
 
 def nearest_join(left: DataFrame, right: DataFrame, keys, left_period: str, right_period: str,

@@ -51,9 +51,13 @@ def enriched_panel(spark: SparkSession, sf: str, form: str = "fill", panel: Data
     (customer, year), far fewer than orders."""
     p = panel if panel is not None else materialize(yearly_panel(spark, sf), "yearly_panel")
     right = p.where(F.col("f_total") > 0).select("o_custkey", F.col("year").alias("f_year"), "f_ratio")
-    # periods are years: one-year buckets, no range job
+    # periods are years: one-year buckets, no range job; the panel is unique
+    # per (customer, year), so its rows go through the window themselves
+    # (no distinct probes, no join back)
+    fill = form == "fill"
     return nearest_join(p, right, ["o_custkey"], "year", "f_year", ["f_ratio"], form=form,
-                        prefix="near_", bucket_width=1 if form == "fill" else None)
+                        prefix="near_", bucket_width=1 if fill else None,
+                        probe_rows="rows" if fill else "distinct")
 
 
 def q_panel_pipeline(spark: SparkSession, sf: str) -> DataFrame:

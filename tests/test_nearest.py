@@ -90,3 +90,19 @@ def test_shared_sides_equal_separate_sides(spark):
     assert rows(shared, *cols) == [(1, 4, 1.0, 7, 3.0), (2, 10, 2.0, 7, 3.0), (3, None, None, 3, 4.0)]
     win = nearest_enrich(left, ["k"], "p", [Side(r, "q", ["v"], "x_", rows=F.col("t") == "x")], form="window")
     assert rows(win, "id", "x_period") == [(1, 4), (2, 10), (3, None)]
+
+
+@pytest.mark.parametrize("width", [None, 5])
+def test_probe_rows_equal_distinct(spark, width):
+    rnd = random.Random(17)
+    left = [(i, rnd.choice([None, 1, 2, 3]) if i % 17 else None,
+             None if i % 11 == 0 else rnd.randrange(0, 60), f"x{i}") for i in range(400)]
+    left += [(1000 + i, 1, 30, "dup") for i in range(20)]          # duplicated (key, period)
+    right = [(k, q, float((k or 0) * 100 + q)) for k in [1, 2, None] for q in rnd.sample(range(0, 60), 9)]
+    ldf = spark.createDataFrame(left, "id int, k int, p int, tag string")
+    rdf = spark.createDataFrame(right, "k int, q int, v double")
+    a = nearest_join(ldf, rdf, ["k"], "p", "q", ["v"], bucket_width=width)
+    b = nearest_join(ldf, rdf, ["k"], "p", "q", ["v"], bucket_width=width, probe_rows="rows")
+    assert b.columns == a.columns
+    assert rows(b) == rows(a)
+    assert b.count() == len(left)
