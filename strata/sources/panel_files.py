@@ -21,6 +21,15 @@ from strata.functions.columns import q
 from strata.sources.csv import charset, empty_frame
 
 
+def period_from_path(path, pattern: str = r"(\d{4})"):
+    """The period in a file path: the LAST match of ``pattern`` (group 1),
+    as int, null when there is none.  Periods sit in the deepest path parts
+    (file or folder names); an earlier match may be part of a parent
+    folder's name, e.g. a random id."""
+    p = F.col(path) if isinstance(path, str) else path
+    return F.try_element_at(F.regexp_extract_all(p, F.lit(pattern), 1), F.lit(-1)).try_cast("int")
+
+
 def discover_periods(spark: SparkSession, folder: str, pattern: str = r"(\d{4})",
                      glob: str = "*.csv") -> DataFrame:
     """S7 + O2: (path, period) of the files in a folder, sorted by period.
@@ -30,9 +39,8 @@ def discover_periods(spark: SparkSession, folder: str, pattern: str = r"(\d{4})"
     """
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", "true").load(folder).select("path"))
-    return (files.withColumn("period", F.regexp_extract("path", pattern, 1))
-            .where(F.col("period") != "")
-            .withColumn("period", F.col("period").cast("int")).orderBy("period", "path"))
+    return (files.withColumn("period", period_from_path("path", pattern))
+            .where(F.col("period").isNotNull()).orderBy("period", "path"))
 
 
 def read_period_sources(spark: SparkSession, sources, types: dict[str, str],
@@ -62,7 +70,7 @@ def read_period_sources(spark: SparkSession, sources, types: dict[str, str],
         for c in cols:
             t = types.get(c, default_type)
             casted.append((F.col(q(c)).try_cast(t) if t else F.col(q(c))).alias(c))
-        period = F.regexp_extract(F.col("_metadata.file_path"), period_pattern, 1).try_cast("int")
+        period = period_from_path(F.col("_metadata.file_path"), period_pattern)
         frames.append(raw.select(period.alias(period_col), *casted))
     if not frames:
         if ddl_if_empty:

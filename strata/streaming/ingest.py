@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.sources.csv import charset
+from strata.sources.panel_files import period_from_path
 
 
 def period_file_stream(spark: SparkSession, folder: str, schema: StructType | str,
@@ -28,7 +29,7 @@ def period_file_stream(spark: SparkSession, folder: str, schema: StructType | st
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     df = r.csv(folder)
-    period = F.regexp_extract(F.col("_metadata.file_path"), period_pattern, 1).try_cast("int")
+    period = period_from_path(F.col("_metadata.file_path"), period_pattern)
     return df.select(period.alias(period_col), *[F.col(c) for c in df.columns])
 
 

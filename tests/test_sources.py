@@ -75,3 +75,9 @@ def test_short_rows_with_low_min_cells(spark):
     pages = spark.createDataFrame(PAGES, "page_id long, html string")
     got = rows(table_rows(pages, ["page_id"], min_cells=1), "pos", "section", "amount")
     assert (3, "kurz", None) in got or (3, "kurz", "") in got
+
+
+def test_period_is_the_last_match(spark):
+    from strata.sources.panel_files import period_from_path
+    df = spark.createDataFrame([("/tmp/run-5153ab/votes/2013/v.csv",), ("/x/none.csv",)], "p string")
+    assert [r[0] for r in df.select(period_from_path("p")).collect()] == [2013, None]
