@@ -26,6 +26,11 @@ Forms:
             row on one side get it from a per-bucket summary carried across
             buckets.  A window partition holds at most the rows of one
             bucket, never a whole hot key.  O((N + H) log) and the default.
+            With ``probe_rows="rows"`` the left rows themselves go through
+            the window (for panels unique per key and period): no distinct
+            probes and no join back.
+``auto``    ``window`` with a broadcast right side when it is proven small
+            (row bound and per-key history bound), else ``fill``.
 """
 
 from __future__ import annotations
