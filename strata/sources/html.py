@@ -6,13 +6,14 @@ single-machine HTML library.  Here pages are rows of a DataFrame
 with JVM regular expressions (``regexp_extract_all`` + ``posexplode``), so
 extraction stays in whole-stage code; irregular markup goes through
 ``table_rows_py``, a ``mapInPandas`` over Arrow batches that runs the
-standard-library ``html.parser`` on each page.
+small tag tokenizer (one regular expression plus a state machine) on each
+page.
 """
 
 from __future__ import annotations
 
+import re
 from html import unescape
-from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -94,69 +95,70 @@ def table_rows(pages: DataFrame, keys, html: str = "html", container_prefix: str
                        .alias("amount"))
 
 
-class _TableParser(HTMLParser):
-    """Small per-page helper: rows of the first table in one container."""
-
-    def __init__(self, container_prefix: str):
-        super().__init__(convert_charrefs=True)
-        self.prefix = container_prefix
-        self.start_page()
-
-    def start_page(self):
-        """Reuse one parser for many pages (construction is the costly part)."""
-        self.reset()
-        self.container = None
-        self.depth = 0          # div nesting inside the container
-        self.in_table = False
-        self.done = False
-        self.rows: list[tuple[str, list[tuple[str, str]]]] = []
-        self._row = None
-        self._cell = None
-        self._span = None
-
-    def handle_starttag(self, tag, attrs):
-        a = dict(attrs)
-        if self.done:
-            return
-        if self.container is None:
-            if tag == "div" and (a.get("id") or "").startswith(self.prefix):
-                self.container = a["id"][len(self.prefix):]
-                self.depth = 1
-            return
-        if tag == "div":
-            self.depth += 1
-        elif tag == "table" and not self.in_table:
-            self.in_table = True
-        elif self.in_table and tag == "tr":
-            self._row = (a.get("class") or "", [])
-        elif self._row is not None and tag == "td":
-            self._cell = [[], []]
-        elif self._cell is not None and tag == "span" and AMOUNT_CLASS in (a.get("class") or "").split():
-            self._span = True
-
-    def handle_endtag(self, tag):
-        if self.done or self.container is None:
-            return
+# Tokens of an HTML page: comments and script/style bodies (skipped), tags, text.
+_TOKEN = re.compile(r"<!--.*?-->|<(script|style)\b.*?</\1\s*>|<(/?)([A-Za-z][\w:-]*)([^>]*)>|([^<]+)",
+                    re.S | re.I)
+_ATTR = re.compile(r"""([\w:-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
+
+
+def _attrs(raw: str) -> dict:
+    return {m.group(1).lower(): next(g for g in m.groups()[1:] if g is not None)
+            for m in _ATTR.finditer(raw)}
+
+
+def _page_rows(html: str, prefix: str):
+    """Small per-page helper: (container id suffix, rows) of the first table
+    inside the first ``div`` whose id starts with ``prefix``; a row is
+    (class, [(cell text, amount text)]).  Tolerates any attribute order,
+    nesting and unclosed tags that the regular-markup path cannot."""
+    container, depth, in_table = None, 0, False
+    rows, row, cell, span = [], None, None, False
+    for m in _TOKEN.finditer(html):
+        text = m.group(5)
+        if text is not None:
+            if cell is not None:
+                cell[0].append(text)
+                if span:
+                    cell[1].append(text)
+            continue
+        tag = m.group(3)
+        if tag is None:           # comment or script/style body
+            continue
+        tag, closing = tag.lower(), m.group(2) == "/"
+        if container is None:
+            if not closing and tag == "div":
+                ident = _attrs(m.group(4)).get("id", "")
+                if ident.startswith(prefix):
+                    container, depth = ident[len(prefix):], 1
+            continue
+        if not closing:
+            if tag == "div":
+                depth += 1
+            elif tag == "table" and not in_table:
+                in_table = True
+            elif in_table and tag == "tr":
+                row = (_attrs(m.group(4)).get("class", ""), [])
+            elif row is not None and tag == "td":
+                cell = ([], [])
+            elif cell is not None and tag == "span" and \
+                    AMOUNT_CLASS in _attrs(m.group(4)).get("class", "").split():
+                span = True
+            continue
         if tag == "span":
-            self._span = None
-        elif tag == "td" and self._cell is not None:
-            self._row[1].append(("".join(self._cell[0]), "".join(self._cell[1])))
-            self._cell = None
-        elif tag == "tr" and self._row is not None:
-            self.rows.append(self._row)
-            self._row = None
-        elif tag == "table" and self.in_table:
-            self.done = True
+            span = False
+        elif tag == "td" and cell is not None:
+            row[1].append(("".join(cell[0]), "".join(cell[1])))
+            cell = None
+        elif tag == "tr" and row is not None:
+            rows.append(row)
+            row = None
+        elif tag == "table" and in_table:
+            break
         elif tag == "div":
-            self.depth -= 1
-            if self.depth == 0:
-                self.done = True
-
-    def handle_data(self, data):
-        if self._cell is not None:
-            self._cell[0].append(data)
-            if self._span:
-                self._cell[1].append(data)
+            depth -= 1
+            if depth == 0:
+                break
+    return container, rows
 
 
 def _norm(s: str) -> str:
@@ -167,24 +169,21 @@ def table_rows_py(pages: DataFrame, keys, html: str = "html",
                   container_prefix: str = CONTAINER_PREFIX, classes=None,
                   min_cells: int = 3) -> DataFrame:
     """S12 / S13 for irregular markup: the same output as ``table_rows``,
-    computed by ``mapInPandas`` (Arrow batches, one parser per page)."""
+    computed by ``mapInPandas`` (Arrow batches, ``_page_rows`` per page)."""
     keys = list(keys)
     key_types = ", ".join(f"{k} {pages.schema[k].dataType.simpleString()}" for k in keys)
     schema = f"{key_types}, container string, {ROW_SCHEMA}"
     want = set(classes or [])
 
     def run(batches):
-        p = _TableParser(container_prefix)
         for b in batches:
             out = []
             key_vals = [b[k].tolist() for k in keys]
             for n, doc in enumerate(b[html].tolist()):
-                p.start_page()
-                p.feed(doc or "")
-                p.close()
-                if p.container is None:
+                container, page_rows = _page_rows(doc or "", container_prefix)
+                if container is None:
                     continue
-                for pos, (cls, cells) in enumerate(p.rows):
+                for pos, (cls, cells) in enumerate(page_rows):
                     if want:
                         if not want & set(cls.split()):
                             continue
@@ -193,7 +192,7 @@ def table_rows_py(pages: DataFrame, keys, html: str = "html",
                     if len(cells) < min_cells:
                         continue
                     out.append([kv[n] for kv in key_vals] +
-                               [p.container, pos, cls, _norm(cells[1][0]), _norm(cells[2][1])])
+                               [container, pos, cls, _norm(cells[1][0]), _norm(cells[2][1])])
             yield pd.DataFrame(out, columns=keys + ["container", "pos", "row_class", "section", "amount"])
 
     return pages.select(*keys, html).mapInPandas(run, schema)

@@ -81,3 +81,13 @@ def test_period_is_the_last_match(spark):
     from strata.sources.panel_files import period_from_path
     df = spark.createDataFrame([("/tmp/run-5153ab/votes/2013/v.csv",), ("/x/none.csv",)], "p string")
     assert [r[0] for r in df.select(period_from_path("p")).collect()] == [2013, None]
+
+
+def test_python_path_handles_irregular_markup(spark):
+    html = ('<DIV class=box ID="treemap-table-2019"><div class="inner"><!-- <tr><td>x</td></tr> -->'
+            '<script>if (a < b) { document.write("<tr>") }</script>'
+            '<TABLE><TR><TH>h</TH></TR><TR CLASS="sum total"><td>1</td><td>Sport &amp; Spiel</td>'
+            '<td><span data-x="1" class=\'value-value big\'>12,5</span></td></TR></TABLE></div></DIV>')
+    pages = spark.createDataFrame([(7, html)], "page_id long, html string")
+    got = rows(table_rows_py(pages, ["page_id"]), "container", "pos", "row_class", "section", "amount")
+    assert got == [("2019", 1, "sum total", "Sport & Spiel", "12,5")]
