@@ -191,19 +191,21 @@ def _answers_fill(probes: DataFrame, sides: list[Side], keys, period: str,
         lo, width = 0, int(bucket_width)
     else:
         rng = _period_range([prob.select("_t")] + [r.select("_t") for r in rights])
-        if rng is None:
-            return probes.select(*keys, period).limit(0)
-        lo, hi = rng
+        # no period anywhere: every answer is null, any bucketing will do
+        lo, hi = rng if rng is not None else (0, 0)
         width = max(1, -(-(hi - lo + 1) // max(1, buckets)))
     allrows = prob
     for r in rights:
         allrows = allrows.unionByName(r)
     bucket = F.floor((F.col("_t") - F.lit(lo)) / F.lit(width)).cast("long")
+    unmatched = F.col("_t").isNull()
+    for k in keys:
+        unmatched = unmatched | F.col(k).isNull()
     if carry_left:
-        # left rows without a period match nothing; spread them over salted
-        # negative buckets so they never gather in one window partition
+        # left rows without a period or key match nothing; spread them over
+        # salted negative buckets so they never gather in one window partition
         salt = F.pmod(F.xxhash64("_L"), F.lit(max(1, buckets))).cast("long")
-        bucket = F.when(F.col("_t").isNull(), -1 - salt).otherwise(bucket)
+        bucket = F.when(unmatched, -1 - salt).otherwise(bucket)
     allrows = allrows.withColumn("_b", bucket)
 
     part = keys + ["_b"]
@@ -246,7 +248,7 @@ def _answers_fill(probes: DataFrame, sides: list[Side], keys, period: str,
         nxt = F.coalesce(F.col(f"_next{i}"), F.col(f"_cnext{i}"))
         dp = F.col("_t") - prev["q"]
         dn = nxt["q"] - F.col("_t")
-        pick = (F.when(F.col("_t").isNull(), F.lit(None)).when(prev.isNull(), nxt)
+        pick = (F.when(unmatched, F.lit(None)).when(prev.isNull(), nxt)
                 .when(nxt.isNull(), prev).when(dp < dn, prev).otherwise(nxt))
         out_cols.append(pick.alias(f"_pick{i}"))
     return j.select(*out_cols)

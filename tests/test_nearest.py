@@ -106,3 +106,15 @@ def test_probe_rows_equal_distinct(spark, width):
     assert b.columns == a.columns
     assert rows(b) == rows(a)
     assert b.count() == len(left)
+
+
+@pytest.mark.parametrize("probe_rows", ["distinct", "rows"])
+def test_no_periods_and_null_keys(spark, probe_rows):
+    left = spark.createDataFrame([(1, None, None), (2, "a", None)] + [(10 + i, None, 5) for i in range(30)],
+                                 "id int, k string, p int")
+    right = spark.createDataFrame([("a", None, 1.0), (None, 5, 2.0)], "k string, q int, v double")
+    out = nearest_join(left, right, ["k"], "p", "q", ["v"], probe_rows=probe_rows)
+    assert out.count() == 32
+    assert {(r.match_period, r.v) for r in out.collect()} == {(None, None)}
+    empty = spark.createDataFrame([], "id int, k string, p int")
+    assert nearest_join(empty, right, ["k"], "p", "q", ["v"], probe_rows=probe_rows).count() == 0
