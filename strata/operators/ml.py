@@ -71,10 +71,12 @@ def fit_rf_pipeline(train: DataFrame, label: str, feature_cols, num_trees: int =
 
 
 def fit_ovr(train: DataFrame, feature_cols, label_col: str = "label", num_trees: int = 30,
-            depth: int = 5, seed: int = 1):
+            depth: int = 5, seed: int = 1, n_classes: int | None = None):
     """M8: one binary forest per class; ``parallelism`` fits the classes
-    concurrently (the Spark default is one at a time)."""
-    n_classes = train.select(label_col).distinct().count()
+    concurrently (the Spark default is one at a time).  Pass ``n_classes``
+    when a fitted indexer already knows it (saves a counting job)."""
+    if n_classes is None:
+        n_classes = train.select(label_col).distinct().count()
     feats = assembler(feature_cols).transform(train).persist()
     try:
         model = OneVsRest(classifier=random_forest(num_trees, depth, seed, label_col),

@@ -117,7 +117,8 @@ def _ovr(spark, sf, p=None):
     p = p if p is not None else _model_panel(spark, sf)
     idx = label_indexer("winner", "label").fit(p)
     lab = idx.transform(p)
-    model = fit_ovr(lab.where(F.col("split") == "train"), FEATURES, "label", 30, 5, 1)
+    model = fit_ovr(lab.where(F.col("split") == "train"), FEATURES, "label", 30, 5, 1,
+                    n_classes=len(idx.labelsArray[0]))
     return lab, idx, model
 
 
