@@ -102,3 +102,13 @@ def test_surrogate_key_is_stable(spark):
     k1 = rows(df.select("c", surrogate_key("a.b", "c").alias("k")))
     k2 = rows(df.repartition(7).select("c", surrogate_key("a.b", "c").alias("k")))
     assert k1 == k2 and len({k for _, k in k1}) == 50
+
+
+def test_small_numeric_helpers(spark):
+    from strata.functions.numbers import abs_diff, money_sum, one_vs_rest, safe_cast
+    df = spark.createDataFrame([("12", 2013, 2010, "A", 0.1), ("x", 2010, 2013, "B", 0.2)],
+                               "s string, a int, b int, lab string, m double")
+    r = df.select(safe_cast("s", "int").alias("i"), abs_diff("a", "b").alias("d"),
+                  one_vs_rest("lab", "A").alias("y")).collect()
+    assert [(x.i, x.d, x.y) for x in r] == [(12, 3, 1), (None, 3, 0)]
+    assert df.agg(money_sum("m")).first()[0] == 0.3   # exact decimal sum, not 0.30000000000000004
