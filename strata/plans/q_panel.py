@@ -1,8 +1,7 @@
-"""Registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per key.
-
-Each key names the SURVEY operator ids it exercises.  Every query reads
-whole driver tables; nothing is filtered by id, sampled or truncated
-except where a limit is the operator itself (``sample_rows``).
+"""Registered queries for panel sums, pivots, winners, panel joins and the
+nearest-period join (A1-A4, C8-C13, J1-J5, W1, W2, F2), with their DuckDB
+twins.  Every query reads whole driver tables; nothing is filtered by id,
+sampled or truncated.
 """
 
 from __future__ import annotations
@@ -167,3 +166,108 @@ QUERIES = {
     "nearest_fill": _nearest("fill"),
     "enrich_multi": q_enrich_multi,
 }
+
+
+# ---- DuckDB twins --------------------------------------------------------
+
+_YEAR_TOTALS = """
+SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year,
+       CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_price,
+       COUNT(*) AS n_orders
+FROM orders GROUP BY 1, 2
+"""
+
+_LINE_TOTALS = """
+SELECT o.o_custkey, CAST(year(l.l_shipdate) AS INTEGER) AS year,
+       CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS line_total
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+GROUP BY 1, 2
+"""
+
+_DAY = "CAST(CAST(ts AS DATE) - DATE '1970-01-01' AS INTEGER)"
+
+_ERRORS = f"SELECT event_id, user_id, {_DAY} AS day FROM events WHERE event_type = 'error'"
+
+
+def _daily_sql(kind: str) -> str:
+    return (f"SELECT user_id, {_DAY} AS q, MAX(value) AS v FROM events "
+            f"WHERE event_type = '{kind}' GROUP BY 1, 2")
+
+
+def _nearest_sql(kind: str) -> str:
+    return f"""
+WITH l AS ({_ERRORS}), r AS ({_daily_sql(kind)}),
+j AS (
+  SELECT l.event_id, l.user_id, l.day, r.q, r.v,
+         row_number() OVER (PARTITION BY l.event_id ORDER BY abs(l.day - r.q), r.q DESC) AS rn
+  FROM l LEFT JOIN r ON l.user_id = r.user_id)
+SELECT event_id, user_id, day, q AS {kind}_period, v AS {kind}_value FROM j WHERE rn = 1
+"""
+
+
+_NEAREST = _nearest_sql("signup")
+
+_PRIO_WINNER = """
+WITH c AS (SELECT o_custkey, o_orderpriority AS p, COUNT(*) AS n FROM orders GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY n DESC, p) AS rn FROM c)
+SELECT o_custkey, p AS winner, n AS max_value FROM r WHERE rn = 1
+"""
+
+ORACLE = {
+    "panel_sum": _YEAR_TOTALS,
+    "pivot_first_pct": """
+SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year,
+  CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (WHERE o_orderstatus = 'F') AS DOUBLE) AS F_total,
+  CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (WHERE o_orderstatus = 'O') AS DOUBLE) AS O_total,
+  ROUND(CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (WHERE o_orderstatus = 'F') AS DOUBLE)
+      / NULLIF(CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (WHERE o_orderstatus = 'O') AS DOUBLE), 0)
+      * 100, 6) AS F_pct
+FROM orders GROUP BY 1, 2
+""",
+    "pivot_dynamic": """
+SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year,
+""" + ",\n".join(
+        f"  COALESCE(CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (WHERE o_orderpriority = '{v}') "
+        f"AS DOUBLE), 0.0) AS {n}"
+        for v, n in [("1-URGENT", "Cat_1_URGENT"), ("2-HIGH", "Cat_2_HIGH"),
+                     ("3-MEDIUM", "Cat_3_MEDIUM"), ("4-NOT SPECIFIED", "Cat_4_NOT_SPECIFIED"),
+                     ("5-LOW", "Cat_5_LOW")]) + """
+FROM orders GROUP BY 1, 2
+""",
+    "ratio": """
+SELECT l_orderkey, l_linenumber,
+       l_extendedprice / NULLIF(l_quantity, 0) AS unit_price,
+       l_discount / NULLIF(l_tax, 0) AS discount_per_tax
+FROM lineitem
+""",
+    "ratio_of_sums": """
+WITH g AS (
+  SELECT l_suppkey,
+    CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(18,2))) AS DOUBLE) AS discount_amount,
+    CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS gross_amount
+  FROM lineitem GROUP BY 1)
+SELECT *, ROUND(discount_amount / NULLIF(gross_amount, 0), 8) AS discount_ratio FROM g
+""",
+    "row_sum": """
+SELECT l_orderkey, l_linenumber,
+       ROUND(COALESCE(l_quantity, 0) + COALESCE(l_tax, 0) + COALESCE(l_discount, 0), 6) AS row_total
+FROM lineitem
+""",
+    "winner_wide": _PRIO_WINNER,
+    "winner_long": _PRIO_WINNER,
+    "panel_inner_join": f"""
+SELECT a.*, b.line_total FROM ({_YEAR_TOTALS}) a JOIN ({_LINE_TOTALS}) b USING (o_custkey, year)
+""",
+    "panel_left_join": f"""
+SELECT a.*, b.line_total FROM ({_YEAR_TOTALS}) a LEFT JOIN ({_LINE_TOTALS}) b USING (o_custkey, year)
+""",
+    "nearest_window": _NEAREST,
+    "nearest_minby": _NEAREST,
+    "nearest_fill": _NEAREST,
+    "enrich_multi": f"""
+WITH s AS ({_nearest_sql('signup')}), p AS ({_nearest_sql('purchase')}), c AS ({_nearest_sql('click')})
+SELECT s.event_id, s.user_id, s.day, s.signup_period, s.signup_value,
+       p.purchase_period, p.purchase_value, c.click_period, c.click_value
+FROM s JOIN p USING (event_id) JOIN c USING (event_id)
+""",
+}

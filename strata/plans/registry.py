@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from strata.plans import oracle as _panel_sql
-from strata.plans import pipeline, q_clean, q_io, q_ml, q_stats
-from strata.plans import queries as _panel
+from strata.plans import pipeline, q_clean, q_io, q_ml, q_panel, q_stats
 
-MODULES = [(_panel.QUERIES, _panel_sql.ORACLE), (q_clean.QUERIES, q_clean.ORACLE),
+MODULES = [(q_panel.QUERIES, q_panel.ORACLE), (q_clean.QUERIES, q_clean.ORACLE),
            (q_stats.QUERIES, q_stats.ORACLE),
            (q_io.QUERIES, q_io.ORACLE), (q_ml.QUERIES, q_ml.ORACLE),
            (pipeline.QUERIES, pipeline.ORACLE)]
