@@ -6,9 +6,10 @@ one task; with a group holding a third of the data that task is the job.
 
 1. the input has one row per (group, value) (duplicates already counted,
    so repeats of a hot value cost nothing);
-2. each group's [min, max] is cut into ``buckets`` equal-width buckets,
-   and any bucket that still holds more than ``split_over`` distinct values
-   is cut again into ``buckets`` sub-buckets over its own [min, max];
+2. each group's range is cut into ``buckets`` equal-width buckets on the
+   axis sign(x) * log(1 + |x|) (heavy tails spread out), and any bucket
+   that still holds more than ``split_over`` distinct values is cut again
+   into ``buckets`` linear sub-buckets over its own [min, max];
 3. bucket totals are prefix-summed by a window over the bucket table (at
    most a few thousand rows per group);
 4. inside each (group, bucket, sub-bucket) a running window adds the rest.
@@ -34,9 +35,13 @@ def running_sums(vc: DataFrame, groups, value: str, cols, buckets: int = 1024,
     with value <= this row's value, for every ``c`` in ``cols``."""
     groups = list(groups)
     x = F.col(value)
-    st = vc.groupBy(*groups).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    # level 1 on a sign-preserving log axis, so heavy tails do not push most
+    # values into the first bucket; the map is monotone, so bucket order
+    # follows value order and the sums stay exact
+    t = F.signum(x) * F.log1p(F.abs(x))
+    st = vc.groupBy(*groups).agg(F.min(t).alias("_lo"), F.max(t).alias("_hi"))
     j = (vc.crossJoin(F.broadcast(st)) if not groups else vc.join(st, groups))
-    j = j.withColumn("_b1", _cut(x, F.col("_lo"), F.col("_hi"), buckets)).drop("_lo", "_hi")
+    j = j.withColumn("_b1", _cut(t, F.col("_lo"), F.col("_hi"), buckets)).drop("_lo", "_hi")
     # second level only where a bucket is still crowded with distinct values
     s1 = j.groupBy(*groups, "_b1").agg(F.count(F.lit(1)).alias("_nd"), F.min(value).alias("_lo2"),
                                        F.max(value).alias("_hi2"))

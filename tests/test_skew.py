@@ -79,3 +79,22 @@ def test_winner_long_hot_entity(spark):
         tally.setdefault(r.e, []).append((r.n, r.lab))
     want = {e: sorted(v, key=lambda t: (-t[0], t[1]))[0][1] for e, v in tally.items()}
     assert got == want
+
+
+def test_quantiles_heavy_tail_spread_and_exact(spark):
+    rnd = random.Random(12)
+    xs = [rnd.paretovariate(0.7) * (1 if rnd.random() < 0.8 else -1) for _ in range(3000)]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    q = exact_quantiles(df, "x", [0.01, 0.5, 0.99], buckets=16, split_over=100).first()
+    for p in (0.01, 0.5, 0.99):
+        assert q[f"q{int(p * 100):02d}"] == pytest.approx(np.percentile(xs, p * 100), rel=1e-12)
+    # the log axis keeps the first-level buckets balanced enough: no bucket
+    # holds more than half of the distinct values
+    from strata.operators.ranks import running_sums
+    vc = df.groupBy("x").agg(F.count(F.lit(1)).alias("c"))
+    t = F.signum("x") * F.log1p(F.abs("x"))
+    lo, hi = vc.agg(F.min(t), F.max(t)).first()
+    b = F.least(F.floor((t - lo) / (hi - lo) * 16), F.lit(15))
+    biggest = vc.groupBy(b.alias("b")).count().agg(F.max("count")).first()[0]
+    assert biggest < len(xs) / 2
+    assert running_sums is not None
