@@ -194,19 +194,21 @@ def _answers_fill(probes: DataFrame, sides: list[Side], keys, period: str,
         # no period anywhere: every answer is null, any bucketing will do
         lo, hi = rng if rng is not None else (0, 0)
         width = max(1, -(-(hi - lo + 1) // max(1, buckets)))
-    allrows = prob
-    for r in rights:
-        allrows = allrows.unionByName(r)
     bucket = F.floor((F.col("_t") - F.lit(lo)) / F.lit(width)).cast("long")
     unmatched = F.col("_t").isNull()
     for k in keys:
         unmatched = unmatched | F.col(k).isNull()
+    prob_bucket = bucket
     if carry_left:
         # left rows without a period or key match nothing; spread them over
         # salted negative buckets so they never gather in one window partition
         salt = F.pmod(F.xxhash64("_L"), F.lit(max(1, buckets))).cast("long")
-        bucket = F.when(unmatched, -1 - salt).otherwise(bucket)
-    allrows = allrows.withColumn("_b", bucket)
+        prob_bucket = F.when(unmatched, -1 - salt).otherwise(bucket)
+    prob = prob.withColumn("_b", prob_bucket)
+    rights = [r.withColumn("_b", bucket) for r in rights]
+    allrows = prob
+    for r in rights:
+        allrows = allrows.unionByName(r)
 
     part = keys + ["_b"]
     # right rows first at equal period, so an exact hit is "at or before"
@@ -214,24 +216,27 @@ def _answers_fill(probes: DataFrame, sides: list[Side], keys, period: str,
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     down = Window.partitionBy(*part).orderBy(F.col("_t").desc(), F.col("_r").desc()) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    win = allrows.select(
+    scanned = allrows.select(
         *part, "_t", "_r", *(["_L"] if carry_left else []),
         *[F.last(p, ignorenulls=True).over(up).alias(f"_prev{i}") for i, p in enumerate(pay)],
         *[F.last(p, ignorenulls=True).over(down).alias(f"_next{i}") for i, p in enumerate(pay)],
-    )
-    scanned = win.where(F.col("_r") == 0)
-
-    # Per-bucket summary, read off the window output (already partitioned by
-    # (key, bucket), so this aggregation adds no shuffle): the last row in
-    # ascending order holds the bucket's last right row in ``_prev``, the
-    # last row in descending order its first right row in ``_next``.  It is
-    # carried to the following / preceding buckets by a window over at most
-    # `buckets` rows per key.
-    summary = win.groupBy(*part).agg(
-        *[F.max_by(f"_prev{i}", F.struct(F.col("_t"), -F.col("_r"))).alias(f"_lastb{i}")
-          for i in range(n)],
-        *[F.min_by(f"_next{i}", F.struct(F.col("_t"), F.col("_r"))).alias(f"_firstb{i}")
-          for i in range(n)])
+    ).where(F.col("_r") == 0)
+
+    # Per-bucket summary: the first and last right row of every bucket (an
+    # aggregation over the right side only), next to every bucket that holds
+    # probes; carried to the following / preceding buckets by a window over
+    # at most `buckets` rows per key.  Built apart from the big window above,
+    # so that union is shuffled and sorted once.
+    rall = rights[0]
+    for r in rights[1:]:
+        rall = rall.unionByName(r)
+    rsum = rall.groupBy(*part).agg(
+        *[F.max_by(p, F.when(F.col(p).isNotNull(), F.col("_t"))).alias(f"_lastb{i}")
+          for i, p in enumerate(pay)],
+        *[F.min_by(p, F.when(F.col(p).isNotNull(), F.col("_t"))).alias(f"_firstb{i}")
+          for i, p in enumerate(pay)])
+    probe_buckets = prob.where(~unmatched).select(*part).distinct()
+    summary = probe_buckets.join(rsum, part, "full")
     before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     after = Window.partitionBy(*keys).orderBy(F.col("_b").desc()) \
         .rowsBetween(Window.unboundedPreceding, -1)
