@@ -132,7 +132,7 @@ def _period_range(frames) -> tuple[int, int] | None:
 
 def _answers_fill(probes: DataFrame, sides: list[Side], keys, period: str,
                   buckets: int, bucket_width: int | None = None,
-                  carry_left: bool = False) -> DataFrame:
+                  carry_left: bool = False, left: DataFrame | None = None) -> DataFrame:
     """fill form for one or more right sides in one pass.
 
     ``carry_left``: ``probes`` are the left rows themselves; they travel
@@ -190,7 +190,10 @@ def _answers_fill(probes: DataFrame, sides: list[Side], keys, period: str,
         # the caller knows the period unit: no range job, buckets of fixed width
         lo, width = 0, int(bucket_width)
     else:
-        rng = _period_range([prob.select("_t")] + [r.select("_t") for r in rights])
+        # min/max over the raw left periods: same range, without running the
+        # distinct aggregation of the probes inside this small job
+        src = (left if left is not None else probes).select(F.col(period).alias("_t"))
+        rng = _period_range([src] + [r.select("_t") for r in rights])
         # no period anywhere: every answer is null, any bucketing will do
         lo, hi = rng if rng is not None else (0, 0)
         width = max(1, -(-(hi - lo + 1) // max(1, buckets)))
@@ -297,7 +300,7 @@ def nearest_enrich(left: DataFrame, keys, period: str, sides: list[Side], form:
         return ans.select(*flat)
     probes = _probes(left, keys, period)
     if form == "fill":
-        ans = _answers_fill(probes, sides, keys, period, buckets, bucket_width)
+        ans = _answers_fill(probes, sides, keys, period, buckets, bucket_width, left=left)
         flat = [*(F.col(k) for k in keys), F.col(period)]
         for i, s in enumerate(sides):
             flat.append(F.col(f"_pick{i}.q").alias(s.out_period()))
