@@ -118,3 +118,17 @@ def test_no_periods_and_null_keys(spark, probe_rows):
     assert {(r.match_period, r.v) for r in out.collect()} == {(None, None)}
     empty = spark.createDataFrame([], "id int, k string, p int")
     assert nearest_join(empty, right, ["k"], "p", "q", ["v"], probe_rows=probe_rows).count() == 0
+
+
+@pytest.mark.parametrize("probe_rows", ["distinct", "rows"])
+def test_fill_windows_the_union_once(spark, probe_rows):
+    left = spark.createDataFrame([(i, i % 3, i % 40) for i in range(200)], "id int, k int, p int")
+    right = spark.createDataFrame([(k, q, float(q)) for k in range(3) for q in range(0, 40, 7)],
+                                  "k int, q int, v double")
+    out = nearest_join(left, right, ["k"], "p", "q", ["v"], probe_rows=probe_rows, buckets=8)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    windows = [ln for ln in plan.splitlines() if "Window [" in ln]
+    # one ascending + one descending pass over the union, two small carry passes
+    assert len(windows) == 4
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
