@@ -1,4 +1,4 @@
-"""The flagship panel pipeline.
+"""The flagship panel query.
 
 orders -> one row per (customer, year) with the total, the status-F
 total and the per-priority totals in ONE aggregation (conditional sums
@@ -60,7 +60,7 @@ def enriched_panel(spark: SparkSession, sf: str, form: str = "fill", panel: Data
                         probe_rows="rows" if fill else "distinct")
 
 
-def q_panel_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+def q_panel_flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: band shares per winning priority over the enriched panel."""
     p = materialize(yearly_panel(spark, sf), "yearly_panel")
     # one enriched row per panel row: the band statistics come from the table
@@ -104,7 +104,7 @@ def q_entity_wins(spark: SparkSession, sf: str) -> DataFrame:
     return w.withColumn("n_years", F.sum("n_wins").over(Window.partitionBy("o_custkey")))
 
 
-QUERIES = {"panel_pipeline": q_panel_pipeline, "subcat_features": q_subcat_features,
+QUERIES = {"panel_flagship": q_panel_flagship, "subcat_features": q_subcat_features,
            "entity_wins": q_entity_wins}
 
 
@@ -113,7 +113,7 @@ def _fr(x, p):
 
 
 ORACLE = {
-    "panel_pipeline": f"""
+    "panel_flagship": f"""
 WITH base AS (
   SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year, o_orderstatus, o_orderpriority,
          CAST(o_totalprice AS DECIMAL(18,2)) AS price FROM orders),

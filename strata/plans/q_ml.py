@@ -11,7 +11,7 @@ from strata.operators.ml import (accuracy, assembler, auc_by_class, confusion, f
                                  label_indexer, label_map, split_bucket)
 from strata.operators.stats import fround
 from strata.operators.winner import winner_wide
-from strata.plans.pipeline import enriched_panel
+from strata.plans.flagship import enriched_panel
 from strata.session import materialize
 from strata.sources.tables import table
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from strata.plans import pipeline, q_clean, q_io, q_ml, q_panel, q_stats
+from strata.plans import flagship, q_clean, q_io, q_ml, q_panel, q_stats
 
 MODULES = [(q_panel.QUERIES, q_panel.ORACLE), (q_clean.QUERIES, q_clean.ORACLE),
            (q_stats.QUERIES, q_stats.ORACLE),
            (q_io.QUERIES, q_io.ORACLE), (q_ml.QUERIES, q_ml.ORACLE),
-           (pipeline.QUERIES, pipeline.ORACLE)]
+           (flagship.QUERIES, flagship.ORACLE)]
 
 QUERIES: dict = {}
 ORACLE: dict = {}

@@ -54,5 +54,5 @@ def test_column_pruning_and_no_cartesian(spark):
     plan = _plan(QUERIES["panel_sum"](spark, SF_SMALL))
     assert "ReadSchema: struct<o_custkey:bigint,o_totalprice:double,o_orderdate:timestamp_ntz>" in plan \
         or "o_orderstatus" not in plan
-    for key in ["nearest_fill", "enrich_multi", "panel_pipeline", "collated_join", "box_stats"]:
+    for key in ["nearest_fill", "enrich_multi", "panel_flagship", "collated_join", "box_stats"]:
         assert "CartesianProduct" not in _plan(QUERIES[key](spark, SF_SMALL))
