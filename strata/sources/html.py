@@ -65,10 +65,11 @@ def table_rows(pages: DataFrame, keys, html: str = "html", container_prefix: str
     ``container`` (the id suffix), ``pos``, ``row_class``, ``section`` (text
     of cell 2) and ``amount`` (text of ``span.value-value`` in cell 3).
     """
-    div = rf'(?s)<div id="{container_prefix}([^"]*)"[^>]*>(.*?)</div>'
-    x = pages.select(*keys, F.regexp_extract(html, div, 1).alias("container"),
-                     F.regexp_extract(html, div, 2).alias("_c"))
-    x = x.select(*keys, "container",
+    # one scan of the page for the container; id and table come from it
+    div = rf'(?s)<div id="{container_prefix}[^"]*"[^>]*>.*?</div>'
+    x = pages.select(*keys, F.regexp_extract(html, div, 0).alias("_c"))
+    x = x.select(*keys,
+                 F.regexp_extract("_c", rf'^<div id="{container_prefix}([^"]*)"', 1).alias("container"),
                  F.regexp_extract("_c", r"(?s)<table[^>]*>(.*?)</table>", 1).alias("_t"))
     tr = r"(?s)<tr([^>]*)>(.*?)</tr>"
     z = F.arrays_zip(F.regexp_extract_all("_t", F.lit(tr), 1).alias("a"),
