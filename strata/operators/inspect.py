@@ -32,3 +32,16 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
 def sample_rows(df: DataFrame, n: int, order_by) -> DataFrame:
     """L1: the first ``n`` rows in a stable order (top-k, not a full sort)."""
     return df.orderBy(*order_by).limit(n)
+
+
+def validate_keys(df: DataFrame, keys, pattern: str | None = None) -> DataFrame:
+    """SURVEY H8: an entity dimension is a table, checked before use.  Keys
+    that occur more than once (they would fan out every join on them) or
+    whose first key column does not match ``pattern`` are returned with
+    their row count; an empty result means the dimension is clean.  One
+    aggregation with partial aggregation, so a hot key costs nothing extra."""
+    keys = list(keys)
+    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    ok = F.col(q(keys[0])).rlike(pattern) if pattern else F.lit(True)
+    g = g.withColumn("pattern_ok", F.coalesce(ok, F.lit(False)))
+    return g.where((F.col("n_rows") > 1) | ~F.col("pattern_ok"))

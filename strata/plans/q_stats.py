@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.numbers import money, money_sum, row_sum
-from strata.operators.inspect import distinct_values, profile, sample_rows
+from strata.functions.text import slug
+from strata.operators.inspect import distinct_values, profile, sample_rows, validate_keys
 from strata.operators.joins import STRATEGIES, join_with_strategy
 from strata.operators.reshape import allocate_columns, pivot_values
 from strata.operators.stats import (box_outliers, box_stats, correlations, distribution_stats,
@@ -151,6 +152,16 @@ def q_sample_rows(spark: SparkSession, sf: str) -> DataFrame:
     return sample_rows(o, 5, ["o_orderkey"])
 
 
+SLUG_PATTERN = "^[a-z0-9]+(-[a-z0-9]+)*$"
+
+
+def q_entity_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """H8: the part-name dimension as slugs, checked for duplicates and for
+    the slug pattern before it is used as a join key."""
+    p = table(spark, sf, "part", "p_name")
+    return validate_keys(p.select(slug("p_name").alias("entity")), ["entity"], SLUG_PATTERN)
+
+
 def q_join_strategies(spark: SparkSession, sf: str) -> DataFrame:
     """One join under each physical strategy; all checksums must agree."""
     o = table(spark, sf, "orders", "o_custkey", "o_totalprice")
@@ -187,6 +198,7 @@ QUERIES = {
     "distinct_labels": q_distinct_labels,
     "sample_rows": q_sample_rows,
     "join_strategies": q_join_strategies,
+    "entity_audit": q_entity_audit,
 }
 
 
@@ -352,6 +364,13 @@ FROM events GROUP BY 1
         f"COUNT(*) - COUNT({c}) AS n_nulls FROM orders"
         for c, t in [('o_orderkey', 'bigint'), ('o_custkey', 'bigint'), ('o_orderstatus', 'string'), ('o_totalprice', 'double'), ('o_orderdate', 'timestamp_ntz'), ('o_orderpriority', 'string')]),
     "distinct_labels": "SELECT DISTINCT o_orderpriority FROM orders",
+    "entity_audit": """
+WITH e AS (SELECT regexp_replace(trim(lower(p_name)), '\\s+', '-', 'g') AS entity FROM part),
+g AS (SELECT entity, COUNT(*) AS n_rows,
+             COALESCE(regexp_matches(entity, '^[a-z0-9]+(-[a-z0-9]+)*$'), false) AS pattern_ok
+      FROM e GROUP BY 1)
+SELECT * FROM g WHERE n_rows > 1 OR NOT pattern_ok
+""",
     "sample_rows": """
 SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders ORDER BY o_orderkey LIMIT 5
 """,

@@ -76,3 +76,10 @@ def test_hash_split_is_stable(spark):
     assert s1 == s2
     share = sum(1 for _, s in s1 if s == "train") / len(s1)
     assert 0.7 < share < 0.9
+
+
+def test_validate_keys(spark):
+    from strata.operators.inspect import validate_keys
+    df = spark.createDataFrame([("st-florian",), ("st-florian",), ("linz",), ("Bad Name",)], "e string")
+    got = rows(validate_keys(df, ["e"], "^[a-z0-9]+(-[a-z0-9]+)*$"), "e", "n_rows", "pattern_ok")
+    assert got == [("Bad Name", 1, False), ("st-florian", 2, True)]
