@@ -102,3 +102,21 @@ def surrogate_key(*cols: str):
     (``monotonically_increasing_id`` does, SURVEY H4): xxhash64 of the
     natural key columns.  Prefer joining on the natural key itself."""
     return F.xxhash64(*[F.col(q(c)) for c in cols])
+
+
+def clean_counts(df: DataFrame, cols) -> DataFrame:
+    """SURVEY H16: how many rows a cleaning step keeps, in one aggregation:
+    rows, rows with a null / a non-finite (NaN, +-inf) value in ``cols``,
+    and rows that survive (every value present and finite)."""
+    cols = list(cols)
+    nan_or_inf = [F.isnan(F.col(q(c))) | (F.abs(F.col(q(c))) == F.lit(float("inf"))) for c in cols]
+    null = [F.col(q(c)).isNull() for c in cols]
+    any_null = null[0]
+    any_bad = nan_or_inf[0]
+    for a, b in zip(null[1:], nan_or_inf[1:]):
+        any_null, any_bad = any_null | a, any_bad | b
+    bad = F.coalesce(any_bad, F.lit(False))
+    return df.agg(F.count(F.lit(1)).alias("n_rows"),
+                  F.sum(any_null.cast("long")).alias("n_null"),
+                  F.sum(bad.cast("long")).alias("n_non_finite"),
+                  F.sum((~any_null & ~bad).cast("long")).alias("n_kept"))

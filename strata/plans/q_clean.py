@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.columns import (digits_only, drop_null_keys, fill_numeric, harmonize,
-                                      non_finite_to_null, normalize_headers)
+from strata.functions.columns import (clean_counts, digits_only, drop_null_keys, fill_numeric,
+                                      harmonize, non_finite_to_null, normalize_headers)
 from strata.functions.numbers import parse_number
 from strata.functions.text import (CATEGORY_REPAIRS, MULTI_CHAR_FOLDS, fold_ascii, fold_key,
                                    recode, repair_text, slug)
@@ -118,6 +118,11 @@ def q_clean_features(spark: SparkSession, sf: str) -> DataFrame:
     return drop_null_keys(e, ["x"]).select("event_id", "user_id", "x")
 
 
+def q_clean_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows before cleaning, with a null, with a non-finite value, kept."""
+    return clean_counts(_injected(spark, sf), ["x"])
+
+
 def q_fill_numeric(spark: SparkSession, sf: str) -> DataFrame:
     """F5 + P11: zero-fill every numeric column (strings untouched)."""
     e = table(spark, sf, "events", "event_id", "user_id", "event_type", "value")
@@ -138,6 +143,7 @@ QUERIES = {
     "harmonize_schema": q_harmonize_schema,
     "filter_numeric_id": q_filter_numeric_id,
     "clean_features": q_clean_features,
+    "clean_counts": q_clean_counts,
     "fill_numeric": q_fill_numeric,
 }
 
@@ -196,6 +202,16 @@ WHERE regexp_matches(regexp_extract(url, '[^/]*$', 0), '^[0-9]+$')
 SELECT event_id, user_id, value AS x FROM events
 WHERE event_id % 11 <> 0 AND event_id % 13 <> 0 AND event_id % 17 <> 0 AND event_id % 19 <> 0
   AND value IS NOT NULL
+""",
+    "clean_counts": """
+WITH t AS (SELECT CASE WHEN event_id % 11 = 0 THEN 'inf' WHEN event_id % 13 = 0 THEN '-inf'
+                       WHEN event_id % 17 = 0 THEN 'nan' WHEN event_id % 19 = 0 OR value IS NULL THEN 'null'
+                       ELSE 'ok' END AS kind FROM events)
+SELECT COUNT(*) AS n_rows,
+       CAST(SUM(CASE WHEN kind = 'null' THEN 1 ELSE 0 END) AS BIGINT) AS n_null,
+       CAST(SUM(CASE WHEN kind IN ('inf', '-inf', 'nan') THEN 1 ELSE 0 END) AS BIGINT) AS n_non_finite,
+       CAST(SUM(CASE WHEN kind = 'ok' THEN 1 ELSE 0 END) AS BIGINT) AS n_kept
+FROM t
 """,
     "fill_numeric": """
 SELECT event_id,
