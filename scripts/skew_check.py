@@ -28,9 +28,9 @@ from strata.operators.nearest import nearest_join  # noqa: E402
 from strata.session import local_session  # noqa: E402
 
 
-def task_shares(log_dir: str) -> dict:
-    """Per job group: max over stages of (max task shuffle-read records /
-    stage shuffle-read records), for stages that read at least 10k records."""
+def task_shares(log_dir: str, metric: str = "Total Records Read", floor: int = 10_000) -> dict:
+    """Per job group: max over stages of (max task shuffle-read amount /
+    stage shuffle-read amount), for stages that read at least ``floor``."""
     out = {}
     for f in glob.glob(f"{log_dir}/*/events_*"):
         with open(f, "rb") as fh:
@@ -45,11 +45,13 @@ def task_shares(log_dir: str) -> dict:
                         stage_group[sid] = g
                 elif ev == "SparkListenerTaskEnd":
                     m = e.get("Task Metrics") or {}
-                    r = (m.get("Shuffle Read Metrics") or {}).get("Total Records Read", 0)
+                    sr = m.get("Shuffle Read Metrics") or {}
+                    r = (sr.get("Remote Bytes Read", 0) + sr.get("Local Bytes Read", 0)
+                         if metric == "bytes" else sr.get(metric, 0))
                     stage_tasks.setdefault(e["Stage ID"], []).append(r)
             for sid, recs in stage_tasks.items():
                 total = sum(recs)
-                if total < 10_000:
+                if total < floor:
                     continue
                 g = stage_group.get(sid, "?")
                 out[g] = max(out.get(g, 0.0), max(recs) / total)
@@ -82,9 +84,21 @@ def main():
     w = Window.partitionBy("k").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
     u.select("k", "t", F.last("v", ignorenulls=True).over(w).alias("prev")).write.format("noop") \
         .mode("overwrite").save()
+
+    # exact quantiles of a value whose group 0 holds a third of the rows
+    from strata.operators.stats import exact_quantiles
+    vals = spark.read.parquet(f"{data}/left").select(F.col("k").alias("g"),
+                                                     (F.col("id") * 7919 % 1_000_003).alias("x"))
+    spark.sparkContext.setJobDescription("exact quantiles")
+    exact_quantiles(vals, "x", [0.5], ["g"]).write.format("noop").mode("overwrite").save()
+    spark.sparkContext.setJobDescription("percentile aggregate")
+    vals.groupBy("g").agg(F.percentile("x", 0.5)).write.format("noop").mode("overwrite").save()
     spark.stop()
-    shares = task_shares(log)
-    print(json.dumps({k: round(v, 3) for k, v in shares.items() if k in ("fill form", "window by key")}))
+    recs = task_shares(log)
+    byts = task_shares(log, "bytes", 100_000)
+    keep = ("fill form", "window by key", "exact quantiles", "percentile aggregate")
+    print(json.dumps({k: {"records": round(recs.get(k, 0), 3), "bytes": round(byts.get(k, 0), 3)}
+                      for k in keep}))
 
 
 if __name__ == "__main__":
