@@ -10,9 +10,9 @@ from strata.functions.text import slug
 from strata.operators.inspect import distinct_values, profile, sample_rows, validate_keys
 from strata.operators.joins import STRATEGIES, join_with_strategy
 from strata.operators.reshape import allocate_columns, pivot_values
-from strata.operators.stats import (box_outliers, box_stats, correlations, distribution_stats,
-                                    entity_profile, fround, histogram, kde, share_within_group,
-                                    sigma_bands, trend_band, trend_line)
+from strata.operators.stats import (box_outliers, box_stats, correlations, density_mode,
+                                    distribution_stats, entity_profile, fround, histogram, kde,
+                                    share_within_group, sigma_bands, trend_band, trend_line)
 from strata.sources.tables import table
 
 
@@ -131,6 +131,13 @@ def q_kde(spark: SparkSession, sf: str) -> DataFrame:
     return kde(_events(spark, sf), "value")
 
 
+def q_distribution_mode(spark: SparkSession, sf: str) -> DataFrame:
+    """A14 with the mode: mean and the density peak of event values."""
+    e = _events(spark, sf)
+    m = density_mode(kde(e, "value"))
+    return m.crossJoin(F.broadcast(e.agg(fround(F.avg("value"), 6).alias("mean"))))
+
+
 def q_distribution_stats(spark: SparkSession, sf: str) -> DataFrame:
     """A13 + A14: mean, sd, bias-adjusted skewness per event type."""
     return distribution_stats(_events(spark, sf), "value", ["event_type"])
@@ -194,6 +201,7 @@ QUERIES = {
     "histogram": q_histogram,
     "kde": q_kde,
     "distribution_stats": q_distribution_stats,
+    "distribution_mode": q_distribution_mode,
     "profile": q_profile,
     "distinct_labels": q_distinct_labels,
     "sample_rows": q_sample_rows,
@@ -354,6 +362,7 @@ SELECT CAST(j AS INTEGER) AS point, {fr('min(x)', 8)} AS x,
        {fr('sum(c * exp(-0.5 * ((x - centre) / h) * ((x - centre) / h)) / (n * h * sqrt(2 * pi())))', 8)} AS density
 FROM k GROUP BY j
 """,
+    "distribution_mode": None,   # filled in below from the KDE SQL
     "distribution_stats": f"""
 SELECT event_type, COUNT(value) AS n, {fr('avg(value)', 6)} AS mean, {fr('stddev_samp(value)', 6)} AS stddev,
        {fr('skewness(value)', 6)} AS skewness, min(value) AS min, max(value) AS max
@@ -382,3 +391,10 @@ WITH j AS (SELECT COUNT(*) AS n_rows,
 SELECT s.strategy, j.* FROM j, (VALUES ('auto'), ('broadcast'), ('shuffle_hash'), ('merge')) s(strategy)
 """,
 }
+
+ORACLE["distribution_mode"] = f"""
+WITH k AS ({ORACLE["kde"]})
+SELECT arg_max(x, density) AS mode, max(density) AS max_density,
+       (SELECT {fr('avg(value)', 6)} FROM events) AS mean
+FROM k
+"""
