@@ -7,6 +7,10 @@ single task read.  With a hot key the plain window gives that key's rows
 to one task; the bucketed fill form spreads them.
 
     python scripts/skew_check.py [rows]
+
+A local diagnostic: the event log goes to a fresh local folder (it must be
+set before the session starts); the generated tables go under the
+session's checkpoint folder like every other intermediate table.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ from pyspark.sql import Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from strata.operators.nearest import nearest_join  # noqa: E402
-from strata.session import local_session  # noqa: E402
+from strata.session import local_session, scratch_path  # noqa: E402
 
 
 def task_shares(log_dir: str, metric: str = "Total Records Read", floor: int = 10_000) -> dict:
@@ -69,7 +73,7 @@ def main():
     right = ids.limit(n // 3).select(hot.alias("k"), (F.rand(4) * 50_000).cast("int").alias("q"),
                                      F.rand(5).alias("v")).dropDuplicates(["k", "q"])
     # inputs are tables: write the generated rows once (rand() is not repeatable)
-    data = tempfile.mkdtemp(prefix="skew-data-")
+    data = scratch_path(spark, "skew-data")
     left.write.parquet(f"{data}/left")
     right.write.parquet(f"{data}/right")
     left, right = spark.read.parquet(f"{data}/left"), spark.read.parquet(f"{data}/right")
