@@ -51,3 +51,13 @@ def panel_join(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> D
     out of aggregations on the same keys, Spark keeps their hash
     partitioning and plans no further exchange for the join."""
     return left.join(right, list(keys), how)
+
+
+def collated_join(left: DataFrame, right: DataFrame, left_col: str, right_col: str,
+                  how: str = "inner", collation: str = "UNICODE_CI_AI") -> DataFrame:
+    """C5 without a folded key column: an equi-join that compares the two
+    strings under a case- and accent-insensitive collation (``Straße`` =
+    ``STRASSE``, ``Pöndorf`` = ``pondorf``).  Spark plans it as a hash-
+    partitioned join on collation keys, so it scales like any equi-join."""
+    cond = F.collate(left[left_col], collation) == F.collate(right[right_col], collation)
+    return left.join(right, cond, how)

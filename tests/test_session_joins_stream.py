@@ -83,3 +83,11 @@ def test_validate_keys(spark):
     df = spark.createDataFrame([("st-florian",), ("st-florian",), ("linz",), ("Bad Name",)], "e string")
     got = rows(validate_keys(df, ["e"], "^[a-z0-9]+(-[a-z0-9]+)*$"), "e", "n_rows", "pattern_ok")
     assert got == [("Bad Name", 1, False), ("st-florian", 2, True)]
+
+
+def test_collated_join(spark):
+    from strata.operators.joins import collated_join
+    a = spark.createDataFrame([(1, "Straße"), (2, "Pöndorf"), (3, "Linz")], "id int, name string")
+    b = spark.createDataFrame([("STRASSE", "x"), ("pondorf", "y"), ("Wels", "z")], "name2 string, tag string")
+    assert rows(collated_join(a, b, "name", "name2"), "id", "tag") == [(1, "x"), (2, "y")]
+    assert rows(collated_join(a, b, "name", "name2", "left"), "id", "tag") == [(1, "x"), (2, "y"), (3, None)]
