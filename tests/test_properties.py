@@ -83,3 +83,20 @@ def test_nearest_matches_brute_force(spark, left, right, form, probe_rows):
             assert got[i] == (None, None)
         else:
             assert got[i] == min(cands, key=lambda c: (abs(p - c[0]), -c[0]))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(-50, 50)), min_size=1, max_size=60),
+       st.integers(1, 6), st.integers(1, 5))
+def test_exact_quantiles_match_numpy(spark, data, buckets, split_over):
+    import numpy as np
+
+    from strata.operators.stats import exact_quantiles
+    df = spark.createDataFrame([(g, float(x) / 4) for g, x in data], "g int, x double")
+    probs = [0.0, 0.1, 0.5, 0.9, 1.0]
+    got = {r.g: r for r in exact_quantiles(df, "x", probs, ["g"], buckets=buckets,
+                                           split_over=split_over).collect()}
+    for g in {g for g, _ in data}:
+        xs = np.array([x / 4 for gg, x in data if gg == g])
+        for p in probs:
+            assert abs(got[g][f"q{int(p * 100):02d}"] - np.percentile(xs, p * 100)) < 1e-9
