@@ -100,3 +100,19 @@ def test_exact_quantiles_match_numpy(spark, data, buckets, split_over):
         xs = np.array([x / 4 for gg, x in data if gg == g])
         for p in probs:
             assert abs(got[g][f"q{int(p * 100):02d}"] - np.percentile(xs, p * 100)) < 1e-9
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 9)), min_size=2, max_size=60),
+       st.integers(1, 4))
+def test_auc_matches_pair_count(spark, data, buckets):
+    from strata.operators.ml import auc_by_class
+    df = spark.createDataFrame([(c, float(s)) for c, s in data], "label string, s double")
+    got = auc_by_class(df, "label", {"a": "s"}, buckets=buckets, split_over=2).first()
+    pos = [s for c, s in data if c == "a"]
+    neg = [s for c, s in data if c != "a"]
+    if not pos or not neg:
+        assert got.auc is None
+        return
+    u = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg)
+    assert abs(got.auc - u / (len(pos) * len(neg))) < 1e-12
