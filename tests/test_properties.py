@@ -116,3 +116,16 @@ def test_auc_matches_pair_count(spark, data, buckets):
         return
     u = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg)
     assert abs(got.auc - u / (len(pos) * len(neg))) < 1e-12
+
+
+@SETTINGS
+@given(st.lists(st.lists(st.one_of(st.none(), st.integers(0, 4)), min_size=3, max_size=3),
+                min_size=1, max_size=40))
+def test_wide_and_long_winners_agree(spark, rows_):
+    from strata.operators.reshape import unpivot
+    from strata.operators.winner import winner_long
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows_)], "id int, a int, b int, c int")
+    wide = {r.id: r.winner for r in winner_wide(df, ["a", "b", "c"], max_out=None).collect()}
+    long = unpivot(df, ["id"], ["a", "b", "c"], "label", "v")
+    lw = {r.id: r.winner for r in winner_long(long, ["id"], "label", "v", max_out=None).collect()}
+    assert {i: w for i, w in wide.items() if w is not None} == lw
