@@ -340,9 +340,12 @@ WHERE e.value < q.q1 - 1.5 * (q.q3 - q.q1) OR e.value > q.q3 + 1.5 * (q.q3 - q.q
 """,
     "histogram": f"""
 WITH s AS (SELECT min(value) AS lo, max(value) AS hi FROM events WHERE value IS NOT NULL),
-c AS (SELECT CAST(CASE WHEN s.hi - s.lo > 0 THEN least(floor((e.value - s.lo) / (s.hi - s.lo) * 30), 29)
-                       ELSE 0 END AS INTEGER) AS bin, COUNT(*) AS n
-      FROM events e, s WHERE e.value IS NOT NULL GROUP BY 1),
+b0 AS (SELECT e.value AS x, s.lo, s.hi, (s.hi - s.lo) / 30.0 AS step,
+             least(floor((e.value - s.lo) * (30.0 / (s.hi - s.lo))), 29) AS b
+      FROM events e, s WHERE e.value IS NOT NULL AND s.hi - s.lo > 0),
+b1 AS (SELECT x, lo, step, CASE WHEN x < b * step + lo THEN b - 1 ELSE b END AS b FROM b0),
+b2 AS (SELECT CASE WHEN b <> 29 AND x >= (b + 1) * step + lo THEN b + 1 ELSE b END AS b FROM b1),
+c AS (SELECT CAST(b AS INTEGER) AS bin, COUNT(*) AS n FROM b2 GROUP BY 1),
 g AS (SELECT CAST(range AS INTEGER) AS bin, s.lo, s.hi FROM range(30), s)
 SELECT g.bin, {fr('g.lo + g.bin * ((g.hi - g.lo) / 30)', 6)} AS bin_lo,
        {fr('g.lo + (g.bin + 1) * ((g.hi - g.lo) / 30)', 6)} AS bin_hi, COALESCE(c.n, 0) AS count

@@ -129,3 +129,18 @@ def test_wide_and_long_winners_agree(spark, rows_):
     long = unpivot(df, ["id"], ["a", "b", "c"], "label", "v")
     lw = {r.id: r.winner for r in winner_long(long, ["id"], "label", "v", max_out=None).collect()}
     assert {i: w for i, w in wide.items() if w is not None} == lw
+
+
+@SETTINGS
+@given(st.lists(st.integers(-20, 20), min_size=2, max_size=80), st.integers(1, 12))
+def test_histogram_matches_numpy(spark, xs, bins):
+    import numpy as np
+
+    from strata.operators.stats import histogram
+    df = spark.createDataFrame([(float(x),) for x in xs], "v double")
+    got = [r["count"] for r in sorted(histogram(df, "v", bins).collect(), key=lambda r: r.bin)]
+    if max(xs) == min(xs):
+        assert got[0] == len(xs) and sum(got) == len(xs)
+        return
+    want, _ = np.histogram(np.array(xs, dtype=float), bins=bins)
+    assert got == list(want)
