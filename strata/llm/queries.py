@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.ngram_join import jaccard_components
 from strata.llm.substring_dedup import remove_repeats
 from strata.llm.token_counts import token_counts
 from strata.llm.token_files import read_token_files, write_token_files
@@ -28,11 +29,16 @@ def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return read_token_files(spark, path)
 
 
+def op2_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_components(spark.read.parquet(f"{sf}/documents.parquet"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     kept = remove_repeats(spark.read.parquet(f"{sf}/documents.parquet"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {"op1_token_counts": op1_token_counts, "op5_substring_dedup": op5_substring_dedup,
+QUERIES = {"op1_token_counts": op1_token_counts, "op2_ngram_join": op2_ngram_join,
+           "op5_substring_dedup": op5_substring_dedup,
            "op10_token_files": op10_token_files}
 ORACLE: dict[str, str] = {}
