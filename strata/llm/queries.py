@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.mixing import mix, n_words
 from strata.llm.ngram_join import jaccard_components
 from strata.llm.substring_dedup import remove_repeats
 from strata.llm.token_counts import token_counts
 from strata.llm.token_files import read_token_files, write_token_files
+from strata.llm.warc import capture_histories, write_warc
 from strata.session import scratch_path
 
 
@@ -38,7 +40,53 @@ def op5_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op8_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "source", n_words("text").alias("size"))
+    return mix(docs, F.col("size")).select("row.doc_id", "size", "source_size", "target",
+                                           (F.col("copies") * F.col("size")).alias("taken"))
+
+
+OP8_SQL = r"""
+WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM d GROUP BY source),
+w AS (SELECT *, (CASE rank % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END)::BIGINT AS weight FROM s),
+l AS (SELECT *, row_number() OVER r AS room,
+       (sum(source_size) OVER () - 3 * (sum(source_size) OVER r - source_size))::DOUBLE
+       / (sum(weight) OVER () - (sum(weight) OVER r - weight))::DOUBLE AS level
+      FROM w WINDOW r AS (ORDER BY source_size / weight::DOUBLE, rank ROWS UNBOUNDED PRECEDING)),
+f AS (SELECT *, 3 * source_size <= level * weight AS "full" FROM l),
+t AS (SELECT source, source_size, CASE WHEN "full" THEN (3 * source_size)::DOUBLE
+       ELSE (SELECT level FROM f WHERE NOT "full" ORDER BY room LIMIT 1) * weight END AS target FROM f),
+k AS (SELECT d.doc_id, d.size, t.source_size, t.target,
+       row_number() OVER (PARTITION BY d.source ORDER BY d.size, d.doc_id NULLS FIRST) AS rank,
+       CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS each,
+       ('0x' || substr(md5(coalesce(d.source, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       ((floor(each * rank + u) - floor(each * (rank - 1) + u)) * size)::BIGINT AS taken FROM k"""
+
+
+def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    write_warc(spark.read.parquet(f"{sf}/pages.parquet"), path)
+    return capture_histories(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
+                                                 "position")
+
+
+OP9_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload, sha256(coalesce(html, '')) AS payload_digest,
+       regexp_extract(coalesce(url, ''), '^(?:[A-Za-z][A-Za-z0-9+.-]*://)?(?:[^/?#@]*@)?([^/?#:]*)(?::[0-9]*)?([^#]*)', 1) AS host,
+       regexp_extract(coalesce(url, ''), '^(?:[A-Za-z][A-Za-z0-9+.-]*://)?(?:[^/?#@]*@)?([^/?#:]*)(?::[0-9]*)?([^#]*)', 2) AS rest FROM pages),
+r AS (SELECT *, strlen(payload)::BIGINT AS payload_bytes, min(page_id) OVER (PARTITION BY payload_digest) AS first,
+       array_to_string(list_reverse(string_split(lower(host), '.')), ',') || ')' || CASE WHEN rest = '' THEN '/' ELSE rest END AS url_key FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND first < page_id THEN first END AS refers_to,
+       row_number() OVER (ORDER BY url_key, page_id % 1000000000, page_id) - 1 AS position FROM r"""
+
+
 QUERIES = {"op1_token_counts": op1_token_counts, "op2_ngram_join": op2_ngram_join,
            "op5_substring_dedup": op5_substring_dedup,
+           "op8_mixing": op8_mixing, "op9_warc": op9_warc,
            "op10_token_files": op10_token_files}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op8_mixing": OP8_SQL, "op9_warc": OP9_SQL}

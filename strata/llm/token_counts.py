@@ -23,27 +23,22 @@ from pyspark.sql import types as T
 from strata.llm.units import UnitCache, encoder
 
 SAMPLE_DOCS = 2_000
+SAMPLE_CHARS = 8_000
 TABLE_SIZE = 32_768
 
 
 def frequent_lengths(df: DataFrame, text_col: str, spec: str, key: str,
                      sample_docs: int = SAMPLE_DOCS, table_size: int = TABLE_SIZE) -> dict[str, int]:
-    """Tokens of the most frequent units of at most ``sample_docs`` texts."""
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc, seen = encoder(spec, key), Counter()
-        if enc.kind == "whole":
-            return
-        for b in batches:
-            for text in b["text"]:
-                for part in enc.segments(text):
-                    seen.update(u for u in enc.units(part) if len(u) <= 64)
-        top = [u for u, _ in seen.most_common(table_size)]
-        yield pd.DataFrame({"unit": top, "n": [len(enc.unit(u)) for u in top]},
-                           columns=["unit", "n"]).astype({"n": "int64"})
-
-    sample = df.select(F.col(f"`{text_col}`").alias("text")).where("text is not null").limit(sample_docs)
-    rows = sample.coalesce(1).mapInPandas(count, "unit string, n long").collect()   # at most table_size rows
-    return {r.unit: r.n for r in rows}
+    """Tokens of the most frequent units of at most ``sample_docs`` texts of
+    at most SAMPLE_CHARS characters, taken from the first partitions."""
+    enc, seen = encoder(spec, key), Counter()
+    if enc.kind == "whole":
+        return {}
+    text = F.col(f"`{text_col}`")
+    for row in df.where(F.length(text).between(1, SAMPLE_CHARS)).select(text).limit(sample_docs).collect():
+        for part in enc.segments(row[0]):
+            seen.update(u for u in enc.units(part) if len(u) <= 64)
+    return {u: len(enc.unit(u)) for u, _ in seen.most_common(table_size)}
 
 
 def n_tokens(df: DataFrame, text_col: str, tokenizer_path: str, sample_docs: int = SAMPLE_DOCS,

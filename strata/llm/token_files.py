@@ -25,7 +25,6 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -68,16 +67,11 @@ def _ids_of(spec: str, key: str, end_id: int):
 def train_dictionary(df: DataFrame, spec: str, key: str, end_id: int) -> bytes:
     """A dictionary from at most SAMPLE_DOCS short documents; empty if there
     are too few to train on (frames are then plain zstandard)."""
-    def serialized(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, _ = _ids_of(spec, key, end_id)
-        for b in batches:
-            yield pd.DataFrame({"ids": [ids(t) for t in b["text"]]})
-
-    sample = (df.select("text").where(F.length("text").between(1, SAMPLE_CHARS)).limit(SAMPLE_DOCS)
-              .coalesce(1).mapInPandas(serialized, "ids binary").collect())
+    ids, _ = _ids_of(spec, key, end_id)
+    sample = df.where(F.length("text").between(1, SAMPLE_CHARS)).select("text").limit(SAMPLE_DOCS).collect()
     import zstandard
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, [bytes(r.ids) for r in sample]).as_bytes()
+        return zstandard.train_dictionary(DICTIONARY_BYTES, [ids(r.text) for r in sample]).as_bytes()
     except (zstandard.ZstdError, ValueError):
         return b""
 
