@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.decontaminate import contamination
 from strata.llm.mixing import mix, n_words
 from strata.llm.ngram_join import jaccard_components
 from strata.llm.substring_dedup import remove_repeats
@@ -85,8 +86,27 @@ SELECT page_id, payload_bytes, payload_digest,
        row_number() OVER (ORDER BY url_key, page_id % 1000000000, page_id) - 1 AS position FROM r"""
 
 
+def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    found = contamination(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet"))
+    return found.select("doc_id", "contaminated", "n_items", "containment")
+
+
+OP7_SQL = r"""
+WITH t AS (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
+w AS (SELECT kind, id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+       '[^\x20\x09-\x0D]+') AS words FROM t),
+s AS (SELECT DISTINCT kind, id, array_to_string(words[i + 1:i + 5], ' ') AS shingle
+      FROM (SELECT kind, id, words, unnest(range(greatest(len(words) - 4, 1))) AS i FROM w WHERE len(words) > 0)),
+n AS (SELECT id AS item, count(*) AS size FROM s WHERE kind = 'i' GROUP BY id),
+c AS (SELECT d.id, i.id AS item, count(*) AS common FROM s d JOIN s i ON d.shingle = i.shingle AND d.kind = 'd' AND i.kind = 'i' GROUP BY ALL),
+f AS (SELECT c.id, count(*) AS n_items, max(common / size) AS containment FROM c JOIN n USING (item)
+      WHERE 100 * common >= 80 * size GROUP BY c.id)
+SELECT doc_id, f.id IS NOT NULL AS contaminated, coalesce(n_items, 0)::BIGINT AS n_items, containment
+FROM documents LEFT JOIN f ON doc_id = f.id"""
+
+
 QUERIES = {"op1_token_counts": op1_token_counts, "op2_ngram_join": op2_ngram_join,
            "op5_substring_dedup": op5_substring_dedup,
-           "op8_mixing": op8_mixing, "op9_warc": op9_warc,
+           "op7_decontamination": op7_decontamination, "op8_mixing": op8_mixing, "op9_warc": op9_warc,
            "op10_token_files": op10_token_files}
-ORACLE: dict[str, str] = {"op8_mixing": OP8_SQL, "op9_warc": OP9_SQL}
+ORACLE: dict[str, str] = {"op7_decontamination": OP7_SQL, "op8_mixing": OP8_SQL, "op9_warc": OP9_SQL}
