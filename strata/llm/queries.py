@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.decontaminate import contamination
+from strata.llm.language_id import identify_documents, identify_pages
 from strata.llm.mixing import mix, n_words
 from strata.llm.ngram_join import jaccard_components
 from strata.llm.substring_dedup import remove_repeats
@@ -105,7 +106,18 @@ SELECT doc_id, f.id IS NOT NULL AS contaminated, coalesce(n_items, 0)::BIGINT AS
 FROM documents LEFT JOIN f ON doc_id = f.id"""
 
 
+def op4_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    found = identify_documents(spark.read.parquet(f"{sf}/documents.parquet"), ["doc_id"])
+    return found.select("row.doc_id", "declared", "text_language", "language", "confidence", "accepted")
+
+
+def page_languages(spark: SparkSession, sf: str) -> DataFrame:
+    found = identify_pages(spark.read.parquet(f"{sf}/pages.parquet"), spark.read.parquet(f"{sf}/documents.parquet"), ["page_id"])
+    return found.select("row.page_id", "declared", "host", "text_language", "language", "confidence", "accepted")
+
+
 QUERIES = {"op1_token_counts": op1_token_counts, "op2_ngram_join": op2_ngram_join,
+           "op4_language_id": op4_language_id, "page_languages": page_languages,
            "op5_substring_dedup": op5_substring_dedup,
            "op7_decontamination": op7_decontamination, "op8_mixing": op8_mixing, "op9_warc": op9_warc,
            "op10_token_files": op10_token_files}
