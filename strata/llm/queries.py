@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.decontaminate import contamination
+from strata.llm.embedding_dedup import near_duplicate_vectors
 from strata.llm.language_id import identify_documents, identify_pages
 from strata.llm.mixing import mix, n_words
 from strata.llm.ngram_join import jaccard_components
@@ -116,8 +117,12 @@ def page_languages(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("row.page_id", "declared", "host", "text_language", "language", "confidence", "accepted")
 
 
+def op3_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicate_vectors(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
 QUERIES = {"op1_token_counts": op1_token_counts, "op2_ngram_join": op2_ngram_join,
-           "op4_language_id": op4_language_id, "page_languages": page_languages,
+           "op3_embedding_dedup": op3_embedding_dedup, "op4_language_id": op4_language_id, "page_languages": page_languages,
            "op5_substring_dedup": op5_substring_dedup,
            "op7_decontamination": op7_decontamination, "op8_mixing": op8_mixing, "op9_warc": op9_warc,
            "op10_token_files": op10_token_files}
