@@ -21,6 +21,7 @@ import hashlib
 import json
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -49,7 +50,7 @@ def _ids_of(spec: str, key: str, end_id: int):
     """text -> serialized ids with the end id, and the id width."""
     enc = encoder(spec, key)
     dtype = "<u2" if max(enc.lib.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
-    pack = lambda ids: np.array(ids, dtype).tobytes()
+    pack = lambda ids: array("H" if dtype == "<u2" else "I", ids).tobytes()   # noqa: E731  little-endian machines
     if key not in _CACHES:
         _CACHES[key] = UnitCache(enc, pack, lambda a, b: a + b)
     cache, end = _CACHES[key], pack([end_id])

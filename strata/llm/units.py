@@ -18,11 +18,12 @@ WHITE = ("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u30
 UNIT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 WORD = re.compile(f"[^{WHITE}]+")
 LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+LATIN = frozenset(chr(c) for c in range(256) if re.match(f"[{LETTERS}]", chr(c)))
 PLAIN = re.compile(f"( ?)([{LETTERS}]+)")
-ENDING = re.compile(f"(.*[{LETTERS}])([.,;:!?|])", re.S)
+MARKS = frozenset(".,;:!?|")
 CONTROL = re.compile("[\x1c-\x1f]")
 
-CACHE_ENTRIES = 600_000     # per worker; a full cache starts again from the broadcast tier
+CACHE_ENTRIES = 1_000_000     # per worker; a full cache starts again from the broadcast tier
 
 
 def byte_letters() -> list[str]:
@@ -50,7 +51,7 @@ class Encoder:
         self.lib.no_padding()
         self.model = self.lib.model
         self.kind = _kind(json.loads(spec))
-        self.letters = byte_letters()
+        self.letters = dict(enumerate(byte_letters()))
         self.specials = [t.content for t in self.lib.get_added_tokens_decoder().values()]
 
     def encode(self, text: str) -> list[int]:
@@ -58,15 +59,16 @@ class Encoder:
 
     def word(self, text: str) -> list[int]:
         """Ids of one pre-token made of Latin letters (and a space before)."""
-        raw = text.encode()
-        return [t.id for t in self.model.tokenize("".join([self.letters[b] for b in raw]))]
+        if not (text.isascii() and text.isalpha()):
+            text = text.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.model.tokenize(text)]
 
     def unit(self, unit: str) -> list[int]:
-        m = PLAIN.fullmatch(unit)
-        if m and self.kind == "spaced":
-            return self.word(unit)
-        if m and self.kind == "words":
-            return self.word(unit.lower())
+        if PLAIN.fullmatch(unit):
+            if self.kind == "spaced":
+                return self.word(unit)
+            if self.kind == "words":
+                return self.word(unit.lower())
         return self.encode(unit)
 
     def units(self, text: str) -> list[str]:
@@ -114,11 +116,12 @@ class UnitCache(dict):
         self.encoder, self.value, self.add, self.frequent = encoder, value, add, frequent or {}
 
     def __missing__(self, unit: str):
-        m = ENDING.fullmatch(unit)
-        if m and unit not in self.encoder.specials and "|>" not in unit:
-            v = self.add(self[m[1]], self[m[2]])
-        elif self.encoder.kind == "spaced" and unit[0] == "\n" and PLAIN.fullmatch(unit, 1) and unit[1] != " ":
+        if len(unit) > 1 and unit[-1] in MARKS and unit[-2] in LATIN:
+            v = self.add(self[unit[:-1]], self[unit[-1]])
+        elif self.encoder.kind == "spaced" and len(unit) > 1 and unit[0] == "\n" and unit[1] in LATIN:
             v = self.add(self["\n"], self[unit[1:]])
+        elif self.encoder.kind == "words" and unit.isascii() and unit.isalpha() and not unit.islower():
+            v = self[unit.lower()]
         else:
             v = self.value(self.encoder.unit(unit))
         if len(unit) <= 64:
