@@ -2,18 +2,52 @@
 
 Each stage takes (spark, docs, sf_dir), works on every row that its
 predecessor kept and returns a DataFrame; it is written as Parquet in the
-shared folder and read again as the next stage's ``docs``.
+shared folder and read again as the next stage's ``docs``.  All but the last
+return the columns of documents.  Nulls: a row without text is rejected by
+the first stage; a row without an id is never a duplicate of another; rows
+that repeat an id are one document to the second stage, which keeps one of
+them; an empty table passes through.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
+from strata.llm.decontaminate import clean
+from strata.llm.language_id import identify_documents
+from strata.llm.mixing import mixed_rows, n_words
+from strata.llm.ngram_join import jaccard_components
 from strata.llm.token_files import read_token_files, write_token_files
 from strata.session import materialize, scratch_path
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text is in one of the languages."""
+    return identify_documents(docs).where("accepted").select("row.*")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near copies."""
+    first = jaccard_components(docs).where("component_id = doc_id").select("doc_id").distinct()
+    once = W.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
+    kept = (docs.join(first, "doc_id", "left_semi").withColumn("__row", F.row_number().over(once))
+            .where("__row = 1").drop("__row"))
+    return kept.unionByName(docs.where("doc_id is null"))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no benchmark item leaks into."""
+    return clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources takes it."""
+    return mixed_rows(docs, n_words("text"))
+
+
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token-id files of the documents, and one row per document from them."""
     path = scratch_path(spark, "pipeline-token-files")
@@ -21,8 +55,9 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path)
 
 
-STAGES = [("token_ids", token_ids)]
-ORACLE_SQL = None
+STAGES = [("language", language), ("near_duplicates", near_duplicates), ("decontaminate", decontaminate),
+          ("mixing", mixing), ("token_ids", token_ids)]
+ORACLE_SQL = None       # language model scores and byte-pair merges are not SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

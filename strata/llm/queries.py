@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from strata.llm.decontaminate import contamination
 from strata.llm.embedding_dedup import near_duplicate_vectors
 from strata.llm.language_id import identify_documents, identify_pages
+from strata.llm.license_scan import TEMPLATES, scan_licenses
 from strata.llm.mixing import mix, n_words
 from strata.llm.ngram_join import jaccard_components
 from strata.llm.substring_dedup import remove_repeats
@@ -121,9 +122,30 @@ def op3_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicate_vectors(spark.read.parquet(f"{sf}/embeddings.parquet"))
 
 
+def op6_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    found = scan_licenses(spark.read.parquet(f"{sf}/documents.parquet"))
+    return found.select("doc_id", F.size("licenses").cast("long").alias("n_licenses"), F.array_join("licenses", ",").alias("licenses"),
+                        F.array_max(F.transform("matches", lambda m: m["containment"])).alias("containment"))
+
+
+OP6_SQL = r"""
+WITH t AS (SELECT 'd' AS kind, doc_id AS id, text, '' AS license FROM documents
+           UNION ALL SELECT 't', row_number() OVER (), text, license FROM (VALUES %s) v(license, text)),
+w AS (SELECT kind, id, license, regexp_extract_all(regexp_replace(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+       '[!-/:-@\[-`{-~]', ' ', 'g'), '[^\x20\x09-\x0D]+') AS words FROM t),
+s AS (SELECT DISTINCT kind, id, license, array_to_string(words[i + 1:i + 5], ' ') AS shingle
+      FROM (SELECT *, unnest(range(greatest(len(words) - 4, 1))) AS i FROM w WHERE len(words) > 0)),
+n AS (SELECT id AS template, license, count(*) AS size FROM s WHERE kind = 't' GROUP BY ALL),
+c AS (SELECT d.id, i.id AS template, count(*) AS common FROM s d JOIN s i ON d.shingle = i.shingle AND d.kind = 'd' AND i.kind = 't' GROUP BY ALL),
+f AS (SELECT c.id, license, max(common / size) AS containment FROM c JOIN n USING (template) WHERE 100 * common >= 80 * size GROUP BY ALL),
+g AS (SELECT id, count(*) AS n, string_agg(license, ',' ORDER BY license) AS licenses, max(containment) AS containment FROM f GROUP BY id)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_licenses, coalesce(licenses, '') AS licenses, containment
+FROM documents LEFT JOIN g ON doc_id = id""" % ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in TEMPLATES)
+
+
 QUERIES = {"op1_token_counts": op1_token_counts, "op2_ngram_join": op2_ngram_join,
            "op3_embedding_dedup": op3_embedding_dedup, "op4_language_id": op4_language_id, "page_languages": page_languages,
            "op5_substring_dedup": op5_substring_dedup,
-           "op7_decontamination": op7_decontamination, "op8_mixing": op8_mixing, "op9_warc": op9_warc,
+           "op6_license_scan": op6_license_scan, "op7_decontamination": op7_decontamination, "op8_mixing": op8_mixing, "op9_warc": op9_warc,
            "op10_token_files": op10_token_files}
-ORACLE: dict[str, str] = {"op7_decontamination": OP7_SQL, "op8_mixing": OP8_SQL, "op9_warc": OP9_SQL}
+ORACLE: dict[str, str] = {"op6_license_scan": OP6_SQL, "op7_decontamination": OP7_SQL, "op8_mixing": OP8_SQL, "op9_warc": OP9_SQL}

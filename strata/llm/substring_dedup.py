@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from strata.llm.words import word_chunks
 
-HOLD_WINDOWS = 3_000_000        # windows counted together in a scan task
-RANGE_WINDOWS = 1_500_000       # windows a hash range is sized for
+HOLD_WINDOWS = 2_000_000        # windows counted together in a scan task
+RANGE_WINDOWS = 1_000_000       # windows a hash range is sized for
 BUCKET_BYTES = 8 << 20          # text that is cut together
 CHUNK = 4 << 20
 PACKED = pa.schema([("range", pa.int64()), ("target", pa.int64()), ("n", pa.int64()),
