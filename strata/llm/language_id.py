@@ -218,6 +218,9 @@ def identify(df: DataFrame, text: Column, declared: Column, address: list[Column
     names, table = model
     kept = F.struct(*[F.col(f"`{c}`") for c in keep]) if keep else F.struct("*")
     rows = df.select(kept.alias("row"), text.alias("text"), declared.alias("declared"), *address)
+    if not names:
+        return rows.select("row", "declared", "host", F.lit(None).cast("string").alias("text_language"), F.lit(UNDETERMINED).alias("language"),
+                           F.lit(1.0).alias("confidence"), F.lit(False).alias("accepted"))
     scored = rows.withColumn("scores", scores(df, F.col("text"), table))
     # the scores are computed once, without the texts, for the counts and again where rows pass on
     evidence = Evidence(scored.select("declared", "host", "domain", "suffix", "scores"), names)

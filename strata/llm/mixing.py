@@ -56,15 +56,16 @@ def mix(df: DataFrame, size: Column, source_col: str = "source", id_col: str = "
     ``row`` holds the input columns, ``copies`` says how often the mix emits it.
 
     A null or zero size weighs nothing; a null source is a source of its
-    own, the last; null ids come first in the order; repeated rows are rows
-    like any other.  Sources without words have the target 0 and no copies.
+    own, the last; null ids come first in the order, rows with equal
+    ids and sizes follow a hash of the row; repeated rows are rows like any other.  Sources without words have the target 0 and no copies.
     Reruns agree: order and offset depend on the rows alone.
     """
     rows = df.select(F.col(f"`{source_col}`").alias("source"), F.coalesce(size, F.lit(0)).cast("long").alias("size"),
-                     F.col(f"`{id_col}`").alias("id"), F.struct("*").alias("row"))
+                     F.col(f"`{id_col}`").alias("id"), F.struct("*").alias("row"),
+                     F.xxhash64(*(F.col(f"`{c}`") for c, t in df.dtypes if "map<" not in t)).alias("tie"))
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col("source").asc_nulls_last(), F.col("size"), F.col("id")]
-    placed = materialize(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    order = [F.col("source").asc_nulls_last(), F.col("size"), F.col("id"), F.col("tie")]
+    placed = materialize(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).drop("id", "tie")
                          .withColumn("at", F.monotonically_increasing_id())
                          .withColumn("part", F.shiftright("at", 33)), "mix-order")
     heads = placed.groupBy("part", "source").agg(F.min("at").alias("first"), F.count("*").alias("n"), F.sum("size").alias("s"))
