@@ -1,6 +1,6 @@
 """WARC archives of pages, and their capture index by an external merge.
 
-Writing: one WARC/1.1 record per page.  Of pages with equal payloads of at
+Writing: one WARC/1.1 record per page, in gzip-compressed files.  Of pages with equal payloads of at
 least ``REVISIT_BYTES`` bytes the one with the smallest id is a response,
 the others are revisit records without a payload.  Spark's text writer
 writes the records (every record ends with CR LF CR LF, which is its line
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -81,7 +82,7 @@ def write_warc(df: DataFrame, path: str, id_col: str = "page_id", url_col: str =
         head("Content-Type", F.lit("application/http; msgtype=response")),
         F.lit("Content-Length: "), F.octet_length(block).cast("string"), F.lit(END), block)
     (pages.join(firsts, F.col("digest") == F.col("d"), "left").select(record.alias("value"))
-     .write.mode("overwrite").option("lineSep", END).option("maxRecordsPerFile", max(1, int(ARCHIVE_BYTES // (mean + 600))))
+     .write.mode("overwrite").option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", max(1, int(ARCHIVE_BYTES // (mean + 600))))
      .text(path))
 
 
@@ -107,6 +108,11 @@ def records(content: memoryview) -> Iterator[tuple[int, int, dict[str, str], mem
         at = stop + 4
 
 
+def unpacked(content) -> memoryview:
+    """The bytes of a gzip-compressed archive file; offsets in the index count these."""
+    return memoryview(zlib.decompress(content, 31))
+
+
 def page_of(urn: str | None) -> int | None:
     return int(urn[len("<urn:page:"):-1]) if urn else None
 
@@ -117,7 +123,7 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
         for b in batches:
             for name, content in zip(b.column(0).to_pylist(), b.column(1)):
                 run = []
-                for at, length, f, block in records(memoryview(content.as_buffer())):
+                for at, length, f, block in records(unpacked(content.as_buffer())):
                     cut = bytes(block[:1024]).index(END.encode()) + 4
                     http = dict(x.split(": ", 1) for x in bytes(block[:cut - 4]).decode().split("\r\n")[1:])
                     digest = f["WARC-Payload-Digest"].removeprefix("sha256:")

@@ -4,7 +4,7 @@ import heapq
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from strata.llm.warc import LoserTree, capture_histories, records, url_key, write_warc
+from strata.llm.warc import LoserTree, capture_histories, records, unpacked, url_key, write_warc
 from strata.session import scratch_path
 
 
@@ -39,7 +39,7 @@ def test_round_trip(spark):
     keys = [(r.url_key, r.captured) for r in got]
     assert keys == sorted(keys)
     # every index entry leads to its record
-    files = {r.path.rsplit("/", 1)[1]: memoryview(bytes(r.content)) for r in spark.read.format("binaryFile").load(path).collect()}
+    files = {r.path.rsplit("/", 1)[1]: unpacked(bytes(r.content)) for r in spark.read.format("binaryFile").load(path).collect()}
     for r in got:
         at, length, fields, _ = next(records(files[r.run][r.offset:r.offset + r.length]))
         assert fields["WARC-Payload-Digest"] == f"sha256:{r.payload_digest}" and length == r.length
