@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType
 
-from strata.functions.text import normalize_header, unique_names
+from strata.functions.text import header, unique_names
 
 
 def q(name: str) -> str:
@@ -19,9 +19,9 @@ def q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def normalize_headers(df: DataFrame, fn=normalize_header) -> DataFrame:
-    """Rename every column with ``fn``; collisions raise."""
-    new = unique_names([fn(c) for c in df.columns])
+def normalize_headers(df: DataFrame, split: str = " ", sep: str = "_") -> DataFrame:
+    """Rename every column by the header rule; collisions raise."""
+    new = unique_names([header(c, split, sep) for c in df.columns])
     return df.toDF(*new)
 
 

@@ -127,14 +127,11 @@ def fold_name(name: str) -> str:
     return name.translate(str.maketrans(FOLD_FROM, FOLD_TO))
 
 
-def normalize_header(name: str) -> str:
-    """Strip, ASCII-fold, spaces -> underscore."""
-    return fold_name(name.strip()).replace(" ", "_")
-
-
-def clean_column_name(name: str, prefix: str = "") -> str:
-    """Fold, runs of non-alphanumerics -> ``_``, add a prefix."""
-    return prefix + re.sub(r"[^a-zA-Z0-9]+", "_", fold_name(name).strip())
+def header(name: str, split: str = r"[^A-Za-z0-9]+", sep: str = "_", prefix: str = "") -> str:
+    """A column name from a header or a category.  Accents are folded
+    and every match of ``split`` becomes ``sep``: by default a run of other
+    characters than ASCII letters and digits, for P2 each single space."""
+    return prefix + re.sub(split, sep, fold_name(name.strip()))
 
 
 def unique_names(names: list[str]) -> list[str]:

@@ -11,10 +11,11 @@ one task; with a group holding a third of the data that task is the job.
    that still holds more than ``split_over`` distinct values is cut again
    into ``buckets`` linear sub-buckets over its own [min, max];
 3. bucket totals are prefix-summed by a window over the bucket table (at
-   most a few thousand rows per group);
+   most ``buckets`` squared rows per group, usually about ``buckets``);
 4. inside each (group, bucket, sub-bucket) a running window adds the rest.
 
-Used by exact quantiles (G3, G4) and the rank-based AUC (M10).
+Used by the rank-based AUC (M10), whose scores are finite and of which a
+group is a class.  A null group is a group of its own.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.operators.stats import join_groups
+
 
 def _cut(x, lo, hi, buckets: int):
     span = hi - lo
@@ -40,12 +43,12 @@ def running_sums(vc: DataFrame, groups, value: str, cols, buckets: int = 1024,
     # follows value order and the sums stay exact
     t = F.signum(x) * F.log1p(F.abs(x))
     st = vc.groupBy(*groups).agg(F.min(t).alias("_lo"), F.max(t).alias("_hi"))
-    j = (vc.crossJoin(F.broadcast(st)) if not groups else vc.join(st, groups))
+    j = (vc.crossJoin(F.broadcast(st)) if not groups else join_groups(vc, st, groups))
     j = j.withColumn("_b1", _cut(t, F.col("_lo"), F.col("_hi"), buckets)).drop("_lo", "_hi")
     # second level only where a bucket is still crowded with distinct values
     s1 = j.groupBy(*groups, "_b1").agg(F.count(F.lit(1)).alias("_nd"), F.min(value).alias("_lo2"),
                                        F.max(value).alias("_hi2"))
-    j = j.join(s1, groups + ["_b1"])
+    j = join_groups(j, s1, groups + ["_b1"])
     j = j.withColumn("_b2", F.when(F.col("_nd") > split_over,
                                    _cut(x, F.col("_lo2"), F.col("_hi2"), buckets)).otherwise(F.lit(0))) \
         .drop("_nd", "_lo2", "_hi2")
@@ -55,7 +58,7 @@ def running_sums(vc: DataFrame, groups, value: str, cols, buckets: int = 1024,
         .rowsBetween(Window.unboundedPreceding, -1)
     off = bt.select(*part, *[F.coalesce(F.sum(f"_bt_{c}").over(before), F.lit(0)).alias(f"_off_{c}")
                              for c in cols])
-    j = j.join(off, part)
+    j = join_groups(j, off, part)
     run = Window.partitionBy(*part).orderBy(value).rowsBetween(Window.unboundedPreceding,
                                                                Window.currentRow)
     return j.select(*vc.columns, *[(F.col(f"_off_{c}") + F.sum(c).over(run)).alias(f"cum_{c}")

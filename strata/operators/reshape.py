@@ -11,21 +11,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.columns import q
-from strata.functions.numbers import allocate, money_sum
-from strata.functions.text import clean_column_name, unique_names
+from strata.functions.numbers import allocate
+from strata.functions.text import header, unique_names
+from strata.operators.stats import join_groups
+
+NULL_CATEGORY = "null"
+
+
+def _sum(measure: str, exact: str | None) -> Column:
+    m = F.col(q(measure))
+    return F.sum(m.cast(exact)).cast("double") if exact else F.sum(m)
 
 
 def panel_sum(df: DataFrame, keys, measure: str, out: str = "total",
               exclude_categories=None, category_col: str | None = None,
-              exact_money: bool = True, count_col: str | None = None) -> DataFrame:
+              exact_money: str | None = None, count_col: str | None = None) -> DataFrame:
     """A1: one row per key with the summed measure.
 
     ``exclude_categories`` drops rows whose ``category_col`` is, e.g., a
-    total row that the source already contains (avoids double counting).
+    total row that the source already contains (avoids double counting); a
+    null category is kept.  The sum is the plain one; ``exact_money`` names a
+    decimal type, e.g. "decimal(18,2)", in which rows are summed exactly.
     """
     if exclude_categories:
-        df = df.where(~F.col(category_col).isin(list(exclude_categories)))
-    aggs = [(money_sum(measure) if exact_money else F.sum(measure)).alias(out)]
+        df = df.where(~F.coalesce(F.col(category_col).isin(list(exclude_categories)), F.lit(False)))
+    aggs = [_sum(measure, exact_money).alias(out)]
     if count_col:
         aggs.append(F.count(F.lit(1)).alias(count_col))
     return df.groupBy(*keys).agg(*aggs)
@@ -41,20 +51,21 @@ def ratio_of_sums(df: DataFrame, keys, num: Column, den: Column, out: str = "rat
 
 def pivot_values(df: DataFrame, keys, pivot_col: str, values, measure: str,
                  agg: str = "sum", names: dict | None = None,
-                 exact_money: bool = False) -> DataFrame:
-    """A3: pivot on an explicit value list (no extra job to discover values).
+                 exact_money: str | None = None) -> DataFrame:
+    """A3: pivot on an explicit value list (no extra job to discover values);
+    null may be one of the values, its column is named "null".
 
     ``agg`` defaults to a deterministic function; the reference's ``first``
     depends on row order when a cell has duplicates.
     """
-    m = F.col(measure)
-    if exact_money and agg == "sum":
-        m = m.cast("decimal(18,2)")
-    fn = {"sum": F.sum, "max": F.max, "min": F.min, "avg": F.avg, "count": F.count,
+    m = F.col(q(measure))
+    fn = {"sum": lambda c: _sum(measure, exact_money), "max": F.max, "min": F.min, "avg": F.avg, "count": F.count,
           "first": F.first}[agg]
-    out = df.groupBy(*keys).pivot(pivot_col, list(values)).agg(fn(m))
-    if exact_money and agg == "sum":
-        out = out.withColumns({str(v): F.col(q(str(v))).cast("double") for v in values})
+    out = df.groupBy(*keys).pivot(pivot_col, [v for v in values if v is not None]).agg(fn(m))
+    if None in values:
+        # the null category as one more column, null-safe on the keys
+        rest = df.where(F.col(q(pivot_col)).isNull()).groupBy(*keys).agg(fn(m).alias(NULL_CATEGORY))
+        out = join_groups(out, rest, list(keys), "left")
     if names:
         out = out.withColumnsRenamed({str(k): v for k, v in names.items()})
     return out
@@ -71,16 +82,16 @@ def discover_values(df: DataFrame, col: str, limit: int = 10000) -> list:
     vals = [r[0] for r in df.select(col).distinct().limit(limit + 1).collect()]
     if len(vals) > limit:
         raise ValueError(f"{col} has more than {limit} distinct values")
-    return sorted(v for v in vals if v is not None)
+    return sorted((v for v in vals if v is not None)) + [None] * (None in vals)
 
 
 def pivot_discovered(df: DataFrame, keys, pivot_col: str, measure: str,
                      prefix: str = "Cat_", fill: float | None = 0.0,
-                     exact_money: bool = True) -> DataFrame:
-    """A4 + P3 + F4: pivot on discovered values, clean the new column names
-    and fill empty cells."""
+                     exact_money: str | None = None) -> DataFrame:
+    """A4 + P3 + F4: pivot on discovered values (null included), clean the
+    new column names and fill empty cells."""
     values = discover_values(df, pivot_col)
-    names = {str(v): clean_column_name(str(v), prefix) for v in values}
+    names = {NULL_CATEGORY if v is None else str(v): header(NULL_CATEGORY if v is None else str(v), prefix=prefix) for v in values}
     unique_names(list(keys) + list(names.values()))
     out = pivot_values(df, keys, pivot_col, values, measure, "sum", names, exact_money)
     if fill is not None:

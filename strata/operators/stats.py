@@ -1,11 +1,12 @@
 """Statistics.
 
-Everything is an aggregate over the whole input with partial
-aggregation, a window over an already-aggregated table (at most a few
-thousand rows per group), or a join to a one-row-per-group statistics
-table.  No operator collects rows to the driver or sends one group's raw
-rows to one task: exact quantiles are computed from value counts with a
-bucketed prefix sum (``operators/ranks.py``).
+Everything is an aggregate over the whole input with partial aggregation,
+a join to a one-row-per-group statistics table, or a window over an already
+aggregated table.  No operator collects rows to the driver or sends one
+group's raw rows to one task.
+
+One rule for odd values: null, NaN and the infinities are missing values in
+every statistic.  A null group is a group of its own.
 """
 
 from __future__ import annotations
@@ -15,15 +16,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.operators.ranks import running_sums
-from strata.session import materialize
-
-# ---- fixed values: the five band labels -------------------------------------
-NEAR_MEAN = "Near Mean"
-MODERATE_HIGH = "Moderate High"
-MODERATE_LOW = "Moderate Low"
-EXTREME_HIGH = "Extreme High"
-EXTREME_LOW = "Extreme Low"
+# ---- fixed values: the band names, from the mean outwards ---------------------
+BANDS = ("Near Mean", "Moderate", "Extreme")
 
 
 def _col(c) -> Column:
@@ -33,19 +27,37 @@ def _col(c) -> Column:
 
 
 def fround(c, places: int) -> Column:
-    """floor(x * 10^p + 0.5) / 10^p: the same IEEE steps in any engine, so a
-    value exactly halfway rounds identically everywhere."""
+    """floor(x * 10^p + 0.5) / 10^p in double precision: the same IEEE steps
+    in any engine, so a value exactly halfway rounds identically everywhere.
+    Spark's ``floor`` gives BIGINT; from 2^52 on a double is whole already,
+    so only smaller values pass through it.  NaN stays NaN."""
     s = float(10 ** places)
-    return F.floor(_col(c) * F.lit(s) + F.lit(0.5)) / F.lit(s)
+    x = _col(c) * F.lit(s) + F.lit(0.5)
+    return F.when(F.abs(x) < F.lit(2.0 ** 52), F.floor(x).cast("double")).otherwise(x) / F.lit(s)
+
+
+def finite(c) -> Column:
+    """The value as double, null if it is NaN or infinite (NaN compares as
+    the largest double)."""
+    x = _col(c).cast("double")
+    return F.when(F.abs(x) < F.lit(float("inf")), x)
+
+
+def join_groups(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` in which null equals null."""
+    named = right.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    on = [left[f"`{k}`"].eqNullSafe(named[f"`_key_{k}`"]) for k in keys]
+    return left.join(named, on, how).drop(*[f"_key_{k}" for k in keys])
 
 
 def attach(df: DataFrame, stats: DataFrame, groups=()) -> DataFrame:
     """Join a statistics table back to the rows.  A global (one-row)
     table is broadcast: its size is proven; per-group tables are joined on
-    the group keys and AQE decides the strategy from their measured size."""
+    the group keys (null included) and AQE decides the strategy from their
+    measured size."""
     if not groups:
         return df.crossJoin(F.broadcast(stats))
-    return df.join(stats, list(groups))
+    return join_groups(df, stats, list(groups))
 
 
 # ---- A5, A6, J7 --------------------------------------------------------------
@@ -60,10 +72,10 @@ def entity_profile(df: DataFrame, entity, **measures: Column) -> DataFrame:
 # ---- A10 ----------------------------------------------------------------------
 
 def corr(x, y) -> Column:
-    """Pearson correlation over pairwise-complete rows; null (not an error)
-    when a variance is zero.  ``DataFrame.stat.corr`` is not used: it does
+    """Pearson correlation over rows with two finite values; null (not an
+    error) when a variance is zero.  ``DataFrame.stat.corr`` is not used: it does
     not skip rows where only one side is null."""
-    x, y = _col(x), _col(y)
+    x, y = finite(x), finite(y)
     both = x.isNotNull() & y.isNotNull()
     xs, ys = F.when(both, x), F.when(both, y)
     return F.try_divide(F.covar_pop(xs, ys), F.stddev_pop(xs) * F.stddev_pop(ys))
@@ -76,24 +88,27 @@ def correlations(df: DataFrame, pairs, places: int = 6) -> DataFrame:
 
 # ---- A9, C16, C17 ---------------------------------------------------------------
 
+def band_of(deviation: Column, sd: Column, cuts=(1.0, 2.0), names=BANDS) -> Column:
+    """The band of a deviation: ``names[k]`` where k cut points (multiples of
+    the standard deviation) are exceeded, with the side from the second on."""
+    passed = sum(((F.abs(deviation) > c * sd).cast("int") for c in cuts), F.lit(0))
+    side = F.when(passed == 0, "").when(deviation > 0, " High").otherwise(" Low")
+    return F.when(deviation.isNotNull() & sd.isNotNull(),
+                  F.concat(F.element_at(F.array(*map(F.lit, names)), passed + 1), side))
+
+
 def sigma_bands(df: DataFrame, value: str, out: str = "band", dev_out: str = "deviation",
-                groups=(), stats_from: DataFrame | None = None) -> DataFrame:
-    """Deviation from the mean and a five-way band at 1 and 2 sample
-    standard deviations.  A null value gets a null band.  ``stats_from``
-    takes the mean and sd from another frame with the same rows (e.g. an
-    already materialised table), so ``df``'s plan is not run twice."""
+                groups=(), stats_from: DataFrame | None = None, cuts=(1.0, 2.0), names=BANDS) -> DataFrame:
+    """Deviation from the mean and a band at ``cuts`` sample standard
+    deviations.  A missing value (see the module) gets neither.
+    ``stats_from`` takes the mean and sd from another frame with the same
+    rows (e.g. an already materialised table), so ``df``'s plan is not run
+    twice."""
     src = df if stats_from is None else stats_from
-    st = src.groupBy(*groups).agg(F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_sd"))
+    st = src.groupBy(*groups).agg(F.avg(finite(value)).alias("_mean"), F.stddev_samp(finite(value)).alias("_sd"))
     j = attach(df, st, groups)
-    d = F.col(value) - F.col("_mean")
-    sd = F.col("_sd")
-    band = (F.when(d.isNull() | sd.isNull(), F.lit(None).cast("string"))
-            .when(F.abs(d) <= sd, NEAR_MEAN)
-            .when((d > sd) & (d <= 2 * sd), MODERATE_HIGH)
-            .when((d < -sd) & (d >= -2 * sd), MODERATE_LOW)
-            .when(d > 2 * sd, EXTREME_HIGH)
-            .otherwise(EXTREME_LOW))
-    return j.withColumns({dev_out: d, out: band}).drop("_mean", "_sd")
+    d = finite(value) - F.col("_mean")
+    return j.withColumns({dev_out: d, out: band_of(d, F.col("_sd"), cuts, names)}).drop("_mean", "_sd")
 
 
 # ---- A7, A8, J6, C19, O1 -------------------------------------------------------
@@ -114,12 +129,13 @@ def share_within_group(df: DataFrame, group: str, category: str, places: int = 2
 def trend_line(df: DataFrame, x: str, y: str, groups=(), places: int = 6) -> DataFrame:
     """OLS y ~ x per group: n, slope, intercept, r2, slope standard error,
     residual standard error (the closed forms behind a regression plot)."""
-    sxx, syy, sxy = F.regr_sxx(y, x), F.regr_syy(y, x), F.regr_sxy(y, x)
-    n = F.regr_count(y, x)
+    fx, fy = finite(x), finite(y)
+    sxx, syy, sxy = F.regr_sxx(fy, fx), F.regr_syy(fy, fx), F.regr_sxy(fy, fx)
+    n = F.regr_count(fy, fx)
     g = df.groupBy(*groups).agg(
-        n.alias("n"), F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"),
-        F.regr_r2(y, x).alias("r2"), sxx.alias("_sxx"), syy.alias("_syy"), sxy.alias("_sxy"),
-        F.avg(F.when(F.col(y).isNotNull(), F.col(x))).alias("x_mean"))
+        n.alias("n"), F.regr_slope(fy, fx).alias("slope"), F.regr_intercept(fy, fx).alias("intercept"),
+        F.regr_r2(fy, fx).alias("r2"), sxx.alias("_sxx"), syy.alias("_syy"), sxy.alias("_sxy"),
+        F.avg(F.when(fy.isNotNull(), fx)).alias("x_mean"))
     resid = F.col("_syy") - F.try_divide(F.col("_sxy") * F.col("_sxy"), F.col("_sxx"))
     resid_var = F.try_divide(resid, F.col("n") - 2)
     g = g.withColumns({
@@ -133,7 +149,8 @@ def trend_line(df: DataFrame, x: str, y: str, groups=(), places: int = 6) -> Dat
 def trend_band(df: DataFrame, x: str, y: str, groups=(), points: int = 50, z: float = 1.959964) -> DataFrame:
     """Fitted line and its 95 % confidence band of the mean on an even grid
     of ``points`` x values per group (normal quantile, closed form)."""
-    st = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*groups).agg(
+    pairs = df.withColumns({x: finite(x), y: finite(y)}).where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    st = pairs.groupBy(*groups).agg(
         F.regr_count(y, x).alias("n"), F.regr_slope(y, x).alias("b"),
         F.regr_intercept(y, x).alias("a"), F.regr_sxx(y, x).alias("sxx"),
         F.regr_syy(y, x).alias("syy"), F.regr_sxy(y, x).alias("sxy"),
@@ -152,9 +169,10 @@ def trend_band(df: DataFrame, x: str, y: str, groups=(), points: int = 50, z: fl
 # ---- A13, A14 ------------------------------------------------------------------
 
 def distribution_stats(df: DataFrame, value: str, groups=(), places: int = 6) -> DataFrame:
-    """n, mean, sample sd, bias-adjusted skewness (as pandas ``skew``), min, max."""
+    """n, mean, sample sd, bias-adjusted skewness (as pandas ``skew``), min,
+    max of the finite values."""
     n = F.count(value)
-    g = df.groupBy(*groups).agg(n.alias("n"), F.avg(value).alias("mean"),
+    g = df.withColumn(value, finite(value)).groupBy(*groups).agg(n.alias("n"), F.avg(value).alias("mean"),
                                 F.stddev_samp(value).alias("stddev"),
                                 F.skewness(value).alias("_g1"), F.min(value).alias("min"),
                                 F.max(value).alias("max"))
@@ -186,7 +204,7 @@ def histogram(df: DataFrame, value: str, bins: int = 30, groups=()) -> DataFrame
     """Equal-width bins between min and max, as ``numpy.histogram`` counts
     them (max in the last bin, edge values in the upper bin); empty bins are
     listed with count 0."""
-    base = df.select(*groups, value).where(F.col(value).isNotNull())
+    base = df.select(*groups, finite(value).alias(value)).where(F.col(value).isNotNull())
     st = base.groupBy(*groups).agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
     span = F.col("hi") - F.col("lo")
     b = _numpy_bin(F.col(value), F.col("lo"), F.col("hi"), bins)
@@ -196,7 +214,7 @@ def histogram(df: DataFrame, value: str, bins: int = 30, groups=()) -> DataFrame
     width = span / F.lit(bins)
     edges = edges.select(*groups, "bin", (F.col("lo") + F.col("bin") * width).alias("bin_lo"),
                          (F.col("lo") + (F.col("bin") + 1) * width).alias("bin_hi"))
-    return edges.join(counts, list(groups) + ["bin"], "left").fillna(0, subset=["count"])
+    return join_groups(edges, counts, [*groups, "bin"], "left").fillna(0, subset=["count"])
 
 
 # ---- G6 --------------------------------------------------------------------------
@@ -209,7 +227,7 @@ def kde(df: DataFrame, value: str, grid: int = 200, bins: int = 200, groups=(),
     aggregation over the data); the kernel then runs over bin centres x
     grid points, so the cost is N + bins * grid, not N * grid.
     """
-    base = df.select(*groups, value).where(F.col(value).isNotNull())
+    base = df.select(*groups, finite(value).alias(value)).where(F.col(value).isNotNull())
     st = base.groupBy(*groups).agg(F.min(value).alias("lo"), F.max(value).alias("hi"),
                                    F.count(F.lit(1)).alias("n"),
                                    F.stddev_samp(value).alias("sd"))
@@ -242,76 +260,85 @@ def density_mode(kde_df: DataFrame, groups=()) -> DataFrame:
 
 # ---- G3, G4: exact quantiles without gathering a group -------------------------
 
-def value_counts(df: DataFrame, value, groups=()) -> DataFrame:
-    """(groups, _x, _c): how often each distinct value occurs, written once as
-    a table in the shared checkpoint folder.  Quantiles, whiskers and
-    outlier counts all read this table, so the raw rows are scanned once;
-    repeats of a hot value collapse in the partial aggregation."""
-    x = _col(value).cast("double")
-    base = df.select(*groups, x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
-    return materialize(base.groupBy(*groups, "_x").agg(F.count(F.lit(1)).alias("_c")), "value_counts")
+ACCURACY = 10_000
 
 
-def exact_quantiles(df: DataFrame, value: str, probs, groups=(), buckets: int = 1024,
-                    names=None, split_over: int = 100_000, counts: DataFrame | None = None) -> DataFrame:
+def exact_quantiles(df: DataFrame, value, probs, groups=(), names=None, accuracy: int = ACCURACY) -> DataFrame:
     """Linear-interpolation quantiles (``percentile`` / ``quantile_cont``),
     exact, per group, without sending a group to one task.
 
-    Distinct values are counted (``value_counts``), ranked by the bucketed
-    prefix sums of ``ranks.running_sums``, and each quantile takes the
-    values whose rank range covers floor/ceil of p * (n - 1).
+    Two passes, each one partial aggregation.  A quantile sketch first
+    brackets every wanted quantile: its rank error is at most n / accuracy,
+    and the bracket is twice as wide on both sides (the whole range in
+    groups of up to 4 * accuracy values).  The second pass counts, per
+    quantile, the values below its bracket and each distinct value inside
+    it; the exact ranks follow from running sums over those few values
+    (about 5 n / accuracy at most, whatever the distribution).
     """
     groups = list(groups)
     names = names or [f"q{int(round(p * 100)):02d}" for p in probs]
-    vc = counts if counts is not None else value_counts(df, value, groups)
-    ranked = running_sums(vc, groups, "_x", ["_c"], buckets, split_over) \
-        .withColumnRenamed("cum__c", "_cum")
-    st = vc.groupBy(*groups).agg(F.sum("_c").alias("_n"))
-    ranked = attach(ranked, st, groups)
-    aggs = [F.first("_n").alias("n"), F.min("_x").alias("min"), F.max("_x").alias("max")]
+    base = df.select(*groups, finite(value).alias("_x")).where(F.col("_x").isNotNull())
+    wide = 2.0 / accuracy
+    sides = [min(1.0, max(0.0, p + d)) for p in probs for d in (-wide, wide)]
+    sketch = (base.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("min"), F.max("_x").alias("max"),
+                                        F.percentile_approx("_x", sides, accuracy).alias("_b")))
+    few = F.col("n") <= 4 * accuracy
+    lo = [F.when(few, F.col("min")).otherwise(F.col("_b")[2 * i]) for i in range(len(probs))]
+    hi = [F.when(few, F.col("max")).otherwise(F.col("_b")[2 * i + 1]) for i in range(len(probs))]
+    ends = sketch.select(*groups, *[c.alias(f"_lo{i}") for i, c in enumerate(lo)], *[c.alias(f"_hi{i}") for i, c in enumerate(hi)])
+    x = F.col("_x")
+    hits = F.array(*[F.when(x <= F.col(f"_hi{i}"), F.struct(F.lit(i).alias("i"), F.when(x >= F.col(f"_lo{i}"), x).alias("x")))
+                     for i in range(len(probs))])
+    counted = (attach(base, ends, groups).select(*groups, F.explode(F.filter(hits, lambda h: h.isNotNull())).alias("h"))
+               .groupBy(*groups, "h.i", "h.x").agg(F.count(F.lit(1)).alias("_c")))
+    run = Window.partitionBy(*groups, "i").orderBy(F.col("x").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = attach(counted.withColumn("_cum", F.sum("_c").over(run)).where(F.col("x").isNotNull()),
+                    sketch.select(*groups, "n", "min", "max"), groups)
+    below, aggs = F.col("_cum") - F.col("_c"), []
     for i, p in enumerate(probs):
-        h = F.lit(float(p)) * (F.col("_n") - 1).cast("double")
-        lo_r, hi_r = F.floor(h), F.ceil(h)
-        below = F.col("_cum") - F.col("_c")
-        aggs.append(F.max(F.when((below <= lo_r) & (lo_r < F.col("_cum")), F.col("_x"))).alias(f"_lo{i}"))
-        aggs.append(F.max(F.when((below <= hi_r) & (hi_r < F.col("_cum")), F.col("_x"))).alias(f"_hi{i}"))
-    q = ranked.groupBy(*groups).agg(*aggs)
+        h = F.lit(float(p)) * (F.col("n") - 1).cast("double")
+        for name, rank in (("_l", F.floor(h)), ("_h", F.ceil(h))):
+            aggs.append(F.max(F.when((F.col("i") == i) & (below <= rank) & (rank < F.col("_cum")), F.col("x"))).alias(f"{name}{i}"))
+    q = ranked.groupBy(*groups).agg(*[F.first(c).alias(c) for c in ("n", "min", "max")], *aggs)
     outs = []
     for i, (p, nm) in enumerate(zip(probs, names)):
         h = F.lit(float(p)) * (F.col("n") - 1).cast("double")
-        outs.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (h - F.floor(h))).alias(nm))
+        outs.append((F.col(f"_l{i}") + (F.col(f"_h{i}") - F.col(f"_l{i}")) * (h - F.floor(h))).alias(nm))
     return q.select(*groups, "n", "min", "max", *outs)
 
 
+def _fences(df: DataFrame, value, groups, whisker: float) -> DataFrame:
+    qs = exact_quantiles(df, value, [0.25, 0.5, 0.75], groups, names=["q1", "median", "q3"])
+    qs = qs.withColumn("iqr", F.col("q3") - F.col("q1"))
+    return qs.withColumns({"lo_fence": F.col("q1") - whisker * F.col("iqr"),
+                           "hi_fence": F.col("q3") + whisker * F.col("iqr")})
+
+
 def box_stats(df: DataFrame, value: str, groups=(), whisker: float = 1.5, places: int = 6,
               log10: bool = False) -> DataFrame:
     """Five-number summary with whiskers at the last values inside
     q1 - 1.5 IQR and q3 + 1.5 IQR, plus the outlier count.  ``log10``
-    summarises log10(value) over positive values (a log-scale axis).
-    Everything, whiskers included, comes from the value-count table."""
+    summarises log10(value) over positive values (a log-scale axis)."""
     groups = list(groups)
-    src = df.where(F.col(value) > 0) if log10 else df
-    vc = value_counts(src, F.log10(value) if log10 else F.col(value), groups)
-    qs = exact_quantiles(None, "_x", [0.25, 0.5, 0.75], groups, names=["q1", "median", "q3"], counts=vc)
-    qs = qs.withColumn("iqr", F.col("q3") - F.col("q1"))
-    qs = qs.withColumns({"lo_fence": F.col("q1") - whisker * F.col("iqr"),
-                         "hi_fence": F.col("q3") + whisker * F.col("iqr")})
-    j = attach(vc, qs.select(*groups, "lo_fence", "hi_fence"), groups)
+    x = finite(value)
+    base = df.select(*groups, (F.when(x > 0, F.log10(x)) if log10 else x).alias("_x")).where(F.col("_x").isNotNull())
+    qs = _fences(base, "_x", groups, whisker)
+    j = attach(base, qs, groups)
     outside = (F.col("_x") < F.col("lo_fence")) | (F.col("_x") > F.col("hi_fence"))
-    w = j.groupBy(*groups).agg(
+    carried = ["n", "min", "q1", "median", "q3", "iqr", "max"]
+    out = j.groupBy(*groups).agg(
+        *[F.first(c).alias(c) for c in carried],        # constant per group
         F.min(F.when(F.col("_x") >= F.col("lo_fence"), F.col("_x"))).alias("whisker_lo"),
         F.max(F.when(F.col("_x") <= F.col("hi_fence"), F.col("_x"))).alias("whisker_hi"),
-        F.sum(F.when(outside, F.col("_c")).otherwise(F.lit(0))).alias("n_outliers"))
-    out = qs.join(w, groups) if groups else qs.crossJoin(w)
+        F.sum(outside.cast("long")).alias("n_outliers"))
     num = ["min", "q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi", "max"]
     return out.select(*groups, "n", *[fround(c, places).alias(c) for c in num], "n_outliers")
 
 
 def box_outliers(df: DataFrame, value: str, groups=(), keep=(), whisker: float = 1.5) -> DataFrame:
     """The rows outside the whisker fences, with their group's fences."""
-    qs = exact_quantiles(df, value, [0.25, 0.75], groups, names=["q1", "q3"])
-    iqr = F.col("q3") - F.col("q1")
-    fences = qs.select(*groups, (F.col("q1") - whisker * iqr).alias("lo_fence"),
-                       (F.col("q3") + whisker * iqr).alias("hi_fence"))
-    j = attach(df.select(*keep, *groups, value), fences, groups)
-    return j.where((F.col(value) < F.col("lo_fence")) | (F.col(value) > F.col("hi_fence")))
+    groups = list(groups)
+    rows = df.select(*dict.fromkeys([*keep, *groups, value]))
+    fences = _fences(rows, value, groups, whisker).select(*groups, "lo_fence", "hi_fence")
+    x = finite(value)
+    return attach(rows, fences, groups).where((x < F.col("lo_fence")) | (x > F.col("hi_fence")))

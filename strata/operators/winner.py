@@ -45,11 +45,13 @@ def winner_long(df: DataFrame, keys, label_col: str, value_col: str, out: str =
     ``min_by(label, struct(-value, order))`` is an algebraic aggregate:
     partial aggregation per task, so a hot key is pre-reduced before the
     shuffle and never gathered in one place.  Ties go to the smallest
-    ``order_col`` (default: the label itself).
+    ``order_col`` (default: the label itself).  A key whose values are all
+    null keeps its row, with a null winner and maximum.
     """
     order = F.col(order_col) if order_col else F.col(label_col)
-    base = df.where(F.col(value_col).isNotNull())
-    aggs = [F.min_by(F.col(label_col), F.struct((-F.col(value_col)).alias("nv"), order.alias("o"))).alias(out)]
+    value = F.col(q(value_col))
+    rank = F.when(value.isNotNull(), F.struct((-value).alias("nv"), order.alias("o")))
+    aggs = [F.min_by(F.col(q(label_col)), rank).alias(out)]
     if max_out:
-        aggs.append(F.max(value_col).alias(max_out))
-    return base.groupBy(*keys).agg(*aggs)
+        aggs.append(F.max(value).alias(max_out))
+    return df.groupBy(*keys).agg(*aggs)

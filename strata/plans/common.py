@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from strata.sources.tables import table
 
 
+MONEY = "decimal(18,2)"      # prices of the driver's tables: exact sums in any order
+
+
 def orders_by_year(spark: SparkSession, sf: str, *extra: str) -> DataFrame:
     """orders with an int ``year`` column (only the needed columns are read)."""
     o = table(spark, sf, "orders", "o_custkey", "o_orderdate", "o_totalprice", *extra)

@@ -20,7 +20,7 @@ from strata.operators.nearest import nearest_join
 from strata.operators.reshape import allocate_columns, discover_values, panel_sum, pivot_discovered
 from strata.operators.stats import fround, sigma_bands
 from strata.operators.winner import winner_wide
-from strata.plans.common import orders_by_year
+from strata.plans.common import MONEY, orders_by_year
 from strata.session import materialize
 
 KEYS = ["o_custkey", "year"]
@@ -29,7 +29,7 @@ KEYS = ["o_custkey", "year"]
 def yearly_panel(spark: SparkSession, sf: str) -> DataFrame:
     """(customer, year, total_price, n_orders, f_total, f_ratio, winner)."""
     o = orders_by_year(spark, sf, "o_orderstatus", "o_orderpriority")
-    prios = discover_values(o, "o_orderpriority")
+    prios = [v for v in discover_values(o, "o_orderpriority") if v is not None]     # a null label wins nothing
     price = money("o_totalprice")
     aggs = [money_sum("o_totalprice").alias("total_price"), F.count(F.lit(1)).alias("n_orders"),
             F.sum(F.when(F.col("o_orderstatus") == "F", price)).cast("double").alias("f_total")]
@@ -78,20 +78,20 @@ def q_panel_flagship(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_subcat_features(spark: SparkSession, sf: str) -> DataFrame:
     """The subcategory feature table (A4, P3, F4, J1, P10, C15): priority
-    sums pivoted with cleaned ``SubCat_`` names, a ``SubCat_Summe`` total,
+    sums pivoted with cleaned ``Part_`` names, a ``Part_Total`` total,
     inner-joined to the yearly panel (both sides aggregated on the same
     keys, so the join adds no exchange), each part turned into its share of
     the price per order, absolute parts dropped."""
     o = orders_by_year(spark, sf, "o_orderpriority")
-    piv = pivot_discovered(o, KEYS, "o_orderpriority", "o_totalprice", prefix="SubCat_")
-    parts = columns_with_prefix(piv, "SubCat_")
-    piv = piv.withColumn("SubCat_Summe", row_sum(parts))
-    panel = panel_sum(o, KEYS, "o_totalprice", "total_price", count_col="n_orders")
+    piv = pivot_discovered(o, KEYS, "o_orderpriority", "o_totalprice", prefix="Part_", exact_money=MONEY)
+    parts = columns_with_prefix(piv, "Part_")
+    piv = piv.withColumn("Part_Total", row_sum(parts))
+    panel = panel_sum(o, KEYS, "o_totalprice", "total_price", exact_money=MONEY, count_col="n_orders")
     j = panel.join(piv, KEYS, "inner").where(F.col("total_price").isNotNull())
     j = j.withColumn("price_per_order", ratio("total_price", "n_orders"))
-    a = allocate_columns(j, columns_with_prefix(j, "SubCat_", ["SubCat_Summe"]), "SubCat_Summe",
-                         "price_per_order", suffix="_PC", drop_parts=True)
-    pcs = [c for c in a.columns if c.endswith("_PC")]
+    a = allocate_columns(j, columns_with_prefix(j, "Part_", ["Part_Total"]), "Part_Total",
+                         "price_per_order", suffix="_share", drop_parts=True)
+    pcs = [c for c in a.columns if c.endswith("_share")]
     return a.select(*KEYS, fround("price_per_order", 6).alias("price_per_order"),
                     *[fround(c, 6).alias(c) for c in pcs])
 
@@ -152,7 +152,7 @@ FROM g
 """,
 }
 
-_SUBCATS = [('1-URGENT', 'SubCat_1_URGENT'), ('2-HIGH', 'SubCat_2_HIGH'), ('3-MEDIUM', 'SubCat_3_MEDIUM'), ('4-NOT SPECIFIED', 'SubCat_4_NOT_SPECIFIED'), ('5-LOW', 'SubCat_5_LOW')]
+_SUBCATS = [('1-URGENT', 'Part_1_URGENT'), ('2-HIGH', 'Part_2_HIGH'), ('3-MEDIUM', 'Part_3_MEDIUM'), ('4-NOT SPECIFIED', 'Part_4_NOT_SPECIFIED'), ('5-LOW', 'Part_5_LOW')]
 
 _SUBCAT_SUMS = ",\n".join(
     f"  COALESCE(CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (WHERE o_orderpriority = '{v}') AS DOUBLE), 0.0) AS {n}"
@@ -169,7 +169,7 @@ pan AS (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year,
 j AS (SELECT pan.*, tot.* EXCLUDE (o_custkey, year), pan.total_price / pan.n_orders AS ppo
       FROM pan JOIN tot USING (o_custkey, year))
 SELECT o_custkey, year, {_fr('ppo', 6)} AS price_per_order,
-""" + ",\n".join(f"  {_fr(f'CASE WHEN summe = 0 THEN 0.0 ELSE {n} / summe * ppo END', 6)} AS {n}_PC"
+""" + ",\n".join(f"  {_fr(f'CASE WHEN summe = 0 THEN 0.0 ELSE {n} / summe * ppo END', 6)} AS {n}_share"
                   for _, n in _SUBCATS) + """
 FROM j
 """

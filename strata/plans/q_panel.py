@@ -13,9 +13,9 @@ from strata.functions.columns import columns_excluding
 from strata.functions.numbers import money, pct, ratio, row_sum
 from strata.operators.joins import panel_join
 from strata.operators.nearest import Side, dedupe_right, nearest_enrich, nearest_join
-from strata.operators.reshape import discover_values, panel_sum, pivot_discovered, pivot_values
+from strata.operators.reshape import discover_values, panel_sum, pivot_discovered, pivot_values, ratio_of_sums
 from strata.operators.winner import winner_long, winner_wide
-from strata.plans.common import events_by_day, orders_by_year, r6
+from strata.plans.common import MONEY, events_by_day, orders_by_year, r6
 from strata.sources.tables import table
 
 PANEL = ["o_custkey", "year"]
@@ -26,21 +26,21 @@ PANEL = ["o_custkey", "year"]
 def q_panel_sum(spark: SparkSession, sf: str) -> DataFrame:
     """A1: sum of order price per customer and year."""
     return panel_sum(orders_by_year(spark, sf), PANEL, "o_totalprice", "total_price",
-                     count_col="n_orders")
+                     exact_money=MONEY, count_col="n_orders")
 
 
 def q_pivot_first_pct(spark: SparkSession, sf: str) -> DataFrame:
     """A3 + C9: explicit-value pivot on status, F as a percentage of O."""
     o = orders_by_year(spark, sf, "o_orderstatus")
     p = pivot_values(o, PANEL, "o_orderstatus", ["F", "O"], "o_totalprice", "sum",
-                     names={"F": "F_total", "O": "O_total"}, exact_money=True)
+                     names={"F": "F_total", "O": "O_total"}, exact_money=MONEY)
     return p.withColumn("F_pct", r6(pct("F_total", "O_total")))
 
 
 def q_pivot_dynamic(spark: SparkSession, sf: str) -> DataFrame:
     """A4 + P3 + F4: discovered priorities become cleaned, zero-filled columns."""
     o = orders_by_year(spark, sf, "o_orderpriority")
-    return pivot_discovered(o, PANEL, "o_orderpriority", "o_totalprice", prefix="Cat_")
+    return pivot_discovered(o, PANEL, "o_orderpriority", "o_totalprice", prefix="Cat_", exact_money=MONEY)
 
 
 def q_ratio(spark: SparkSession, sf: str) -> DataFrame:
@@ -80,7 +80,7 @@ def q_winner_wide(spark: SparkSession, sf: str) -> DataFrame:
     """C12 + C13 + P9: wide counts per priority, arg-max across the columns."""
     o = table(spark, sf, "orders", "o_custkey", "o_orderpriority")
     prios = discover_values(o, "o_orderpriority")
-    wide = o.groupBy("o_custkey").pivot("o_orderpriority", prios).agg(F.count(F.lit(1)))
+    wide = pivot_values(o, ["o_custkey"], "o_orderpriority", prios, "o_custkey", "count")
     label_cols = columns_excluding(wide, ["o_custkey"])
     return winner_wide(wide, label_cols, "winner", "max_value").select("o_custkey", "winner", "max_value")
 
@@ -150,7 +150,41 @@ def q_enrich_multi(spark: SparkSession, sf: str) -> DataFrame:
                       *[f"{k}_{c}" for k in ("signup", "purchase", "click") for c in ("period", "value")])
 
 
+def _odd_orders(spark, sf):
+    """Orders with three-decimal measures, a null category, and customers
+    without any category value."""
+    o = orders_by_year(spark, sf, "o_orderkey", "o_orderstatus")
+    k = F.col("o_orderkey")
+    return o.select("o_custkey", F.when(k % 5 != 0, F.col("o_orderstatus")).alias("status"),
+                    F.when(F.col("o_custkey") % 4 != 0, (k % 1000) / 1000.0).alias("amount"))
+
+
+def q_odd_panel(spark: SparkSession, sf: str) -> DataFrame:
+    """A1, A4: plain sums of three-decimal amounts, the null status as a column."""
+    o = _odd_orders(spark, sf)
+    p = pivot_discovered(o, ["o_custkey"], "status", "amount", prefix="Part_", fill=None)
+    j = panel_sum(o, ["o_custkey"], "amount", "total").join(p, "o_custkey")
+    return j.select("o_custkey", *[F.round(c, 6).alias(c) for c in ("total", "Part_F", "Part_O", "Part_P", "Part_null")])
+
+
+def q_odd_winner(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers without a value keep their row, without a winner."""
+    return winner_long(_odd_orders(spark, sf).where(F.col("status").isNotNull()), ["o_custkey"], "status", "amount")
+
+
+def q_ratio_operator(spark: SparkSession, sf: str) -> DataFrame:
+    """A2: the ratio operator on exact decimal sums."""
+    li = table(spark, sf, "lineitem", "l_suppkey", "l_extendedprice", "l_discount")
+    price, rate = money("l_extendedprice"), money("l_discount")
+    r = ratio_of_sums(li, ["l_suppkey"], price * rate, price, "discount_ratio", "discount_amount", "gross_amount")
+    return r.select("l_suppkey", *[F.col(c).cast("double").alias(c) for c in ("discount_amount", "gross_amount")],
+                    F.round(F.col("discount_ratio").cast("double"), 6).alias("discount_ratio"))
+
+
 QUERIES = {
+    "odd_panel": q_odd_panel,
+    "odd_winner": q_odd_winner,
+    "ratio_operator": q_ratio_operator,
     "panel_sum": q_panel_sum,
     "pivot_first_pct": q_pivot_first_pct,
     "pivot_dynamic": q_pivot_dynamic,
@@ -213,7 +247,24 @@ r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY n DESC, p) AS
 SELECT o_custkey, p AS winner, n AS max_value FROM r WHERE rn = 1
 """
 
+_ODD = """SELECT o_custkey, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderstatus END AS status,
+  CASE WHEN o_custkey % 4 <> 0 THEN (o_orderkey % 1000) / 1000.0::DOUBLE END AS amount FROM orders"""
+
 ORACLE = {
+    "odd_panel": f"""
+SELECT o_custkey, round(sum(amount), 6) AS total, round(sum(amount) FILTER (status = 'F'), 6) AS Part_F,
+  round(sum(amount) FILTER (status = 'O'), 6) AS Part_O, round(sum(amount) FILTER (status = 'P'), 6) AS Part_P,
+  round(sum(amount) FILTER (status IS NULL), 6) AS Part_null FROM ({_ODD}) GROUP BY 1
+""",
+    "odd_winner": f"""
+SELECT o_custkey, arg_min(status, (-amount, status)) FILTER (amount IS NOT NULL) AS winner, max(amount) AS max_value
+FROM ({_ODD}) WHERE status IS NOT NULL GROUP BY 1
+""",
+    "ratio_operator": """
+SELECT l_suppkey, CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(18,2))) AS DOUBLE) AS discount_amount,
+  CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS gross_amount, round(discount_amount / gross_amount, 6) AS discount_ratio
+FROM lineitem GROUP BY 1
+""",
     "panel_sum": _YEAR_TOTALS,
     "pivot_first_pct": """
 SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year,

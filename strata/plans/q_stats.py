@@ -13,6 +13,7 @@ from strata.operators.reshape import allocate_columns, pivot_values
 from strata.operators.stats import (box_outliers, box_stats, correlations, density_mode,
                                     distribution_stats, entity_profile, fround, histogram, kde,
                                     share_within_group, sigma_bands, trend_band, trend_line)
+from strata.plans.common import MONEY
 from strata.sources.tables import table
 
 
@@ -39,7 +40,7 @@ def q_allocate_share(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders", "o_custkey", "o_orderstatus", "o_totalprice")
     parts = pivot_values(o, ["o_custkey"], "o_orderstatus", ["F", "O", "P"], "o_totalprice",
                          "sum", names={"F": "Part_F", "O": "Part_O", "P": "Part_P"},
-                         exact_money=True)
+                         exact_money=MONEY)
     parts = parts.withColumn("Part_Total", row_sum(["Part_F", "Part_O", "Part_P"]))
     c = table(spark, sf, "customer", "c_custkey", "c_acctbal")
     j = parts.join(c, parts.o_custkey == c.c_custkey).drop("o_custkey")
@@ -186,7 +187,45 @@ def q_join_strategies(spark: SparkSession, sf: str) -> DataFrame:
     return u.select("strategy", "n_rows", "price_sum", "balance_sum")
 
 
+def _odd_events(spark, sf):
+    """Events with odd values put in: NaN, both infinities, values of about
+    1e14, null values, and a null group."""
+    i, v = F.col("event_id"), F.col("value")
+    value = (F.when(i % 97 == 0, F.lit(float("nan"))).when(i % 101 == 0, F.lit(float("inf")))
+             .when(i % 103 == 0, F.lit(float("-inf"))).when(i % 107 == 0, F.lit(None).cast("double"))
+             .when(i % 11 == 0, v * 1e13).otherwise(v))
+    return _events(spark, sf).select("event_id", F.when(i % 7 != 0, F.col("event_type")).alias("event_type"), value.alias("value"))
+
+
+def q_odd_box_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """G3 with missing and huge values and a null group."""
+    return box_stats(_odd_events(spark, sf), "value", ["event_type"])
+
+
+def q_odd_bands(spark: SparkSession, sf: str) -> DataFrame:
+    """C17 by group with missing and huge values and a null group: no row is lost."""
+    b = sigma_bands(_odd_events(spark, sf), "value", groups=["event_type"])
+    return b.groupBy("event_type", "band").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_odd_distribution(spark: SparkSession, sf: str) -> DataFrame:
+    """A13 and A10 with missing and huge values: to thousands, as sums differ in the last digits."""
+    e = _odd_events(spark, sf)
+    d = distribution_stats(e, "value", ["event_type"], places=-3)
+    return d.select("event_type", "n", "mean", "stddev", "min", "max")
+
+
+def q_odd_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    """G5 by group with missing and huge values and a null group."""
+    h = histogram(_odd_events(spark, sf), "value", 8, ["event_type"])
+    return h.select("event_type", "bin", fround("bin_lo", -3).alias("bin_lo"), "count")
+
+
 QUERIES = {
+    "odd_box_stats": q_odd_box_stats,
+    "odd_bands": q_odd_bands,
+    "odd_distribution": q_odd_distribution,
+    "odd_histogram": q_odd_histogram,
     "share_within_group": q_share_within_group,
     "sigma_bands": q_sigma_bands,
     "allocate_share": q_allocate_share,
@@ -254,24 +293,53 @@ FROM t {gb}
 """
 
 
-def _box(expr: str, where: str) -> str:
+_ODD = """SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN event_type END AS event_type,
+  CASE WHEN event_id % 97 = 0 OR event_id % 101 = 0 OR event_id % 103 = 0 OR event_id % 107 = 0 THEN NULL
+       WHEN event_id % 11 = 0 THEN value * 1e13 ELSE value END AS value FROM events"""
+
+
+def _box(expr: str, where: str, source: str = "events") -> str:
     return f"""
-WITH b AS (SELECT event_type, {expr} AS v FROM events WHERE {where}),
+WITH b AS (SELECT event_type, {expr} AS v FROM {source} WHERE {where}),
 q AS (SELECT event_type, COUNT(*) AS n, min(v) AS mn, max(v) AS mx,
         quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS med, quantile_cont(v, 0.75) AS q3
       FROM b GROUP BY 1),
 f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lf, q3 + 1.5 * (q3 - q1) AS hf FROM q),
 w AS (SELECT b.event_type, min(CASE WHEN v >= lf THEN v END) AS wl, max(CASE WHEN v <= hf THEN v END) AS wh,
         SUM(CASE WHEN v < lf OR v > hf THEN 1 ELSE 0 END) AS n_out
-      FROM b JOIN f USING (event_type) GROUP BY 1)
+      FROM b JOIN f ON b.event_type IS NOT DISTINCT FROM f.event_type GROUP BY 1)
 SELECT f.event_type, f.n, {fr('mn', 6)} AS min, {fr('q1', 6)} AS q1, {fr('med', 6)} AS median,
   {fr('q3', 6)} AS q3, {fr('iqr', 6)} AS iqr, {fr('wl', 6)} AS whisker_lo, {fr('wh', 6)} AS whisker_hi,
   {fr('mx', 6)} AS max, CAST(w.n_out AS BIGINT) AS n_outliers
-FROM f JOIN w USING (event_type)
+FROM f JOIN w ON f.event_type IS NOT DISTINCT FROM w.event_type
 """
 
 
 ORACLE = {
+    "odd_box_stats": _box("value", "value IS NOT NULL", f"({_ODD})"),
+    "odd_bands": f"""
+WITH e AS ({_ODD}), d AS (SELECT event_type, value - avg(value) OVER g AS dev, stddev_samp(value) OVER g AS sd
+  FROM e WINDOW g AS (PARTITION BY event_type))
+SELECT event_type, CASE WHEN dev IS NULL OR sd IS NULL THEN NULL WHEN abs(dev) <= sd THEN 'Near Mean'
+    WHEN abs(dev) <= 2 * sd THEN 'Moderate' ELSE 'Extreme' END
+  || CASE WHEN abs(dev) <= sd THEN '' WHEN dev > 0 THEN ' High' ELSE ' Low' END AS band, COUNT(*) AS n
+FROM d GROUP BY 1, 2
+""",
+    "odd_distribution": f"""
+SELECT event_type, COUNT(value) AS n, floor(avg(value) * 0.001 + 0.5) / 0.001 AS mean,
+  floor(stddev_samp(value) * 0.001 + 0.5) / 0.001 AS stddev, min(value) AS min, max(value) AS max
+FROM ({_ODD}) GROUP BY 1
+""",
+    "odd_histogram": f"""
+WITH e AS ({_ODD}), s AS (SELECT event_type, min(value) AS lo, max(value) AS hi FROM e GROUP BY 1),
+b0 AS (SELECT e.event_type, e.value AS x, s.lo, (s.hi - s.lo) / 8.0 AS step, least(floor((e.value - s.lo) * (8.0 / (s.hi - s.lo))), 7) AS b
+  FROM e JOIN s ON e.event_type IS NOT DISTINCT FROM s.event_type WHERE e.value IS NOT NULL),
+b1 AS (SELECT event_type, x, lo, step, CASE WHEN x < b * step + lo THEN b - 1 ELSE b END AS b FROM b0),
+c AS (SELECT event_type, CAST(CASE WHEN b <> 7 AND x >= (b + 1) * step + lo THEN b + 1 ELSE b END AS INTEGER) AS bin, COUNT(*) AS n FROM b1 GROUP BY 1, 2),
+g AS (SELECT event_type, CAST(range AS INTEGER) AS bin, lo, hi FROM s, range(8))
+SELECT g.event_type, g.bin, floor((lo + g.bin * ((hi - lo) / 8)) * 0.001 + 0.5) / 0.001 AS bin_lo, COALESCE(n, 0) AS count
+FROM g LEFT JOIN c ON g.bin = c.bin AND g.event_type IS NOT DISTINCT FROM c.event_type
+""",
     "share_within_group": f"""
 WITH c AS (SELECT o_orderpriority, o_orderstatus, COUNT(*) AS count FROM orders GROUP BY 1, 2),
 t AS (SELECT *, SUM(count) OVER (PARTITION BY o_orderpriority) AS total FROM c)

@@ -12,15 +12,14 @@ from strata.operators.stats import (box_stats, correlations, distribution_stats,
                                     histogram, kde, share_within_group, sigma_bands)
 
 
-@pytest.mark.parametrize("buckets,split_over", [(1, 100_000), (3, 100_000), (1024, 100_000), (2, 3)])
-def test_exact_quantiles_match_numpy(spark, buckets, split_over):
+@pytest.mark.parametrize("accuracy", [10, 40, 10_000])
+def test_exact_quantiles_match_numpy(spark, accuracy):
     rnd = random.Random(3)
     data = [(g, float(rnd.choice(range(40))) + (0.5 if rnd.random() < 0.3 else 0.0))
             for g in "abc" for _ in range(rnd.randrange(1, 200))]
     df = spark.createDataFrame(data, "g string, x double")
     probs = [0.0, 0.25, 0.5, 0.75, 1.0]
-    q = {r.g: r for r in exact_quantiles(df, "x", probs, ["g"], buckets=buckets,
-                                         split_over=split_over).collect()}
+    q = {r.g: r for r in exact_quantiles(df, "x", probs, ["g"], accuracy=accuracy).collect()}
     for g in "abc":
         xs = np.array([x for gg, x in data if gg == g])
         for p in probs:
@@ -100,3 +99,30 @@ def test_degenerate_inputs_do_not_raise(spark):
     assert len(k) == 200 and all(r.density is None for r in k)
     assert [r["count"] for r in histogram(one, "v", 3).collect() if r.bin == 0] == [2]
     assert distribution_stats(one, "v").first().skewness is None
+
+
+def test_fround_neither_saturates_nor_hides_nan(spark):
+    from strata.operators.stats import fround
+    xs = [2e13, 2e11, 1e300, -1e300, 1.0000005, -1.5, float("nan"), float("inf"), None]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in xs], "x double").select(fround("x", 6)).collect()]
+    want = [math.floor(x * 1e6 + 0.5) / 1e6 if x is not None and abs(x) < 1e9 else x for x in xs]
+    assert repr(got) == repr(want)
+
+
+def test_missing_values_and_null_groups(spark):
+    nan, inf = float("nan"), float("inf")
+    data = [(None, 1.0, 2.0), (None, 3.0, 5.0), (None, nan, 4.0), ("a", 1e14, 1.0), ("a", 3e14, 2.0), ("a", inf, 9.0), ("a", 5e14, -inf), ("a", 2e14, None)]
+    df = spark.createDataFrame(data, "g string, v double, w double")
+    good = {g: [v for h, v, _ in data if h == g and math.isfinite(v)] for g in (None, "a")}
+    b = sigma_bands(df, "v", groups=["g"]).collect()
+    assert len(b) == len(data) and sum(r.band is None for r in b) == 2
+    box = {r.g: r for r in box_stats(df, "v", ["g"]).collect()}
+    hist = histogram(df, "v", 4, ["g"]).collect()
+    for g in (None, "a"):
+        assert box[g].n == len(good[g]) and box[g].median == np.median(good[g]) and box[g].max == max(good[g])
+        assert [r["count"] for r in sorted((r for r in hist if r.g == g), key=lambda r: r.bin)] == np.histogram(good[g], 4)[0].tolist()
+    d = {r.g: r for r in distribution_stats(df, "v", ["g"]).collect()}
+    assert d["a"].n == 4 and d["a"].mean == np.mean(good["a"]) and d[None].max == 3.0
+    c = correlations(df.where("g is null"), [("v", "w")]).first()[0]
+    assert c == pytest.approx(1.0)
+    assert all(r.density > 0 for r in kde(df.where("g = 'a'"), "v", grid=5, places=30).collect())

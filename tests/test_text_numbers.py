@@ -9,7 +9,7 @@ from strata.functions.columns import (columns_excluding, columns_with_prefix, dr
                                       fill_numeric, harmonize, non_finite_to_null,
                                       normalize_headers, numeric_columns)
 from strata.functions.numbers import allocate, parse_number, ratio, row_max, row_sum
-from strata.functions.text import (CATEGORY_REPAIRS, clean_column_name, fold_ascii, fold_name,
+from strata.functions.text import (CATEGORY_REPAIRS, fold_ascii, fold_name, header,
                                    mojibake_table, recode, repair_text, slug)
 from tests.conftest import rows
 
@@ -84,7 +84,7 @@ def test_column_sets_and_headers(spark):
     messy = spark.createDataFrame([(1, 2)], "`a b` int, `a_b` int")
     with pytest.raises(ValueError):
         normalize_headers(messy)
-    assert clean_column_name("Förderung, Sport & Co", "SubCat_") == "SubCat_Forderung_Sport_Co"
+    assert header("Förderung, Sport & Co", prefix="SubCat_") == "SubCat_Forderung_Sport_Co"
 
 
 def test_harmonize(spark):

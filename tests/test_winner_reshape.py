@@ -24,7 +24,7 @@ def test_winner_wide_edges(spark):
 
 def test_wide_and_long_agree(spark):
     df = spark.createDataFrame(EDGES, "e string, p int, A int, B int, `X.Y` int")
-    wide = winner_wide(df, ["A", "B", "X.Y"]).where(F.col("winner").isNotNull())
+    wide = winner_wide(df, ["A", "B", "X.Y"])
     long = unpivot(df, ["e", "p"], ["A", "B", "X.Y"])
     lw = winner_long(long, ["e", "p"], "label", "value")
     assert rows(wide, "e", "winner") == rows(lw, "e", "winner")
@@ -61,3 +61,14 @@ def test_discover_values_bound(spark):
     assert len(discover_values(df, "c", limit=20)) == 20
     with pytest.raises(ValueError):
         discover_values(df, "c", limit=19)
+
+
+def test_nothing_is_cut_by_default(spark):
+    df = spark.createDataFrame([("a", None, 7.0)] + [("a", "x", 0.001)] * 10 + [(None, "x", 1e17), ("b", None, None)], "e string, c string, v double")
+    assert [(e, v and round(v, 9)) for e, v in rows(panel_sum(df, ["e"], "v"))] == [("a", 7.0 + 10 * 0.001), ("b", None), (None, 1e17)]
+    assert rows(panel_sum(df, ["e"], "v", exclude_categories=["x"], category_col="c")) == [("a", 7.0), ("b", None)]
+    p = pivot_discovered(df, ["e"], "c", "v", prefix="C_")
+    assert p.columns == ["e", "C_x", "C_null"]
+    assert rows(p) == [("a", 0.01, 7.0), ("b", 0.0, 0.0), (None, 1e17, 0.0)]
+    w = winner_long(spark.createDataFrame([("a", "x", 2), ("a", "y", None), ("n", "x", None)], "e string, l string, v int"), ["e"], "l", "v")
+    assert rows(w) == [("a", "x", 2), ("n", None, None)]
