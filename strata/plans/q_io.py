@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.plans.common import orders_by_year
-from strata.session import scratch_path, spread
+from strata.session import scratch_path
 from strata.sources.csv import read_csv, write_csv
-from strata.sources.html import audit, nav_links, table_rows, table_rows_py, url_frontier
-from strata.sources.panel_files import read_period_sources
+from strata.sources.html import audit, nav_links, table_rows, url_frontier
+from strata.sources.panel_files import discover_periods, read_period_sources
 from strata.sources.tables import table
 
 ORDER_TYPES = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "double",
@@ -17,21 +19,23 @@ ORDER_TYPES = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "d
 
 
 def q_multi_file_panel(spark: SparkSession, sf: str) -> DataFrame:
-    """S6 + S7 + U1 + P7: orders written as one CSV folder per year (even
-    years carry a priority column, odd years do not), read back with the
-    year taken from the path, unioned by name; a missing source is skipped."""
+    """S6 + S7 + U1 + P7 + O2: orders written into one folder of CSV files per
+    year.  Even years carry a priority column; odd years do not and have
+    their columns in another order.  Read back by each file's own header
+    for the periods found in the folder, with the year taken from the path;
+    a missing source is skipped."""
     o = orders_by_year(spark, sf, "o_orderkey", "o_orderpriority")
     root = scratch_path(spark, "multi_file_panel")
-    even = o.where(F.col("year") % 2 == 0)
-    odd = o.where(F.col("year") % 2 != 0)
-    write_csv(even.select("year", "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"),
-              f"{root}/with_priority", partition_by=["year"])
-    write_csv(odd.select("year", "o_orderkey", "o_custkey", "o_totalprice"),
-              f"{root}/without_priority", partition_by=["year"])
-    srcs = [f"{root}/with_priority", f"{root}/without_priority", f"{root}/not_delivered"]
-    df = read_period_sources(spark, srcs, ORDER_TYPES, period_pattern=r"year=(\d{4})",
-                             period_col="year")
-    return df.select("year", "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    write_csv(o.where(F.col("year") % 2 == 0).select("year", "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"),
+              f"{root}/delivered", partition_by=["year"])
+    write_csv(o.where(F.col("year") % 2 != 0).select("year", "o_totalprice", "o_custkey", "o_orderkey"),
+              f"{root}/delivered", partition_by=["year"], mode="append")
+    periods = discover_periods(spark, f"{root}/delivered", r"year=(\d{4})").select(F.col("period").alias("year")).distinct()
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore", UserWarning)        # the second source is missing on purpose
+        df = read_period_sources(spark, [f"{root}/delivered", f"{root}/not_delivered"], ORDER_TYPES,
+                                 period_pattern=r"year=(\d{4})", period_col="year")
+    return df.join(periods, "year", "left_semi").select("year", "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
 
 
 STREAM_SCHEMA = "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE, o_orderpriority STRING"
@@ -77,14 +81,13 @@ def q_url_frontier(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_html_rows(spark: SparkSession, sf: str) -> DataFrame:
     """S12 on navigation lists of the raw pages."""
-    return nav_links(spread(table(spark, sf, "pages", "page_id", "html")), ["page_id"])
+    return nav_links(table(spark, sf, "pages", "page_id", "html"), ["page_id"])
 
 
 def _order_pages(spark, sf):
     """One HTML page per order (container per year, header row, a status
     row, a total row with two classes, a short row)."""
-    o = spread(table(spark, sf, "orders", "o_orderkey", "o_orderdate", "o_orderstatus",
-                     "o_orderpriority", "o_totalprice"))
+    o = table(spark, sf, "orders", "o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority", "o_totalprice")
     amt = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
     html = F.concat(
         F.lit('<html><body><div id="treemap-table-'), F.year("o_orderdate").cast("string"),
@@ -98,13 +101,14 @@ def _order_pages(spark, sf):
 
 
 def q_html_table_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """S12 + S13 (JVM regex path): rows with class ``status-f`` or ``sum``."""
+    """S12 + S13: rows with class ``status-f`` or ``sum``."""
     return table_rows(_order_pages(spark, sf), ["page_id"], classes=["status-f", "sum"])
 
 
 def q_html_table_rows_py(spark: SparkSession, sf: str) -> DataFrame:
-    """S12 + S13 (``mapInPandas`` + ``html.parser`` path), same result."""
-    return table_rows_py(_order_pages(spark, sf), ["page_id"], classes=["status-f", "sum"])
+    """S12 + S13 with the container chosen by the page's period, same result."""
+    pages = _order_pages(spark, sf).withColumn("year", F.regexp_extract("html", r"treemap-table-(\d+)", 1))
+    return table_rows(pages, ["page_id"], classes=["status-f", "sum"], period="year")
 
 
 def q_html_table_all(spark: SparkSession, sf: str) -> DataFrame:
@@ -112,10 +116,38 @@ def q_html_table_all(spark: SparkSession, sf: str) -> DataFrame:
     return table_rows(_order_pages(spark, sf), ["page_id"])
 
 
+def _hard_pages(spark, sf):
+    """Order pages in markup as it is found: nested and decoy containers,
+    attributes in any order and quoting, several classes, unclosed cells and
+    rows, named entities, comments; some pages fail in each possible way."""
+    o = table(spark, sf, "orders", "o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    k = F.col("o_orderkey")
+    year = F.year("o_orderdate")
+    ident = F.concat(F.lit("treemap-table-"), year.cast("string"))
+    amount = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    row = F.concat(F.lit("<TR data-x=1 class='r status-"), F.lower("o_orderstatus"), F.lit("'><td>1<td>F&ouml;rderung &amp;lt; "),
+                   F.col("o_orderpriority"), F.lit("<td>EUR <span id=v class='a value-value'>"), amount, F.lit("</span><!-- <td>no</td> -->"))
+    table_ = F.when(k % 11 == 1, F.lit("<p>none</p>")).when(k % 11 == 2, F.lit("<table></table>")).otherwise(
+        F.concat(F.lit("<table border=0><tr><th>Nr<th>Abschnitt<th>Betrag"), row,
+                 F.lit("<tr class=sum><td>2</td><td><b>Sum</b>me<td><span class=value-value>0</span></table>")))
+    html = F.concat(F.lit('<html><script>"<div id=treemap-table-0>"</script><div id="treemap-table-0"><table><tr><td>a<td>b<td>c</table></div>'),
+                    F.lit('<div class="box" id="'), F.when(k % 11 == 3, F.lit("other")).otherwise(ident),
+                    F.lit('"><div class=inner><div>&nbsp;</div>'), table_, F.lit("</div></div></html>"))
+    return o.select(k.alias("page_id"), year.alias("year"), F.when(k % 11 == 4, 404).when(k % 11 != 5, 200).alias("status"),
+                    F.when(k % 11 != 6, html).alias("html"))
+
+
+def q_html_hard_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """S12 + S13 on hard markup: the container of the page's period."""
+    return table_rows(_hard_pages(spark, sf), ["page_id"], period="year", status="status")
+
+
 def q_extract_audit(spark: SparkSession, sf: str) -> DataFrame:
-    """Pages classified by why extraction would fail."""
-    a = audit(table(spark, sf, "pages", "page_id", "html"), ["page_id"])
-    return a.groupBy("reason", "has_nav", "has_article").agg(F.count(F.lit(1)).alias("n_pages"))
+    """Pages by why extraction fails, taken from the extraction."""
+    a = audit(_hard_pages(spark, sf), ["page_id"], period="year", status="status")
+    own = audit(table(spark, sf, "pages", "page_id", "html"), ["page_id"])
+    a = a.withColumn("source", F.lit("orders")).unionByName(own.withColumn("source", F.lit("pages")))
+    return a.groupBy("source", "reason").agg(F.count(F.lit(1)).alias("n_pages"), F.sum("n_rows").alias("n_rows"))
 
 
 QUERIES = {
@@ -128,6 +160,7 @@ QUERIES = {
     "html_table_rows_py": q_html_table_rows_py,
     "html_table_all": q_html_table_all,
     "extract_audit": q_extract_audit,
+    "html_hard_rows": q_html_hard_rows,
 }
 
 _NAV = '<li><a href="([^"]*)">([^<]*)</a></li>'
@@ -168,12 +201,17 @@ FROM t
     "html_table_rows": _TABLE_ROWS.format(where="WHERE o_orderstatus = 'F'"),
     "html_table_rows_py": _TABLE_ROWS.format(where="WHERE o_orderstatus = 'F'"),
     "html_table_all": _TABLE_ROWS.format(where=""),
+    "html_hard_rows": """
+WITH o AS (SELECT o_orderkey AS page_id, CAST(year(o_orderdate) AS VARCHAR) AS container, o_orderstatus, o_orderpriority, o_totalprice
+           FROM orders WHERE o_orderkey % 11 NOT IN (1, 2, 3, 4, 5, 6))
+SELECT page_id, container, 1 AS pos, 'r status-' || lower(o_orderstatus) AS row_class, 'Förderung &lt; ' || o_orderpriority AS section,
+       CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS amount FROM o
+UNION ALL SELECT page_id, container, 2, 'sum', 'Summe', '0' FROM o
+""",
     "extract_audit": """
-SELECT CASE WHEN html IS NULL THEN 'no_content'
-            WHEN NOT contains(html, '<div id="treemap-table-') THEN 'container_missing'
-            WHEN NOT contains(html, '<table') THEN 'table_missing' ELSE 'ok' END AS reason,
-       contains(html, '<nav') AS has_nav, contains(html, '<article') AS has_article,
-       COUNT(*) AS n_pages
-FROM pages GROUP BY ALL
+WITH o AS (SELECT 'orders' AS source, CASE o_orderkey % 11 WHEN 1 THEN 'table_missing' WHEN 2 THEN 'no_rows' WHEN 3 THEN 'container_missing'
+             WHEN 4 THEN 'bad_status' WHEN 5 THEN 'bad_status' WHEN 6 THEN 'no_content' ELSE 'ok' END AS reason FROM orders
+           UNION ALL SELECT 'pages', 'container_missing' FROM pages)
+SELECT source, reason, COUNT(*) AS n_pages, CAST(SUM(CASE WHEN reason = 'ok' THEN 3 ELSE 0 END) AS BIGINT) AS n_rows FROM o GROUP BY ALL
 """,
 }

@@ -10,6 +10,7 @@ only when that setting is missing *and* the session runs in local mode.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -99,18 +100,22 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread CPU-heavy per-row work (regex, text, HTML) over all cores.
+_SHIPPED: set[str] = set()
 
-    Repartitions round-robin only when the input has fewer partitions than
-    the cluster has task slots - e.g. one small file with one row group.
-    A large input already has far more splits than slots and is returned
-    unchanged, so no shuffle is added where it would cost the most.
-    """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want)
+
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application.
+
+    Operators that run Python refer to the package's modules; on a cluster
+    whose workers don't have it installed it goes along as a zip file."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="strata-py-"), "strata-package"), "zip",
+                                  os.path.dirname(package), os.path.basename(package))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

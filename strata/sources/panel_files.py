@@ -1,9 +1,10 @@
 """One file (or folder) per period with varying columns.
 
-A source is a path or glob whose files share one header.  Each source is
-read once with ``header=true``; the period comes from the file path via
-``_metadata.file_path`` and a regular expression, so one read covers all
-files of a source however many periods it holds.  Sources are combined
+Files of a source may have different headers, also the same columns in
+another order: one pass finds the first line of every file, then the files
+of each distinct header are read together with ``header=true``.  The period
+comes from the file path via ``_metadata.file_path`` and a regular
+expression, so a read covers any number of periods.  Sources are combined
 with ``unionByName(allowMissingColumns=True)`` after casting every column
 to its declared type (an inferred int id never meets a declared string id
 in the union).  A missing source is reported and skipped.
@@ -12,6 +13,7 @@ in the union).  A missing source is reported and skipped.
 from __future__ import annotations
 
 import warnings
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -43,6 +45,20 @@ def discover_periods(spark: SparkSession, folder: str, pattern: str = r"(\d{4})"
             .where(F.col("period").isNotNull()).orderBy("period", "path"))
 
 
+def files_by_header(spark: SparkSession, source, encoding: str = "UTF-8") -> list[list[str]]:
+    """The source's files, grouped by their first line.  One row per file
+    reaches the driver, as in any file listing."""
+    lines = (spark.read.option("header", False).option("sep", "\u0001").option("quote", "").option("encoding", charset(encoding))
+             .option("recursiveFileLookup", "true").schema("line string").csv(source))
+    first = (lines.select("line", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+                          F.monotonically_increasing_id().alias("i"))
+             .groupBy("file").agg(F.min_by("line", F.struct("at", "i")).alias("header")))
+    groups: dict[str, list[str]] = {}
+    for r in first.orderBy("file").collect():
+        groups.setdefault(r.header, []).append(unquote(r.file))
+    return list(groups.values())
+
+
 def read_period_sources(spark: SparkSession, sources, types: dict[str, str],
                         period_pattern: str = r"(\d{4})", period_col: str = "period",
                         default_type: str | None = None, sep: str = ",",
@@ -57,21 +73,21 @@ def read_period_sources(spark: SparkSession, sources, types: dict[str, str],
     frames = []
     for src in sources:
         try:
-            raw = (spark.read.option("header", True).option("sep", sep)
-                   .option("recursiveFileLookup", "true")
-                   .option("encoding", charset(encoding)).csv(src))
+            groups = files_by_header(spark, src, encoding)
         except AnalysisException as e:
             if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
                 warnings.warn(f"missing source {src}: skipped", stacklevel=2)
                 continue
             raise
-        cols = [c for c in raw.columns]
-        casted = []
-        for c in cols:
-            t = types.get(c, default_type)
-            casted.append((F.col(q(c)).try_cast(t) if t else F.col(q(c))).alias(c))
-        period = period_from_path(F.col("_metadata.file_path"), period_pattern)
-        frames.append(raw.select(period.alias(period_col), *casted))
+        for files in groups:
+            raw = (spark.read.option("header", True).option("sep", sep).option("recursiveFileLookup", "true")
+                   .option("encoding", charset(encoding)).csv(files))
+            casted = []
+            for c in raw.columns:
+                t = types.get(c, default_type)
+                casted.append((F.col(q(c)).try_cast(t) if t else F.col(q(c))).alias(c))
+            period = period_from_path(F.col("_metadata.file_path"), period_pattern)
+            frames.append(raw.select(period.alias(period_col), *casted))
     if not frames:
         if ddl_if_empty:
             return empty_frame(spark, ddl_if_empty)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from strata.operators.inspect import profile, sample_rows
 from strata.operators.joins import bounded_broadcast, join_with_strategy, rows_at_most
 from strata.operators.ml import hash_split
-from strata.session import checkpoint_dir, cut_lineage, materialize, scratch_path, spread
+from strata.session import checkpoint_dir, cut_lineage, materialize, scratch_path
 from strata.sources.csv import write_csv
 from strata.streaming.ingest import ingest_available, period_file_stream
 from tests.conftest import rows
@@ -27,13 +27,6 @@ def test_materialize_and_checkpoint_keep_rows(spark):
     assert rows(c) == rows(df)
 
 
-def test_spread_only_when_few_splits(spark):
-    one = spark.range(10).coalesce(1)
-    assert spread(one, 4).rdd.getNumPartitions() == 4
-    many = spark.range(10).repartition(6)
-    assert spread(many, 4) is many
-
-
 def test_join_strategies_agree_and_bound(spark):
     left = spark.createDataFrame([(i % 7, i) for i in range(200)], "k int, v int")
     right = spark.createDataFrame([(k, k * 10) for k in range(7)], "k int, w int")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from strata.session import scratch_path
 from strata.sources.csv import read_csv, write_csv
-from strata.sources.html import audit, table_rows, table_rows_py
+from strata.sources.html import audit, parse_page, table_rows
 from strata.sources.panel_files import discover_periods, read_period_sources
 from tests.conftest import rows
 
@@ -46,8 +46,8 @@ PAGES = [
 ]
 
 
-@pytest.mark.parametrize("fn", [table_rows, table_rows_py])
-def test_html_table_rows(spark, fn):
+def test_html_table_rows(spark):
+    fn = table_rows
     pages = spark.createDataFrame(PAGES, "page_id long, html string")
     all_rows = rows(fn(pages, ["page_id"]), "page_id", "container", "pos", "row_class", "section", "amount")
     assert all_rows == [(1, "2013", 1, "x", "Sport & Co", "12,5"), (1, "2013", 2, "sum", "Summe", "99")]
@@ -83,11 +83,31 @@ def test_period_is_the_last_match(spark):
     assert [r[0] for r in df.select(period_from_path("p")).collect()] == [2013, None]
 
 
-def test_python_path_handles_irregular_markup(spark):
+def test_irregular_markup(spark):
     html = ('<DIV class=box ID="treemap-table-2019"><div class="inner"><!-- <tr><td>x</td></tr> -->'
             '<script>if (a < b) { document.write("<tr>") }</script>'
             '<TABLE><TR><TH>h</TH></TR><TR CLASS="sum total"><td>1</td><td>Sport &amp; Spiel</td>'
             '<td><span data-x="1" class=\'value-value big\'>12,5</span></td></TR></TABLE></div></DIV>')
     pages = spark.createDataFrame([(7, html)], "page_id long, html string")
-    got = rows(table_rows_py(pages, ["page_id"]), "container", "pos", "row_class", "section", "amount")
+    got = rows(table_rows(pages, ["page_id"]), "container", "pos", "row_class", "section", "amount")
     assert got == [("2019", 1, "sum total", "Sport & Spiel", "12,5")]
+
+
+def test_container_of_the_period_and_open_cells():
+    other = "<div id=p-1><table><tr><td>no</table></div>"
+    html = other + "<div class=a id='p-2'><div><div></div><p><table><tr><th>h<tr class=x><td>1<td>&Ouml; &amp;lt;<td><span class='v value-value'>7<tr><td>2<table><tr><td>in</table>"
+    assert parse_page(html, "p-2", "p-")["rows"][1]["cells"] == [{"text": "1", "amount": ""}, {"text": "Ö &lt;", "amount": ""}, {"text": "7", "amount": "7"}]
+    assert parse_page(html, "p-2", "p-")["rows"][2]["cells"][0]["text"] == "2in"
+    assert parse_page(html, None, "p-")["container"] == "p-1"
+    assert [parse_page(h, "p-2", "p-")["reason"] for h in (None, " ", other, "<div id=p-2></div>" + other, "<div id=p-2><table><tr></table></div>")] == \
+        ["no_content", "no_content", "container_missing", "table_missing", "no_rows"]
+
+
+def test_files_of_one_folder_with_other_headers(spark):
+    root = scratch_path(spark, "mixed headers")
+    a = spark.createDataFrame([("1", 10, 20)], "Nr string, A int, B int")
+    write_csv(a, f"{root}/v_2013", encoding="latin1")
+    write_csv(a.select("Nr", "B", "A"), f"{root}/v_2014", encoding="latin1")
+    write_csv(a.select("Nr", F.col("A").alias("Ö"), "B"), f"{root}/v_2015", encoding="latin1")
+    df = read_period_sources(spark, [root], {"Nr": "string"}, r"v_(\d{4})", default_type="int", encoding="latin1")
+    assert rows(df, "period", "A", "B", "Ö") == [(2013, 10, 20, None), (2014, 10, 20, None), (2015, None, 20, 10)]
