@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.words import mix, word_chunks
-from strata.session import materialize
+from strata.session import materialize, ship
 
 SHINGLE = 5
 PERCENT = 80
@@ -132,6 +132,7 @@ def window_hits(s: np.ndarray, owner: np.ndarray, classes: list[int], bloom: Blo
 def leaks(docs: DataFrame, items: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(text_key, item, containment) for every document text (by ``text_key``)
     and item (by its text's hash) with a containment of percent / 100 or more."""
+    ship(docs.sparkSession)
     sets = item_sets(items, k)
     classes = sorted(r["class"] for r in sets.select("class").distinct().collect())       # at most 64
     blooms = docs.sparkSession.sparkContext.broadcast(

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.components import connected_components
-from strata.session import materialize
+from strata.session import materialize, ship
 
 THRESHOLD = 0.95
 PROBES = 4
@@ -137,6 +137,7 @@ def near_duplicate_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: st
     Other columns are not read.
     """
     spark = df.sparkSession
+    ship(spark)
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vector_col}`").alias("vec"))
     good = (F.col("id").isNotNull() & (F.size("vec") > 0)
             & F.forall("vec", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists("vec", lambda v: v != 0))

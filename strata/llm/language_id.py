@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.words import LOWER, SPACE, buffers
-from strata.session import materialize
+from strata.session import materialize, ship
 
 PER_LANGUAGE = 1_000
 SAMPLE_CHARS = 8_000
@@ -215,6 +215,7 @@ def identify(df: DataFrame, text: Column, declared: Column, address: list[Column
     name.  Repeated rows count as often as they come; an empty table gives
     no rows.
     """
+    ship(df.sparkSession)
     names, table = model
     kept = F.struct(*[F.col(f"`{c}`") for c in keep]) if keep else F.struct("*")
     rows = df.select(kept.alias("row"), text.alias("text"), declared.alias("declared"), *address)

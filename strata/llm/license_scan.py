@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.decontaminate import permutations
 from strata.llm.words import LOWER, Words, _words, buffers, mix
+from strata.session import ship
 
 SHINGLE = 5
 PERCENT = 80
@@ -160,6 +161,7 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     first to its last shingle found.  Null and empty texts have none; ids
     may be null or repeat; other columns are not read.
     """
+    ship(df.sparkSession)
     rows = templates if templates is not None else TEMPLATES
     shared = df.sparkSession.sparkContext.broadcast(Templates(rows, percent))
 

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.words import word_chunks
+from strata.session import ship
 
 HOLD_WINDOWS = 2_000_000        # windows counted together in a scan task
 RANGE_WINDOWS = 1_000_000       # windows a hash range is sized for
@@ -167,6 +168,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     it stays whole.  Rows that repeat an id don't remove one another.
     Other columns are not read; an empty table gives no rows.
     """
+    ship(df.sparkSession)
     docs = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(8, int(size // (6 * RANGE_WINDOWS)).bit_length())

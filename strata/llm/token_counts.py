@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.llm.units import UnitCache, encoder
+from strata.session import ship
 
 SAMPLE_DOCS = 2_000
 SAMPLE_CHARS = 8_000
@@ -44,6 +45,7 @@ def frequent_lengths(df: DataFrame, text_col: str, spec: str, key: str,
 def n_tokens(df: DataFrame, text_col: str, tokenizer_path: str, sample_docs: int = SAMPLE_DOCS,
              table_size: int = TABLE_SIZE) -> Column:
     """A long column: tokens of ``text_col``; null and empty texts have 0."""
+    ship(df.sparkSession)
     spec = Path(tokenizer_path).read_text()
     key = hashlib.sha256(spec.encode()).hexdigest()
     sc = df.sparkSession.sparkContext

@@ -32,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strata.llm.units import UnitCache, encoder
-from strata.session import materialize
+from strata.session import materialize, ship
 
 FORMAT = "token-frames-1"
 FOOTER = "<QQ8s"
@@ -87,6 +87,7 @@ def write_token_files(df: DataFrame, path: str, tokenizer_path: str, id_col: str
     no documents.
     """
     spark = df.sparkSession
+    ship(spark)
     spec = Path(tokenizer_path).read_text()
     key = hashlib.sha256(spec.encode()).hexdigest() + f"/{end_id}"
     docs = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
@@ -171,6 +172,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     ``start`` counts the ids of all documents before it: the running sum
     inside a file plus the totals of the files before (one row per file).
     """
+    ship(spark)
     dictionary = bytes(spark.read.parquet(f"{path}/dictionary").first().bytes)
     shared = spark.sparkContext.broadcast(dictionary)
 

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strata.session import materialize
+from strata.session import materialize, ship
 
 REVISIT_BYTES = 100
 ARCHIVE_BYTES = 32 << 20        # aimed at; archives are read whole
@@ -204,6 +204,7 @@ def capture_histories(spark: SparkSession, path: str) -> DataFrame:
     """(position, url_key, captured, page_id, record_type, payload_bytes,
     payload_digest, refers_to, run, offset, length): every record of the
     archives under ``path`` at its place in the global order."""
+    ship(spark)
     runs = materialize(read_runs(spark, path), "capture-runs")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     merged = materialize(runs.repartitionByRange(parts, "url_key", "captured", "page_id").mapInArrow(merge_slices, CAPTURE)
