@@ -31,25 +31,25 @@ CATEGORY_REPAIRS = {
 # --------------------------------------------------------------------------
 
 
-def _single_char_folds(lo: int = 0x00C0, hi: int = 0x024F) -> tuple[str, str]:
-    """(from, to) strings for ``translate``, built by rule: every Latin
-    letter in [lo, hi] whose canonical decomposition is one ASCII letter
-    followed by combining marks maps to that letter."""
-    src, dst = [], []
-    for cp in range(lo, hi + 1):
-        ch = chr(cp)
-        if ch in MULTI_CHAR_FOLDS:
-            continue
-        nfd = unicodedata.normalize("NFD", ch)
-        base, marks = nfd[0], nfd[1:]
-        if base.isascii() and base.isalpha() and marks and all(
-                unicodedata.combining(m) for m in marks):
-            src.append(ch)
-            dst.append(base)
-    return "".join(src), "".join(dst)
+LATIN = [*range(0x00C0, 0x0250), *range(0x1E00, 0x1F00)]
+MARKS = range(0x0300, 0x0370)
+
+
+def _translations() -> tuple[str, str]:
+    """(from, to) strings for ``translate``, built by rule: a Latin letter
+    whose canonical decomposition is one ASCII letter and combining marks
+    maps to that letter; so do the fixed folds to one letter; combining
+    marks have no counterpart and go."""
+    to = {k: v for k, v in MULTI_CHAR_FOLDS.items() if len(v) == 1}
+    for ch in map(chr, LATIN):
+        base, *marks = unicodedata.normalize("NFD", ch)
+        if ch not in MULTI_CHAR_FOLDS and base.isascii() and base.isalpha() and marks and all(map(unicodedata.combining, marks)):
+            to[ch] = base
+    return "".join(to) + "".join(map(chr, MARKS)), "".join(to.values())
 
 
-FOLD_FROM, FOLD_TO = _single_char_folds()
+FOLD_FROM, FOLD_TO = _translations()
+LONG_FOLDS = {k: v for k, v in MULTI_CHAR_FOLDS.items() if len(v) > 1}
 
 
 def _col(c) -> Column:
@@ -71,9 +71,10 @@ def slug(c, trim: bool = True, pattern: str = r"\s+", sep: str = "-") -> Column:
 
 
 def fold_ascii(c) -> Column:
-    """Accent folding without a Python UDF.  Null stays null."""
+    """Accent folding without a Python UDF, of precomposed and of
+    decomposed Latin letters; other scripts stay.  Null stays null."""
     x = _col(c)
-    for k, v in MULTI_CHAR_FOLDS.items():
+    for k, v in LONG_FOLDS.items():
         x = F.replace(x, F.lit(k), F.lit(v))
     return F.translate(x, FOLD_FROM, FOLD_TO)
 
@@ -122,9 +123,9 @@ def recode(c, wrong: str = "ISO-8859-1", right: str = "UTF-8") -> Column:
 
 def fold_name(name: str) -> str:
     """Python twin of ``fold_ascii`` for column names."""
-    for k, v in MULTI_CHAR_FOLDS.items():
+    for k, v in LONG_FOLDS.items():
         name = name.replace(k, v)
-    return name.translate(str.maketrans(FOLD_FROM, FOLD_TO))
+    return name.translate({ord(k): FOLD_TO[i] if i < len(FOLD_TO) else None for i, k in enumerate(FOLD_FROM)})
 
 
 def header(name: str, split: str = r"[^A-Za-z0-9]+", sep: str = "_", prefix: str = "") -> str:

@@ -44,7 +44,7 @@ def q_repair_text(spark: SparkSession, sf: str) -> DataFrame:
 def _word_keys(df: DataFrame, text: str) -> DataFrame:
     """Fold and clean the whole text once, then split into words (same words
     as splitting first and cleaning each word, with one expression per text)."""
-    clean = F.regexp_replace(fold_key(text), r"[^a-z0-9\s]", "")
+    clean = F.regexp_replace(fold_key(text), r"[^\p{L}\p{N}\s]", "")
     w = df.select(F.explode(F.split(clean, r"\s+")).alias("word"))
     return w.where(F.col("word") != "")
 
@@ -158,7 +158,7 @@ def _fold_sql(x: str) -> str:
 def _words_sql(tbl: str, out: str) -> str:
     return f"""
 SELECT word, COUNT(*) AS {out} FROM (
-  SELECT regexp_replace(lower({_fold_sql('w')}), '[^a-z0-9]', '', 'g') AS word
+  SELECT regexp_replace(lower({_fold_sql('w')}), '[^\\p{{L}}\\p{{N}}]', '', 'g') AS word
   FROM (SELECT unnest(string_split_regex(text, '\\s+')) AS w FROM {tbl}))
 WHERE word <> '' GROUP BY 1
 """

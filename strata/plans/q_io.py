@@ -84,10 +84,16 @@ def q_html_rows(spark: SparkSession, sf: str) -> DataFrame:
     return nav_links(table(spark, sf, "pages", "page_id", "html"), ["page_id"])
 
 
+def _tasks(spark) -> int:
+    """Pages are long and slow to parse: their narrow order rows are dealt
+    evenly over the shuffle partitions before the pages are built."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _order_pages(spark, sf):
     """One HTML page per order (container per year, header row, a status
     row, a total row with two classes, a short row)."""
-    o = table(spark, sf, "orders", "o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    o = table(spark, sf, "orders", "o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority", "o_totalprice").repartition(_tasks(spark))
     amt = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
     html = F.concat(
         F.lit('<html><body><div id="treemap-table-'), F.year("o_orderdate").cast("string"),
@@ -120,7 +126,7 @@ def _hard_pages(spark, sf):
     """Order pages in markup as it is found: nested and decoy containers,
     attributes in any order and quoting, several classes, unclosed cells and
     rows, named entities, comments; some pages fail in each possible way."""
-    o = table(spark, sf, "orders", "o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    o = table(spark, sf, "orders", "o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority", "o_totalprice").repartition(_tasks(spark))
     k = F.col("o_orderkey")
     year = F.year("o_orderdate")
     ident = F.concat(F.lit("treemap-table-"), year.cast("string"))
