@@ -51,11 +51,12 @@ def hash_split(df: DataFrame, keys, train_pct: int = 80, out: str = "split") ->
     return df.withColumn(out, F.when(b < train_pct, F.lit("train")).otherwise(F.lit("test")))
 
 
-def random_forest(num_trees: int, depth: int, seed: int, label: str = "label",
-                  features: str = "features") -> RandomForestClassifier:
-    """M6."""
-    return RandomForestClassifier(labelCol=label, featuresCol=features, numTrees=num_trees,
-                                  maxDepth=depth, seed=seed)
+def random_forest(num_trees: int, depth: int, seed: int, label: str = "label", features: str = "features",
+                  max_memory_mb: int = 256, subsampling: float = 1.0) -> RandomForestClassifier:
+    """M6.  ``max_memory_mb`` bounds the histograms of one pass (more nodes a
+    pass with more memory); ``subsampling`` is each tree's share of rows."""
+    return RandomForestClassifier(labelCol=label, featuresCol=features, numTrees=num_trees, maxDepth=depth, seed=seed,
+                                  maxMemoryInMB=max_memory_mb, subsamplingRate=subsampling)
 
 
 def fit_rf_pipeline(train: DataFrame, label: str, feature_cols, num_trees: int = 50,
@@ -72,17 +73,14 @@ def fit_rf_pipeline(train: DataFrame, label: str, feature_cols, num_trees: int =
 
 
 def fit_ovr(train: DataFrame, feature_cols, label_col: str = "label", num_trees: int = 30,
-            depth: int = 5, seed: int = 1, n_classes: int | None = None):
-    """M8: one binary forest per class; ``parallelism`` fits the classes
-    concurrently (the Spark default is one at a time).  Pass ``n_classes``
-    when a fitted indexer already knows it (saves a counting job)."""
-    if n_classes is None:
-        n_classes = train.select(label_col).distinct().count()
+            depth: int = 5, seed: int = 1, parallelism: int = 4):
+    """M8: one binary forest per class, ``parallelism`` of them at a time
+    (threads on the driver; the work runs on the executors)."""
     feats = assembler(feature_cols).transform(train).persist()
     try:
         model = OneVsRest(classifier=random_forest(num_trees, depth, seed, label_col),
                           labelCol=label_col, featuresCol="features",
-                          parallelism=max(1, int(n_classes))).fit(feats)
+                          parallelism=parallelism).fit(feats)
     finally:
         feats.unpersist()
     return model

@@ -29,8 +29,6 @@ Forms:
             With ``probe_rows="rows"`` the left rows themselves go through
             the window (for panels unique per key and period): no distinct
             probes and no join back.
-``auto``    ``window`` with a broadcast right side when it is proven small
-            (row bound and per-key history bound), else ``fill``.
 """
 
 from __future__ import annotations
@@ -42,18 +40,12 @@ from pyspark.sql import functions as F
 
 from strata.operators.joins import bounded_broadcast
 
-FORMS = ("auto", "fill", "window", "minby")
+FORMS = ("fill", "window", "minby")
 
 
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
-# ``auto`` uses the window form with a broadcast right side only when the
-# product it builds is provably small: the right side has at most
-# AUTO_RIGHT_ROWS rows and no key has more than AUTO_HISTORY periods.
-AUTO_RIGHT_ROWS = 100_000
-AUTO_HISTORY = 64
-
 
 @dataclass
 class Side:
@@ -81,17 +73,6 @@ def dedupe_right(df: DataFrame, keys, period: str, values, agg: str = "max") ->
             .groupBy(*keys, period).agg(*[fn(v).alias(v) for v in values]))
 
 
-def _small_history(side: Side, keys) -> bool:
-    """Both bounds hold: at most AUTO_RIGHT_ROWS right rows (a limited count
-    reads at most that many + 1) and at most AUTO_HISTORY periods per key
-    (an aggregate over that small side)."""
-    r = _right(side, keys)
-    if r.limit(AUTO_RIGHT_ROWS + 1).count() > AUTO_RIGHT_ROWS:
-        return False
-    longest = r.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    return longest is None or longest <= AUTO_HISTORY
-
-
 def _probes(left: DataFrame, keys, period: str) -> DataFrame:
     return left.select(*keys, period).where(F.col(period).isNotNull()).distinct()
 
@@ -119,15 +100,19 @@ def _answers_ranked(probes: DataFrame, side: Side, keys, period: str, form: str,
             .select(*keys, period, "_b._q", *[F.col(f"_b.{v}").alias(v) for v in side.values]))
 
 
+# the buckets cover the periods without the outermost share on either side
+TAIL = 0.001
+
+
 def _period_range(frames) -> tuple[int, int] | None:
-    """Global (min, max) period: a one-row aggregate; two numbers reach the driver."""
+    """The period range that all but a share of TAIL of the rows on either
+    side lie in, by a quantile sketch (one row): a few stray periods do not
+    widen the buckets.  Two numbers reach the driver."""
     u = frames[0]
     for f in frames[1:]:
         u = u.unionByName(f)
-    row = u.agg(F.min("_t").alias("lo"), F.max("_t").alias("hi")).first()
-    if row is None or row["lo"] is None:
-        return None
-    return int(row["lo"]), int(row["hi"])
+    ends = u.agg(F.percentile_approx("_t", [TAIL, 1 - TAIL], 10_000)).first()[0]
+    return (int(ends[0]), int(ends[1])) if ends else None
 
 
 def _answers_fill(probes: DataFrame, sides: list[Side], keys, period: str,
@@ -190,14 +175,16 @@ def _answers_fill(probes: DataFrame, sides: list[Side], keys, period: str,
         # the caller knows the period unit: no range job, buckets of fixed width
         lo, width = 0, int(bucket_width)
     else:
-        # min/max over the raw left periods: same range, without running the
-        # distinct aggregation of the probes inside this small job
+        # the raw left periods: no distinct aggregation of the probes inside
+        # this small job
         src = (left if left is not None else probes).select(F.col(period).alias("_t"))
         rng = _period_range([src] + [r.select("_t") for r in rights])
         # no period anywhere: every answer is null, any bucketing will do
         lo, hi = rng if rng is not None else (0, 0)
         width = max(1, -(-(hi - lo + 1) // max(1, buckets)))
     bucket = F.floor((F.col("_t") - F.lit(lo)) / F.lit(width)).cast("long")
+    if not bucket_width:
+        bucket = F.greatest(F.least(bucket, F.lit(buckets)), F.lit(-1))     # the tails: a bucket on either side
     unmatched = F.col("_t").isNull()
     for k in keys:
         unmatched = unmatched | F.col(k).isNull()
@@ -206,7 +193,7 @@ def _answers_fill(probes: DataFrame, sides: list[Side], keys, period: str,
         # left rows without a period or key match nothing; spread them over
         # salted negative buckets so they never gather in one window partition
         salt = F.pmod(F.xxhash64("_L"), F.lit(max(1, buckets))).cast("long")
-        prob_bucket = F.when(unmatched, -1 - salt).otherwise(bucket)
+        prob_bucket = F.when(unmatched, -2 - salt).otherwise(bucket)
     prob = prob.withColumn("_b", prob_bucket)
     rights = [r.withColumn("_b", bucket) for r in rights]
     allrows = prob
@@ -271,10 +258,10 @@ def nearest_enrich(left: DataFrame, keys, period: str, sides: list[Side], form:
     per side.  ``broadcast_rows`` (window/minby only) broadcasts the right
     side when a bounded check proves it has at most that many rows.
     Periods are integers (years, day numbers, epoch seconds).  The fill
-    form cuts the period axis into ``buckets`` equal buckets over the
-    global range (one small job finds the range), or into buckets of
-    ``bucket_width`` periods when the caller knows the unit; either way a
-    window partition holds at most 2 * width distinct periods.
+    form cuts the period axis into ``buckets`` equal buckets over the global
+    range without its tails (one small job finds it) and one more for each
+    tail, or into buckets of ``bucket_width`` periods when the caller knows
+    the unit.
 
     ``probe_rows`` (fill form): ``"distinct"`` probes the distinct (key,
     period) pairs and joins the answers back - safe when one pair is hot;
@@ -287,10 +274,6 @@ def nearest_enrich(left: DataFrame, keys, period: str, sides: list[Side], form:
     keys = [keys] if isinstance(keys, str) else list(keys)
     if form not in FORMS:
         raise ValueError(f"form must be one of {FORMS}")
-    if form == "auto":
-        form = "window" if all(_small_history(s, keys) for s in sides) else "fill"
-        if form == "window":
-            broadcast_rows = broadcast_rows or AUTO_RIGHT_ROWS
     if form == "fill" and probe_rows == "rows":
         ans = _answers_fill(left, sides, keys, period, buckets, bucket_width, carry_left=True)
         flat = [F.col(f"_L.{_q(c)}").alias(c) for c in left.columns]

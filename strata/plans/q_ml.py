@@ -115,10 +115,9 @@ def q_rf_predictions(spark: SparkSession, sf: str) -> DataFrame:
 
 def _ovr(spark, sf, p=None):
     p = p if p is not None else _model_panel(spark, sf)
-    idx = label_indexer("winner", "label").fit(p)
+    idx = label_indexer("winner", "label").fit(p.where(F.col("split") == "train"))      # nothing is learned from test rows
     lab = idx.transform(p)
-    model = fit_ovr(lab.where(F.col("split") == "train"), FEATURES, "label", 30, 5, 1,
-                    n_classes=len(idx.labelsArray[0]))
+    model = fit_ovr(lab.where(F.col("split") == "train"), FEATURES, "label", 30, 5, 1)
     return lab, idx, model
 
 
@@ -166,7 +165,27 @@ def q_model_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return rf_acc.unionByName(ovr_acc).unionByName(auc)
 
 
+def q_model_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """M6-M12 checked: the test rows and classes, that the importances of
+    every model sum to 1, and that the forest predicts known classes for
+    every test row at least as well as a third below the majority share."""
+    p = _model_panel(spark, sf)
+    train, test = p.where(F.col("split") == "train"), p.where(F.col("split") == "test")
+    model = fit_rf_pipeline(train, "winner", FEATURES, 50, 5, 42)
+    labels = model.stages[0].labelsArray[0]
+    pred = model.transform(test)
+    total = sum(v for *_, v in forest_importances(model.stages[-1], FEATURES, "rf"))
+    majority = pred.groupBy("label").count().agg((F.max("count") / F.sum("count")).alias("m"))
+    return (pred.agg(F.count(F.lit(1)).alias("n_test"),
+                     F.sum(F.col("prediction").between(0, len(labels) - 1).cast("long")).alias("n_predicted"),
+                     F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("a"))
+            .crossJoin(F.broadcast(majority))
+            .select("n_test", "n_predicted", F.lit(len(labels)).cast("long").alias("n_classes"),
+                    F.lit(abs(total - 1) < 1e-9).alias("importances_sum_to_1"), (F.col("a") >= F.col("m") * 2 / 3).alias("accuracy_holds")))
+
+
 QUERIES = {
+    "model_checks": q_model_checks,
     "label_index_alpha": q_label_index_alpha,
     "label_index_freq": q_label_index_freq,
     "label_map": q_label_map,
@@ -197,6 +216,14 @@ p AS (SELECT *, CASE WHEN a >= n AND a >= r THEN 'A' WHEN n >= r THEN 'N' ELSE '
 """
 
 ORACLE = {
+    "model_checks": """
+WITH p AS (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year, sum(o_totalprice) FILTER (o_orderstatus = 'F') AS f,
+             ('0x' || substr(md5(o_custkey || '|' || CAST(year(o_orderdate) AS INTEGER)), 1, 8))::BIGINT % 100 AS bucket
+           FROM orders GROUP BY 1, 2),
+t AS (SELECT COUNT(*) AS n FROM p JOIN customer ON o_custkey = c_custkey
+      WHERE bucket >= 80 AND o_custkey IN (SELECT o_custkey FROM p WHERE f > 0) AND f IS NOT NULL)
+SELECT n AS n_test, n AS n_predicted, 5::BIGINT AS n_classes, TRUE AS importances_sum_to_1, TRUE AS accuracy_holds FROM t
+""",
     "label_index_alpha": """
 WITH c AS (SELECT DISTINCT o_orderpriority AS label FROM orders),
 i AS (SELECT label, CAST(row_number() OVER (ORDER BY label DESC) - 1 AS DOUBLE) AS idx FROM c)

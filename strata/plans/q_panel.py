@@ -127,10 +127,10 @@ def _daily(spark, sf, kind):
     return dedupe_right(e, ["user_id"], "day", ["value"], "max")
 
 
-def _nearest(form):
+def _nearest(form, **kw):
     def q(spark: SparkSession, sf: str) -> DataFrame:
         out = nearest_join(_errors(spark, sf), _daily(spark, sf, "signup"), ["user_id"],
-                           "day", "day", ["value"], form=form, prefix="signup_")
+                           "day", "day", ["value"], form=form, prefix="signup_", **kw)
         return out.select("event_id", "user_id", "day", "signup_period", "signup_value")
     q.__name__ = f"q_nearest_{form}"
     q.__doc__ = f"J4 ({form} form): each error event -> nearest-day signup of the user."
@@ -139,8 +139,8 @@ def _nearest(form):
 
 def q_enrich_multi(spark: SparkSession, sf: str) -> DataFrame:
     """Nearest signup, purchase and click attached in one pass.  The
-    three right sides are slices of one daily aggregation (one scan, one
-    shuffle, reused by each slice)."""
+    three right sides are slices of one daily aggregation, read as payload
+    columns of one scan."""
     kinds = ("signup", "purchase", "click")
     e = events_by_day(spark, sf, "event_type", "value").where(F.col("event_type").isin(*kinds))
     daily = dedupe_right(e, ["user_id", "event_type"], "day", ["value"], "max")
@@ -198,6 +198,7 @@ QUERIES = {
     "nearest_window": _nearest("window"),
     "nearest_minby": _nearest("minby"),
     "nearest_fill": _nearest("fill"),
+    "nearest_broadcast": _nearest("window", broadcast_rows=100_000),
     "enrich_multi": q_enrich_multi,
 }
 
@@ -315,6 +316,7 @@ SELECT a.*, b.line_total FROM ({_YEAR_TOTALS}) a LEFT JOIN ({_LINE_TOTALS}) b US
     "nearest_window": _NEAREST,
     "nearest_minby": _NEAREST,
     "nearest_fill": _NEAREST,
+    "nearest_broadcast": _NEAREST,      # J3: broadcast left join, the right side checked first
     "enrich_multi": f"""
 WITH s AS ({_nearest_sql('signup')}), p AS ({_nearest_sql('purchase')}), c AS ({_nearest_sql('click')})
 SELECT s.event_id, s.user_id, s.day, s.signup_period, s.signup_value,

@@ -40,6 +40,8 @@ def ingest_available(stream: DataFrame, sink: str, checkpoint: str, period_col:
     q = (stream.writeStream.format("parquet").outputMode("append").partitionBy(period_col)
          .option("path", sink).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
+    if not (q.awaitTermination() if timeout_s is None else q.awaitTermination(timeout_s)) and q.isActive:
+        q.stop()
+        raise TimeoutError(f"the table is incomplete after {timeout_s} s; run again to go on from the checkpoint")
     if q.exception():
         raise q.exception()

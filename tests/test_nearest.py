@@ -14,7 +14,7 @@ RIGHT = [("a", 2010, 1.0), ("a", 2013, 2.0), ("a", 2011, 3.0), ("a", None, 9.0),
          ("b", 2029, 5.0)]
 
 
-@pytest.mark.parametrize("form", ["fill", "window", "minby", "auto"])
+@pytest.mark.parametrize("form", ["fill", "window", "minby", ])
 def test_edges(spark, form):
     left = spark.createDataFrame(LEFT, "id int, k string, p int")
     right = spark.createDataFrame(RIGHT, "k string, q int, v double")
@@ -67,14 +67,15 @@ def test_dedupe_right_and_window_plan(spark):
     assert F is not None
 
 
-def test_auto_picks_by_bounds(spark, monkeypatch):
-    import strata.operators.nearest as nearest
-    right = spark.createDataFrame([("a", q, 1.0) for q in range(10)], "k string, q int, v double")
-    assert nearest._small_history(nearest.Side(right, "q", ["v"]), ["k"])
-    monkeypatch.setattr(nearest, "AUTO_HISTORY", 5)
-    assert not nearest._small_history(nearest.Side(right, "q", ["v"]), ["k"])
-    monkeypatch.setattr(nearest, "AUTO_RIGHT_ROWS", 3)
-    assert not nearest._small_history(nearest.Side(right, "q", ["v"]), ["k"])
+def test_a_stray_period_does_not_widen_the_buckets(spark):
+    from strata.operators.nearest import _period_range
+    t = spark.range(100_000).select((F.col("id") + 10 ** 9).alias("_t")).union(spark.createDataFrame([(0,)], "_t long"))
+    lo, hi = _period_range([t])
+    assert 10 ** 9 <= lo and hi <= 10 ** 9 + 100_000 and hi - lo > 90_000
+    left = spark.createDataFrame([("a", 0), ("a", 10 ** 9 + 5), ("a", 10 ** 9 + 99_999), ("a", None)], "k string, p long")
+    right = spark.createDataFrame([("a", 10 ** 9 + 7, 1.0), ("a", 3, 2.0)], "k string, q long, v double")
+    got = nearest_join(left.union(t.selectExpr("'b'", "_t")), right, ["k"], "p", "q", ["v"]).where("k = 'a'")
+    assert rows(got, "p", "match_period", "v") == sorted([(0, 3, 2.0), (10 ** 9 + 5, 10 ** 9 + 7, 1.0), (10 ** 9 + 99_999, 10 ** 9 + 7, 1.0), (None, None, None)], key=repr)
 
 
 def test_shared_sides_equal_separate_sides(spark):

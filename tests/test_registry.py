@@ -1,6 +1,8 @@
 """Every registered query against its DuckDB twin at sf0.001, plus plan checks."""
 
 import duckdb
+import re
+
 import pytest
 
 import __spark_entry__ as entry
@@ -52,7 +54,7 @@ def test_cleaning_stays_in_jvm(spark, key):
 
 def test_column_pruning_and_no_cartesian(spark):
     plan = _plan(QUERIES["panel_sum"](spark, SF_SMALL))
-    assert "ReadSchema: struct<o_custkey:bigint,o_totalprice:double,o_orderdate:timestamp_ntz>" in plan \
-        or "o_orderstatus" not in plan
+    assert re.search(r"ReadSchema: struct<o_custkey:bigint,[^>]*>", plan) and "o_orderstatus" not in plan
+    assert re.search(r"o_orderdate:\w+", plan) and "o_orderpriority" not in plan
     for key in ["nearest_fill", "enrich_multi", "panel_flagship", "collated_join", "box_stats"]:
         assert "CartesianProduct" not in _plan(QUERIES[key](spark, SF_SMALL))
