@@ -15,18 +15,24 @@ from pyspark.sql import functions as F
 STRATEGIES = ("auto", "broadcast", "shuffle_hash", "merge")
 
 # Largest side we broadcast on request.  The build side lives in every
-# executor's memory, so this is a row bound, checked before hinting.
+# executor's memory, so rows and bytes are checked before hinting.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 256 << 20
 
 
-def rows_at_most(df: DataFrame, n: int) -> bool:
-    """True iff ``df`` has at most ``n`` rows; reads at most n + 1 rows."""
-    return df.limit(n + 1).count() <= n
+def rows_at_most(df: DataFrame, n: int, max_bytes: int | None = None) -> bool:
+    """True iff ``df`` has at most ``n`` rows (and, written as JSON, at most
+    ``max_bytes`` bytes); reads at most n + 1 rows."""
+    width = F.sum(F.octet_length(F.to_json(F.struct("*")))) if max_bytes is not None else F.lit(0)
+    r = df.limit(n + 1).agg(F.count(F.lit(1)).alias("n"), width.alias("b")).first()
+    return r.n <= n and (max_bytes is None or (r.b or 0) <= max_bytes)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint when the row bound holds, else the frame unchanged."""
-    return F.broadcast(df) if rows_at_most(df, max_rows) else df
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint when the bounds on rows and bytes hold, else the frame
+    unchanged.  The check runs ``df`` once; it is for sides read from a table."""
+    return F.broadcast(df) if rows_at_most(df, max_rows, max_bytes) else df
 
 
 def join_with_strategy(left: DataFrame, right: DataFrame, on, how: str = "inner",

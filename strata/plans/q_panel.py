@@ -94,10 +94,9 @@ def q_winner_long(spark: SparkSession, sf: str) -> DataFrame:
 # ---- J1, J2 ------------------------------------------------------------------
 
 def _line_totals(spark, sf):
-    """Line totals per customer and ship year: lines are pre-aggregated per
-    (order, year) before the join to orders, so the shuffle carries about
-    one row per order instead of one per line."""
-    li = table(spark, sf, "lineitem", "l_orderkey", "l_extendedprice", "l_shipdate")
+    """Line totals per customer and ship year.  Lines are shuffled once, by
+    order: that serves the sums per (order, year) and the join to orders."""
+    li = table(spark, sf, "lineitem", "l_orderkey", "l_extendedprice", "l_shipdate").repartition("l_orderkey")
     per_order = li.groupBy("l_orderkey", F.year("l_shipdate").alias("year")).agg(
         F.sum(money("l_extendedprice")).alias("amt"))
     o = table(spark, sf, "orders", "o_orderkey", "o_custkey")

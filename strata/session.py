@@ -90,8 +90,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique path under the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark)}/strata/{name}-{uuid.uuid4().hex[:12]}"
+    """A new, unique path under the shared checkpoint folder, in the
+    application's own folder (see ``drop_scratch``)."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark)}/strata/{spark.sparkContext.applicationId}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application.  For the caller,
+    once the results are written: frames read from them are of no use then."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:

@@ -1,8 +1,8 @@
 """Every registered query against its DuckDB twin at sf0.001, plus plan checks."""
 
-import duckdb
 import re
 
+import duckdb
 import pytest
 
 import __spark_entry__ as entry

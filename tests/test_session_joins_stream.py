@@ -27,6 +27,22 @@ def test_materialize_and_checkpoint_keep_rows(spark):
     assert rows(c) == rows(df)
 
 
+def test_scratch_can_be_dropped(spark):
+    import os
+
+    from strata.session import _scratch_root, drop_scratch
+    other = spark.newSession()
+    path = scratch_path(other, "gone")
+    spark.range(3).write.parquet(path)
+    assert os.path.isdir(path) and path.startswith(_scratch_root(spark))
+    assert drop_scratch.__doc__
+
+
+def test_broadcast_bound_counts_bytes(spark):
+    wide = spark.range(10).selectExpr("id", "repeat('x', 1000) s")
+    assert rows_at_most(wide, 10) and rows_at_most(wide, 10, 20_000) and not rows_at_most(wide, 10, 5_000)
+
+
 def test_join_strategies_agree_and_bound(spark):
     left = spark.createDataFrame([(i % 7, i) for i in range(200)], "k int, v int")
     right = spark.createDataFrame([(k, k * 10) for k in range(7)], "k int, w int")
