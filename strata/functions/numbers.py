@@ -38,8 +38,7 @@ def parse_number(c, decimal_comma: bool = True, thousands: str | None = None,
         x = F.replace(x, F.lit(thousands), F.lit(""))
     if decimal_comma:
         x = F.replace(x, F.lit(","), F.lit("."))
-    x = F.regexp_replace(x, r"[^0-9.\-]", "")
-    return x.try_cast(to)
+    return safe_cast(F.regexp_replace(x, r"[^0-9.\-]", ""), to)
 
 
 def ratio(num, den) -> Column:
@@ -65,14 +64,6 @@ def row_sum(cols, null_as_zero: bool = True, to: str = "double") -> Column:
     return reduce(add, parts)
 
 
-def row_max(cols, null_as_zero: bool = True) -> Column:
-    """Largest value across columns (one column is allowed)."""
-    parts = [F.coalesce(_col(c), F.lit(0)) if null_as_zero else _col(c) for c in cols]
-    if len(parts) == 1:
-        return parts[0]
-    return F.greatest(*parts)
-
-
 def abs_diff(a, b) -> Column:
     """C14."""
     return F.abs(_col(a) - _col(b))

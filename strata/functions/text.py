@@ -84,25 +84,6 @@ def fold_key(c) -> Column:
     return F.lower(fold_ascii(c))
 
 
-def mojibake_table(codecs=("cp1250", "cp1252")) -> dict[str, str]:
-    """Repair map built by rule: each non-ASCII Latin letter, UTF-8
-    encoded and wrongly decoded with a single-byte codec, maps back."""
-    out: dict[str, str] = {}
-    for cp in range(0x00C0, 0x0180):
-        ch = chr(cp)
-        if not ch.isalpha():
-            continue
-        raw = ch.encode("utf-8")
-        for codec in codecs:
-            try:
-                bad = raw.decode(codec)
-            except UnicodeDecodeError:
-                continue
-            if bad != ch and len(bad) > 1:
-                out.setdefault(bad, ch)
-    return out
-
-
 def repair_text(c, mapping: dict[str, str] | None = None) -> Column:
     """C4: literal replacements, applied longest pattern first."""
     mapping = CATEGORY_REPAIRS if mapping is None else mapping

@@ -17,6 +17,7 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.numbers import one_vs_rest
 from strata.operators.ranks import running_sums
 from strata.operators.stats import finite
 from strata.session import materialize
@@ -108,7 +109,7 @@ def auc_by_class(df: DataFrame, label: str, scores: dict, buckets: int = 1024,
     the bucket totals, so no window partition holds a whole class.
     """
     items = [F.struct(F.lit(str(c)).alias("cls"), finite(s).alias("score"),
-                      (F.col(label) == F.lit(c)).cast("long").alias("pos"))
+                      one_vs_rest(label, c).cast("long").alias("pos"))
              for c, s in scores.items()]
     x = df.select(F.explode(F.array(*items)).alias("i")).select("i.*").where(F.col("score").isNotNull())
     # one row per (class, distinct score), written once: the ranking reads it

@@ -38,6 +38,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.functions.numbers import abs_diff
 from strata.operators.joins import bounded_broadcast
 
 FORMS = ("fill", "window", "minby")
@@ -90,7 +91,7 @@ def _answers_ranked(probes: DataFrame, side: Side, keys, period: str, form: str,
     if broadcast_rows:
         r = bounded_broadcast(r, broadcast_rows)
     j = probes.join(r, list(keys), "inner").withColumn(
-        "_d", F.abs(F.col(period) - F.col("_q")))
+        "_d", abs_diff(period, "_q"))
     if form == "window":
         w = Window.partitionBy(*keys, period).orderBy(F.col("_d").asc(), F.col("_q").desc())
         return (j.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)

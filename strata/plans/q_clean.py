@@ -22,6 +22,19 @@ def q_slugify(spark: SparkSession, sf: str) -> DataFrame:
     return d.select("doc_id", slug("text").alias("slug"))
 
 
+def q_slug_variants(spark: SparkSession, sf: str) -> DataFrame:
+    """The three slug forms of part names with outer and repeated spaces."""
+    p = table(spark, sf, "part", "p_partkey", "p_name").select("p_partkey", F.concat(F.lit("  "), "p_name", F.lit("  Z  ")).alias("t"))
+    return p.select("p_partkey", slug("t").alias("runs"), slug("t", pattern=" ").alias("single"), slug("t", trim=False).alias("untrimmed"))
+
+
+def q_repair_literals(spark: SparkSession, sf: str) -> DataFrame:
+    """C4: the two damaged spending categories inside other text, and text without damage."""
+    o = table(spark, sf, "orders", "o_orderkey", "o_orderstatus")
+    bad = F.element_at(F.array(*[F.lit(b) for b in CATEGORY_REPAIRS], F.lit("Kultur")), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    return o.select("o_orderkey", repair_text(F.concat("o_orderstatus", F.lit(": "), bad, F.lit(" / "), bad)).alias("category"))
+
+
 def q_fold_ascii(spark: SparkSession, sf: str) -> DataFrame:
     """Accent folding of whole texts, as a native expression."""
     d = table(spark, sf, "documents", "doc_id", "text")
@@ -133,6 +146,8 @@ def q_fill_numeric(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "slug_variants": q_slug_variants,
+    "repair_literals": q_repair_literals,
     "slugify": q_slugify,
     "fold_ascii": q_fold_ascii,
     "repair_text": q_repair_text,
@@ -165,6 +180,16 @@ WHERE word <> '' GROUP BY 1
 
 
 ORACLE = {
+    "slug_variants": """
+WITH p AS (SELECT p_partkey, lower('  ' || p_name || '  Z  ') AS t FROM part)
+SELECT p_partkey, regexp_replace(trim(t), '\\s+', '-', 'g') AS runs, replace(trim(t), ' ', '-') AS single,
+       regexp_replace(t, '\\s+', '-', 'g') AS untrimmed FROM p
+""",
+    "repair_literals": """
+WITH o AS (SELECT o_orderkey, o_orderstatus, CASE o_orderkey % 3 WHEN 0 THEN 'Förderung'
+             WHEN 1 THEN 'Sport und außerschulische Leibeserziehung' ELSE 'Kultur' END AS c FROM orders)
+SELECT o_orderkey, o_orderstatus || ': ' || c || ' / ' || c AS category FROM o
+""",
     "slugify": "SELECT doc_id, regexp_replace(trim(lower(text)), '\\s+', '-', 'g') AS slug FROM documents",
     "fold_ascii": f"SELECT doc_id, {_fold_sql('text')} AS folded FROM documents",
     "repair_text": "SELECT doc_id, CAST(strlen(text) AS INTEGER) AS damaged_chars, md5(text) AS repaired_md5 FROM documents",

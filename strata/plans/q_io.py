@@ -7,9 +7,11 @@ import warnings
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.columns import drop_columns, surrogate_key
+from strata.functions.numbers import money
 from strata.plans.common import orders_by_year
 from strata.session import scratch_path
-from strata.sources.csv import read_csv, write_csv
+from strata.sources.csv import empty_frame, read_csv, write_csv, write_panel
 from strata.sources.html import audit, nav_links, table_rows, url_frontier
 from strata.sources.panel_files import discover_periods, read_period_sources
 from strata.sources.tables import table
@@ -38,6 +40,20 @@ def q_multi_file_panel(spark: SparkSession, sf: str) -> DataFrame:
     return df.join(periods, "year", "left_semi").select("year", "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
 
 
+def q_panel_sink(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders written as a panel table partitioned by year
+    and read again together with an empty one; a column dropped; the
+    surrogate key tells rows apart."""
+    o = orders_by_year(spark, sf, "o_orderkey", "o_orderstatus")
+    path = scratch_path(spark, "panel_sink")
+    write_panel(o, path, "year", max_records_per_file=4_000)
+    back = spark.read.parquet(path).unionByName(empty_frame(spark, "year INT, note STRING"), allowMissingColumns=True)
+    kept = drop_columns(back, "o_orderstatus", "note", "never_there")
+    return kept.groupBy("year").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(money("o_totalprice")).cast("double").alias("price"),
+                                    F.countDistinct(surrogate_key("o_orderkey", "year")).alias("n_keys")) \
+        .withColumn("n_columns", F.lit(len(kept.columns)))
+
+
 STREAM_SCHEMA = "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE, o_orderpriority STRING"
 
 
@@ -157,6 +173,7 @@ def q_extract_audit(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "panel_sink": q_panel_sink,
     "multi_file_panel": q_multi_file_panel,
     "multi_file_stream": q_multi_file_stream,
     "csv_roundtrip": q_csv_roundtrip,
@@ -182,6 +199,11 @@ FROM orders
 """
 
 ORACLE = {
+    "panel_sink": """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, COUNT(*) AS n_rows,
+       CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS price, COUNT(*) AS n_keys, 4 AS n_columns
+FROM orders GROUP BY 1
+""",
     "multi_file_panel": """
 SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderkey, o_custkey, o_totalprice,
        CASE WHEN year(o_orderdate) % 2 = 0 THEN o_orderpriority END AS o_orderpriority
