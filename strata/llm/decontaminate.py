@@ -86,12 +86,14 @@ def item_sets(items: DataFrame, k: int) -> DataFrame:
                        .mapInArrow(each, "item long, class int, shingles array<long>, keys array<long>"), "items")
 
 
-def bloom_of(values: DataFrame) -> bytes:
-    """The filter of a long column, as at most ITEM_TASKS filters of fixed size."""
+def bloom_of(values: DataFrame, scatter: bool = False) -> bytes:
+    """The filter of a long column, as at most ITEM_TASKS filters of fixed
+    size.  ``scatter`` mixes the values' bits first, for keys that aren't hashes."""
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(1 << BLOOM_BITS, bool)
         for b in batches:
-            for place in bloom_places(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)):
+            keys = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            for place in bloom_places(mix(keys) if scatter else keys):
                 bits[place] = True
         yield pa.record_batch([pa.array([np.packbits(bits).tobytes()], pa.binary())], ["bits"])
 

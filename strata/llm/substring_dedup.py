@@ -27,7 +27,7 @@ from strata.session import ship
 HOLD_WINDOWS = 2_000_000        # windows counted together in a scan task
 RANGE_WINDOWS = 1_000_000       # windows a hash range is sized for
 BUCKET_BYTES = 8 << 20          # text that is cut together
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 PACKED = pa.schema([("range", pa.int64()), ("target", pa.int64()), ("n", pa.int64()),
                     ("hash", pa.binary()), ("place", pa.binary())])
 FLAGGED = pa.schema([("target", pa.int64()), ("n", pa.int64()), ("place", pa.binary())])

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 BYTE_BASE = np.uint64(0x9E3779B97F4A7C15)
 WORD_BASE = np.uint64(0xD6E8FEB86659FD93)
 ONE = np.uint64(1)
@@ -40,7 +40,7 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
         have = np.full(max(n, 1 << 16), base, np.uint64)
         have[0] = ONE
         np.multiply.accumulate(have, out=have)
-        if len(have) <= 2 * CHUNK_BYTES:
+        if len(have) <= 4 * CHUNK_BYTES:
             _POWERS[int(base)] = have
     return have[:n]
 
