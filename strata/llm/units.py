@@ -23,7 +23,7 @@ PLAIN = re.compile(f"( ?)([{LETTERS}]+)")
 MARKS = frozenset(".,;:!?|")
 CONTROL = re.compile("[\x1c-\x1f]")
 
-CACHE_ENTRIES = 1_000_000     # per worker; a full cache starts again from the broadcast tier
+CACHE_ENTRIES = 300_000       # per worker (about 70 MB); a full cache starts again from the broadcast tier
 
 
 def byte_letters() -> list[str]:
