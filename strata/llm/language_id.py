@@ -20,7 +20,7 @@ suffix, that towards all rows.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,7 @@ from strata.session import materialize, ship
 
 PER_LANGUAGE = 1_000
 SAMPLE_CHARS = 8_000
-LANGUAGES = 64                  # the most frequent labels
+MAX_LANGUAGES = 512             # score tables of 256 KB each that every Python worker holds
 BUCKETS = 1 << 16
 TEXT_WEIGHT = 60
 ALPHA = 0.1
@@ -41,6 +41,7 @@ UND_PRIOR = 0.01
 CLEAR = 0.9
 UNDETERMINED = "und"
 CHUNK = 2 << 20
+CELLS = 1 << 19                # rows times languages that are fused at once
 
 
 def trigrams(data: np.ndarray) -> np.ndarray:
@@ -55,11 +56,27 @@ def trigrams(data: np.ndarray) -> np.ndarray:
     return code
 
 
+def subtag(tag: Column) -> Column:
+    """Primary language subtag of a label: lower case, without region or script.
+
+    A label that does not start with two letters stands for itself; "und"
+    and blank labels name no language (null)."""
+    whole = F.lower(F.trim(tag))
+    found = F.regexp_extract(whole, "^[a-z]{2,}", 0)
+    name = F.when(found != "", found).otherwise(whole)
+    return F.when((name != "") & (name != UNDETERMINED), name)
+
+
 def fit(df: DataFrame, text_col: str, label_col: str, per_language: int = PER_LANGUAGE) -> tuple[list[str], np.ndarray]:
-    """Languages and log P(trigram | language), from at most ``per_language``
-    texts of at most SAMPLE_CHARS characters for each label."""
-    label, text = F.col(f"`{label_col}`"), F.col(f"`{text_col}`")
-    found = (df.where(label.isNotNull()).groupBy(label.alias("l")).count().orderBy(F.desc("count"), "l").limit(LANGUAGES).collect())
+    """Languages and log P(trigram | language) for every label found, labels
+    as by subtag(), from at most ``per_language`` texts of at most
+    SAMPLE_CHARS characters for each.
+
+    More than MAX_LANGUAGES languages raise a ValueError: none is left out."""
+    label, text = subtag(F.col(f"`{label_col}`")), F.col(f"`{text_col}`")
+    found = df.where(label.isNotNull()).select(label.alias("l")).distinct().limit(MAX_LANGUAGES + 1).collect()
+    if len(found) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages are labelled in {label_col}")
     names, tables = [], []
     for name in sorted(r.l for r in found):
         rows = df.where((label == F.lit(name)) & F.length(text).between(3, SAMPLE_CHARS)).select(text).limit(per_language).collect()
@@ -69,9 +86,9 @@ def fit(df: DataFrame, text_col: str, label_col: str, per_language: int = PER_LA
             counts += np.bincount(trigrams(data), minlength=BUCKETS) if len(data) > 2 else 0
         if counts.any():
             names.append(name)
-            tables.append(np.log((counts + ALPHA) / (counts.sum() + ALPHA * BUCKETS)))
+            tables.append(np.log((counts + ALPHA) / (counts.sum() + ALPHA * BUCKETS)).astype(np.float32))
     table = np.array(tables, np.float32).reshape(len(names), BUCKETS).T
-    return names, np.ascontiguousarray(table)
+    return names, table
 
 
 def mean_scores(column: pa.Array, table: np.ndarray) -> pa.Array:
@@ -126,81 +143,112 @@ def page_text(html: Column) -> Column:
     return F.regexp_replace(bare, r"<[^>]*>|&[A-Za-z0-9#]+;", " ")
 
 
-def _log_sum(values: list[Column]) -> Column:
-    top = F.greatest(*values) if len(values) > 1 else values[0]
-    return top + F.log(reduce(lambda a, b: a + b, [F.exp(v - top) for v in values]))
+def _log_sum(values: np.ndarray) -> np.ndarray:
+    top = values.max(axis=1)
+    return top + np.log(np.exp(values - top[:, None]).sum(axis=1))
+
+
+def _text_terms(column: pa.Array, languages: int) -> tuple[np.ndarray, np.ndarray]:
+    """Log likelihoods of the languages and, last, of "und", as weighted
+    trigrams; and whether the text has any."""
+    x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, languages + 1)
+    weight = np.minimum(x[:, -1], TEXT_WEIGHT)
+    terms = np.column_stack([x[:, :-1], np.full(len(x), -np.log(BUCKETS))]) * weight[:, None]
+    return terms, x[:, -1] > 0
+
+
+def _dense(column: pa.Array, languages: int) -> tuple[np.ndarray, np.ndarray]:
+    """Counts by language of each row's (l, n) pairs, and whether the row has a list."""
+    out = np.zeros((len(column), languages))
+    many = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    pairs = column.flatten()
+    out[np.repeat(np.arange(len(column)), many), pairs.field("l").to_numpy(zero_copy_only=False)] = pairs.field("n").to_numpy(zero_copy_only=False)
+    return out, column.is_valid().to_numpy(zero_copy_only=False)
+
+
+def _parts(columns: tuple[pa.Array, ...], languages: int) -> Iterator[tuple[pa.Array, ...]]:
+    step = max(1, CELLS // (languages + 1))
+    for low in range(0, len(columns[0]), step):
+        yield tuple(c.slice(low, step) for c in columns)
 
 
-def _text_terms(names: list[str]) -> list[Column]:
-    """Log likelihoods of the languages and of "und", as weighted trigrams."""
-    weight = F.least(F.element_at("scores", len(names) + 1), F.lit(float(TEXT_WEIGHT)))
-    return ([F.element_at("scores", i + 1) * weight for i in range(len(names))] + [F.lit(-float(np.log(BUCKETS))) * weight])
+KINDS = ("declared", "suffix")
+LEVELS = ("host", "domain", "suffix")
+FOUND = pa.struct([("language", pa.string()), ("confidence", pa.float64()), ("text_language", pa.string()), ("accepted", pa.bool_())])
 
 
 class Evidence:
-    """Tables from grouped counts over all rows: columns n0, n1 ... per language."""
+    """Grouped counts over all rows: for each host, domain, suffix and
+    declared language the list of (language, rows clearly in it).  Only the
+    languages that occur are listed, so many languages cost no width."""
 
     def __init__(self, rows: DataFrame, names: list[str]):
-        self.names = names
-        terms = _text_terms(names)
-        total = _log_sum(terms)
-        clear = [(F.exp(t - total) >= CLEAR) & (F.element_at("scores", len(names) + 1) > 0) for t in terms[:-1]]
-        counted = materialize(rows.groupBy("declared", "host", "domain", "suffix")
-                              .agg(*(F.count_if(c).alias(f"n{i}") for i, c in enumerate(clear))), "language-counts")
-        self.n = [f"n{i}" for i in range(len(names))]
-        sums = [F.sum(c).cast("double").alias(c) for c in self.n]
-        first = counted.agg(*sums).first()
-        every = [float(first[c] or 0) + 1.0 for c in self.n]
-        self.total = every
-        level = counted.groupBy("suffix").agg(*sums)
-        level = self._smoothed(level, [F.lit(x / sum(every)) for x in every], "suffix")
-        for name, above in (("domain", "suffix"), ("host", "domain")):
-            keys = [name] if name == "domain" else ["host"]
-            own = counted.groupBy(*keys).agg(*sums, F.min(above).alias("above"))
-            up = level.select(F.col(above).alias("up"), *(F.col(f"p{i}").alias(f"u{i}") for i in range(len(names))))
-            own = own.join(up, F.col("above").eqNullSafe(F.col("up")))
-            level = self._smoothed(own, [F.col(f"u{i}") for i in range(len(names))], name)
-        self.hosts = materialize(level, "host-priors")
-        self.kinds = {k: self._given(counted.where(f"{k} is not null and {k} <> ''").groupBy(k).agg(*sums), k)
-                      for k in ("declared", "suffix")}
-
-    def _smoothed(self, counts: DataFrame, above: list[Column], key: str) -> DataFrame:
-        rows = reduce(lambda a, b: a + b, [F.col(c) for c in self.n])
-        return counts.select(key, *(((F.col(c) + HOST_ROWS * p) / (rows + HOST_ROWS)).alias(f"p{i}")
-                                    for i, (c, p) in enumerate(zip(self.n, above))))
-
-    def _given(self, counts: DataFrame, key: str) -> DataFrame:
-        """log P(value | language), a row per value, with KIND_ROWS for each value seen."""
-        counts = materialize(counts, f"given-{key}")
-        values = counts.count()
-        return counts.select(F.col(key).alias(f"{key}_value"),
-                             *(F.log((F.col(c) + KIND_ROWS) / F.lit(t + KIND_ROWS * values)).alias(f"{key}_{i}")
-                               for i, (c, t) in enumerate(zip(self.n, self.total))))
+        self.names, width = names, len(names)
+
+        @F.arrow_udf("int")
+        def clear(scores: pa.Array) -> pa.Array:
+            found = []
+            for (column,) in _parts((scores,), width):
+                terms, some = _text_terms(column, width)
+                best = terms.argmax(axis=1)
+                sure = np.exp(terms.max(axis=1) - _log_sum(terms)) >= CLEAR      # of one language at most
+                found.append(np.where(sure & some & (best < width), best, -1))
+            return pa.array(np.concatenate(found) if found else np.empty(0), pa.int32())
+
+        counted = materialize(rows.select("declared", "host", "domain", "suffix", clear("scores").alias("l"))
+                              .groupBy("declared", "host", "domain", "suffix", "l").agg(F.count("*").alias("n")), "language-counts")
+        self.total = np.ones(width)
+        for r in counted.where("l >= 0").groupBy("l").agg(F.sum("n").alias("n")).collect():
+            self.total[r.l] += r.n
+        hosts = self._listed(counted, "host", "domain")
+        for key, above in (("domain", "suffix"), ("suffix", None)):
+            hosts = hosts.join(self._listed(counted, key, above).withColumnRenamed(key, "up"), F.col(key).eqNullSafe(F.col("up")), "left").drop(key, "up")
+        self.hosts = materialize(hosts.withColumnRenamed("host", "host_value"), "host-priors")
+        self.kinds = {k: materialize(self._listed(counted.where(f"{k} is not null and {k} <> ''"), k, None)
+                                     .select(F.col(k).alias(f"{k}_value"), F.col(f"{k}_n").alias(f"{k}_given")), f"given-{k}") for k in KINDS}
+        self.values = {k: table.count() for k, table in self.kinds.items()}
+
+    def _listed(self, counted: DataFrame, key: str, above: str | None) -> DataFrame:
+        """A row per key: its list of (l, n), and the key of the level above."""
+        up = [F.min(above).alias(above)] if above else []
+        sums = counted.groupBy(key, "l").agg(F.sum("n").alias("n"), *up)
+        return sums.groupBy(key).agg(F.collect_list(F.when(F.col("l") >= 0, F.struct("l", "n"))).alias(f"{key}_n"), *up)
 
     def fuse(self, rows: DataFrame) -> DataFrame:
         """``rows`` with language, confidence, text_language and accepted."""
-        hosts = self.hosts.select(F.col("host").alias("host_value"), *(F.col(f"p{i}") for i in range(len(self.names))))
-        rows = rows.join(hosts, F.col("host").eqNullSafe(F.col("host_value")), "left")
+        rows = rows.join(self.hosts, F.col("host").eqNullSafe(F.col("host_value")), "left")
         for k, table in self.kinds.items():
             rows = rows.join(table, F.col(k) == F.col(f"{k}_value"), "left")
-        text = _text_terms(self.names)
-        und = text[-1] + F.lit(float(np.log(UND_PRIOR)))
-        terms = [text[i] + F.log(F.col(f"p{i}")) + sum((F.coalesce(f"{k}_{i}", F.lit(0.0)) for k in self.kinds), F.lit(0.0))
-                 for i in range(len(self.names))]
-        for k, table in self.kinds.items():         # "und" gets the evidence of the average language
-            und = und + reduce(lambda a, b: a + b, [F.coalesce(f"{k}_{i}", F.lit(0.0)) for i in range(len(self.names))]) / max(len(self.names), 1)
-        terms = [*terms, und]
-        labels = [*self.names, UNDETERMINED]
-
-        def best(values: list[Column]) -> Column:
-            top = F.greatest(*values) if len(values) > 1 else values[0]
-            pick = reduce(lambda e, lv: e.when(lv[1] >= top, F.lit(lv[0])), list(zip(labels, values))[1:], F.when(values[0] >= top, F.lit(labels[0])))
-            return pick
-
-        found = rows.withColumn("language", best(terms)).withColumn("confidence", F.exp((F.greatest(*terms) if len(terms) > 1 else terms[0]) - _log_sum(terms)))
-        has_text = F.coalesce(F.element_at("scores", len(self.names) + 1) > 0, F.lit(False))
-        return (found.withColumn("text_language", F.when(has_text, best(text)))
-                .withColumn("accepted", has_text & (F.col("language") != UNDETERMINED)))
+        names, width, total, values = [*self.names, UNDETERMINED], len(self.names), self.total, self.values
+        labels = np.array(names, object)
+
+        def fused(scores: pa.Array, *lists: pa.Array) -> pa.Array:
+            text, some = _text_terms(scores, width)
+            prior = (total / total.sum())[None]
+            for column in lists[2::-1]:                 # suffix, domain, host
+                own, _ = _dense(column, width)
+                prior = (own + HOST_ROWS * prior) / (own.sum(axis=1) + HOST_ROWS)[:, None]
+            terms = text.copy()
+            terms[:, :-1] += np.log(prior)
+            terms[:, -1] += np.log(UND_PRIOR)
+            for k, column in zip(KINDS, lists[3:]):     # "und" gets the evidence of the average language
+                own, has = _dense(column, width)
+                given = np.where(has[:, None], np.log((own + KIND_ROWS) / (total + KIND_ROWS * values[k])), 0.0)
+                terms[:, :-1] += given
+                terms[:, -1] += given.mean(axis=1)
+            language = labels[terms.argmax(axis=1)]
+            return pa.StructArray.from_arrays(
+                [pa.array(language, pa.string()), pa.array(np.exp(terms.max(axis=1) - _log_sum(terms))),
+                 pa.array(np.where(some, labels[text.argmax(axis=1)], None), pa.string()), pa.array(some & (language != UNDETERMINED))],
+                fields=list(FOUND))
+
+        @F.arrow_udf("language string, confidence double, text_language string, accepted boolean")
+        def fuse_lists(scores: pa.Array, host: pa.Array, domain: pa.Array, suffix: pa.Array, declared: pa.Array, suffix_given: pa.Array) -> pa.Array:
+            parts = [fused(*p) for p in _parts((scores, host, domain, suffix, declared, suffix_given), width)]
+            return pa.concat_arrays(parts) if parts else pa.array([], FOUND)
+
+        lists = [F.col(f"{k}_n") for k in LEVELS] + [F.col(f"{k}_given") for k in KINDS]
+        return rows.withColumn("found", fuse_lists(F.col("scores"), *lists)).select("row", "declared", "host", "found.*")
 
 
 def identify(df: DataFrame, text: Column, declared: Column, address: list[Column], model: tuple[list[str], np.ndarray],
@@ -231,7 +279,7 @@ def identify(df: DataFrame, text: Column, declared: Column, address: list[Column
 def identify_documents(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Documents: ``lang`` is the declared language, ``source`` the host."""
     host = F.col("source")
-    return identify(docs, F.col("text"), F.lower(F.regexp_extract("lang", "^[A-Za-z]+", 0)),
+    return identify(docs, F.col("text"), subtag(F.col("lang")),
                     [host.alias("host"), F.lit("").alias("domain"), F.lit("").alias("suffix")],
                     fit(docs, "text", "lang"), keep)
 

@@ -141,3 +141,20 @@ def test_trigram_scores_by_hand():
         raw = np.frombuffer((text or "").encode(), np.uint8)
         want = table[L.trigrams(raw)].mean(axis=0) if len(raw) > 2 else np.zeros(3)
         assert np.allclose(row[:3], want, atol=1e-4) and row[3] == max(0, len(raw) - 2)
+
+
+def test_every_labelled_language_has_a_model(spark, monkeypatch):
+    rng = random.Random(21)
+    tongues = [[data.words(1, rng, 10 ** 6) for _ in range(12)] for _ in range(80)]
+    names = [f"{'abcdefghij'[k // 10]}{'klmnopqrst'[k % 10]}" for k in range(80)]
+    rows = [(100 * k + i, " ".join(rng.choice(own) for _ in range(30)), (n, n.upper(), f"{n}-XX", f" {n}_Latn")[i % 4], f"h{i % 3}")
+            for k, (n, own) in enumerate(zip(names, tongues)) for i in range(8)]
+    rows += [(9_000, "no such words here at all", "und", "h0"), (9_001, "nor in these ones", " ", "h0"), (9_002, "", "zz", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    assert L.fit(df, "text", "lang")[0] == sorted(names)
+    found = {r.row.doc_id: r for r in L.identify_documents(df).collect()}
+    assert len(found) == len(rows)
+    assert all(found[100 * k + i].language == n and found[100 * k + i].accepted for k, n in enumerate(names) for i in range(8))
+    monkeypatch.setattr(L, "MAX_LANGUAGES", 79)
+    with pytest.raises(ValueError):
+        L.fit(df, "text", "lang")
