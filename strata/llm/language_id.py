@@ -7,7 +7,8 @@ For each language l, with everything estimated from the data::
                    + log P(declared language | l) + log P(address suffix | l)
 
 Text: hashed byte trigrams of the whole text, a multinomial model per
-language fitted on at most ``PER_LANGUAGE`` labelled texts each.  The mean
+language fitted on about ``PER_LANGUAGE`` labelled texts each, or on all of
+a language that has fewer, however long they are.  The mean
 log likelihood counts as TEXT_WEIGHT trigrams at most, because neighbouring
 trigrams aren't independent.  An "und" hypothesis (all trigrams alike) takes
 what is in none of the languages.
@@ -31,7 +32,8 @@ from strata.llm.words import LOWER, SPACE, buffers
 from strata.session import materialize, ship
 
 PER_LANGUAGE = 1_000
-SAMPLE_CHARS = 8_000
+HELD = 64                       # languages whose counts are in memory at once
+SEED = 17
 MAX_LANGUAGES = 512             # score tables of 256 KB each that every Python worker holds
 BUCKETS = 1 << 16
 TEXT_WEIGHT = 60
@@ -67,27 +69,63 @@ def subtag(tag: Column) -> Column:
     return F.when((name != "") & (name != UNDETERMINED), name)
 
 
+def trigram_counts(texts: pa.Array) -> np.ndarray:
+    """Trigrams per bucket of all texts, each to its end."""
+    data, offsets = buffers(texts)
+    out = np.zeros(BUCKETS, np.int64)
+    for begin, end in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+        for low in range(begin, end - 2, CHUNK):
+            out += np.bincount(trigrams(data[low:min(end, low + CHUNK + 2)]), minlength=BUCKETS)
+    return out
+
+
+def partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(l, bucket, n) of a task's (l, text) rows; at most HELD languages are held at once."""
+    held: dict[int, np.ndarray] = {}
+
+    def emptied() -> Iterator[pa.RecordBatch]:
+        while held:
+            l, counts = held.popitem()         # noqa: E741
+            at = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), l, np.int32)), pa.array(at.astype(np.int32)), pa.array(counts[at])], ["l", "bucket", "n"])
+
+    for b in batches:
+        label = b.column(0).to_numpy(zero_copy_only=False)
+        for l in np.unique(label):             # noqa: E741
+            counts = trigram_counts(b.column(1).take(pa.array(np.flatnonzero(label == l))))
+            held[int(l)] = held.get(int(l), 0) + counts
+            if len(held) >= HELD:
+                yield from emptied()
+    yield from emptied()
+
+
 def fit(df: DataFrame, text_col: str, label_col: str, per_language: int = PER_LANGUAGE) -> tuple[list[str], np.ndarray]:
     """Languages and log P(trigram | language) for every label found, labels
-    as by subtag(), from at most ``per_language`` texts of at most
-    SAMPLE_CHARS characters for each.
+    as by subtag(), from whole texts of three bytes or more.
 
+    A language of at most ``per_language`` such texts is fitted on all of
+    them, a larger one on a random sample of about that many (seeded, so the
+    same files give the same sample).  The trigrams are counted in Spark.
     More than MAX_LANGUAGES languages raise a ValueError: none is left out."""
-    label, text = subtag(F.col(f"`{label_col}`")), F.col(f"`{text_col}`")
-    found = df.where(label.isNotNull()).select(label.alias("l")).distinct().limit(MAX_LANGUAGES + 1).collect()
+    ship(df.sparkSession)
+    text = F.col(f"`{text_col}`")
+    rows = (df.select(subtag(F.col(f"`{label_col}`")).alias("name"), text.alias("text"))
+            .where(F.col("name").isNotNull() & (F.octet_length("text") > 2)))
+    found = {r.name: r["count"] for r in rows.groupBy("name").count().limit(MAX_LANGUAGES + 1).collect()}
     if len(found) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages are labelled in {label_col}")
-    names, tables = [], []
-    for name in sorted(r.l for r in found):
-        rows = df.where((label == F.lit(name)) & F.length(text).between(3, SAMPLE_CHARS)).select(text).limit(per_language).collect()
-        counts = np.zeros(BUCKETS)
-        for r in rows:
-            data = np.frombuffer(r[0].encode(), np.uint8)
-            counts += np.bincount(trigrams(data), minlength=BUCKETS) if len(data) > 2 else 0
-        if counts.any():
-            names.append(name)
-            tables.append(np.log((counts + ALPHA) / (counts.sum() + ALPHA * BUCKETS)).astype(np.float32))
-    table = np.array(tables, np.float32).reshape(len(names), BUCKETS).T
+    names = sorted(found)
+    table = np.empty((BUCKETS, len(names)), np.float32, order="F")
+    if not names:
+        return names, table
+    shares = df.sparkSession.createDataFrame([(n, i, min(1.0, per_language / found[n])) for i, n in enumerate(names)], "name string, l int, share double")
+    taken = rows.withColumn("at", F.rand(SEED)).join(F.broadcast(shares), "name").where("at < share").select("l", "text")
+    counted = materialize(taken.mapInArrow(partial_counts, "l int, bucket int, n long").groupBy("l", "bucket").agg(F.sum("n").alias("n")), "trigram-counts")
+    for low in range(0, len(names), HELD):
+        part = counted.where(F.col("l").between(low, low + HELD - 1)).toArrow()
+        counts = np.zeros((min(HELD, len(names) - low), BUCKETS))
+        counts[part["l"].to_numpy() - low, part["bucket"].to_numpy()] = part["n"].to_numpy()
+        table[:, low:low + HELD] = np.log((counts + ALPHA) / (counts.sum(axis=1, keepdims=True) + ALPHA * BUCKETS)).T
     return names, table
 
 

@@ -158,3 +158,26 @@ def test_every_labelled_language_has_a_model(spark, monkeypatch):
     monkeypatch.setattr(L, "MAX_LANGUAGES", 79)
     with pytest.raises(ValueError):
         L.fit(df, "text", "lang")
+
+
+def test_language_that_has_only_long_texts(spark):
+    rng = random.Random(31)
+    rows = [(i, _speech(g, 3_000 if g == "cc" else 20, rng), g, "h") for i in range(60) for g in [("aa", "bb", "cc")[i % 3]]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    assert min(len(t) for _, t, g, _ in rows if g == "cc") > 8_000
+    for docs, names in ((df, ["aa", "bb", "cc"]), (df.where("lang = 'cc'"), ["cc"])):
+        got, table = L.fit(docs, "text", "lang")
+        assert got == names
+        counts = sum(np.bincount(L.trigrams(np.frombuffer(t.encode(), np.uint8)), minlength=L.BUCKETS) for _, t, g, _ in rows if g == "cc")
+        want = np.log((counts + L.ALPHA) / (counts.sum() + L.ALPHA * L.BUCKETS))
+        assert np.allclose(table[:, names.index("cc")], want, atol=1e-5)
+        found = L.identify_documents(docs).collect()
+        assert len(found) == docs.count() and all(r.accepted and r.language == r.row.lang for r in found)
+
+
+def test_trigrams_of_a_text_are_counted_to_its_end(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(L, "CHUNK", 7)
+    texts = ["the quick brown fox jumps", "", "ab", None, "abc", "x" * 21]
+    want = sum(np.bincount(L.trigrams(np.frombuffer((t or "").encode(), np.uint8)), minlength=L.BUCKETS) for t in texts if len(t or "") > 2)
+    assert (L.trigram_counts(pa.array(texts)) == want).all()
