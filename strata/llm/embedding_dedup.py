@@ -1,19 +1,23 @@
 """Near-duplicate vectors by cosine, with int8 tile products.
 
-Equal vectors are one class.  Classes are dealt to cells (the nearest of
-about sqrt(n) centroids, fitted on a bounded sample) and also visit their
-next ``PROBES`` cells.  Inside a cell, tiles of at most about ``TILE`` rows
-meet tile by tile, so a crowded cell is many tasks.  A tile product
-multiplies int8-quantised unit vectors (exact in float32).  With the exact
-norm e of each vector's quantisation error, |x.y - x'.y'| <= (1 + e_x) e_y + e_x;
-only pairs that this bound cannot put below the threshold are computed again
-in double precision.  So inside and between tiles nothing is missed and no
-link is below the threshold; a pair is missed only if neither vector visits
-the other's cell.
+Equal vectors are one class.  Classes are dealt to cells (the nearest of the
+centroids, fitted on a bounded sample) of about ``CELL_ROWS`` and also visit
+every cell of a smaller number that may hold a link.  If y is nearest to
+centroid g and x to h, then x.(h - g) <= |x - y| |h - g|, and a link means
+|x - y| <= sqrt(2 - 2 threshold): cells beyond that can hold none, so no
+link is missed.  Vectors in clear groups visit few cells; vectors that are
+spread evenly visit most, and then nearly all pairs are compared.
+
+Inside a cell, tiles of at most about ``TILE`` rows meet tile by tile, so a
+crowded cell is many tasks.  A tile product multiplies int8-quantised unit
+vectors (exact in float32).  With the exact norm e of each vector's
+quantisation error, |x.y - x'.y'| <= (1 + e_x) e_y + e_x; only pairs that
+this bound cannot put below the threshold are computed again in double
+precision.  So nothing is missed and no link is below the threshold.
 
 A tile reports, for each of its vectors, the number of links and the
 smallest vector it is joined to, not the pairs: a group of n near copies
-costs n rows.
+costs n rows for each ``HELD_PAIRS`` pairs.
 """
 
 from __future__ import annotations
@@ -29,12 +33,15 @@ from strata.llm.components import connected_components
 from strata.session import materialize, ship
 
 THRESHOLD = 0.95
-PROBES = 4
-TILE = 1024
+CELL_ROWS = 8192
+TILE = 8192
+TILE_BYTES = 32 << 20           # of a tile's vectors in double precision
 MAX_CELLS = 8192
+HELD_PAIRS = 4 << 20
 SAMPLE_PER_CELL = 32            # vectors the centroids are fitted on
 ROUNDS = 8
 SLACK = 1e-6                    # rounding of the float32 scaling
+NEAR_SLACK = 1e-4               # and of the float32 products with centroids
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -95,37 +102,52 @@ def lowest(a: np.ndarray, b: np.ndarray, ids: np.ndarray) -> np.ndarray:
         low = after
 
 
+def may_link(sims: np.ndarray, home: np.ndarray, gaps: np.ndarray, threshold: float) -> np.ndarray:
+    """For each row and cell: whether a vector nearest to that centroid can
+    have a cosine of ``threshold`` with the row (see above).  ``sims`` are the
+    rows' products with the centroids, ``gaps`` the centroids' distances."""
+    far = sims[np.arange(len(sims)), home][:, None] - sims
+    return far <= np.sqrt(max(0.0, 2 - 2 * threshold)) * gaps[home] + NEAR_SLACK
+
+
 def tile_links(table: pa.Table, threshold: float) -> pa.Table:
-    """Links of one pair of tiles: (id, low, n) of every vector that has some."""
+    """Links of one pair of tiles: (id, low, n) of vectors that have some, a
+    row for each HELD_PAIRS pairs at most."""
     dim = table.column("dim")[0].as_py()
     table = table.combine_chunks()
     ids, size, home, left = (table.column(c).to_numpy() for c in ("id", "size", "home", "left"))
-    probes = table.column("probes").combine_chunks()
     x = unit(rows_of(table.column("vec").combine_chunks(), dim))
     cell = table.column("cell")[0].as_py()
     l, r = np.flatnonzero(left == 1), np.flatnonzero(left == 0)         # noqa: E741
-    visits = rows_of(probes, len(probes[0])) if len(probes[0]) else np.empty((len(ids), 0), np.int64)
-    pa_, pb_, n = [], [], np.zeros(len(ids))
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    parts = []
+    n = np.zeros(len(ids))
+
+    def folded() -> None:
+        a, b = (np.concatenate(v) for v in zip(*held))
+        some = np.zeros(len(ids), bool)
+        some[a] = some[b] = True
+        parts.append(pa.table({"id": ids[some], "low": lowest(a, b, ids)[some], "n": n[some].astype(np.int64)}))
+        held.clear()
+        n[:] = 0
+
     for i, j in (candidates(x[l], x[r], threshold) if len(l) and len(r) else ()):
         i, j = l[i], r[j]
-        other = home[j]
-        inside = other == cell
-        # a pair of two cells is counted in one: where both meet twice, in the smaller
-        mine = np.where(inside, ids[i] != ids[j], (cell < other) | ~(visits[i] == other[:, None]).any(axis=1))
-        i, j, inside = i[mine], j[mine], inside[mine]
+        mine = ids[i] != ids[j]
+        i, j = i[mine], j[mine]
+        inside = home[j] == cell            # these pairs come twice, once from each side
         n += np.bincount(i, weights=size[j], minlength=len(ids))
         n += np.bincount(j[~inside], weights=size[i[~inside]], minlength=len(ids))
-        pa_.append(i)
-        pb_.append(j)
-    a, b = (np.concatenate(v) if v else np.empty(0, np.int64) for v in (pa_, pb_))
-    low = lowest(a, b, ids)
-    some = np.zeros(len(ids), bool)
-    some[a] = some[b] = True
-    return pa.table({"id": ids[some], "low": low[some], "n": n[some].astype(np.int64)})
+        held.append((i, j))
+        if sum(len(a) for a, _ in held) >= HELD_PAIRS:
+            folded()
+    if held:
+        folded()
+    return pa.concat_tables(parts) if parts else pa.table({k: pa.array([], pa.int64()) for k in ("id", "low", "n")})
 
 
 def near_duplicate_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
-                           threshold: float = THRESHOLD, probes: int = PROBES) -> DataFrame:
+                           threshold: float = THRESHOLD, probes: int | None = None) -> DataFrame:
     """(id, n_links, component_id, kept), one row per input row.
 
     n_links counts the other rows whose vector has a cosine of at least
@@ -134,7 +156,8 @@ def near_duplicate_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: st
     null, empty, zero or hold null or non-finite components link with
     nothing, nor do rows with a null id (component null, kept false);
     vectors of different lengths don't link.  Rows with equal vectors link.
-    Other columns are not read.
+    Other columns are not read.  All links are found; ``probes`` has no effect
+    any more, as no number of cells bounds the visits.
     """
     spark = df.sparkSession
     ship(spark)
@@ -146,35 +169,44 @@ def near_duplicate_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: st
                                                                    F.min_by("vec", "id").alias("vec")), "vector-classes")
     dims = {r.d: r["count"] for r in classes.groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()}
     dim, n = next(iter(dims.items()), (0, 0))
-    cells = max(1, min(MAX_CELLS, int(np.ceil(np.sqrt(n)))))
-    sample = [r.vec for r in classes.where(F.size("vec") == dim).select("vec").limit(SAMPLE_PER_CELL * cells).collect()]
-    shared = spark.sparkContext.broadcast(centroids(unit(np.array(sample)), cells) if sample else None)
-    visits = min(probes, cells - 1)
+    cells = max(1, min(MAX_CELLS, int(np.ceil(n / CELL_ROWS))))
+    tile = max(256, min(TILE, TILE_BYTES // (8 * max(dim, 1))))
+    taken = classes.where(F.size("vec") == dim).select("vec").limit(SAMPLE_PER_CELL * cells).toArrow().column("vec").combine_chunks()
+    middles = centroids(unit(rows_of(taken, dim)), min(cells, len(taken))) if len(taken) else np.empty((0, dim), np.float32)
+    products = middles.astype(np.float64) @ middles.T.astype(np.float64)
+    square = np.diag(products)
+    gaps = np.sqrt(np.maximum(square[:, None] + square - 2 * products, 0)).astype(np.float32)
+    shared = spark.sparkContext.broadcast((middles, gaps))
     element = classes.schema["vec"].dataType.elementType.simpleString()
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = shared.value
+        c, between = shared.value
         for b in batches:
             size = np.diff(b.column(2).offsets.to_numpy()) if len(b.column(2)) else np.empty(0)
-            home, near = -size.astype(np.int64), np.full((len(size), visits), -1, np.int64)
+            home, many, visits = -size.astype(np.int64), np.zeros(len(size), np.int64), []
             own = np.flatnonzero(size == dim)
-            for lo in range(0, len(own), 4096):
-                at = own[lo:lo + 4096]
+            step = max(1, (4 << 20) // max(1, len(c)))
+            for lo in range(0, len(own), step):
+                at = own[lo:lo + step]
                 sims = unit(rows_of(b.column(2).take(pa.array(at)), dim)).astype(np.float32) @ c.T
-                best = np.argsort(-sims, axis=1, kind="stable")[:, :visits + 1] if cells <= 64 else _top(sims, visits + 1)
-                home[at], near[at] = best[:, 0], best[:, 1:]
-            offsets = pa.array(np.arange(0, (len(size) + 1) * visits, visits, dtype=np.int32)) if visits else pa.array(np.zeros(len(size) + 1, np.int32))
+                home[at] = sims.argmax(axis=1)
+                # a link between two cells is found in the smaller, by the visit of the other's vector
+                row, cell = np.nonzero(may_link(sims, home[at], between, threshold) & (np.arange(len(c)) < home[at][:, None]))
+                many[at] = np.bincount(row, minlength=len(at))
+                visits.append(cell)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(many)]).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), b.column(2), pa.array(home), pa.ListArray.from_arrays(offsets, pa.array(near.ravel()))],
-                ["id", "size", "vec", "home", "probes"])
+                [b.column(0), b.column(1), b.column(2), pa.array(home),
+                 pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(visits) if visits else np.empty(0), pa.int64()))],
+                ["id", "size", "vec", "home", "visits"])
 
     placed = materialize(classes.select("id", "size", "vec")
-                         .mapInArrow(assign, f"id long, size long, vec array<{element}>, home long, probes array<long>"), "cells")
-    stays = placed.withColumn("cell", F.col("home"))
-    comes = placed.withColumn("cell", F.explode("probes")).where("cell >= 0")
+                         .mapInArrow(assign, f"id long, size long, vec array<{element}>, home long, visits array<long>"), "cells")
+    stays = placed.withColumn("cell", F.col("home")).drop("visits")
+    comes = placed.withColumn("cell", F.explode("visits")).drop("visits")
     everyone = stays.unionByName(comes)
     counts = (everyone.groupBy("cell").agg(F.count_if(F.col("cell") == F.col("home")).alias("homes"), F.count("*").alias("rows"))
-              .select("cell", *(F.ceil(F.col(c) / TILE).cast("int").alias(c) for c in ("homes", "rows"))).where("homes > 0"))
+              .select("cell", *(F.ceil(F.col(c) / tile).cast("int").alias(c) for c in ("homes", "rows"))).where("homes > 0"))
     spread = F.xxhash64("id")
     tiled = everyone.join(counts, "cell")
     # left: rows at home in the cell, in every tile of the others; right: all rows, against every tile of the homes
@@ -182,7 +214,7 @@ def near_duplicate_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: st
             .withColumn("rt", F.explode(F.sequence(F.lit(0), F.col("rows") - 1))).withColumn("left", F.lit(1)))
     right = (tiled.withColumn("rt", F.pmod(spread, "rows").cast("int"))
              .withColumn("lt", F.explode(F.sequence(F.lit(0), F.col("homes") - 1))).withColumn("left", F.lit(0)))
-    cols = ["cell", "lt", "rt", "left", "id", "size", "vec", "home", "probes", F.size("vec").alias("dim")]
+    cols = ["cell", "lt", "rt", "left", "id", "size", "vec", "home", F.size("vec").alias("dim")]
     found = materialize(left.select(*cols).union(right.select(*cols)).groupBy("cell", "lt", "rt")
                         .applyInArrow(lambda t: tile_links(t, threshold), "id long, low long, n long"), "vector-links")
     links = found.groupBy("id").agg(F.sum("n").alias("n")).withColumnRenamed("id", "rep")
@@ -193,9 +225,3 @@ def near_duplicate_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: st
     return out.select(F.col("id").alias(id_col),
                       F.when(F.col("ok"), F.col("size") - 1 + F.coalesce("n", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("n_links"),
                       own.alias("component_id"), F.coalesce(own == F.col("id"), F.lit(False)).alias("kept"))
-
-
-def _top(sims: np.ndarray, k: int) -> np.ndarray:
-    """Columns of the k largest values of each row, the largest first."""
-    part = np.argpartition(-sims, k - 1, axis=1)[:, :k]
-    return np.take_along_axis(part, np.argsort(-np.take_along_axis(sims, part, 1), axis=1, kind="stable"), 1)

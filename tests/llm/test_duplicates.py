@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from strata.llm import ngram_join
+from strata.llm import embedding_dedup, ngram_join
 from strata.llm.components import connected_components
 from strata.llm.embedding_dedup import near_duplicate_vectors
 from strata.llm.ngram_join import jaccard_components
@@ -123,3 +123,37 @@ def test_all_pairs_with_enough_probes(spark):
     up = data.smallest_reachable(range(len(x)), np.argwhere(linked).tolist())
     assert got == {i: (int(linked[i].sum()), up[i]) for i in range(len(x))}
     assert near_duplicate_vectors(df.limit(0)).count() == 0
+
+
+def test_no_link_between_cells_is_missed(spark, monkeypatch):
+    # vectors without groups, pairs just over the threshold, many cells
+    rng = np.random.default_rng(12)
+    u = rng.normal(size=(2000, 64))
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    off = rng.normal(size=u.shape)
+    off -= (off * u).sum(1)[:, None] * u
+    off /= np.linalg.norm(off, axis=1)[:, None]
+    x = np.concatenate([u, 0.951 * u + np.sqrt(1 - 0.951 ** 2) * off])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(3)
+    linked = (x @ x.T) / np.outer(np.linalg.norm(x, axis=1), np.linalg.norm(x, axis=1)) >= 0.95
+    np.fill_diagonal(linked, False)
+    up = data.smallest_reachable(range(len(x)), np.argwhere(linked).tolist())
+    want = {i: (int(linked[i].sum()), up[i]) for i in range(len(x))}
+    assert linked.sum() >= 4000
+    for rows in (8192, 100):
+        monkeypatch.setattr(embedding_dedup, "CELL_ROWS", rows, raising=False)
+        assert {r.vec_id: (r.n_links, r.component_id) for r in near_duplicate_vectors(df).collect()} == want
+
+
+def test_groups_of_near_copies_in_small_parts(spark, monkeypatch):
+    for name, value in (("CELL_ROWS", 40), ("TILE", 256), ("HELD_PAIRS", 50)):
+        monkeypatch.setattr(embedding_dedup, name, value)
+    x = _vectors(900, 4)
+    x[:200] = x[0] + 0.01 * np.random.default_rng(3).normal(size=(200, 16))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    linked = (u @ u.T) >= 0.95
+    np.fill_diagonal(linked, False)
+    up = data.smallest_reachable(range(len(x)), np.argwhere(linked).tolist())
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_duplicate_vectors(df).collect()}
+    assert got == {i: (int(linked[i].sum()), up[i]) for i in range(len(x))}
