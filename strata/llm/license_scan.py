@@ -54,8 +54,18 @@ TEMPLATES = [
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-                     "that the following conditions are met"),
+    # the beginning that BSD licenses share names the family, the third clause the license
+    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+            "that the following conditions are met"),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+                     "promote products derived from this software without specific prior written permission."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+            "granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+                  "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled "
+                  "binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("CC0-1.0", "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring "
+                "rights to this software to the public domain worldwide. This software is distributed without any warranty."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
 

@@ -181,3 +181,16 @@ def test_trigrams_of_a_text_are_counted_to_its_end(monkeypatch):
     texts = ["the quick brown fox jumps", "", "ab", None, "abc", "x" * 21]
     want = sum(np.bincount(L.trigrams(np.frombuffer((t or "").encode(), np.uint8)), minlength=L.BUCKETS) for t in texts if len(t or "") > 2)
     assert (L.trigram_counts(pa.array(texts)) == want).all()
+
+
+def test_bsd_family_and_further_notices(spark):
+    begin = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+    third = ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+             "from this software without specific prior written permission.")
+    isc = ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+           "provided that the above copyright notice and this permission notice appear in all copies.")
+    free = ("This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, "
+            "or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.")
+    rows = [(1, f"x y {begin} 1. Redistributions of source code"), (2, f"{begin} 1. Redistributions 3. {third} z"), (3, f"a\n{isc}\nb"), (4, free)]
+    got = {r.doc_id: r.licenses for r in scan_licenses(data.documents(spark, rows)).collect()}
+    assert got == {1: ["BSD"], 2: ["BSD", "BSD-3-Clause"], 3: ["ISC"], 4: ["Unlicense"]}
