@@ -9,6 +9,7 @@ from strata.llm.decontaminate import contamination
 from strata.llm.embedding_dedup import near_duplicate_vectors
 from strata.llm.language_id import identify_documents, identify_pages
 from strata.llm.license_scan import TEMPLATES, scan_licenses
+from strata.llm.merkle import lowered_where_due, merkle_manifest
 from strata.llm.mixing import mix, n_words
 from strata.llm.ngram_join import jaccard_components
 from strata.llm.substring_dedup import remove_repeats
@@ -143,9 +144,47 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_licenses, coalesce(licenses, '') AS l
 FROM documents LEFT JOIN g ON doc_id = id""" % ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in TEMPLATES)
 
 
+def op11_merkle(spark: SparkSession, sf: str) -> DataFrame:
+    rows = merkle_manifest(spark.read.parquet(f"{sf}/documents.parquet"), ["doc_id", "source", "lang", "n_chars", "text"],
+                           {"text": lowered_where_due()})
+    return rows.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+# the CRC-32 of the decimal id, byte by byte and bit by bit
+OP11_SQL = r"""
+WITH RECURSIVE v AS (SELECT doc_id, source, lang, n_chars, text,
+       xor(list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT), lambda crc, b:
+           list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda x, i: xor(x >> 1, (x & 1) * 3988292384), xor(crc, b)), 4294967295::BIGINT), 4294967295) AS crc
+      FROM documents),
+e AS (SELECT doc_id, source, concat(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+       coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')) AS head, text,
+       CASE WHEN crc % 5 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS now FROM v),
+d AS (SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf, sha256(head || coalesce(strlen(now) || ':' || now, '-')) AS found FROM e),
+t AS (SELECT *, row_number() OVER () AS id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+       row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, found) - 1 AS no, count(*) OVER (PARTITION BY source) AS n FROM d),
+low AS (SELECT tree, 0 AS level, no, leaf AS digest, n FROM t
+      UNION ALL SELECT tree, level + 1, no // 16, sha256(string_agg(digest, '' ORDER BY no)), (max(n) + 15) // 16
+      FROM low WHERE n > 1 GROUP BY tree, level, no // 16),
+top AS (SELECT 0 AS level, tree AS no, digest, count(*) OVER () AS n FROM low WHERE n = 1
+      UNION ALL SELECT level + 1, no // 16, sha256(string_agg(digest, '' ORDER BY no)), (max(n) + 15) // 16 FROM top WHERE n > 1 GROUP BY level, no // 16),
+k AS (SELECT tree, level, no // 16 AS up, string_agg(digest, '' ORDER BY no) AS run FROM low WHERE n > 1 GROUP BY ALL
+      UNION ALL SELECT -1, level, no // 16, string_agg(digest, '' ORDER BY no) FROM top WHERE n > 1 GROUP BY level, no // 16),
+c AS (SELECT id, tree, 0 AS level, no, n, found AS folded, '' AS proof FROM t
+      UNION ALL SELECT id, c.tree, c.level + 1, no // 16, (n + 15) // 16,
+       sha256(left(run, 64 * (no % 16)) || folded || substr(run, 64 * (no % 16) + 65)), proof || left(run, 64 * (no % 16)) || substr(run, 64 * (no % 16) + 65)
+      FROM c JOIN k ON k.tree = c.tree AND k.level = c.level AND k.up = c.no // 16 WHERE n > 1),
+u AS (SELECT id, 0 AS level, tree AS no, (SELECT max(n) FROM top) AS n, folded, proof FROM c WHERE n = 1
+      UNION ALL SELECT id, u.level + 1, no // 16, (n + 15) // 16,
+       sha256(left(run, 64 * (no % 16)) || folded || substr(run, 64 * (no % 16) + 65)), proof || left(run, 64 * (no % 16)) || substr(run, 64 * (no % 16) + 65)
+      FROM u JOIN k ON k.tree = -1 AND k.level = u.level AND k.up = u.no // 16 WHERE n > 1)
+SELECT doc_id, leaf, low.digest AS subroot, top.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = top.digest AS verified
+FROM t JOIN u USING (id) JOIN low ON low.tree = t.tree AND low.n = 1 CROSS JOIN top WHERE u.n = 1 AND top.n = 1"""
+
+
 QUERIES = {"op1_token_counts": op1_token_counts, "op2_ngram_join": op2_ngram_join,
            "op3_embedding_dedup": op3_embedding_dedup, "op4_language_id": op4_language_id, "page_languages": page_languages,
            "op5_substring_dedup": op5_substring_dedup,
            "op6_license_scan": op6_license_scan, "op7_decontamination": op7_decontamination, "op8_mixing": op8_mixing, "op9_warc": op9_warc,
-           "op10_token_files": op10_token_files}
-ORACLE: dict[str, str] = {"op6_license_scan": OP6_SQL, "op7_decontamination": OP7_SQL, "op8_mixing": OP8_SQL, "op9_warc": OP9_SQL}
+           "op10_token_files": op10_token_files, "op11_merkle": op11_merkle}
+ORACLE: dict[str, str] = {"op6_license_scan": OP6_SQL, "op7_decontamination": OP7_SQL, "op8_mixing": OP8_SQL, "op9_warc": OP9_SQL,
+                          "op11_merkle": OP11_SQL}
