@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.bpe_stream import round_trip
 from strata.llm.decontaminate import contamination
 from strata.llm.embedding_dedup import near_duplicate_vectors
 from strata.llm.language_id import identify_documents, identify_pages
@@ -12,6 +13,7 @@ from strata.llm.license_scan import TEMPLATES, scan_licenses
 from strata.llm.merkle import lowered_where_due, merkle_manifest
 from strata.llm.mixing import mix, n_words
 from strata.llm.ngram_join import jaccard_components
+from strata.llm.periodic_runs import periodic_runs
 from strata.llm.substring_dedup import remove_repeats
 from strata.llm.token_counts import token_counts
 from strata.llm.token_files import read_token_files, write_token_files
@@ -181,10 +183,44 @@ SELECT doc_id, leaf, low.digest AS subroot, top.digest AS root, sha256(proof) AS
 FROM t JOIN u USING (id) JOIN low ON low.tree = t.tree AND low.n = 1 CROSS JOIN top WHERE u.n = 1 AND top.n = 1"""
 
 
+def op12_bpe_stream(spark: SparkSession, sf: str) -> DataFrame:
+    rows = round_trip(spark.read.parquet(f"{sf}/documents.parquet"), tokenizer("word_bpe_49k.json"))
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_digest(docs: DataFrame) -> DataFrame:
+    """The runs of documents of which one in ten (by the CRC-32 of the decimal
+    id) is made periodic from some word on; null ids are left as they are."""
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    parts = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = (docs.select("doc_id", "text", F.when(crc % 10 == 0, parts).alias("words"), F.floor(crc / 10).alias("g"))
+            .withColumn("n", F.size("words"))
+            .withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+            .withColumn("p", F.floor((F.col("n") - F.col("a")) / (F.col("g") % 8 + 3)) + 1))
+    a, p = F.col("a"), F.col("p")
+    again = F.transform(F.sequence(F.lit(0), F.col("n") - 1),
+                        lambda i: F.get("words", F.when(i < a, i).otherwise(a + F.pmod(i - a, p)).cast("int")))
+    rows = rows.select("doc_id", F.when(F.col("n") > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+    item = "struct<start: bigint, length: bigint, period: bigint>"
+    found = periodic_runs(rows).withColumn("best", F.aggregate("runs", F.lit(None).cast(item), lambda best, r: F.when(
+        best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"]), r).otherwise(best)))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n")))
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                        F.floor(F.lit(1000).cast("long") * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+                        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    return op13_digest(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"))
+
+
 QUERIES = {"op1_token_counts": op1_token_counts, "op2_ngram_join": op2_ngram_join,
            "op3_embedding_dedup": op3_embedding_dedup, "op4_language_id": op4_language_id, "page_languages": page_languages,
            "op5_substring_dedup": op5_substring_dedup,
            "op6_license_scan": op6_license_scan, "op7_decontamination": op7_decontamination, "op8_mixing": op8_mixing, "op9_warc": op9_warc,
-           "op10_token_files": op10_token_files, "op11_merkle": op11_merkle}
+           "op10_token_files": op10_token_files, "op11_merkle": op11_merkle, "op12_bpe_stream": op12_bpe_stream,
+           "op13_periodic_runs": op13_periodic_runs}
 ORACLE: dict[str, str] = {"op6_license_scan": OP6_SQL, "op7_decontamination": OP7_SQL, "op8_mixing": OP8_SQL, "op9_warc": OP9_SQL,
                           "op11_merkle": OP11_SQL}

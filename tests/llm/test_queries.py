@@ -21,4 +21,4 @@ def test_query_matches_sql(spark, key):
 
 def test_registered(spark):
     keys = entry.queries()
-    assert all(any(k.startswith(f"op{n}_") for k in keys) for n in range(1, 11)) and "pipeline" in keys
+    assert all(any(k.startswith(f"op{n}_") for k in keys) for n in range(1, 14)) and "pipeline" in keys
