@@ -16,6 +16,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.session import materialize
+
 # ---- fixed values: the band names, from the mean outwards ---------------------
 BANDS = ("Near Mean", "Moderate", "Extreme")
 
@@ -260,58 +262,132 @@ def density_mode(kde_df: DataFrame, groups=()) -> DataFrame:
 
 # ---- G3, G4: exact quantiles without gathering a group -------------------------
 
-ACCURACY = 10_000
-
-
-def exact_quantiles(df: DataFrame, value, probs, groups=(), names=None, accuracy: int = ACCURACY) -> DataFrame:
+SKETCH_K = 200      # KLL sketch parameter: a rank error of about 1.7 %, 2.6 kB however many values
+SALTS = 16          # first-level sketches a group is merged from
+CELLS = 256         # cells a bracket is counted in
+FEW = 64            # values a bracket may hold when they are ranked
+
+
+def _sketched(base: DataFrame, groups: list[str], k: int) -> DataFrame:
+    """n, min, max and a KLL sketch per group, merged in two levels: a group's
+    partial sketches meet by scan task first, then SALTS of them."""
+    salted = base.select(*groups, "_x", (F.spark_partition_id() % SALTS).alias("_salt"))
+    first = salted.groupBy(*groups, "_salt").agg(
+        F.kll_sketch_agg_double("_x", F.lit(k)).alias("_s"), F.count(F.lit(1)).alias("n"),
+        F.min("_x").alias("min"), F.max("_x").alias("max"))
+    return first.groupBy(*groups).agg(F.kll_merge_agg_double("_s", F.lit(k)).alias("_s"), F.sum("n").alias("n"),
+                                      F.min("min").alias("min"), F.max("max").alias("max")).where(F.col("n") > 0)
+
+
+def _bracketed(base: DataFrame, brackets: DataFrame, groups: list[str], row) -> DataFrame:
+    """(groups, i, row's fields) for every value and bracket for which ``row``
+    is not null; a group's brackets are joined as one array."""
+    lists = brackets.groupBy(*groups).agg(F.collect_list(F.struct("i", "lo", "hi")).alias("_b"))
+    rows = attach(base, lists, groups)
+    hits = F.filter(F.transform("_b", row), lambda h: h.isNotNull())
+    return rows.select(*groups, F.explode(hits).alias("_h")).select(*groups, "_h.*")
+
+
+def _cell(x: Column, lo: Column, hi: Column, cells: int) -> Column:
+    """Number of x's cell among ``cells`` equal ones over [lo, hi], -1 below
+    and ``cells`` above.  Halves keep the width of any two doubles finite."""
+    width = hi / 2 - lo / 2
+    inside = F.when(width > 0, F.least(F.floor((x / 2 - lo / 2) / width * cells), F.lit(cells - 1))).otherwise(F.lit(0))
+    return F.when(x < lo, F.lit(-1)).when(x > hi, F.lit(cells)).otherwise(inside).cast("int")
+
+
+def _narrowed(base: DataFrame, brackets: DataFrame, groups: list[str], cells: int, every: bool) -> DataFrame:
+    """Each bracket cut to the cell that holds its rank, by one partial
+    aggregation of counts.  ``lo`` and ``hi`` are values of that cell,
+    ``below`` counts the values under it, ``inside`` those in it and
+    ``after`` is the next value above it."""
+    def row(b: Column) -> Column:
+        cell = F.struct(b["i"].alias("i"), _cell(F.col("_x"), b["lo"], b["hi"], cells).alias("_cell"), F.col("_x").alias("_v"))
+        return cell if every else F.when(F.col("_x").between(b["lo"], b["hi"]), cell)
+
+    counted = _bracketed(base, brackets, groups, row).groupBy(*groups, "i", "_cell").agg(
+        F.count(F.lit(1)).alias("_c"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+    old = brackets.select(*groups, "i", "rank", F.col("below").alias("_below"), F.col("after").alias("_after"))
+    order = Window.partitionBy(*groups, "i").orderBy("_cell")
+    upto = F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    cum = join_groups(counted, old, [*groups, "i"]).withColumns({
+        "below": F.col("_below") + upto - F.col("_c"), "after": F.coalesce(F.lead("lo").over(order), F.col("_after"))})
+    return (cum.where((F.col("below") <= F.col("rank")) & (F.col("rank") < F.col("below") + F.col("_c")))
+            .select(*groups, "i", "rank", "lo", "hi", "below", F.col("_c").alias("inside"), "after"))
+
+
+def exact_quantiles(df: DataFrame, value, probs, groups=(), names=None, k: int = SKETCH_K,
+                    cells: int = CELLS, few: int = FEW) -> DataFrame:
     """Linear-interpolation quantiles (``percentile`` / ``quantile_cont``),
     exact, per group, without sending a group to one task.
 
-    Two passes, each one partial aggregation.  A quantile sketch first
-    brackets every wanted quantile: its rank error is at most n / accuracy,
-    and the bracket is twice as wide on both sides (the whole range in
-    groups of up to 4 * accuracy values).  The second pass counts, per
-    quantile, the values below its bracket and each distinct value inside
-    it; the exact ranks follow from running sums over those few values
-    (about 5 n / accuracy at most, whatever the distribution).
+    A KLL sketch per group brackets the rank of each wanted quantile.  Then
+    the brackets are counted in ``cells`` equal cells each (partial
+    aggregation) and cut to the cell with the rank, until none holds more than
+    ``few`` values or all that it holds are equal; the first count covers the
+    whole range, so a sketch that is off only costs a round.  Last the distinct
+    values in the brackets are counted and ranked.  No task holds more than
+    SALTS sketches, ``cells`` + 2 counts or ``few`` values of a group and
+    quantile, whatever its size and distribution.
+
+    ``df`` is scanned once by the sketch, once by each round (a round divides
+    the values in a bracket by about ``cells``: one for a million values, two
+    for a hundred million) and once by the ranking.  Each step's result, one
+    row per group and quantile, is written; the number of open brackets is
+    what reaches the driver.
     """
     groups = list(groups)
     names = names or [f"q{int(round(p * 100)):02d}" for p in probs]
     base = df.select(*groups, finite(value).alias("_x")).where(F.col("_x").isNotNull())
-    wide = 2.0 / accuracy
-    sides = [min(1.0, max(0.0, p + d)) for p in probs for d in (-wide, wide)]
-    sketch = (base.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("min"), F.max("_x").alias("max"),
-                                        F.percentile_approx("_x", sides, accuracy).alias("_b")))
-    few = F.col("n") <= 4 * accuracy
-    lo = [F.when(few, F.col("min")).otherwise(F.col("_b")[2 * i]) for i in range(len(probs))]
-    hi = [F.when(few, F.col("max")).otherwise(F.col("_b")[2 * i + 1]) for i in range(len(probs))]
-    ends = sketch.select(*groups, *[c.alias(f"_lo{i}") for i, c in enumerate(lo)], *[c.alias(f"_hi{i}") for i, c in enumerate(hi)])
-    x = F.col("_x")
-    hits = F.array(*[F.when(x <= F.col(f"_hi{i}"), F.struct(F.lit(i).alias("i"), F.when(x >= F.col(f"_lo{i}"), x).alias("x")))
-                     for i in range(len(probs))])
-    counted = (attach(base, ends, groups).select(*groups, F.explode(F.filter(hits, lambda h: h.isNotNull())).alias("h"))
-               .groupBy(*groups, "h.i", "h.x").agg(F.count(F.lit(1)).alias("_c")))
-    run = Window.partitionBy(*groups, "i").orderBy(F.col("x").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = attach(counted.withColumn("_cum", F.sum("_c").over(run)).where(F.col("x").isNotNull()),
-                    sketch.select(*groups, "n", "min", "max"), groups)
-    below, aggs = F.col("_cum") - F.col("_c"), []
-    for i, p in enumerate(probs):
-        h = F.lit(float(p)) * (F.col("n") - 1).cast("double")
-        for name, rank in (("_l", F.floor(h)), ("_h", F.ceil(h))):
-            aggs.append(F.max(F.when((F.col("i") == i) & (below <= rank) & (rank < F.col("_cum")), F.col("x"))).alias(f"{name}{i}"))
-    q = ranked.groupBy(*groups).agg(*[F.first(c).alias(c) for c in ("n", "min", "max")], *aggs)
+    stats = materialize(_sketched(base, groups, k), "quantile-sketch")
+    off = 4.0 / k
+    at = lambda rank: F.kll_sketch_get_quantile_double("_s", F.lit(rank))                                  # noqa: E731
+    wanted = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p"), at(max(0.0, p - off)).alias("lo"),
+                                at(min(1.0, p + off)).alias("hi")) for i, p in enumerate(probs)])
+    now = stats.select(*groups, "n", F.explode(wanted).alias("_w")).select(
+        *groups, "_w.i", F.floor(F.col("_w.p") * (F.col("n") - 1).cast("double")).alias("rank"), "_w.lo", "_w.hi",
+        F.lit(0).cast("long").alias("below"), F.col("n").alias("inside"), F.lit(None).cast("double").alias("after"))
+    # a width of zero between unequal values is one of two neighbouring subnormal numbers
+    wide = (F.col("lo") < F.col("hi")) & (F.col("hi") / 2 - F.col("lo") / 2 > 0) & (F.col("inside") > few)
+    settled, every = [], True
+    while True:
+        now, every = materialize(_narrowed(base, now, groups, cells, every), "quantile-brackets"), False
+        settled.append(now.where(~wide))
+        now = now.where(wide)
+        if now.isEmpty():
+            break
+    ends = settled[0]
+    for s in settled[1:]:
+        ends = ends.union(s)
+    # the distinct values of the brackets that hold more than one
+    counted = _bracketed(base, ends.where("lo < hi"), groups, lambda b: F.when(
+        F.col("_x").between(b["lo"], b["hi"]), F.struct(b["i"].alias("i"), F.col("_x").alias("_v")))) \
+        .groupBy(*groups, "i", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    equal = ends.where("lo = hi").select(*groups, "i", F.col("lo").alias("_v"), F.col("inside").alias("_c"))
+    order = Window.partitionBy(*groups, "i").orderBy("_v")
+    below = F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_c")
+    ranked = (join_groups(counted.union(equal), ends.select(*groups, "i", "rank", "below", "after"), [*groups, "i"])
+              .withColumns({"below": F.col("below") + below, "after": F.coalesce(F.lead("_v").over(order), F.col("after"))}))
+    ranked = (ranked.where((F.col("below") <= F.col("rank")) & (F.col("rank") < F.col("below") + F.col("_c")))
+              .select(*groups, "i", F.col("_v").alias("low"),
+                      F.when(F.col("rank") + 1 < F.col("below") + F.col("_c"), F.col("_v")).otherwise(F.coalesce("after", "_v")).alias("high")))
+    picked = ranked.groupBy(*groups).agg(*[F.max(F.when(F.col("i") == i, F.col(c))).alias(f"_{c}{i}")
+                                           for i in range(len(probs)) for c in ("low", "high")])
+    q = attach(stats.drop("_s"), picked, groups)
     outs = []
     for i, (p, nm) in enumerate(zip(probs, names)):
         h = F.lit(float(p)) * (F.col("n") - 1).cast("double")
-        outs.append((F.col(f"_l{i}") + (F.col(f"_h{i}") - F.col(f"_l{i}")) * (h - F.floor(h))).alias(nm))
+        outs.append((F.col(f"_low{i}") + (F.col(f"_high{i}") - F.col(f"_low{i}")) * (h - F.floor(h))).alias(nm))
     return q.select(*groups, "n", "min", "max", *outs)
 
 
 def _fences(df: DataFrame, value, groups, whisker: float) -> DataFrame:
+    """Quartiles and fences, one written row per group (its size is known to
+    the planner of the join that follows)."""
     qs = exact_quantiles(df, value, [0.25, 0.5, 0.75], groups, names=["q1", "median", "q3"])
     qs = qs.withColumn("iqr", F.col("q3") - F.col("q1"))
-    return qs.withColumns({"lo_fence": F.col("q1") - whisker * F.col("iqr"),
-                           "hi_fence": F.col("q3") + whisker * F.col("iqr")})
+    return materialize(qs.withColumns({"lo_fence": F.col("q1") - whisker * F.col("iqr"),
+                                       "hi_fence": F.col("q3") + whisker * F.col("iqr")}), "box-fences")
 
 
 def box_stats(df: DataFrame, value: str, groups=(), whisker: float = 1.5, places: int = 6,

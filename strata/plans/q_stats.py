@@ -120,6 +120,15 @@ def q_box_outliers(spark: SparkSession, sf: str) -> DataFrame:
         .select("event_id", "event_type", "value")
 
 
+def q_box_lineitem(spark: SparkSession, sf: str) -> DataFrame:
+    """G3 with large groups: four prices of every line by return flag (half of
+    the rows in one group, over 100,000 of them at sf0.01)."""
+    price, net = F.col("l_extendedprice"), F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    rows = table(spark, sf, "lineitem", "l_returnflag", "l_extendedprice", "l_discount", "l_tax", "l_quantity")
+    rows = rows.select("l_returnflag", F.explode(F.array(price, net, net * (1 + F.col("l_tax")), price / F.col("l_quantity"))).alias("value"))
+    return box_stats(rows, "value", ["l_returnflag"], places=3)
+
+
 def q_histogram(spark: SparkSession, sf: str) -> DataFrame:
     """30 equal-width bins of event values."""
     h = histogram(_events(spark, sf), "value", 30)
@@ -235,6 +244,7 @@ QUERIES = {
     "trend_by_group": q_trend_by_group,
     "trend_band": q_trend_band,
     "box_stats": q_box_stats,
+    "box_lineitem": q_box_lineitem,
     "box_stats_log": q_box_stats_log,
     "box_outliers": q_box_outliers,
     "histogram": q_histogram,
@@ -298,7 +308,7 @@ _ODD = """SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN event_type END AS ev
        WHEN event_id % 11 = 0 THEN value * 1e13 ELSE value END AS value FROM events"""
 
 
-def _box(expr: str, where: str, source: str = "events") -> str:
+def _box(expr: str, where: str, source: str = "events", places: int = 6) -> str:
     return f"""
 WITH b AS (SELECT event_type, {expr} AS v FROM {source} WHERE {where}),
 q AS (SELECT event_type, COUNT(*) AS n, min(v) AS mn, max(v) AS mx,
@@ -308,9 +318,9 @@ f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lf, q3 + 1.5 * (q3 - q1)
 w AS (SELECT b.event_type, min(CASE WHEN v >= lf THEN v END) AS wl, max(CASE WHEN v <= hf THEN v END) AS wh,
         SUM(CASE WHEN v < lf OR v > hf THEN 1 ELSE 0 END) AS n_out
       FROM b JOIN f ON b.event_type IS NOT DISTINCT FROM f.event_type GROUP BY 1)
-SELECT f.event_type, f.n, {fr('mn', 6)} AS min, {fr('q1', 6)} AS q1, {fr('med', 6)} AS median,
-  {fr('q3', 6)} AS q3, {fr('iqr', 6)} AS iqr, {fr('wl', 6)} AS whisker_lo, {fr('wh', 6)} AS whisker_hi,
-  {fr('mx', 6)} AS max, CAST(w.n_out AS BIGINT) AS n_outliers
+SELECT f.event_type, f.n, {fr('mn', places)} AS min, {fr('q1', places)} AS q1, {fr('med', places)} AS median,
+  {fr('q3', places)} AS q3, {fr('iqr', places)} AS iqr, {fr('wl', places)} AS whisker_lo, {fr('wh', places)} AS whisker_hi,
+  {fr('mx', places)} AS max, CAST(w.n_out AS BIGINT) AS n_outliers
 FROM f JOIN w ON f.event_type IS NOT DISTINCT FROM w.event_type
 """
 
@@ -399,6 +409,9 @@ SELECT i, {fr('gx', 6)} AS x, {fr('fit', 6)} AS fit, {fr('fit - 1.959964 * se',
 FROM e
 """,
     "box_stats": _box("value", "value IS NOT NULL"),
+    "box_lineitem": _box("value", "value IS NOT NULL", """(SELECT l_returnflag AS event_type, unnest([l_extendedprice,
+        l_extendedprice * (1 - l_discount), l_extendedprice * (1 - l_discount) * (1 + l_tax), l_extendedprice / l_quantity]) AS value FROM lineitem)""", 3)
+    .replace("SELECT f.event_type,", "SELECT f.event_type AS l_returnflag,"),
     "box_stats_log": _box("log10(value)", "value > 0"),
     "box_outliers": """
 WITH q AS (SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3

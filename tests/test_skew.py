@@ -49,7 +49,7 @@ def test_quantiles_hot_group(spark):
     g = _hot(rnd, 4000, keys=4)
     data = [(k, float(rnd.randrange(0, 10 ** 5)) / 100) for k in g]
     df = spark.createDataFrame(data, "g int, x double")
-    q = {r.g: r for r in exact_quantiles(df, "x", [0.1, 0.5, 0.9], ["g"], accuracy=100).collect()}
+    q = {r.g: r for r in exact_quantiles(df, "x", [0.1, 0.5, 0.9], ["g"], k=20, few=8).collect()}
     for k in set(g):
         xs = np.array([x for kk, x in data if kk == k])
         for p in (0.1, 0.5, 0.9):
@@ -84,7 +84,7 @@ def test_quantiles_heavy_tail_spread_and_exact(spark):
     rnd = random.Random(12)
     xs = [rnd.paretovariate(0.7) * (1 if rnd.random() < 0.8 else -1) for _ in range(3000)]
     df = spark.createDataFrame([(x,) for x in xs], "x double")
-    q = exact_quantiles(df, "x", [0.01, 0.5, 0.99], accuracy=100).first()
+    q = exact_quantiles(df, "x", [0.01, 0.5, 0.99], k=20, few=8).first()
     for p in (0.01, 0.5, 0.99):
         assert q[f"q{int(p * 100):02d}"] == pytest.approx(np.percentile(xs, p * 100), rel=1e-12)
 
@@ -97,10 +97,10 @@ def test_bracketed_quantiles_stay_small(spark, shape):
           "clustered": [1e15] + [1 + rnd.random() * 1e-9 for _ in range(20_000)],
           "one value": [7.0] * 15_000 + [rnd.random() for _ in range(5_000)]}[shape]
     df = spark.createDataFrame([(x,) for x in xs], "x double").repartition(8)
-    q = exact_quantiles(df, "x", [0.25, 0.5, 0.75], accuracy=200)
+    q = exact_quantiles(df, "x", [0.25, 0.5, 0.75])
     want = [x for x in xs if np.isfinite(x)]
     assert [q.first()[c] for c in ("q25", "q50", "q75")] == pytest.approx([np.percentile(want, p) for p in (25, 50, 75)], rel=1e-15)
-    # a window over what is left after the brackets: a few hundredths of the rows
+    # only what is left in the brackets is ranked, in the JVM
     plan = q._jdf.queryExecution().executedPlan()
     q.collect()
     text = plan.toString()

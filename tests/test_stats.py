@@ -12,20 +12,44 @@ from strata.operators.stats import (box_stats, correlations, distribution_stats,
                                     histogram, kde, share_within_group, sigma_bands)
 
 
-@pytest.mark.parametrize("accuracy", [10, 40, 10_000])
-def test_exact_quantiles_match_numpy(spark, accuracy):
+@pytest.mark.parametrize("sizes", [{"k": 8, "cells": 3, "few": 1}, {"k": 20, "cells": 16, "few": 5}, {}])
+def test_exact_quantiles_match_numpy(spark, sizes):
     rnd = random.Random(3)
     data = [(g, float(rnd.choice(range(40))) + (0.5 if rnd.random() < 0.3 else 0.0))
             for g in "abc" for _ in range(rnd.randrange(1, 200))]
     df = spark.createDataFrame(data, "g string, x double")
     probs = [0.0, 0.25, 0.5, 0.75, 1.0]
-    q = {r.g: r for r in exact_quantiles(df, "x", probs, ["g"], accuracy=accuracy).collect()}
+    q = {r.g: r for r in exact_quantiles(df, "x", probs, ["g"], **sizes).collect()}
     for g in "abc":
         xs = np.array([x for gg, x in data if gg == g])
         for p in probs:
             assert q[g][f"q{int(p * 100):02d}"] == pytest.approx(np.percentile(xs, p * 100), abs=1e-9)
 
 
+def test_exact_quantiles_of_hard_ranges(spark):
+    """Both ends of the doubles, neighbouring subnormal numbers, a cluster far
+    from an outlier, a value with most of the rows, one row and no row."""
+    rnd = random.Random(2)
+    data = {"ends": [1.7e308, -1.7e308] * 40 + [rnd.uniform(-1e300, 1e300) for _ in range(300)],
+            "subnormal": [5e-324 * (i % 3) for i in range(400)],
+            "cluster": [1e15] + [1 + 1e-12 * rnd.randrange(900) for _ in range(2000)],
+            "value": [7.0] * 3000 + [rnd.random() * 20 for _ in range(500)], "one": [3.5], "two": [1.0, 2.0]}
+    df = spark.createDataFrame([(g, x) for g, xs in data.items() for x in xs] + [("none", None), (None, 2.0)], "g string, x double").repartition(6)
+    probs = [0.0, 0.03, 0.5, 0.977, 1.0]
+    got = {r.g: r for r in exact_quantiles(df, "x", probs, ["g"], k=16, cells=8, few=4).collect()}
+    assert set(got) == {*data, None}
+    for g, xs in data.items():
+        ordered = sorted(xs)
+        for p in probs:
+            h = p * (len(xs) - 1)
+            low, high = ordered[math.floor(h)], ordered[math.ceil(h)]
+            assert got[g][f"q{int(round(p * 100)):02d}"] == low + (high - low) * (h - math.floor(h))
+        assert (got[g].n, got[g].min, got[g].max) == (len(xs), ordered[0], ordered[-1])
+    assert exact_quantiles(df.where("g = 'none'"), "x", [0.5], ["g"]).count() == 0
+    alone = exact_quantiles(df.where("g = 'cluster'"), "x", [0.5]).collect()
+    assert len(alone) == 1 and alone[0].q50 == pytest.approx(np.percentile(data["cluster"], 50), abs=1e-15)
+
+
 def test_box_whiskers(spark):
     xs = [1.0, 2.0, 3.0, 4.0, 5.0, 100.0]
     b = box_stats(spark.createDataFrame([(x,) for x in xs], "v double"), "v").first()
