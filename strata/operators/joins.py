@@ -1,14 +1,16 @@
 """Equi-joins on panel keys and physical join strategies.
 
-A broadcast is only requested after a bounded check proves the side is
-small (``limit(n + 1).count()`` stops reading after n + 1 rows).  Without
-that proof the join is left to the planner, where AQE turns it into a
+A broadcast is only requested after a check proves the side is small: its
+rows and bytes are counted by one partial aggregation, which no task holds.
+Without that proof the join is left to the planner, where AQE turns it into a
 broadcast hash join only when the measured size of a shuffle stage is
 below ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,12 +22,29 @@ DEFAULT_BROADCAST_ROWS = 2_000_000
 DEFAULT_BROADCAST_BYTES = 256 << 20
 
 
+@dataclass
+class Size:
+    rows: int
+    bytes: int          # as JSON text
+    longest: int        # rows of the key that has the most
+
+
+def measured(df: DataFrame, keys=()) -> Size:
+    """Size of ``df`` by one job of partial aggregations; three numbers reach
+    the driver."""
+    width = F.sum(F.octet_length(F.to_json(F.struct("*"))))
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), width.alias("b"))
+    r = per_key.agg(F.sum("n").alias("n"), F.sum("b").alias("b"), F.max("n").alias("longest")).first()
+    return Size(r.n or 0, r.b or 0, r.longest or 0)
+
+
 def rows_at_most(df: DataFrame, n: int, max_bytes: int | None = None) -> bool:
     """True iff ``df`` has at most ``n`` rows (and, written as JSON, at most
-    ``max_bytes`` bytes); reads at most n + 1 rows."""
-    width = F.sum(F.octet_length(F.to_json(F.struct("*")))) if max_bytes is not None else F.lit(0)
-    r = df.limit(n + 1).agg(F.count(F.lit(1)).alias("n"), width.alias("b")).first()
-    return r.n <= n and (max_bytes is None or (r.b or 0) <= max_bytes)
+    ``max_bytes`` bytes)."""
+    if max_bytes is None:
+        return df.agg(F.count(F.lit(1))).first()[0] <= n
+    size = measured(df)
+    return size.rows <= n and size.bytes <= max_bytes
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,

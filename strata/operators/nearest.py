@@ -20,15 +20,22 @@ Forms:
             probes x history.
 ``minby``   same join, then ``min_by`` aggregate (partial aggregation).
 ``fill``    no probe x history product: probes and right rows are put in
-            one sorted sequence per (key, period bucket); the last right row
-            at or before a probe and the first one after it come from
-            running ``last(ignorenulls)`` windows; buckets without a right
-            row on one side get it from a per-bucket summary carried across
-            buckets.  A window partition holds at most the rows of one
-            bucket, never a whole hot key.  O((N + H) log) and the default.
-            With ``probe_rows="rows"`` the left rows themselves go through
-            the window (for panels unique per key and period): no distinct
-            probes and no join back.
+            one sorted sequence per (key, piece); the last right row at or
+            before a probe and the first one after it come from running
+            ``last(ignorenulls)`` windows; pieces without a right row on one
+            side get it from a one-row summary per (key, piece) carried
+            across pieces.  The pieces come from one range partitioning of
+            all rows by (key, period), written once, so a piece holds its
+            share of the rows whatever the keys and periods, and a key's
+            pieces are no more than the tasks; a caller who knows the period
+            unit names pieces of fixed width instead.  O((N + H) log) and the
+            default.  With ``probe_rows="rows"`` the left rows themselves go
+            through the window (for panels unique per key and period): no
+            distinct probes and no join back.
+``lookup``  for a right side that a check proves small: its history as one
+            sorted array per key, broadcast, and a binary search per left row
+            in a native expression; one row per left row in the whole plan.
+            Beyond the bound the ``fill`` form answers.
 """
 
 from __future__ import annotations
@@ -39,9 +46,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.numbers import abs_diff
-from strata.operators.joins import bounded_broadcast
+from strata.operators.joins import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, bounded_broadcast, measured
+from strata.session import materialize
 
-FORMS = ("fill", "window", "minby")
+FORMS = ("fill", "window", "minby", "lookup")
 
 
 def _q(name: str) -> str:
@@ -101,24 +109,44 @@ def _answers_ranked(probes: DataFrame, side: Side, keys, period: str, form: str,
             .select(*keys, period, "_b._q", *[F.col(f"_b.{v}").alias(v) for v in side.values]))
 
 
-# the buckets cover the periods without the outermost share on either side
-TAIL = 0.001
+# range pieces per shuffle partition: several small ones even out which task they meet in
+PIECES = 4
 
 
-def _period_range(frames) -> tuple[int, int] | None:
-    """The period range that all but a share of TAIL of the rows on either
-    side lie in, by a quantile sketch (one row): a few stray periods do not
-    widen the buckets.  Two numbers reach the driver."""
-    u = frames[0]
-    for f in frames[1:]:
-        u = u.unionByName(f)
-    ends = u.agg(F.percentile_approx("_t", [TAIL, 1 - TAIL], 10_000)).first()[0]
-    return (int(ends[0]), int(ends[1])) if ends else None
+def _pieces(rows: DataFrame, keys, tie, pieces: int | None) -> DataFrame:
+    """The rows with ``_b``, their piece in the order of (key, period, right
+    rows first).  Written once: a second run would cut elsewhere.  ``tie``
+    orders equal rows, so even one (key, period) may spread over pieces."""
+    n = pieces or PIECES * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [*[F.col(k) for k in keys], F.col("_t"), F.col("_r").desc(), *tie]
+    return materialize(rows.repartitionByRange(n, *order).withColumn("_b", F.spark_partition_id().cast("long")), "nearest-pieces")
+
+
+def _answers_lookup(left: DataFrame, sides: list[Side], keys, period: str, max_rows: int) -> DataFrame | None:
+    """lookup form: the left rows with a column ``_pick<i>`` per side, or None
+    if a side is too large to be broadcast."""
+    out = left
+    for i, s in enumerate(sides):
+        r = _right(s, keys).dropna(subset=list(keys))
+        size = measured(r, keys)
+        if size.rows > max_rows or size.bytes > DEFAULT_BROADCAST_BYTES:
+            return None
+        lists = r.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col("_q").alias("q"), *s.values))).alias("_h"))
+        out = out.join(F.broadcast(lists), list(keys), "left")
+        # the number of periods <= t, built up from powers of two
+        t, periods = F.col(_q(period)), F.col("_h.q")
+        steps = F.array(*[F.lit(1 << b) for b in reversed(range(max(1, size.longest.bit_length())))])
+        n = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(periods, at + step - 1) <= t, at + step).otherwise(at))
+        out = out.withColumn("_n", n)
+        prev, nxt = F.get("_h", F.col("_n") - 1), F.get("_h", F.col("_n"))
+        pick = (F.when(t.isNull(), F.lit(None)).when(prev.isNull(), nxt).when(nxt.isNull(), prev)
+                .when(t - prev["q"] < nxt["q"] - t, prev).otherwise(nxt))
+        out = out.withColumn(f"_pick{i}", pick).drop("_h", "_n")
+    return out
 
 
 def _answers_fill(probes: DataFrame, sides: list[Side], keys, period: str,
-                  buckets: int, bucket_width: int | None = None,
-                  carry_left: bool = False, left: DataFrame | None = None) -> DataFrame:
+                  buckets: int | None, bucket_width: int | None = None, carry_left: bool = False) -> DataFrame:
     """fill form for one or more right sides in one pass.
 
     ``carry_left``: ``probes`` are the left rows themselves; they travel
@@ -172,34 +200,26 @@ def _answers_fill(probes: DataFrame, sides: list[Side], keys, period: str,
     if carry_left:
         lt = prob.schema["_L"].dataType
         rights = [r.withColumn("_L", F.lit(None).cast(lt)) for r in rights]
-    if bucket_width:
-        # the caller knows the period unit: no range job, buckets of fixed width
-        lo, width = 0, int(bucket_width)
-    else:
-        # the raw left periods: no distinct aggregation of the probes inside
-        # this small job
-        src = (left if left is not None else probes).select(F.col(period).alias("_t"))
-        rng = _period_range([src] + [r.select("_t") for r in rights])
-        # no period anywhere: every answer is null, any bucketing will do
-        lo, hi = rng if rng is not None else (0, 0)
-        width = max(1, -(-(hi - lo + 1) // max(1, buckets)))
-    bucket = F.floor((F.col("_t") - F.lit(lo)) / F.lit(width)).cast("long")
-    if not bucket_width:
-        bucket = F.greatest(F.least(bucket, F.lit(buckets)), F.lit(-1))     # the tails: a bucket on either side
     unmatched = F.col("_t").isNull()
     for k in keys:
         unmatched = unmatched | F.col(k).isNull()
-    prob_bucket = bucket
-    if carry_left:
-        # left rows without a period or key match nothing; spread them over
-        # salted negative buckets so they never gather in one window partition
-        salt = F.pmod(F.xxhash64("_L"), F.lit(max(1, buckets))).cast("long")
-        prob_bucket = F.when(unmatched, -2 - salt).otherwise(bucket)
-    prob = prob.withColumn("_b", prob_bucket)
-    rights = [r.withColumn("_b", bucket) for r in rights]
+    if bucket_width:
+        # the caller knows the period unit: pieces of fixed width
+        bucket = F.floor(F.col("_t") / F.lit(int(bucket_width))).cast("long")
+        prob_bucket = bucket
+        if carry_left:
+            # left rows without a period or key match nothing; spread them over
+            # salted negative buckets so they never gather in one window partition
+            salt = F.pmod(F.xxhash64("_L"), F.lit(1024)).cast("long")
+            prob_bucket = F.when(unmatched, -2 - salt).otherwise(bucket)
+        prob = prob.withColumn("_b", prob_bucket)
+        rights = [r.withColumn("_b", bucket) for r in rights]
     allrows = prob
     for r in rights:
         allrows = allrows.unionByName(r)
+    if not bucket_width:
+        allrows = _pieces(allrows, keys, [F.xxhash64("_L")] if carry_left else [], buckets)
+        prob, rights = allrows.where("_r = 0"), [allrows.where("_r = 1")]
 
     part = keys + ["_b"]
     # right rows first at equal period, so an exact hit is "at or before"
@@ -213,11 +233,11 @@ def _answers_fill(probes: DataFrame, sides: list[Side], keys, period: str,
         *[F.last(p, ignorenulls=True).over(down).alias(f"_next{i}") for i, p in enumerate(pay)],
     ).where(F.col("_r") == 0)
 
-    # Per-bucket summary: the first and last right row of every bucket (an
-    # aggregation over the right side only), next to every bucket that holds
-    # probes; carried to the following / preceding buckets by a window over
-    # at most `buckets` rows per key.  Built apart from the big window above,
-    # so that union is shuffled and sorted once.
+    # Per-piece summary: the first and last right row of every piece (an
+    # aggregation over the right side only), next to every piece that holds
+    # probes; carried to the following / preceding pieces by a window over one
+    # row per key and piece.  Built apart from the big window above, so that
+    # union is shuffled and sorted once.
     rall = rights[0]
     for r in rights[1:]:
         rall = rall.unionByName(r)
@@ -251,18 +271,17 @@ def _answers_fill(probes: DataFrame, sides: list[Side], keys, period: str,
 
 
 def nearest_enrich(left: DataFrame, keys, period: str, sides: list[Side], form: str = "fill",
-                   buckets: int = 1024, broadcast_rows: int | None = None,
+                   buckets: int | None = None, broadcast_rows: int | None = None,
                    bucket_width: int | None = None, probe_rows: str = "distinct") -> DataFrame:
     """Attach the nearest right row of each side to every left row.
 
     Adds ``<prefix>period`` (or ``match_period``) and ``<prefix><value>``
-    per side.  ``broadcast_rows`` (window/minby only) broadcasts the right
-    side when a bounded check proves it has at most that many rows.
-    Periods are integers (years, day numbers, epoch seconds).  The fill
-    form cuts the period axis into ``buckets`` equal buckets over the global
-    range without its tails (one small job finds it) and one more for each
-    tail, or into buckets of ``bucket_width`` periods when the caller knows
-    the unit.
+    per side.  ``broadcast_rows`` broadcasts the right side (window/minby) or
+    its arrays (lookup, by default) when a check proves it has at most that
+    many rows.  Periods are integers (years, day numbers, epoch seconds).  The
+    fill form cuts the rows into ``buckets`` range pieces (by default PIECES
+    times the shuffle partitions), or the period axis into pieces of
+    ``bucket_width`` periods when the caller knows the unit.
 
     ``probe_rows`` (fill form): ``"distinct"`` probes the distinct (key,
     period) pairs and joins the answers back - safe when one pair is hot;
@@ -275,21 +294,21 @@ def nearest_enrich(left: DataFrame, keys, period: str, sides: list[Side], form:
     keys = [keys] if isinstance(keys, str) else list(keys)
     if form not in FORMS:
         raise ValueError(f"form must be one of {FORMS}")
+    picked = []
+    for i, s in enumerate(sides):
+        picked += [F.col(f"_pick{i}.q").alias(s.out_period()), *[F.col(f"_pick{i}.{v}").alias(s.out_value(v)) for v in s.values]]
+    if form == "lookup":
+        ans = _answers_lookup(left, sides, keys, period, broadcast_rows or DEFAULT_BROADCAST_ROWS)
+        if ans is not None:
+            return ans.select(*[F.col(_q(c)) for c in left.columns], *picked)
+        form = "fill"
     if form == "fill" and probe_rows == "rows":
         ans = _answers_fill(left, sides, keys, period, buckets, bucket_width, carry_left=True)
-        flat = [F.col(f"_L.{_q(c)}").alias(c) for c in left.columns]
-        for i, s in enumerate(sides):
-            flat.append(F.col(f"_pick{i}.q").alias(s.out_period()))
-            flat += [F.col(f"_pick{i}.{v}").alias(s.out_value(v)) for v in s.values]
-        return ans.select(*flat)
+        return ans.select(*[F.col(f"_L.{_q(c)}").alias(c) for c in left.columns], *picked)
     probes = _probes(left, keys, period)
     if form == "fill":
-        ans = _answers_fill(probes, sides, keys, period, buckets, bucket_width, left=left)
-        flat = [*(F.col(k) for k in keys), F.col(period)]
-        for i, s in enumerate(sides):
-            flat.append(F.col(f"_pick{i}.q").alias(s.out_period()))
-            flat += [F.col(f"_pick{i}.{v}").alias(s.out_value(v)) for v in s.values]
-        ans = ans.select(*flat)
+        ans = _answers_fill(probes, sides, keys, period, buckets, bucket_width)
+        ans = ans.select(*(F.col(k) for k in keys), F.col(period), *picked)
     else:
         ans = None
         for s in sides:

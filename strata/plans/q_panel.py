@@ -197,7 +197,7 @@ QUERIES = {
     "nearest_window": _nearest("window"),
     "nearest_minby": _nearest("minby"),
     "nearest_fill": _nearest("fill"),
-    "nearest_broadcast": _nearest("window", broadcast_rows=100_000),
+    "nearest_broadcast": _nearest("lookup", broadcast_rows=100_000),
     "enrich_multi": q_enrich_multi,
 }
 

@@ -14,7 +14,7 @@ RIGHT = [("a", 2010, 1.0), ("a", 2013, 2.0), ("a", 2011, 3.0), ("a", None, 9.0),
          ("b", 2029, 5.0)]
 
 
-@pytest.mark.parametrize("form", ["fill", "window", "minby", ])
+@pytest.mark.parametrize("form", ["fill", "window", "minby", "lookup"])
 def test_edges(spark, form):
     left = spark.createDataFrame(LEFT, "id int, k string, p int")
     right = spark.createDataFrame(RIGHT, "k string, q int, v double")
@@ -38,7 +38,7 @@ def test_forms_agree_on_random_panels(spark):
     ldf = spark.createDataFrame(left, "id int, k int, p int")
     rdf = spark.createDataFrame(right, "k int, q int, v double")
     res = [rows(nearest_join(ldf, rdf, ["k"], "p", "q", ["v"], form=f, buckets=b), "id", "match_period", "v")
-           for f, b in [("window", 0), ("minby", 0), ("fill", 1), ("fill", 7), ("fill", 1024)]]
+           for f, b in [("window", 0), ("minby", 0), ("lookup", None), ("fill", 1), ("fill", 7), ("fill", 1024)]]
     res.append(rows(nearest_join(ldf, rdf, ["k"], "p", "q", ["v"], form="fill", bucket_width=13),
                     "id", "match_period", "v"))
     for r in res[1:]:
@@ -67,15 +67,45 @@ def test_dedupe_right_and_window_plan(spark):
     assert F is not None
 
 
-def test_a_stray_period_does_not_widen_the_buckets(spark):
-    from strata.operators.nearest import _period_range
-    t = spark.range(100_000).select((F.col("id") + 10 ** 9).alias("_t")).union(spark.createDataFrame([(0,)], "_t long"))
-    lo, hi = _period_range([t])
-    assert 10 ** 9 <= lo and hi <= 10 ** 9 + 100_000 and hi - lo > 90_000
-    left = spark.createDataFrame([("a", 0), ("a", 10 ** 9 + 5), ("a", 10 ** 9 + 99_999), ("a", None)], "k string, p long")
-    right = spark.createDataFrame([("a", 10 ** 9 + 7, 1.0), ("a", 3, 2.0)], "k string, q long, v double")
-    got = nearest_join(left.union(t.selectExpr("'b'", "_t")), right, ["k"], "p", "q", ["v"]).where("k = 'a'")
-    assert rows(got, "p", "match_period", "v") == sorted([(0, 3, 2.0), (10 ** 9 + 5, 10 ** 9 + 7, 1.0), (10 ** 9 + 99_999, 10 ** 9 + 7, 1.0), (None, None, None)], key=repr)
+@pytest.mark.parametrize("probe_rows", ["distinct", "rows"])
+def test_pieces_share_the_rows_of_a_key_clustered_on_periods(spark, probe_rows):
+    """One key, few neighbouring periods and a stray one: no piece gets much
+    more than its share of the rows, and the answers stay right."""
+    t = spark.range(20_000).select((F.floor(F.col("id") / 4) + 10 ** 9).alias("p"), F.col("id").alias("i"))
+    left = t.select(F.lit("b").alias("k"), "p", "i").union(spark.createDataFrame(
+        [("a", 0, -1), ("a", 10 ** 9 + 5, -2), ("a", 10 ** 9 + 99_999, -3), ("a", None, -4)], "k string, p long, i long"))
+    right = spark.createDataFrame([("a", 10 ** 9 + 7, 1.0), ("a", 3, 2.0), ("b", 10 ** 9 + 2600, 3.0), ("b", 10 ** 9 + 7, 4.0)],
+                                  "k string, q long, v double")
+    out = nearest_join(left, right, ["k"], "p", "q", ["v"], probe_rows=probe_rows)
+    assert rows(out.where("k = 'a'"), "p", "match_period", "v") == sorted(
+        [(0, 3, 2.0), (10 ** 9 + 5, 10 ** 9 + 7, 1.0), (10 ** 9 + 99_999, 10 ** 9 + 7, 1.0), (None, None, None)], key=repr)
+    assert out.where("k = 'b'").groupBy("v").count().orderBy("v").collect() == [(3.0, 20_000 - 4 * 1304), (4.0, 4 * 1304)]
+    written = [f for f in out.inputFiles() if "nearest-pieces" in f]
+    per_piece = [r[0] for r in spark.read.parquet(*written).groupBy("_b").count().select("count").collect()]
+    assert len(per_piece) > 16 and max(per_piece) < 3 * sum(per_piece) / len(per_piece)
+
+
+def test_one_period_with_most_rows_spreads_over_pieces(spark):
+    left = spark.range(8_000).select(F.lit(1).alias("k"), F.lit(5).alias("p"), "id")
+    right = spark.createDataFrame([(1, 2, 1.0), (1, 5, 2.0), (1, 6, 3.0)], "k int, q int, v double")
+    out = nearest_join(left, right, ["k"], "p", "q", ["v"], probe_rows="rows")
+    assert out.groupBy("match_period", "v").count().collect() == [(5, 2.0, 8_000)]
+    per_piece = spark.read.parquet(*out.inputFiles()).groupBy("_b").count().collect()
+    assert len(per_piece) > 16 and max(r[1] for r in per_piece) < 1_000
+
+
+def test_lookup_makes_one_row_per_left_row_and_falls_back(spark):
+    left = spark.createDataFrame([(i, i % 5 or None, i % 37) for i in range(300)], "id int, k int, p int")
+    right = spark.createDataFrame([(k, q, float(q)) for k in range(4) for q in range(0, 37, 1 + k)] + [(None, 3, 1.0)],
+                                  "k int, q int, v double")
+    out = nearest_join(left, right, ["k"], "p", "q", ["v"], form="lookup")
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("BroadcastHashJoin") == 1 and "Window" not in plan and "Python" not in plan
+    want = rows(nearest_join(left, right, ["k"], "p", "q", ["v"]))
+    assert rows(out) == want
+    assert rows(nearest_join(left, right, ["k"], "p", "q", ["v"], form="lookup", broadcast_rows=20)) == want
+    assert nearest_join(left, right.where("false"), ["k"], "p", "q", ["v"], form="lookup").where("v is null").count() == 300
 
 
 def test_shared_sides_equal_separate_sides(spark):

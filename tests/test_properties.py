@@ -68,7 +68,7 @@ history = st.dictionaries(st.tuples(st.integers(0, 3), st.integers(0, 30)),
 
 
 @SETTINGS
-@given(panel, history, st.sampled_from(["fill", "window", "minby"]),
+@given(panel, history, st.sampled_from(["fill", "window", "minby", "lookup"]),
        st.sampled_from(["distinct", "rows"]))
 def test_nearest_matches_brute_force(spark, left, right, form, probe_rows):
     ldf = spark.createDataFrame([(i, k, p) for i, (k, p) in enumerate(left)], "id int, k int, p int")
