@@ -6,6 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.forest import PLACES, forest_importance, forest_scores, forest_sql, grow_forest
 from strata.operators.ml import (accuracy, assembler, auc_by_class, confusion, fit_ovr,
                                  fit_rf_pipeline, forest_importances, hash_split, importances,
                                  label_indexer, label_map, split_bucket)
@@ -184,7 +185,60 @@ def q_model_checks(spark: SparkSession, sf: str) -> DataFrame:
                     F.lit(abs(total - 1) < 1e-9).alias("importances_sum_to_1"), (F.col("a") >= F.col("m") * 2 / 3).alias("accuracy_holds")))
 
 
+# the forests that SQL recomputes: the reference's features, fewer and smaller trees
+FOREST = {"trees": 5, "depth": 4, "bins": 24, "tried": 2, "least": 3}
+OVR_FOREST = {"trees": 3, "depth": 3, "bins": 24, "tried": 2, "least": 3}
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+def _grown(spark, sf, one_vs_rest: bool):
+    """A forest grown on the training rows and the scored test rows."""
+    p = _model_panel(spark, sf)
+    f = grow_forest(p.where("split = 'train'"), "winner", FEATURES, ["o_custkey", "year"], PRIORITIES,
+                    one_vs_rest=one_vs_rest, **(OVR_FOREST if one_vs_rest else FOREST))
+    return f, forest_scores(p.where("split = 'test'"), f)
+
+
+def _forest_rows(spark, sf, one_vs_rest: bool) -> DataFrame:
+    _, scored = _grown(spark, sf, one_vs_rest)
+    return scored.select("o_custkey", "year", "winner", "prediction", F.array_max("scores").alias("score"))
+
+
+def q_forest_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """M6 + M7 + M12: a forest over all classes, its predictions for the test rows."""
+    return _forest_rows(spark, sf, False)
+
+
+def q_ovr_forest_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """M8: one-vs-rest forests of all classes, grown together."""
+    return _forest_rows(spark, sf, True)
+
+
+def q_forest_importance(spark: SparkSession, sf: str) -> DataFrame:
+    """Importances of the forest and of each one-vs-rest forest."""
+    p = _model_panel(spark, sf).where("split = 'train'")
+    fits = [grow_forest(p, "winner", FEATURES, ["o_custkey", "year"], PRIORITIES, one_vs_rest=ovr, **sizes)
+            for ovr, sizes in ((False, FOREST), (True, OVR_FOREST))]
+    return forest_importance(spark, fits[0]).unionByName(forest_importance(spark, fits[1]))
+
+
+def q_forest_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """M9 + M10 of the one-vs-rest forests: accuracy, the share of the largest
+    class, and each class's AUC from its own scores, on the test rows."""
+    _, scored = _grown(spark, sf, True)
+    scored = materialize(scored.select("winner", "prediction", "scores"), "forest-scores")
+    one = lambda metric, cls, value: [F.lit(metric).alias("metric"), F.lit(cls).alias("class"), fround(value, PLACES).alias("value")]     # noqa: E731
+    acc = accuracy(scored, "winner").select(*one("accuracy", "all", F.col("accuracy")))
+    largest = scored.groupBy("winner").count().agg((F.max("count") / F.sum("count")).alias("m")).select(*one("largest class", "all", F.col("m")))
+    auc = auc_by_class(scored, "winner", {c: F.get("scores", F.lit(i)) for i, c in enumerate(PRIORITIES)})
+    return acc.unionByName(largest).unionByName(auc.select(F.lit("auc").alias("metric"), F.col("cls").alias("class"), fround("auc", PLACES).alias("value")))
+
+
 QUERIES = {
+    "forest_predictions": q_forest_predictions,
+    "ovr_forest_predictions": q_ovr_forest_predictions,
+    "forest_importance": q_forest_importance,
+    "forest_metrics": q_forest_metrics,
     "model_checks": q_model_checks,
     "label_index_alpha": q_label_index_alpha,
     "label_index_freq": q_label_index_freq,
@@ -215,7 +269,60 @@ WITH s AS (SELECT l_returnflag, l_discount AS a, l_tax AS n, l_quantity / 50.0 A
 p AS (SELECT *, CASE WHEN a >= n AND a >= r THEN 'A' WHEN n >= r THEN 'N' ELSE 'R' END AS prediction FROM s)
 """
 
+# the modelling table: yearly panel, ratio of the nearest year with F orders, balance
+_PANEL = f"""
+SELECT o_custkey || '|' || year AS key, CASE WHEN ('0x' || substr(md5(o_custkey || '|' || year), 1, 8))::BIGINT % 100 < 80 THEN 'train' ELSE 'test' END AS part,
+  list_position({PRIORITIES}, winner)::INTEGER - 1 AS y, total_price AS x0, n_orders::DOUBLE AS x1, f_ratio AS x2, near_f_ratio AS x3, c_acctbal AS x4, o_custkey, year, winner
+FROM (SELECT pw.*, arg_max(r.f_ratio, (-abs(pw.year - r.year), r.year)) AS near_f_ratio
+      FROM panel pw LEFT JOIN (SELECT o_custkey, year, f_ratio FROM panel WHERE f_total > 0) r ON pw.o_custkey = r.o_custkey GROUP BY ALL) e
+JOIN customer ON o_custkey = c_custkey"""
+
+_FOREST = """
+WITH orders_y AS (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year, o_orderstatus, o_orderpriority, CAST(o_totalprice AS DECIMAL(18,2)) AS price FROM orders),
+prices AS (SELECT o_custkey, year, CAST(SUM(price) AS DOUBLE) AS total_price, COUNT(*) AS n_orders,
+             CAST(SUM(price) FILTER (WHERE o_orderstatus = 'F') AS DOUBLE) AS f_total FROM orders_y GROUP BY 1, 2),
+winners AS (SELECT o_custkey, year, o_orderpriority AS winner FROM orders_y GROUP BY 1, 2, 3
+            QUALIFY row_number() OVER (PARTITION BY o_custkey, year ORDER BY SUM(price) DESC, o_orderpriority) = 1),
+panel AS (SELECT *, f_total / NULLIF(total_price, 0) AS f_ratio FROM prices JOIN winners USING (o_custkey, year)),
+"""
+
+
+def _forest(one_vs_rest: bool) -> str:
+    """The forest and ``votes`` (key, c, s): a test row's score of each class."""
+    sizes = OVR_FOREST if one_vs_rest else FOREST
+    grown = forest_sql(_PANEL, len(FEATURES), len(PRIORITIES), one_vs_rest=one_vs_rest, **sizes)
+    c, rows = (f"tree // {sizes['trees']}", "WHERE k = 1") if one_vs_rest else ("k", "")
+    votes = f"SELECT key, {c} AS c, {_fr('sum(s) / ' + str(float(sizes['trees'])), PLACES)} AS s FROM scored {rows} GROUP BY ALL"
+    return _FOREST + grown + f",\nvotes AS ({votes})"
+
+
+def _forest_predictions(one_vs_rest: bool) -> str:
+    return _forest(one_vs_rest) + f"""
+SELECT o_custkey, year, winner, {PRIORITIES}[c + 1] AS prediction, s AS score
+FROM (SELECT * FROM votes QUALIFY row_number() OVER (PARTITION BY key ORDER BY s DESC, c) = 1) JOIN base USING (key)"""
+
+
+def _forest_importance(one_vs_rest: bool) -> str:
+    e, name = (f"tree // {OVR_FOREST['trees']}", f"{PRIORITIES}[e + 1]") if one_vs_rest else ("0", "'all'")
+    return _forest(one_vs_rest) + f""",
+shares AS (SELECT tree, {e} AS e, feature, sum(gain) / sum(sum(gain)) OVER (PARTITION BY tree) AS share FROM cuts GROUP BY tree, feature),
+grid AS (SELECT e, i, {FEATURES}[i + 1] AS feature FROM range({len(PRIORITIES) if one_vs_rest else 1}) a(e), range({len(FEATURES)}) b(i))
+SELECT {name} AS ensemble, g.feature, {_fr(f'coalesce((SELECT sum(share) FROM shares s WHERE s.e = g.e AND s.feature = g.i) / (SELECT count(DISTINCT tree) FROM shares s WHERE s.e = g.e), 0)', PLACES)} AS importance
+FROM grid g"""
+
+
 ORACLE = {
+    "forest_predictions": _forest_predictions(False),
+    "ovr_forest_predictions": _forest_predictions(True),
+    "forest_importance": f"SELECT * FROM ({_forest_importance(False)}) UNION ALL SELECT * FROM ({_forest_importance(True)})",
+    "forest_metrics": _forest(True) + f""",
+tested AS (SELECT winner, y, c, s FROM votes JOIN base USING (key)),
+ranks AS (SELECT c, y = c AS pos, rank() OVER (PARTITION BY c ORDER BY s) + (count(*) OVER (PARTITION BY c, s) - 1) / 2.0 AS r FROM tested),
+sides AS (SELECT c, count(*) FILTER (pos) AS p, count(*) FILTER (NOT pos) AS n, sum(r) FILTER (pos) AS rs FROM ranks GROUP BY c),
+predicted AS (SELECT y, c FROM (SELECT key, c FROM votes QUALIFY row_number() OVER (PARTITION BY key ORDER BY s DESC, c) = 1) JOIN base USING (key))
+SELECT 'accuracy' AS metric, 'all' AS class, {_fr('avg((y = c)::INTEGER)', PLACES)} AS value FROM predicted
+UNION ALL SELECT 'largest class', 'all', {_fr('max(n) / sum(n)', PLACES)} FROM (SELECT count(*)::DOUBLE AS n FROM predicted GROUP BY y)
+UNION ALL SELECT 'auc', {PRIORITIES}[c + 1], {_fr('(rs - p * (p + 1) / 2.0) / (p * n)', PLACES)} FROM sides""",
     "model_checks": """
 WITH p AS (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year, sum(o_totalprice) FILTER (o_orderstatus = 'F') AS f,
              ('0x' || substr(md5(o_custkey || '|' || CAST(year(o_orderdate) AS INTEGER)), 1, 8))::BIGINT % 100 AS bucket
