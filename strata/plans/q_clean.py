@@ -10,6 +10,7 @@ from strata.functions.columns import (clean_counts, digits_only, drop_null_keys,
 from strata.functions.numbers import parse_number
 from strata.functions.text import (CATEGORY_REPAIRS, MULTI_CHAR_FOLDS, fold_ascii, fold_key,
                                    recode, repair_text, slug)
+from strata.operators.joins import collated_join
 from strata.sources.tables import table
 
 # Single-byte charset used to simulate the damage that the repair undoes.
@@ -73,6 +74,17 @@ def q_collated_join(spark: SparkSession, sf: str) -> DataFrame:
     return dw.join(bw, "word", "inner")
 
 
+def q_collated_words(spark: SparkSession, sf: str) -> DataFrame:
+    """C5 without a key column: spellings of words in documents and in
+    benchmark items that are equal under a case- and accent-insensitive
+    collation.  Both sides are counted per spelling first."""
+    def spellings(name: str, word: str, count: str) -> DataFrame:
+        words = F.explode(F.regexp_extract_all("text", F.lit(r"\p{L}+"), F.lit(0))).alias(word)
+        return table(spark, sf, name, "text").select(words).groupBy(word).agg(F.count(F.lit(1)).alias(count))
+
+    return collated_join(spellings("documents", "word", "doc_count"), spellings("benchmark", "bench_word", "bench_count"), "word", "bench_word")
+
+
 def _price_text(o):
     base = F.concat(F.replace(F.format_string("%.2f", "o_totalprice"), F.lit("."), F.lit(",")),
                     F.lit(" %"))
@@ -152,6 +164,7 @@ QUERIES = {
     "fold_ascii": q_fold_ascii,
     "repair_text": q_repair_text,
     "collated_join": q_collated_join,
+    "collated_words": q_collated_words,
     "parse_number": q_parse_number,
     "normalize_headers": q_normalize_headers,
     "harmonize_schema": q_harmonize_schema,
@@ -193,6 +206,11 @@ SELECT o_orderkey, o_orderstatus || ': ' || c || ' / ' || c AS category FROM o
     "slugify": "SELECT doc_id, regexp_replace(trim(lower(text)), '\\s+', '-', 'g') AS slug FROM documents",
     "fold_ascii": f"SELECT doc_id, {_fold_sql('text')} AS folded FROM documents",
     "repair_text": "SELECT doc_id, CAST(strlen(text) AS INTEGER) AS damaged_chars, md5(text) AS repaired_md5 FROM documents",
+    "collated_words": r"""
+WITH d AS (SELECT word, count(*) AS doc_count FROM (SELECT unnest(regexp_extract_all(text, '\pL+')) AS word FROM documents) GROUP BY word),
+b AS (SELECT word AS bench_word, count(*) AS bench_count FROM (SELECT unnest(regexp_extract_all(text, '\pL+')) AS word FROM benchmark) GROUP BY word)
+SELECT * FROM d JOIN b ON replace(strip_accents(lower(word)), 'ß', 'ss') = replace(strip_accents(lower(bench_word)), 'ß', 'ss')
+""",
     "collated_join": f"""
 SELECT d.word, d.doc_count, b.bench_count
 FROM ({_words_sql('documents', 'doc_count')}) d JOIN ({_words_sql('benchmark', 'bench_count')}) b USING (word)

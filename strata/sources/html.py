@@ -2,12 +2,11 @@
 
 The reference fetched pages in a driver loop and parsed them with a
 single-machine HTML library.  Here pages are rows of a DataFrame
-``(keys..., html)``; fetching is out of scope.  Regular markup is parsed
-with JVM regular expressions (``regexp_extract_all`` + ``posexplode``), so
-extraction stays in whole-stage code; irregular markup goes through
-``table_rows_py``, a ``mapInPandas`` over Arrow batches that runs the
-small tag tokenizer (one regular expression plus a state machine) on each
-page.
+``(keys..., html)``; fetching is out of scope.  Markup as it is found
+(nested tables, any quoting, unclosed cells) needs a parser: ``parse_pages``
+runs a small tag tokenizer (one regular expression plus a state machine) over
+Arrow batches (``mapInArrow``); links and everything after the parse are JVM
+expressions.
 """
 
 from __future__ import annotations

@@ -1,8 +1,8 @@
 """One file (or folder) per period with varying columns.
 
 Files of a source may have different headers, also the same columns in
-another order: one pass finds the first line of every file, then the files
-of each distinct header are read together with ``header=true``.  The period
+another order: the first line of every file is read (and no more of it), then
+the files of each distinct header are read together with ``header=true``.  The period
 comes from the file path via ``_metadata.file_path`` and a regular
 expression, so a read covers any number of periods.  Sources are combined
 with ``unionByName(allowMissingColumns=True)`` after casting every column
@@ -12,8 +12,9 @@ in the union).  A missing source is reported and skipped.
 
 from __future__ import annotations
 
+import re
 import warnings
-from urllib.parse import unquote
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -45,17 +46,36 @@ def discover_periods(spark: SparkSession, folder: str, pattern: str = r"(\d{4})"
             .where(F.col("period").isNotNull()).orderBy("period", "path"))
 
 
+HEADER_THREADS = 16
+GLOB = re.compile(r"([\\\[\]{}*?])")
+
+
+def literal_path(path: str) -> str:
+    """A listed path as Spark's readers take it: glob characters escaped."""
+    return GLOB.sub(r"\\\1", path)
+
+
 def files_by_header(spark: SparkSession, source, encoding: str = "UTF-8") -> list[list[str]]:
-    """The source's files, grouped by their first line.  One row per file
-    reaches the driver, as in any file listing."""
-    lines = (spark.read.option("header", False).option("sep", "\u0001").option("quote", "").option("encoding", charset(encoding))
-             .option("recursiveFileLookup", "true").schema("line string").csv(source))
-    first = (lines.select("line", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
-                          F.monotonically_increasing_id().alias("i"))
-             .groupBy("file").agg(F.min_by("line", F.struct("at", "i")).alias("header")))
+    """The source's files (as paths to read), grouped by their first line.
+
+    The files are listed (no content is read), then a limited scan of each
+    takes its first line: one task a file that ends with that line, however
+    large the file is, HEADER_THREADS of them at a time.  One row per file
+    reaches the driver, as in any file listing; files without a line are left
+    out."""
+    files = [literal_path(r.path) for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(source)
+             .select("path").orderBy("path").collect()]
+
+    def first_line(file: str) -> str | None:
+        row = (spark.read.option("header", False).option("sep", "\u0001").option("quote", "").option("encoding", charset(encoding))
+               .schema("line string").csv(file).first())
+        return row.line if row else None
+
     groups: dict[str, list[str]] = {}
-    for r in first.orderBy("file").collect():
-        groups.setdefault(r.header, []).append(unquote(r.file))
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        for file, header in zip(files, pool.map(first_line, files)):
+            if header is not None:
+                groups.setdefault(header, []).append(file)
     return list(groups.values())
 
 

@@ -111,3 +111,25 @@ def test_files_of_one_folder_with_other_headers(spark):
     write_csv(a.select("Nr", F.col("A").alias("Ö"), "B"), f"{root}/v_2015", encoding="latin1")
     df = read_period_sources(spark, [root], {"Nr": "string"}, r"v_(\d{4})", default_type="int", encoding="latin1")
     assert rows(df, "period", "A", "B", "Ö") == [(2013, 10, 20, None), (2014, 10, 20, None), (2015, None, 20, 10)]
+
+
+def test_headers_are_read_by_one_task_a_file_whatever_its_size(spark):
+    from strata.sources.panel_files import files_by_header
+    root = scratch_path(spark, "headers [x] %41")
+    big = spark.range(300_000).selectExpr("id AS a", "id * 7 AS b")
+    write_csv(big.coalesce(1), f"{root}/2013")
+    write_csv(big.limit(3).coalesce(1), f"{root}/2014")
+    write_csv(big.limit(3).select("b", "a").coalesce(1), f"{root}/2015")
+    spark.createDataFrame([], "value string").coalesce(1).write.text(f"{root}/2016")
+    tracker, key = spark.sparkContext.statusTracker(), "spark.sql.files.maxPartitionBytes"
+    spark.conf.set(key, "262144")
+    try:
+        assert spark.read.csv(root.replace("[", "\\[").replace("]", "\\]") + "/2013").rdd.getNumPartitions() > 8
+        known = set(tracker.getJobIdsForGroup(None))
+        groups = files_by_header(spark, root.replace("[", "\\[").replace("]", "\\]"))
+        jobs = [tracker.getJobInfo(j) for j in set(tracker.getJobIdsForGroup(None)) - known]
+        tasks = [tracker.getStageInfo(s).numTasks for j in jobs for s in j.stageIds]
+    finally:
+        spark.conf.unset(key)
+    assert sorted(len(g) for g in groups) == [1, 2]
+    assert tasks and max(tasks) <= 4              # the listing has one task a file at most, each header one
