@@ -10,6 +10,7 @@ from strata.functions.columns import (clean_counts, digits_only, drop_null_keys,
 from strata.functions.numbers import parse_number
 from strata.functions.text import (CATEGORY_REPAIRS, MULTI_CHAR_FOLDS, fold_ascii, fold_key,
                                    recode, repair_text, slug)
+from strata.operators.ids import dense_ids
 from strata.operators.joins import collated_join
 from strata.sources.tables import table
 
@@ -85,6 +86,12 @@ def q_collated_words(spark: SparkSession, sf: str) -> DataFrame:
     return collated_join(spellings("documents", "word", "doc_count"), spellings("benchmark", "bench_word", "bench_count"), "word", "bench_word")
 
 
+def q_dense_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids 1, 2, 3, ... of the lines by ship date, order and line number."""
+    li = table(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    return dense_ids(li, li.columns[2:3] + li.columns[:2] + li.columns[3:], "line_id").select("line_id", "l_orderkey", "l_linenumber")
+
+
 def _price_text(o):
     base = F.concat(F.replace(F.format_string("%.2f", "o_totalprice"), F.lit("."), F.lit(",")),
                     F.lit(" %"))
@@ -165,6 +172,7 @@ QUERIES = {
     "repair_text": q_repair_text,
     "collated_join": q_collated_join,
     "collated_words": q_collated_words,
+    "dense_ids": q_dense_ids,
     "parse_number": q_parse_number,
     "normalize_headers": q_normalize_headers,
     "harmonize_schema": q_harmonize_schema,
@@ -206,6 +214,10 @@ SELECT o_orderkey, o_orderstatus || ': ' || c || ' / ' || c AS category FROM o
     "slugify": "SELECT doc_id, regexp_replace(trim(lower(text)), '\\s+', '-', 'g') AS slug FROM documents",
     "fold_ascii": f"SELECT doc_id, {_fold_sql('text')} AS folded FROM documents",
     "repair_text": "SELECT doc_id, CAST(strlen(text) AS INTEGER) AS damaged_chars, md5(text) AS repaired_md5 FROM documents",
+    "dense_ids": """
+SELECT row_number() OVER (ORDER BY l_shipdate NULLS FIRST, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS line_id,
+       l_orderkey, l_linenumber FROM lineitem
+""",
     "collated_words": r"""
 WITH d AS (SELECT word, count(*) AS doc_count FROM (SELECT unnest(regexp_extract_all(text, '\pL+')) AS word FROM documents) GROUP BY word),
 b AS (SELECT word AS bench_word, count(*) AS bench_count FROM (SELECT unnest(regexp_extract_all(text, '\pL+')) AS word FROM benchmark) GROUP BY word)
