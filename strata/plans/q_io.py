@@ -11,7 +11,7 @@ from strata.functions.columns import drop_columns, surrogate_key
 from strata.functions.numbers import money
 from strata.plans.common import orders_by_year
 from strata.session import scratch_path
-from strata.sources.csv import empty_frame, read_csv, write_csv, write_panel
+from strata.sources.csv import empty_frame, panel_periods, read_csv, replace_periods, write_csv, write_panel
 from strata.sources.html import audit, nav_links, table_rows, url_frontier
 from strata.sources.panel_files import discover_periods, read_period_sources
 from strata.sources.tables import table
@@ -54,6 +54,18 @@ def q_panel_sink(spark: SparkSession, sf: str) -> DataFrame:
         .withColumn("n_columns", F.lit(len(kept.columns)))
 
 
+def q_panel_rerun(spark: SparkSession, sf: str) -> DataFrame:
+    """S8, rerun: a panel written, then one period written again with doubled
+    prices and without its finished orders; the other periods stay."""
+    o = orders_by_year(spark, sf, "o_orderkey", "o_orderstatus")
+    path = scratch_path(spark, "panel_rerun")
+    replace_periods(o, path, "year", rows_per_file=2_000)
+    replace_periods(o.where("year = 1995 AND o_orderstatus <> 'F'").withColumn("o_totalprice", F.col("o_totalprice") * 2), path, "year", 2_000)
+    panel = spark.read.parquet(path).groupBy("year").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("o_orderkey").alias("n_orders"), F.sum(money("o_totalprice")).cast("double").alias("price"))
+    return panel.join(panel_periods(spark, path), "year").withColumnRenamed("rows", "listed_rows")
+
+
 STREAM_SCHEMA = "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE, o_orderpriority STRING"
 
 
@@ -174,6 +186,7 @@ def q_extract_audit(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "panel_sink": q_panel_sink,
+    "panel_rerun": q_panel_rerun,
     "multi_file_panel": q_multi_file_panel,
     "multi_file_stream": q_multi_file_stream,
     "csv_roundtrip": q_csv_roundtrip,
@@ -199,6 +212,11 @@ FROM orders
 """
 
 ORACLE = {
+    "panel_rerun": """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, COUNT(*) AS n_rows, COUNT(*) AS n_orders,
+       CAST(SUM(CAST(o_totalprice * CASE WHEN year(o_orderdate) = 1995 THEN 2 ELSE 1 END AS DECIMAL(18,2))) AS DOUBLE) AS price, COUNT(*) AS listed_rows
+FROM orders WHERE year(o_orderdate) <> 1995 OR o_orderstatus <> 'F' GROUP BY 1
+""",
     "panel_sink": """
 SELECT CAST(year(o_orderdate) AS INTEGER) AS year, COUNT(*) AS n_rows,
        CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS price, COUNT(*) AS n_keys, 4 AS n_columns

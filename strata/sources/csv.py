@@ -9,6 +9,7 @@ export option only (it funnels the last stage through one task).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # Charset aliases Spark 4 rejects, mapped to names it accepts.
@@ -55,6 +56,34 @@ def write_panel(df: DataFrame, path: str, period_col: str, mode: str = "overwrit
      .partitionBy(period_col).parquet(path))
 
 
+def replace_periods(df: DataFrame, path: str, period_col: str, rows_per_file: int = 5_000_000) -> None:
+    """Repeatable panel sink: the periods that ``df`` holds replace those of
+    the same name under ``path``, all others stay (dynamic partition
+    overwrite), so a rerun of some periods can't append twice or lose the
+    rest.  A period is dealt to as many tasks as it needs files of
+    ``rows_per_file`` rows (at most twice that in a file), each row to the file
+    its hash names.  The rows of
+    every period are then listed in ``<path>/_periods`` (a folder that readers
+    of the panel skip); ``panel_periods`` reads it.  A null period is a
+    period; an empty frame changes nothing; ``df`` must not read ``path`` itself."""
+    period = F.col("`" + period_col.replace("`", "``") + "`")
+    files = df.groupBy(period.alias("_p")).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("_files"))
+    row = F.xxhash64(*[F.col("`" + c.replace("`", "``") + "`") for c, t in df.dtypes if "map<" not in t])
+    dealt = df.join(files, period.eqNullSafe(F.col("_p"))).withColumn("_file", F.pmod(row, F.col("_files")))
+    if dealt.isEmpty():
+        return
+    (dealt.repartition(period, "_file").drop("_p", "_files", "_file").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", 2 * rows_per_file)
+     .partitionBy(period_col).parquet(path))
+    rows = df.sparkSession.read.parquet(path).groupBy(period).agg(F.count(F.lit(1)).alias("rows"))
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/_periods")
+
+
+def panel_periods(spark: SparkSession, path: str) -> DataFrame:
+    """(period, rows) of a panel written by ``replace_periods``."""
+    return spark.read.parquet(f"{path}/_periods")
+
+
 def empty_frame(spark: SparkSession, ddl: str) -> DataFrame:
     """An empty frame with a DDL schema (the "no inputs found" case)."""
     return spark.createDataFrame([], schema=ddl)

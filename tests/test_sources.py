@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.session import scratch_path
-from strata.sources.csv import read_csv, write_csv
+from strata.sources.csv import panel_periods, read_csv, replace_periods, write_csv
 from strata.sources.html import audit, parse_page, table_rows
 from strata.sources.panel_files import discover_periods, read_period_sources
 from tests.conftest import rows
@@ -133,3 +133,19 @@ def test_headers_are_read_by_one_task_a_file_whatever_its_size(spark):
         spark.conf.unset(key)
     assert sorted(len(g) for g in groups) == [1, 2]
     assert tasks and max(tasks) <= 4              # the listing has one task a file at most, each header one
+
+
+def test_periods_are_replaced_and_no_others(spark):
+    path = scratch_path(spark, "rerun")
+    df = spark.createDataFrame([(i % 3 or None, i, f"x{i}") for i in range(90)], "`the year` int, v int, s string").repartition(3)
+    replace_periods(df, path, "the year", rows_per_file=8)
+    replace_periods(df, path, "the year", rows_per_file=8)                   # a plain rerun changes nothing
+    assert rows(spark.read.parquet(path), "the year", "v", "s") == rows(df)
+    replace_periods(df.where("`the year` = 2").limit(4), path, "the year")
+    replace_periods(df.where("false"), path, "the year")
+    got = spark.read.parquet(path)
+    assert rows(got.where("`the year` = 1"), "v") == rows(df.where("`the year` = 1"), "v") and got.where("`the year` is null").count() == 30
+    assert got.where("`the year` = 2").count() == 4
+    assert rows(panel_periods(spark, path)) == sorted([(None, 30), (1, 30), (2, 4)], key=repr)
+    files = [f for f in got.inputFiles() if "year=1" in f.replace("%20", " ")]
+    assert 1 < len(files) <= 4                                                # 30 rows in files of about 8
