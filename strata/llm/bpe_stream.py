@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.units import Encoder, UnitCache, byte_letters
+from strata.llm.worker import kept
 from strata.session import ship
 
 WINDOW = 4096           # symbols merged at once, beside the lookahead
@@ -217,15 +218,9 @@ class Transducer:
         yield machine.finish()
 
 
-_KEPT: dict[str, Transducer] = {}
-
-
 def transducer(spec: str, key: str) -> Transducer:
-    """The worker's transducer; one is kept."""
-    if key not in _KEPT:
-        _KEPT.clear()
-        _KEPT[key] = Transducer(spec)
-    return _KEPT[key]
+    """The worker's transducer for a tokenizer file (key: a hash of the file)."""
+    return kept("bpe_stream", key, lambda: Transducer(spec))
 
 
 def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:

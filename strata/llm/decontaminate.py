@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.words import mix, word_chunks
+from strata.llm.worker import begin
 from strata.session import materialize, ship
 
 SHINGLE = 5
@@ -141,6 +142,7 @@ def leaks(docs: DataFrame, items: DataFrame, k: int = SHINGLE, percent: int = PE
         (bloom_of(sets.select(F.explode("keys"))), bloom_of(sets.select(F.explode("shingles")))))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("decontaminate")
         key_bloom, shingle_bloom = map(Bloom, blooms.value)
         for b in batches:
             for w in word_chunks(b.column(1)):

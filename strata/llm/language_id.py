@@ -29,8 +29,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.words import LOWER, SPACE, buffers
+from strata.llm.worker import begin
 from strata.session import materialize, ship
 
+OPERATOR = "language_id"
 PER_LANGUAGE = 1_000
 HELD = 64                       # languages whose counts are in memory at once
 SEED = 17
@@ -42,7 +44,7 @@ HOST_ROWS, KIND_ROWS = 20.0, 1.0    # pseudo-rows of the level above, and of eac
 UND_PRIOR = 0.01
 CLEAR = 0.9
 UNDETERMINED = "und"
-CHUNK = 2 << 20
+CHUNK = 1 << 19                 # bytes of text that are scored or counted at once
 CELLS = 1 << 19                # rows times languages that are fused at once
 
 
@@ -81,6 +83,7 @@ def trigram_counts(texts: pa.Array) -> np.ndarray:
 
 def partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(l, bucket, n) of a task's (l, text) rows; at most HELD languages are held at once."""
+    begin(OPERATOR)
     held: dict[int, np.ndarray] = {}
 
     def emptied() -> Iterator[pa.RecordBatch]:
@@ -130,25 +133,28 @@ def fit(df: DataFrame, text_col: str, label_col: str, per_language: int = PER_LA
 
 
 def mean_scores(column: pa.Array, table: np.ndarray) -> pa.Array:
-    """Per text: mean log likelihood of its trigrams for each language, then their number."""
+    """Per text: mean log likelihood of its trigrams for each language, then their
+    number.  A piece of CHUNK bytes is scored at once, however long the texts are."""
     data, offsets = buffers(column)
     n, width = len(offsets) - 1, table.shape[1]
-    out = np.zeros((n, width + 1), np.float32)
-    low = 0
-    while low < n:
-        high = min(n, max(low + 1, int(np.searchsorted(offsets, offsets[low] + CHUNK, "right")) - 1))
-        at = offsets[low:high + 1] - offsets[low]
-        many = np.maximum(np.diff(at) - 2, 0)
-        some = np.flatnonzero(many)
+    many = np.maximum(np.diff(offsets) - 2, 0)
+    sums = np.zeros((n, width))
+    last = int(offsets[-1])
+    for low in range(int(offsets[0]), last - 2, CHUNK):
+        high = min(low + CHUNK, last - 2)
+        first, stop = int(np.searchsorted(offsets, low, "right")) - 1, int(np.searchsorted(offsets, high, "left"))
+        begins = np.maximum(offsets[first:stop], low)
+        ends = np.minimum(offsets[first:stop] + many[first:stop], high)
+        some = np.flatnonzero(ends > begins)
         if len(some):
-            code = trigrams(data[offsets[low]:offsets[high]])
-            sums = np.empty((len(some), width))
+            begins, ends = begins[some] - low, ends[some] - low
+            code, run = trigrams(data[low:high + 2]), np.zeros(high - low + 1)
             for j in range(width):
-                run = np.concatenate([[0.0], np.cumsum(table[:, j][code], dtype=np.float64)])
-                sums[:, j] = run[at[some] + many[some]] - run[at[some]]
-            out[low + some, :width] = sums / many[some, None]
-            out[low + some, width] = many[some]
-        low = high
+                np.cumsum(table[:, j][code], dtype=np.float64, out=run[1:])
+                sums[first + some, j] += run[ends] - run[begins]
+    out = np.zeros((n, width + 1), np.float32)
+    out[:, :width] = sums / np.maximum(many, 1)[:, None]
+    out[:, width] = many
     flat = pa.array(out.ravel())
     return pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * (width + 1), width + 1, dtype=np.int32)), flat)
 
@@ -158,6 +164,7 @@ def scores(df: DataFrame, text: Column, table: np.ndarray) -> Column:
 
     @F.arrow_udf("array<float>")
     def score(column: pa.Array) -> pa.Array:
+        begin(OPERATOR)
         return mean_scores(column, shared.value)
 
     return score(text)
@@ -261,6 +268,7 @@ class Evidence:
         labels = np.array(names, object)
 
         def fused(scores: pa.Array, *lists: pa.Array) -> pa.Array:
+            begin(OPERATOR)
             text, some = _text_terms(scores, width)
             prior = (total / total.sum())[None]
             for column in lists[2::-1]:                 # suffix, domain, host

@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.llm.units import UnitCache, encoder
+from strata.llm.worker import kept
 from strata.session import ship
 
+OPERATOR = "token_counts"
 SAMPLE_DOCS = 2_000
 SAMPLE_CHARS = 8_000
 TABLE_SIZE = 32_768
@@ -32,7 +34,7 @@ def frequent_lengths(df: DataFrame, text_col: str, spec: str, key: str,
                      sample_docs: int = SAMPLE_DOCS, table_size: int = TABLE_SIZE) -> dict[str, int]:
     """Tokens of the most frequent units of at most ``sample_docs`` texts of
     at most SAMPLE_CHARS characters, taken from the first partitions."""
-    enc, seen = encoder(spec, key), Counter()
+    enc, seen = encoder(OPERATOR, spec, key), Counter()
     if enc.kind == "whole":
         return {}
     text = F.col(f"`{text_col}`")
@@ -54,7 +56,7 @@ def n_tokens(df: DataFrame, text_col: str, tokenizer_path: str, sample_docs: int
 
     @F.pandas_udf(T.LongType())
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        enc = encoder(shared_spec.value, key)
+        enc = encoder(OPERATOR, shared_spec.value, key)
         lengths = _lengths(enc, key, table.value)
         for texts in batches:
             yield pd.Series([_count(t, enc, lengths) if t else 0 for t in texts], dtype="int64")
@@ -62,13 +64,8 @@ def n_tokens(df: DataFrame, text_col: str, tokenizer_path: str, sample_docs: int
     return count(F.col(f"`{text_col}`"))
 
 
-_CACHES: dict[str, UnitCache] = {}
-
-
 def _lengths(enc, key: str, table: dict[str, int]) -> UnitCache:
-    if key not in _CACHES:
-        _CACHES[key] = UnitCache(enc, len, lambda a, b: a + b, table)
-    return _CACHES[key]
+    return kept(OPERATOR, ("lengths", key), lambda: UnitCache(enc, len, lambda a, b: a + b, table))
 
 
 def _count(text: str, enc, lengths: UnitCache) -> int:

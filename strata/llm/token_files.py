@@ -32,8 +32,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strata.llm.units import UnitCache, encoder
+from strata.llm.worker import kept
 from strata.session import materialize, ship
 
+OPERATOR = "token_files"
 FORMAT = "token-frames-1"
 FOOTER = "<QQ8s"
 MAGIC = b"TOKFRAME"
@@ -43,17 +45,13 @@ DICTIONARY_BYTES = 64 << 10
 SHARD_BYTES = 32 << 20      # text bytes a file; files are read whole
 LEVEL = 3
 
-_CACHES: dict = {}
-
 
 def _ids_of(spec: str, key: str, end_id: int):
     """text -> serialized ids with the end id, and the id width."""
-    enc = encoder(spec, key)
+    enc = encoder(OPERATOR, spec, key)
     dtype = "<u2" if max(enc.lib.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
     pack = lambda ids: array("H" if dtype == "<u2" else "I", ids).tobytes()   # noqa: E731  little-endian machines
-    if key not in _CACHES:
-        _CACHES[key] = UnitCache(enc, pack, lambda a, b: a + b)
-    cache, end = _CACHES[key], pack([end_id])
+    cache, end = kept(OPERATOR, ("ids", key), lambda: UnitCache(enc, pack, lambda a, b: a + b)), pack([end_id])
 
     def ids(text: str | None) -> bytes:
         if not text:

@@ -13,6 +13,8 @@ import json
 import os
 import re
 
+from strata.llm.worker import kept
+
 # The characters with the Unicode property White_Space.
 WHITE = ("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000")
 UNIT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
@@ -132,11 +134,6 @@ class UnitCache(dict):
         return v
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def encoder(spec: str, key: str) -> Encoder:
+def encoder(operator: str, spec: str, key: str) -> Encoder:
     """The worker's encoder for a tokenizer file (key: a hash of the file)."""
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(spec)
-    return _ENCODERS[key]
+    return kept(operator, ("encoder", key), lambda: Encoder(spec))

@@ -34,13 +34,13 @@ _POWERS: dict[int, np.ndarray] = {}
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
-    """base^0 .. base^(n-1) modulo 2^64; tables up to a chunk's length are kept."""
+    """base^0 .. base^(n-1) modulo 2^64; tables up to a chunk's length (8 MB) are kept."""
     have = _POWERS.get(int(base))
     if have is None or len(have) < n:
         have = np.full(max(n, 1 << 16), base, np.uint64)
         have[0] = ONE
         np.multiply.accumulate(have, out=have)
-        if len(have) <= 4 * CHUNK_BYTES:
+        if len(have) <= CHUNK_BYTES + 1:
             _POWERS[int(base)] = have
     return have[:n]
 
