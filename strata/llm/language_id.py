@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.words import LOWER, SPACE, buffers
-from strata.llm.worker import begin
+from strata.llm.worker import begin, give_back
 from strata.session import materialize, ship
 
 OPERATOR = "language_id"
@@ -165,7 +165,9 @@ def scores(df: DataFrame, text: Column, table: np.ndarray) -> Column:
     @F.arrow_udf("array<float>")
     def score(column: pa.Array) -> pa.Array:
         begin(OPERATOR)
-        return mean_scores(column, shared.value)
+        found = mean_scores(column, shared.value)
+        give_back()
+        return found
 
     return score(text)
 
@@ -259,8 +261,10 @@ class Evidence:
         sums = counted.groupBy(key, "l").agg(F.sum("n").alias("n"), *up)
         return sums.groupBy(key).agg(F.collect_list(F.when(F.col("l") >= 0, F.struct("l", "n"))).alias(f"{key}_n"), *up)
 
-    def fuse(self, rows: DataFrame) -> DataFrame:
-        """``rows`` with language, confidence, text_language and accepted."""
+    def fuse(self, rows: DataFrame, text: Column | None = None, table: np.ndarray | None = None) -> DataFrame:
+        """``rows`` with language, confidence, text_language and accepted, from
+        their ``scores``, or from ``text`` scored here by ``table``."""
+        shared = None if text is None else rows.sparkSession.sparkContext.broadcast(table)
         rows = rows.join(self.hosts, F.col("host").eqNullSafe(F.col("host_value")), "left")
         for k, table in self.kinds.items():
             rows = rows.join(table, F.col(k) == F.col(f"{k}_value"), "left")
@@ -290,17 +294,23 @@ class Evidence:
 
         @F.arrow_udf("language string, confidence double, text_language string, accepted boolean")
         def fuse_lists(scores: pa.Array, host: pa.Array, domain: pa.Array, suffix: pa.Array, declared: pa.Array, suffix_given: pa.Array) -> pa.Array:
+            if shared is not None:
+                begin(OPERATOR)
+                scores = mean_scores(scores, shared.value)
             parts = [fused(*p) for p in _parts((scores, host, domain, suffix, declared, suffix_given), width)]
+            give_back()
             return pa.concat_arrays(parts) if parts else pa.array([], FOUND)
 
         lists = [F.col(f"{k}_n") for k in LEVELS] + [F.col(f"{k}_given") for k in KINDS]
-        return rows.withColumn("found", fuse_lists(F.col("scores"), *lists)).select("row", "declared", "host", "found.*")
+        return rows.withColumn("found", fuse_lists(F.col("scores") if text is None else text, *lists)).select("row", "declared", "host", "found.*")
 
 
 def identify(df: DataFrame, text: Column, declared: Column, address: list[Column], model: tuple[list[str], np.ndarray],
-             keep: list[str] | None = None) -> DataFrame:
+             keep: list[str] | None = None, within: Column | None = None) -> DataFrame:
     """(row, declared, host, text_language, language, confidence, accepted),
     one row per input row; ``row`` holds the input columns (or those in ``keep``).
+    ``within`` is the text as a part of ``row``, if that holds it: texts that go
+    along anyway are scored where the evidence is joined, by the same worker.
 
     A null, empty or very short text (under three bytes) has no likelihood:
     its language comes from the other evidence and it is not accepted.  A
@@ -319,7 +329,8 @@ def identify(df: DataFrame, text: Column, declared: Column, address: list[Column
     scored = rows.withColumn("scores", scores(df, F.col("text"), table))
     # the scores are computed once, without the texts, for the counts and again where rows pass on
     evidence = Evidence(scored.select("declared", "host", "domain", "suffix", "scores"), names)
-    return evidence.fuse(scored.drop("text")).select("row", "declared", "host", "text_language", "language", "confidence", "accepted")
+    found = evidence.fuse(scored.drop("text")) if within is None else evidence.fuse(rows.drop("text"), within, table)
+    return found.select("row", "declared", "host", "text_language", "language", "confidence", "accepted")
 
 
 def identify_documents(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -327,7 +338,7 @@ def identify_documents(docs: DataFrame, keep: list[str] | None = None) -> DataFr
     host = F.col("source")
     return identify(docs, F.col("text"), subtag(F.col("lang")),
                     [host.alias("host"), F.lit("").alias("domain"), F.lit("").alias("suffix")],
-                    fit(docs, "text", "lang"), keep)
+                    fit(docs, "text", "lang"), keep, F.col("row.text") if keep is None else None)
 
 
 def identify_pages(pages: DataFrame, labelled: DataFrame, keep: list[str] | None = None) -> DataFrame:

@@ -15,6 +15,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
+from strata.llm.worker import POWERS
+
 CHUNK_BYTES = 1 << 20
 BYTE_BASE = np.uint64(0x9E3779B97F4A7C15)
 WORD_BASE = np.uint64(0xD6E8FEB86659FD93)
@@ -30,18 +32,15 @@ def inverse(base: np.uint64) -> np.uint64:
     return np.uint64(pow(int(base), -1, 1 << 64))
 
 
-_POWERS: dict[int, np.ndarray] = {}
-
-
 def powers(base: np.uint64, n: int) -> np.ndarray:
     """base^0 .. base^(n-1) modulo 2^64; tables up to a chunk's length (8 MB) are kept."""
-    have = _POWERS.get(int(base))
+    have = POWERS.get(int(base))
     if have is None or len(have) < n:
         have = np.full(max(n, 1 << 16), base, np.uint64)
         have[0] = ONE
         np.multiply.accumulate(have, out=have)
         if len(have) <= CHUNK_BYTES + 1:
-            _POWERS[int(base)] = have
+            POWERS[int(base)] = have
     return have[:n]
 
 

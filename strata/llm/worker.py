@@ -15,15 +15,23 @@ import pyarrow as pa
 
 T = TypeVar("T")
 _KEPT: dict[Hashable, object] = {}
+POWERS: dict = {}               # tables of strata.llm.words
 _OWNER = [""]
 
 
+def give_back() -> None:
+    """Return freed memory, Arrow's and numpy's, to the machine."""
+    pa.default_memory_pool().release_unused()
+    pa.system_memory_pool().release_unused()
+
+
 def begin(operator: str) -> None:
     """Drop what other operators left in this worker."""
     if _OWNER[0] != operator:
         _OWNER[0] = operator
         _KEPT.clear()
-        pa.default_memory_pool().release_unused()
+        POWERS.clear()
+        give_back()
 
 
 def kept(operator: str, key: Hashable, make: Callable[[], T]) -> T:

@@ -40,3 +40,12 @@ def test_mean_scores_do_not_depend_on_pieces(monkeypatch):
     empty = pa.array(["", None], pa.string())
     assert language_id.mean_scores(empty, table).to_pylist() == [[0.0] * 4] * 2
     assert language_id.mean_scores(pa.array([], pa.string()), table).to_pylist() == []
+
+
+def test_scoring_beside_the_evidence_gives_the_same(spark):
+    from tests.conftest import SF_SMALL
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    columns = ["row.doc_id", "declared", "host", "text_language", "language", "accepted"]
+    a, b = (sorted(map(tuple, language_id.identify_documents(docs, keep).select(*columns).collect())) for keep in (None, ["doc_id"]))
+    assert a == b and len(a) == docs.count()
