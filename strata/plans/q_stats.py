@@ -10,7 +10,7 @@ from strata.functions.text import slug
 from strata.operators.inspect import distinct_values, profile, sample_rows, validate_keys
 from strata.operators.joins import STRATEGIES, join_with_strategy
 from strata.operators.reshape import allocate_columns, pivot_values
-from strata.operators.stats import (box_outliers, box_stats, correlations, density_mode,
+from strata.operators.stats import (box_outliers, box_stats, correlation_matrix, correlations, density_mode,
                                     distribution_stats, entity_profile, fround, histogram, kde,
                                     share_within_group, sigma_bands, trend_band, trend_line)
 from strata.plans.common import MONEY
@@ -82,6 +82,18 @@ def q_correlations(spark: SparkSession, sf: str) -> DataFrame:
                          ("c_acctbal", "avg_price"), ("c_acctbal", "n_orders")])
 
 
+MEASURES = ["avg_price", "n_orders", "avg_lines", "c_acctbal", "c_nationkey", "rare"]
+
+
+def q_correlation_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    """A10: all pairs of six customer measures, one of them known only for
+    customers with a balance below zero, per market segment."""
+    c = table(spark, sf, "customer", "c_custkey", "c_acctbal", "c_mktsegment", "c_nationkey")
+    p = _profile(spark, sf)
+    rows = p.join(c, p.o_custkey == c.c_custkey).withColumn("rare", F.when(F.col("c_acctbal") < 0, F.col("avg_price") - F.col("c_acctbal")))
+    return correlation_matrix(rows, MEASURES, ["c_mktsegment"], 4)
+
+
 def q_trend_line(spark: SparkSession, sf: str) -> DataFrame:
     """G1: OLS of average order price on account balance."""
     return trend_line(_profile_with_balance(spark, sf), "c_acctbal", "avg_price")
@@ -240,6 +252,7 @@ QUERIES = {
     "allocate_share": q_allocate_share,
     "entity_profile": q_entity_profile,
     "correlations": q_correlations,
+    "correlation_matrix": q_correlation_matrix,
     "trend_line": q_trend_line,
     "trend_by_group": q_trend_by_group,
     "trend_band": q_trend_band,
@@ -395,6 +408,14 @@ SELECT {fr(_corr('avg_price', 'n_orders'), 6)} AS corr_avg_price_n_orders,
        {fr(_corr('c_acctbal', 'n_orders'), 6)} AS corr_c_acctbal_n_orders
 FROM ({_PROFILE_BAL})
 """,
+    "correlation_matrix": f"""
+WITH t AS (SELECT p.*, c.c_acctbal, c.c_mktsegment, c.c_nationkey, CASE WHEN c.c_acctbal < 0 THEN avg_price - c.c_acctbal END AS rare
+           FROM ({_PROFILE}) p JOIN customer c ON p.o_custkey = c.c_custkey)
+""" + "\nUNION ALL\n".join(
+        f"""SELECT c_mktsegment, '{x}' AS x, '{y}' AS y, COUNT(*) AS n, {fr(f'covar_pop({x}, {y})', 4)} AS covariance,
+       {fr(f'covar_pop({x}, {y}) / NULLIF(stddev_pop({x}) * stddev_pop({y}), 0)', 4)} AS correlation
+FROM t WHERE {x} IS NOT NULL AND {y} IS NOT NULL GROUP BY 1"""
+        for i, x in enumerate(MEASURES) for y in MEASURES[i:]),
     "trend_line": _trend(""),
     "trend_by_group": _trend("c_mktsegment"),
     "trend_band": f"""

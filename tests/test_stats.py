@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.operators.ml import auc_by_class
-from strata.operators.stats import (box_stats, correlations, distribution_stats, exact_quantiles,
+from strata.operators.stats import (box_stats, correlation_matrix, correlations, distribution_stats, exact_quantiles,
                                     histogram, kde, share_within_group, sigma_bands)
 
 
@@ -86,6 +86,28 @@ def test_corr_edges(spark):
     assert correlations(one, [("x", "y")]).first()[0] is None
 
 
+def test_correlation_matrix(spark):
+    rnd = random.Random(8)
+    nan = float("nan")
+    odd = lambda v: rnd.choice([v, v, v, None, nan, float("inf")])      # noqa: E731
+    data = [(rnd.choice(["a", "b", None]), odd(rnd.gauss(0, 1)), odd(rnd.gauss(2, 3)), rnd.randrange(5), 4.0, None) for _ in range(400)]
+    names = ["p.q", "x", "b", "flat", "none"]
+    df = spark.createDataFrame(data, "g string, `p.q` double, x double, b int, flat double, none double").repartition(5)
+    got = {(r.g, r.x, r.y): r for r in correlation_matrix(df, names, ["g"]).collect()}
+    assert len(got) == 3 * 10
+    for (g, x, y), r in got.items():
+        i, j = names.index(x) + 1, names.index(y) + 1
+        both = [(d[i], d[j]) for d in data if d[0] == g and all(v is not None and math.isfinite(v) for v in (d[i], d[j]))]
+        a, b = np.array(both, float).T
+        assert i <= j and r.n == len(both) and r.covariance == pytest.approx(np.cov(a, b, bias=True)[0, 1], abs=1e-5)
+        if "flat" in (x, y):
+            assert r.correlation is None
+        else:
+            assert r.correlation == pytest.approx(np.corrcoef(a, b)[0, 1], abs=1e-5)
+    assert correlation_matrix(df.limit(0), names).count() == 0
+    assert {r.n for r in correlation_matrix(df, ["b", "flat"]).collect()} == {400}
+
+
 def test_skew_hist_kde(spark):
     rnd = random.Random(5)
     xs = [rnd.expovariate(1.0) for _ in range(500)]
