@@ -153,6 +153,12 @@ def q_kde(spark: SparkSession, sf: str) -> DataFrame:
     return kde(_events(spark, sf), "value")
 
 
+def q_kde_by_customer(spark: SparkSession, sf: str) -> DataFrame:
+    """A density per customer of its order prices in thousands, 50 bins x 20 grid points."""
+    o = table(spark, sf, "orders", "o_custkey", "o_totalprice").withColumn("price", F.col("o_totalprice") / 1000)
+    return kde(o, "price", 20, 50, ["o_custkey"])
+
+
 def q_distribution_mode(spark: SparkSession, sf: str) -> DataFrame:
     """A14 with the mode: mean and the density peak of event values."""
     e = _events(spark, sf)
@@ -262,6 +268,7 @@ QUERIES = {
     "box_outliers": q_box_outliers,
     "histogram": q_histogram,
     "kde": q_kde,
+    "kde_by_customer": q_kde_by_customer,
     "distribution_stats": q_distribution_stats,
     "distribution_mode": q_distribution_mode,
     "profile": q_profile,
@@ -466,6 +473,18 @@ k AS (SELECT g.range AS j, s.lo + (s.hi - s.lo) * g.range / 199 AS x,
 SELECT CAST(j AS INTEGER) AS point, {fr('min(x)', 8)} AS x,
        {fr('sum(c * exp(-0.5 * ((x - centre) / h) * ((x - centre) / h)) / (n * h * sqrt(2 * pi())))', 8)} AS density
 FROM k GROUP BY j
+""",
+    "kde_by_customer": f"""
+WITH v AS (SELECT o_custkey, o_totalprice / 1000 AS value FROM orders WHERE o_totalprice IS NOT NULL),
+s AS (SELECT o_custkey, min(value) AS lo, max(value) AS hi, COUNT(*) AS n, stddev_samp(value) AS sd FROM v GROUP BY 1),
+b AS (SELECT o_custkey, CASE WHEN s.hi - s.lo > 0 THEN least(floor((v.value - s.lo) / (s.hi - s.lo) * 50), 49) ELSE 0 END AS bin, COUNT(*) AS c
+      FROM v JOIN s USING (o_custkey) GROUP BY 1, 2),
+k AS (SELECT o_custkey, g.range AS j, s.lo + (s.hi - s.lo) * g.range / 19 AS x, b.c, s.lo + (b.bin + 0.5) * (s.hi - s.lo) / 50 AS centre,
+             NULLIF(s.sd * pow(CAST(s.n AS DOUBLE), -0.2), 0) AS h, s.n
+      FROM b JOIN s USING (o_custkey), range(20) g)
+SELECT o_custkey, CAST(j AS INTEGER) AS point, {fr('min(x)', 8)} AS x,
+       {fr('sum(c * exp(-0.5 * ((x - centre) / h) * ((x - centre) / h)) / (n * h * sqrt(2 * pi())))', 8)} AS density
+FROM k GROUP BY o_custkey, j
 """,
     "distribution_mode": None,   # filled in below from the KDE SQL
     "distribution_stats": f"""
