@@ -77,11 +77,11 @@ def discover_values(df: DataFrame, col: str, limit: int = 10000) -> list:
     This is the extra job Spark's pivot runs when no values are given; it
     is a distinct aggregation (partial + final), and only the distinct
     values reach the driver.  More than ``limit`` values is an error, as
-    with ``spark.sql.pivotMaxValues``.
+    with ``spark.sql.pivotMaxValues``; ``pivot_sparse`` has no limit.
     """
     vals = [r[0] for r in df.select(col).distinct().limit(limit + 1).collect()]
     if len(vals) > limit:
-        raise ValueError(f"{col} has more than {limit} distinct values")
+        raise ValueError(f"{col} has more than {limit} distinct values: use pivot_sparse")
     return sorted((v for v in vals if v is not None)) + [None] * (None in vals)
 
 
@@ -99,6 +99,36 @@ def pivot_discovered(df: DataFrame, keys, pivot_col: str, measure: str,
     return out
 
 
+def pivot_sparse(df: DataFrame, keys, pivot_col: str, measure: str, blocks: int = 1,
+                 exact_money: str | None = None, out: str = "cells", null_out: str = "null_cell",
+                 block_out: str = "block") -> DataFrame:
+    """A4 for any number of values: one row per key with a map from value to
+    summed measure, for columns that no wide table can hold.
+
+    No value reaches the driver and none is a column, so there is no limit
+    on them.  With ``blocks`` > 1 a key has one row per block of its values
+    (by hash, named ``block_out``), so a key with very many values is spread
+    and no row holds them all.  Cells that have no row are absent from the
+    map; a cell whose measures are all null is null, as in the wide form.
+    A null value's sum is ``null_out``, in block 0, and apart from a value
+    "null".  Null keys are keys.  An empty table gives no rows.
+    """
+    if blocks < 1:
+        raise ValueError("blocks must be at least 1")
+    keys = list(keys)
+    unique_names([*keys, block_out, out, null_out])
+    value = F.col(q(pivot_col)).cast("string")
+    block = F.when(value.isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(value), F.lit(blocks))).cast("int")
+    ids = [F.col(q(k)) for k in keys]
+    cells = (df.groupBy(*ids, block.alias(block_out), value.alias("__value"))
+             .agg(_sum(measure, exact_money).alias("__cell")))
+    cell = F.when(F.col("__value").isNotNull(), F.struct("__value", "__cell"))     # the list leaves nulls out
+    wide = cells.groupBy(*ids, block_out).agg(
+        F.map_from_entries(F.sort_array(F.collect_list(cell))).alias(out),
+        F.max(F.when(F.col("__value").isNull(), F.col("__cell"))).alias(null_out))
+    return wide if blocks > 1 else wide.drop(block_out)
+
+
 def unpivot(df: DataFrame, keys, value_cols, var: str = "label", value: str = "value") -> DataFrame:
     """Wide -> long (the inverse of a pivot)."""
     return df.unpivot(list(keys), [q(c) for c in value_cols], var, value)

@@ -97,6 +97,14 @@ def q_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return read_csv(spark, path, CSV_SCHEMA, sep=";", encoding="latin1", enforce=True)
 
 
+def q_csv_inferred(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders written as CSV and read back with types found in the files."""
+    o = table(spark, sf, "orders", "o_orderkey", "o_orderstatus", "o_totalprice")
+    path = scratch_path(spark, "csv_inferred")
+    write_csv(o, path)
+    return read_csv(spark, path, infer=True)
+
+
 def q_url_frontier(spark: SparkSession, sf: str) -> DataFrame:
     """S11 + J9: customer x order-year URLs (the year range is a one-row
     aggregate, broadcast; each customer's years come from ``sequence``)."""
@@ -190,6 +198,7 @@ QUERIES = {
     "multi_file_panel": q_multi_file_panel,
     "multi_file_stream": q_multi_file_stream,
     "csv_roundtrip": q_csv_roundtrip,
+    "csv_inferred": q_csv_inferred,
     "url_frontier": q_url_frontier,
     "html_rows": q_html_rows,
     "html_table_rows": q_html_table_rows,
@@ -232,6 +241,7 @@ SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderkey, o_custkey, o_tota
 FROM orders
 """,
     "csv_roundtrip": "SELECT c_custkey, c_name || ' Pöndorf Ö' AS name, c_acctbal FROM customer",
+    "csv_inferred": "SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, o_orderstatus, o_totalprice FROM orders",
     "url_frontier": """
 WITH s AS (SELECT CAST(min(year(o_orderdate)) AS INTEGER) AS lo, CAST(max(year(o_orderdate)) AS INTEGER) AS hi FROM orders),
 y AS (SELECT CAST(unnest(generate_series(lo, hi)) AS INTEGER) AS year FROM s)

@@ -13,7 +13,7 @@ from strata.functions.columns import columns_excluding
 from strata.functions.numbers import money, pct, ratio, row_sum
 from strata.operators.joins import panel_join
 from strata.operators.nearest import Side, dedupe_right, nearest_enrich, nearest_join
-from strata.operators.reshape import discover_values, panel_sum, pivot_discovered, pivot_values, ratio_of_sums
+from strata.operators.reshape import discover_values, panel_sum, pivot_discovered, pivot_sparse, pivot_values, ratio_of_sums
 from strata.operators.winner import winner_long, winner_wide
 from strata.plans.common import MONEY, events_by_day, orders_by_year, r6
 from strata.sources.tables import table
@@ -43,6 +43,16 @@ def q_pivot_dynamic(spark: SparkSession, sf: str) -> DataFrame:
     return pivot_discovered(o, PANEL, "o_orderpriority", "o_totalprice", prefix="Cat_", exact_money=MONEY)
 
 
+def q_pivot_sparse(spark: SparkSession, sf: str) -> DataFrame:
+    """A4 with a value per part: quantities per supplier and part as maps in
+    blocks, taken apart again cell by cell."""
+    li = table(spark, sf, "lineitem", "l_suppkey", "l_partkey", "l_quantity")
+    parts = table(spark, sf, "part", "p_partkey", "p_name")
+    named = li.join(parts, F.col("l_partkey") == F.col("p_partkey")).withColumn("part", F.concat_ws("/", "p_name", "p_partkey"))
+    p = pivot_sparse(named, ["l_suppkey"], "part", "l_quantity", blocks=4, exact_money=MONEY)
+    return p.select("l_suppkey", F.explode("cells").alias("part", "quantity"))
+
+
 def q_ratio(spark: SparkSession, sf: str) -> DataFrame:
     """Per-line ratios; a zero denominator gives null, not an error."""
     li = table(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_extendedprice",
@@ -187,6 +197,7 @@ QUERIES = {
     "panel_sum": q_panel_sum,
     "pivot_first_pct": q_pivot_first_pct,
     "pivot_dynamic": q_pivot_dynamic,
+    "pivot_sparse": q_pivot_sparse,
     "ratio": q_ratio,
     "ratio_of_sums": q_ratio_of_sums,
     "row_sum": q_row_sum,
@@ -284,6 +295,10 @@ SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year,
                      ("3-MEDIUM", "Cat_3_MEDIUM"), ("4-NOT SPECIFIED", "Cat_4_NOT_SPECIFIED"),
                      ("5-LOW", "Cat_5_LOW")]) + """
 FROM orders GROUP BY 1, 2
+""",
+    "pivot_sparse": """
+SELECT l_suppkey, p_name || '/' || p_partkey AS part, CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity
+FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2
 """,
     "ratio": """
 SELECT l_orderkey, l_linenumber,

@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from strata.operators.reshape import (allocate_columns, panel_sum, pivot_discovered, pivot_values,
-                                      unpivot)
+from strata.operators.reshape import (allocate_columns, panel_sum, pivot_discovered, pivot_sparse,
+                                      pivot_values, unpivot)
 from strata.operators.winner import winner_long, winner_wide
 from tests.conftest import rows
 
@@ -72,3 +72,31 @@ def test_nothing_is_cut_by_default(spark):
     assert rows(p) == [("a", 0.01, 7.0), ("b", 0.0, 0.0), (None, 1e17, 0.0)]
     w = winner_long(spark.createDataFrame([("a", "x", 2), ("a", "y", None), ("n", "x", None)], "e string, l string, v int"), ["e"], "l", "v")
     assert rows(w) == [("a", "x", 2), ("n", None, None)]
+
+
+def test_pivot_sparse_has_no_limit_on_values(spark):
+    many = (spark.range(24_000).select((F.col("id") % 2).alias("e"), F.concat(F.lit("v"), (F.col("id") % 12_000).cast("string")).alias("c"),
+                                       F.col("id").cast("double").alias("v")))
+    one = pivot_sparse(many, ["e"], "c", "v")
+    assert {(r.e, len(r.cells), sum(r.cells.values())) for r in one.collect()} == {
+        (e, 6_000, float(sum(range(e, 24_000, 2)))) for e in (0, 1)}
+    parts = pivot_sparse(many, ["e"], "c", "v", blocks=8)
+    got = parts.collect()
+    assert len(got) == 16 and max(len(r.cells) for r in got) < 1_000
+    back = parts.select("e", F.explode("cells").alias("c", "v"))
+    want = many.groupBy("e", "c").agg(F.sum("v").alias("v"))
+    assert back.exceptAll(want).count() == want.exceptAll(back).count() == 0
+
+
+def test_pivot_sparse_edges(spark):
+    data = [("a", "x", 1.0), ("a", "x", 2.0), ("a", None, 4.0), ("a", "null", 8.0), (None, "x", 5.0), ("b", "y", None), ("n", None, 3.0)]
+    df = spark.createDataFrame(data, "`e.1` string, c string, v double")
+    for blocks in (1, 3):
+        p = pivot_sparse(df, ["e.1"], "c", "v", blocks=blocks)
+        got = {}
+        for r in p.collect():
+            cells, null = got.setdefault(r["e.1"], ({}, []))
+            cells.update(r.cells)
+            null += [r.null_cell] * (r.null_cell is not None)
+        assert got == {"a": ({"x": 3.0, "null": 8.0}, [4.0]), None: ({"x": 5.0}, []), "b": ({"y": None}, []), "n": ({}, [3.0])}
+    assert pivot_sparse(df.limit(0), ["e.1"], "c", "v").count() == 0
