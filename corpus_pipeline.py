@@ -5,8 +5,9 @@ predecessor kept and returns a DataFrame; it is written as Parquet in the
 shared folder and read again as the next stage's ``docs``.  All but the last
 return the columns of documents.  Nulls: a row without text is rejected by
 the first stage; a row without an id is never a duplicate of another; rows
-that repeat an id are one document to the second stage, which keeps one of
-them; an empty table passes through.
+that repeat an id and the text are one document to the second stage, which
+keeps one of them, rows with another text are another; an empty table passes
+through.
 """
 
 from __future__ import annotations
@@ -30,11 +31,22 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies."""
-    first = jaccard_components(docs).where("component_id = doc_id").select("doc_id").distinct()
-    once = W.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
-    kept = (docs.join(first, "doc_id", "left_semi").withColumn("__row", F.row_number().over(once))
-            .where("__row = 1").drop("__row"))
+    """The document with the smallest id of each group of near copies.
+
+    Rows that share an id but not the text are documents of their own: one
+    of the texts (the least by hash) goes by the id, the others by a number
+    from 2^62 up.  Of rows with equal id and text one is kept."""
+    text = F.xxhash64("text")
+    several = (docs.where("doc_id is not null").groupBy("doc_id").agg(F.min(text).alias("__low"), F.max(text).alias("__high"))
+               .where("__low < __high").select(F.col("doc_id").alias("__several"), "__low"))
+    several = materialize(several, "ids-of-several-texts")      # by its files' size Spark knows whether to broadcast it
+    other = F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    named = (docs.join(several, F.col("doc_id") == F.col("__several"), "left")
+             .withColumn("__id", F.when(F.col("__low") != text, other).otherwise(F.col("doc_id"))).drop("__several", "__low"))
+    first = jaccard_components(named, "__id").where("component_id = __id").select("__id").distinct()
+    once = W.partitionBy("__id").orderBy(F.xxhash64(*docs.columns))
+    kept = (named.join(first, "__id", "left_semi").withColumn("__row", F.row_number().over(once))
+            .where("__row = 1").drop("__row", "__id"))
     return kept.unionByName(docs.where("doc_id is null"))
 
 
