@@ -19,6 +19,7 @@ from strata.plans.common import MONEY, events_by_day, orders_by_year, r6
 from strata.sources.tables import table
 
 PANEL = ["o_custkey", "year"]
+LINES_PER_TASK = 250_000
 
 
 # ---- A1, A3, A4, C8-C11 ---------------------------------------------------
@@ -105,11 +106,14 @@ def q_winner_long(spark: SparkSession, sf: str) -> DataFrame:
 
 def _line_totals(spark, sf):
     """Line totals per customer and ship year.  Lines are shuffled once, by
-    order: that serves the sums per (order, year) and the join to orders."""
-    li = table(spark, sf, "lineitem", "l_orderkey", "l_extendedprice", "l_shipdate").repartition("l_orderkey")
+    order: that serves the sums per (order, year) and the join to orders.  The
+    partitions follow the lines' number, so a task's sums stay small."""
+    li = table(spark, sf, "lineitem", "l_orderkey", "l_extendedprice", "l_shipdate")
+    parts = max(1, -(-li.count() // LINES_PER_TASK))
+    li = li.repartition(parts, "l_orderkey")
     per_order = li.groupBy("l_orderkey", F.year("l_shipdate").alias("year")).agg(
         F.sum(money("l_extendedprice")).alias("amt"))
-    o = table(spark, sf, "orders", "o_orderkey", "o_custkey")
+    o = table(spark, sf, "orders", "o_orderkey", "o_custkey").repartition(parts, "o_orderkey")
     j = per_order.join(o, per_order.l_orderkey == o.o_orderkey, "inner")
     return j.groupBy("o_custkey", "year").agg(F.sum("amt").cast("double").alias("line_total"))
 
