@@ -19,24 +19,29 @@ of grouped counts, as many jobs as levels whatever the number of classes.
 A feature's bins are ``bins`` equal ones over its range in the training rows;
 values outside go to the outermost bins, and a missing value (null, NaN,
 infinity) is a bin of its own below them.  The model (at most trees x 2^depth
-splits) reaches the driver and goes back to the tasks as one broadcast row;
-rows never leave the executors.
+splits) reaches the driver and goes back to the tasks; rows never leave the
+executors.  A task walks its rows and sums their weights with numpy, so only
+sums by (tree, node, feature, bin, class) are shuffled.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.operators.stats import finite, fround
-from strata.session import materialize
+from strata.session import materialize, ship
 
 WEIGHTS = "0000001111112223"        # the weight for each hexadecimal digit
 GAIN = 1e-9                         # a cut must score this much more than its node
 PLACES = 9
+HELD = 1 << 20                      # sums a task holds before it passes them on
 
 
 @dataclass
@@ -74,24 +79,87 @@ def _weight(key: Column, tree: Column) -> Column:
     return F.translate(digit, "0123456789abcdef", WEIGHTS).cast("int")
 
 
-def _model_row(spark: SparkSession, f: Forest) -> DataFrame:
-    """One row: the cut feature (-1: a leaf) and bin of every place
+def _places(f: Forest) -> tuple[np.ndarray, np.ndarray]:
+    """The cut feature (-1: a leaf) and bin of every place
     tree * 2^(depth + 1) + node."""
     size = f.trees * f.ensembles << f.depth + 1
-    feature, cut = [-1] * size, [0] * size
+    feature, cut = np.full(size, -1, np.int32), np.zeros(size, np.int32)
     for (tree, node), (which, at, _) in f.cuts.items():
         feature[(tree << f.depth + 1) + node], cut[(tree << f.depth + 1) + node] = which, at
-    return spark.createDataFrame([(feature, cut)], "_feature array<int>, _cut array<int>")
-
-
-def _walk(tree: Column, bins: Column, depth: int, levels: int) -> Column:
-    """A row's node in a tree after at most ``levels`` cuts (the root is 1)."""
-    def step(node: Column, _) -> Column:
-        at = tree * (1 << depth + 1) + node
-        which = F.get("_feature", at)
-        return F.when(which < 0, node).otherwise(node * 2 + (F.get(bins, which) > F.get("_cut", at)).cast("int"))
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(levels)), F.lit(1), step) if levels else F.lit(1)
+    return feature, cut
+
+
+def _matrix(lists: pa.Array, width: int) -> np.ndarray:
+    """A column of lists of ``width`` numbers each."""
+    return lists.flatten().to_numpy().reshape(-1, width)
+
+
+def _walk(bins: np.ndarray, tree: int, depth: int, levels: int, feature: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    """The rows' nodes in a tree after at most ``levels`` cuts (the root is 1)."""
+    node, row = np.ones(len(bins), np.int64), np.arange(len(bins))
+    for _ in range(levels):
+        at = (tree << depth + 1) + node
+        which = feature[at]
+        node = np.where(which < 0, node, 2 * node + (bins[row, which] > cut[at]))
+    return node
+
+
+def _merged(cells: list[np.ndarray], sums: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The same sums with every cell once."""
+    if not cells:
+        return [], []
+    once, place = np.unique(np.concatenate(cells), return_inverse=True)
+    total = np.zeros(len(once), np.int64)
+    np.add.at(total, place, np.concatenate(sums))
+    return [once], [total]
+
+
+def _level_counts(rows: DataFrame, f: Forest, level: int, kinds: int) -> DataFrame:
+    """Weighted class counts by (tree, node, feature, bin) of a level's nodes;
+    rows that rest in leaves above are left out."""
+    ship(rows.sparkSession)
+    feature, cut = _places(f)
+    first, n_features, n_bins = 1 << level, len(f.features), f.bins + 1          # a bin more for missing values
+    trees, total, depth, one_vs_rest = f.trees, f.trees * f.ensembles, f.depth, f.one_vs_rest
+    span, most = first * n_features * n_bins * kinds, HELD                       # cells of a tree
+
+    def batch(cells: list[np.ndarray], sums: list[np.ndarray]) -> pa.RecordBatch:
+        at, parts = cells[0], []
+        for size in (kinds, n_bins, n_features, first):
+            at, part = np.divmod(at, size)
+            parts.append(part)
+        y, bin_, which, node = parts
+        return pa.record_batch([pa.array(c.astype("i4")) for c in (at, node + first, which, bin_ - 1, y)] + [pa.array(sums[0])],
+                               ["tree", "node", "feature", "bin", "y", "n"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, sums, held = [], [], 0
+        for b in batches:
+            y, bins, weights = b.column("y").to_numpy(), _matrix(b.column("bins"), n_features), _matrix(b.column("weights"), total)
+            for tree in range(total):
+                drawn = np.flatnonzero(weights[:, tree])
+                node = _walk(bins[drawn], tree, depth, level, feature, cut)
+                drawn, node = drawn[node >= first], node[node >= first] - first
+                kind = (y[drawn] == tree // trees).astype(np.int64) if one_vs_rest else y[drawn].astype(np.int64)
+                at = ((node[:, None] * n_features + np.arange(n_features)) * n_bins + bins[drawn] + 1) * kinds + kind[:, None]
+                once, place = np.unique(at, return_inverse=True) if span > most else (np.arange(span), at)
+                n = np.bincount(place.ravel(), np.repeat(weights[drawn, tree], n_features), len(once))
+                found = np.flatnonzero(n)
+                cells.append(tree * span + once[found])
+                sums.append(n[found].astype(np.int64))
+                held += len(found)
+                if held > most:
+                    cells, sums = _merged(cells, sums)
+                    held = len(cells[0])
+                    if held > most // 2:
+                        yield batch(cells, sums)
+                        cells, sums, held = [], [], 0
+        if held:
+            yield batch(*_merged(cells, sums))
+
+    counted = rows.select("y", "bins", "weights").mapInArrow(count, "tree int, node int, feature int, bin int, y int, n long")
+    return counted.groupBy("tree", "node", "feature", "bin").agg(
+        *[F.sum(F.when(F.col("y") == k, F.col("n")).otherwise(0)).alias(f"c{k}") for k in range(kinds)])
 
 
 def _tried(tree: Column, node: Column, feature: int, features: int, tried: int) -> Column:
@@ -133,24 +201,11 @@ def grow_forest(train: DataFrame, label: str, features: list[str], keys: list[st
     kinds = 2 if one_vs_rest else len(classes)
     place = F.coalesce(*[F.when(F.col(label) == F.lit(c), F.lit(i)) for i, c in enumerate(classes)])
     key = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
-    every = F.sequence(F.lit(0), F.lit(trees * f.ensembles - 1))
-    rows = materialize(train.select(place.alias("y"), _binned(train, f).alias("bins"),
-                                    F.transform(every, lambda tree: _weight(key, tree)).alias("weights")).where("y is not null"), "forest-rows")
-    spark = train.sparkSession
+    weights = F.array(*[_weight(key, F.lit(tree)) for tree in range(trees * f.ensembles)])
+    rows = materialize(train.select(place.alias("y"), _binned(train, f).alias("bins"), weights.alias("weights"))
+                       .where("y is not null"), "forest-rows")
     for level in range(depth):
-        here = rows.crossJoin(F.broadcast(_model_row(spark, f)))
-
-        def place_in(tree: Column) -> Column:
-            y = (F.col("y") == F.floor(tree / trees)).cast("int") if one_vs_rest else F.col("y")
-            return F.struct(tree.alias("tree"), _walk(tree, F.col("bins"), depth, level).alias("node"), y.alias("y"),
-                            F.get("weights", tree).alias("w"))
-
-        drawn = F.filter(every, lambda tree: F.get("weights", tree) > 0)
-        placed = (here.select("bins", F.explode(F.transform(drawn, place_in)).alias("p")).select("bins", "p.*")
-                  .where(F.col("node") >= 1 << level))                              # others rest in leaves
-        counts = (placed.select("tree", "node", "y", "w", F.posexplode("bins").alias("feature", "bin"))
-                  .groupBy("tree", "node", "feature", "bin")
-                  .agg(*[F.sum(F.when(F.col("y") == k, F.col("w")).otherwise(0)).alias(f"c{k}") for k in range(kinds)]))
+        counts = _level_counts(rows, f, level, kinds)
         if not level:
             counts = materialize(counts, "forest-root")
             root = counts.where("feature = 0").groupBy("tree").agg(*[F.sum(f"c{k}").alias(f"c{k}") for k in range(kinds)])
@@ -168,25 +223,30 @@ def grow_forest(train: DataFrame, label: str, features: list[str], keys: list[st
 def forest_scores(df: DataFrame, f: Forest, out: str = "prediction", scores: str = "scores") -> DataFrame:
     """``df`` with the classes' mean scores over the trees (rounded to PLACES)
     and the class with the highest, the first of equal ones."""
-    spark, kinds = df.sparkSession, 2 if f.one_vs_rest else len(f.classes)
-    share: list[list[float] | None] = [None] * (f.trees * f.ensembles << f.depth + 1)
+    ship(df.sparkSession)
+    feature, cut = _places(f)
+    width, trees, total, depth, one_vs_rest = len(f.features), f.trees, f.trees * f.ensembles, f.depth, f.one_vs_rest
+    n_classes = len(f.classes)
+    share = np.zeros((len(feature), 2 if one_vs_rest else n_classes))
     for (tree, node), counts in f.leaves.items():
-        share[(tree << f.depth + 1) + node] = [c / sum(counts) for c in counts]
-    model = _model_row(spark, f).crossJoin(spark.createDataFrame([(share,)], "_share array<array<double>>"))
-    here = df.withColumn("_bins", _binned(df, f)).crossJoin(F.broadcast(model))
-
-    def mean(kind: int, low: int) -> Column:
-        def add(total: Column, tree: Column) -> Column:
-            leaf = F.get("_share", tree * (1 << f.depth + 1) + _walk(tree, F.col("_bins"), f.depth, f.depth))
-            return total + F.coalesce(F.get(leaf, F.lit(kind)), F.lit(0.0))
-
-        trees = F.sequence(F.lit(low), F.lit(low + f.trees - 1))
-        return fround(F.aggregate(trees, F.lit(0.0), add) / F.lit(float(f.trees)), PLACES)
-
-    means = [mean(1, c * f.trees) for c in range(len(f.classes))] if f.one_vs_rest else [mean(k, 0) for k in range(kinds)]
-    here = here.withColumn(scores, F.array(*means))
+        share[(tree << depth + 1) + node] = [c / sum(counts) for c in counts]
+
+    @F.arrow_udf("array<double>")
+    def means(lists: pa.Array) -> pa.Array:
+        bins = _matrix(lists, width)
+        sums = np.zeros((len(bins), n_classes))
+        for tree in range(total):
+            leaf = share[(tree << depth + 1) + _walk(bins, tree, depth, depth, feature, cut)]
+            if one_vs_rest:
+                sums[:, tree // trees] += leaf[:, 1]
+            else:
+                sums += leaf
+        return pa.ListArray.from_arrays(np.arange(len(bins) + 1, dtype="i4") * n_classes, (sums / trees).ravel())
+
+    here = df.withColumn("_means", means(_binned(df, f)))
+    here = here.withColumn(scores, F.array(*[fround(F.get("_means", F.lit(k)), PLACES) for k in range(n_classes)]))
     best = F.array_position(scores, F.array_max(scores)).cast("int")
-    return here.withColumn(out, F.element_at(F.array(*[F.lit(c) for c in f.classes]), best)).drop("_bins", "_feature", "_cut", "_share")
+    return here.withColumn(out, F.element_at(F.array(*[F.lit(c) for c in f.classes]), best)).drop("_means")
 
 
 def forest_importance(spark: SparkSession, f: Forest) -> DataFrame:

@@ -6,6 +6,7 @@ import random
 
 import pytest
 
+from strata.operators import forest
 from strata.operators.forest import WEIGHTS, forest_importance, forest_scores, grow_forest
 
 FEATURES = ["a", "b", "c d"]
@@ -120,3 +121,16 @@ def test_nothing_to_learn(spark):
     f = grow_forest(df.where("false"), "label", FEATURES, ["k"], ["x", "y"], trees=2, depth=3)
     assert not f.cuts and forest_scores(df, f).where("scores[0] = 0").count() == df.count()
     assert forest_importance(spark, f).agg({"importance": "sum"}).first()[0] == 0
+
+
+@pytest.mark.parametrize("one_vs_rest", [False, True])
+def test_tasks_sum_weights_before_the_shuffle(spark, monkeypatch, one_vs_rest):
+    monkeypatch.setattr(forest, "HELD", 200)        # sums are passed on in several parts
+    rows, classes, sizes = table(), ["x", "y", "z"], {"depth": 3, "bins": 8, "tried": 2, "least": 4}
+    plans, inner = [], forest._best_cuts
+    monkeypatch.setattr(forest, "_best_cuts", lambda counts, *a: (plans.append(counts._jdf.queryExecution().analyzed().toString()), inner(counts, *a))[1])
+    f = grow_forest(frame(spark, rows), "label", FEATURES, ["k"], classes, trees=3, one_vs_rest=one_vs_rest, **sizes)
+    parts = [grow(rows, classes, 3, positive=c, first=i * 3, **sizes) for i, c in enumerate(classes)] if one_vs_rest else [grow(rows, classes, 3, **sizes)]
+    assert {k: v[:2] for k, v in f.cuts.items()} == {k: v for p in parts for k, v in p[0].items()}
+    assert f.leaves == {k: v for p in parts for k, v in p[1].items()}
+    assert len(plans) == 3 and not any("Generate" in p for p in plans)      # no row per tree and feature
