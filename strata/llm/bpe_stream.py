@@ -29,6 +29,7 @@ import json
 import os
 import re
 from collections.abc import Iterable, Iterator
+from itertools import islice, repeat
 from pathlib import Path
 
 import numpy as np
@@ -57,6 +58,8 @@ class Merges:
         cut = len(self.suffix)
         self.last = {t[:-cut]: i for t, i in vocab.items() if len(t) == cut + 1 and t.endswith(self.suffix)} if cut else self.inner
         self.rules: dict[tuple[int, int], tuple[int, int]] = {}
+        self.ranks: dict[tuple[int, int], int] = {}     # the same as numbers: the least is found sooner
+        self.made: list[int] = []                       # rank -> token
         self.size = {i: 1 for i in (*self.inner.values(), *self.last.values())}
         parts = []
         for rank, m in enumerate(model["merges"]):
@@ -66,6 +69,8 @@ class Merges:
                 raise ValueError("a merge uses a token that no earlier merge makes, or makes one again")
             self.size[w] = self.size[u] + self.size[v]
             self.rules[u, v] = rank, w
+            self.ranks[u, v] = rank
+            self.made.append(w)
             parts.append((u, v, w))
         self.lookahead = self._lookahead(parts)
 
@@ -88,15 +93,15 @@ class Merges:
         return self._few(ids) if len(ids) <= 48 else self._many(ids)
 
     def _few(self, ids: list[int]) -> list[int]:
-        get, ids = self.rules.get, list(ids)
-        none = (len(self.rules), 0)
+        get, made, ids = self.ranks.get, self.made, list(ids)
+        none = len(made)
         ranks = [get(p, none) for p in zip(ids, ids[1:])]
         while ranks:
             best = min(ranks)
-            if best is none:
+            if best == none:
                 break
             i = ranks.index(best)
-            ids[i:i + 2] = [best[1]]
+            ids[i:i + 2] = [made[best]]
             del ranks[i]
             if i:
                 ranks[i - 1] = get((ids[i - 1], ids[i]), none)
@@ -129,6 +134,8 @@ class Merges:
         held: list[int] = []
         size, inner, limit = self.size, self.inner, window + 2 * self.lookahead
         last = ""
+        if isinstance(symbols, str) and len(symbols) <= limit:      # one window holds it
+            last, held, symbols = symbols[-1:], [inner[c] for c in symbols], ()
         for last in symbols:
             if len(held) >= limit:
                 stable, at = len(held) - self.lookahead, 0
@@ -212,7 +219,7 @@ class Transducer:
         machine, ids, get, end = ByteText(), iter(ids), self.bytes.get, len(self.joint)
         held = b""                          # the joint after the last token waits for a next one
         for low in range(0, n, IDS_AT_ONCE):
-            data = held + b"".join(get(i, b"") for _, i in zip(range(min(IDS_AT_ONCE, n - low)), ids))
+            data = held + b"".join(map(get, islice(ids, min(IDS_AT_ONCE, n - low)), repeat(b"")))
             held, data = (data[len(data) - end:], data[:len(data) - end]) if end else (b"", data)
             yield machine.feed(data)
         yield machine.finish()

@@ -124,3 +124,16 @@ def test_other_files_are_refused():
     spec = json.loads(open(WORD).read())
     with pytest.raises(ValueError):
         Transducer(json.dumps(spec | {"decoder": {"type": "BPEDecoder", "suffix": "</w>"}}))
+
+
+def test_least_rank_is_found_among_numbers():
+    spec = json.loads(open(WORD).read())
+    m, rng = Merges(spec["model"]), random.Random(8)
+    words = ["".join(rng.choices("etaoinshr", k=rng.randrange(1, 48))) for _ in range(300)]
+    runs = [[m.inner[c] for c in w] for w in words]
+    want = [m._many(r) for r in runs]
+    streamed = [list(m.stream(iter(w))) for w in words]     # symbol by symbol
+    m.rules = None                                          # pairs as rank and token are for long runs only
+    assert [m.merge(r) for r in runs] == want
+    assert [list(m.stream(w)) for w in words] == streamed
+    assert list(m.stream("")) == []
