@@ -22,7 +22,7 @@ WORD = re.compile(f"[^{WHITE}]+")
 LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 LATIN = frozenset(chr(c) for c in range(256) if re.match(f"[{LETTERS}]", chr(c)))
 PLAIN = re.compile(f"( ?)([{LETTERS}]+)")
-MARKS = frozenset(".,;:!?|")
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"        # ASCII without letters, digits and the apostrophe
 CONTROL = re.compile("[\x1c-\x1f]")
 
 CACHE_ENTRIES = 300_000       # per worker (about 70 MB); a full cache starts again from the broadcast tier
@@ -66,6 +66,8 @@ class Encoder:
         return [t.id for t in self.model.tokenize(text)]
 
     def unit(self, unit: str) -> list[int]:
+        if unit.isascii() and unit.isalpha() and self.kind != "whole":
+            return [t.id for t in self.model.tokenize(unit.lower() if self.kind == "words" else unit)]
         if PLAIN.fullmatch(unit):
             if self.kind == "spaced":
                 return self.word(unit)
@@ -109,8 +111,8 @@ def _kind(spec: dict) -> str:
 class UnitCache(dict):
     """unit -> value(ids); misses are encoded, long units are not kept.
 
-    Punctuation after a letter and a line break before one always start a
-    new pre-token, so such a unit is put together from its parts.
+    A run of punctuation after a letter and a line break before one always
+    start a new pre-token, so such a unit is put together from its parts.
     """
 
     def __init__(self, encoder: Encoder, value, add, frequent: dict | None = None):
@@ -118,8 +120,9 @@ class UnitCache(dict):
         self.encoder, self.value, self.add, self.frequent = encoder, value, add, frequent or {}
 
     def __missing__(self, unit: str):
-        if len(unit) > 1 and unit[-1] in MARKS and unit[-2] in LATIN:
-            v = self.add(self[unit[:-1]], self[unit[-1]])
+        word = unit.rstrip(MARKS)
+        if word and len(word) < len(unit) and word[-1] in LATIN:
+            v = self.add(self[word], self[unit[len(word):]])
         elif self.encoder.kind == "spaced" and len(unit) > 1 and unit[0] == "\n" and unit[1] in LATIN:
             v = self.add(self["\n"], self[unit[1:]])
         elif self.encoder.kind == "words" and unit.isascii() and unit.isalpha() and not unit.islower():

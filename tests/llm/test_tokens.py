@@ -62,3 +62,15 @@ def test_token_files_of_nothing(spark):
     path = scratch_path(spark, "test-tokens")
     write_token_files(data.empty(spark), path, WORD)
     assert read_token_files(spark, path).count() == 0
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_runs_of_marks_are_encoded_once(path):
+    enc = Encoder(open(path).read())
+    words = [a + b + c for a in "kvz" for b in "aeo" for c in ("rt", "É", "it's", "3", "")]
+    units = [w + m for w in words for m in ("!!", "***", ".,$", "'!", "!'", "|>", "_")]
+    want, calls, encode = [enc.encode(u) for u in units], [], enc.encode
+    enc.encode = lambda text: calls.append(text) or encode(text)
+    cache = UnitCache(enc, list, lambda a, b: a + b)
+    assert [cache[u] for u in units] == want
+    assert not [c for c in calls if c[-1] == "*" and c[:-3].isalpha()]
