@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir), works on every row that its
 predecessor kept and returns a DataFrame; it is written as Parquet in the
-shared folder and read again as the next stage's ``docs``.  All but the last
+shared folder and read again as the next stage's ``docs``; then its shuffle
+files are deleted.  All but the last
 return the columns of documents.  Nulls: a row without text is rejected by
 the first stage; a row without an id is never a duplicate of another; rows
 that repeat an id and the text are one document to the second stage, which
@@ -22,7 +23,7 @@ from strata.llm.language_id import identify_documents
 from strata.llm.mixing import mixed_rows, n_words
 from strata.llm.ngram_join import jaccard_components
 from strata.llm.token_files import read_token_files, write_token_files
-from strata.session import materialize, scratch_path
+from strata.session import free_shuffles, materialize, scratch_path
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -76,4 +77,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        free_shuffles(spark)
     return docs

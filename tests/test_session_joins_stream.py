@@ -1,12 +1,14 @@
 """Session helpers, join strategies, streaming ingest, inspection and split."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from strata.operators.inspect import profile, sample_rows
 from strata.operators.joins import bounded_broadcast, join_with_strategy, rows_at_most
 from strata.operators.ml import hash_split
-from strata.session import checkpoint_dir, cut_lineage, materialize, scratch_path
+from strata.session import checkpoint_dir, cut_lineage, free_shuffles, materialize, scratch_path
 from strata.sources.csv import write_csv
 from strata.streaming.ingest import ingest_available, period_file_stream
 from tests.conftest import rows
@@ -100,3 +102,23 @@ def test_collated_join(spark):
     b = spark.createDataFrame([("STRASSE", "x"), ("pondorf", "y"), ("Wels", "z")], "name2 string, tag string")
     assert rows(collated_join(a, b, "name", "name2"), "id", "tag") == [(1, "x"), (2, "y")]
     assert rows(collated_join(a, b, "name", "name2", "left"), "id", "tag") == [(1, "x"), (2, "y"), (3, None)]
+
+
+def test_shuffles_of_dropped_frames_are_deleted(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: [f for f in blocks.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f]       # noqa: E731
+    free_shuffles(spark)
+    time.sleep(3)
+    before = set(held())
+    df = spark.range(1000).repartition(4, "id")
+    df.write.format("noop").mode("overwrite").save()
+    made = set(held()) - before
+    assert made
+    del df
+    spark.range(10).count()                     # Spark still holds the last job
+    free_shuffles(spark)
+    for _ in range(40):
+        if not made & set(held()):
+            break
+        time.sleep(0.5)
+    assert not made & set(held())
