@@ -121,7 +121,7 @@ class UnitCache(dict):
 
     def __missing__(self, unit: str):
         word = unit.rstrip(MARKS)
-        if word and len(word) < len(unit) and word[-1] in LATIN:
+        if word and len(word) < len(unit) and word[-1] in LATIN and unit not in self.encoder.specials:
             v = self.add(self[word], self[unit[len(word):]])
         elif self.encoder.kind == "spaced" and len(unit) > 1 and unit[0] == "\n" and unit[1] in LATIN:
             v = self.add(self["\n"], self[unit[1:]])
