@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.units import UnitCache, encoder
 from strata.llm.worker import kept
-from strata.session import materialize, ship
+from strata.session import materialize, ship, small_batches
 
 OPERATOR = "token_files"
 FORMAT = "token-frames-1"
@@ -126,9 +126,10 @@ def write_token_files(df: DataFrame, path: str, tokenizer_path: str, id_col: str
 
     order = ["doc_id", F.xxhash64("text")]
     shards = max(1, -(-size // shard_bytes))
-    (docs.repartitionByRange(shards, *order).sortWithinPartitions(*order)
-     .mapInArrow(encode, "content binary").select(F.col("content").cast("string").alias("value"))
-     .write.mode("overwrite").text(f"{path}/data"))
+    with small_batches(spark):
+        (docs.repartitionByRange(shards, *order).sortWithinPartitions(*order)
+         .mapInArrow(encode, "content binary").select(F.col("content").cast("string").alias("value"))
+         .write.mode("overwrite").text(f"{path}/data"))
 
 
 INDEX = np.dtype([("doc", "<i8"), ("null", "?"), ("at", "<i8"), ("length", "<i8"), ("n", "<i8")])
