@@ -32,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strata.llm.units import UnitCache, encoder
-from strata.llm.worker import kept
+from strata.llm.worker import give_back, kept
 from strata.session import materialize, ship, small_batches
 
 OPERATOR = "token_files"
@@ -121,6 +121,7 @@ def write_token_files(df: DataFrame, path: str, tokenizer_path: str, id_col: str
                     frames, held = [], 0
             if frames:
                 yield pa.record_batch([pa.array(frames, pa.binary())], ["content"])
+            give_back()
         block = np.array(index, INDEX).tobytes()
         yield pa.record_batch([pa.array([block, struct.pack(FOOTER, at, len(block), MAGIC)], pa.binary())], ["content"])
 
